@@ -74,30 +74,31 @@ def ids_to_codes(ids: Column) -> Column:
     return F.array_join(F.transform(ids, lambda x: F.concat(F.lit(" "), F.lpad(F.hex(x), 4, "0"))), "")
 
 
+def _merge_arrays(vocab: Vocab) -> tuple[Column, Column]:
+    """(pairs, new codes) as constant arrays (constant-folded once, O(1) element access)."""
+    pairs, news = vocab.merge_strings()
+    m = len(vocab.merges)
+    p = F.split(F.lit(",".join(pairs[i * PAIR_WIDTH:(i + 1) * PAIR_WIDTH] for i in range(m))), ",")
+    n = F.split(F.lit(",".join(news[i * tk.TOKEN_WIDTH:(i + 1) * tk.TOKEN_WIDTH] for i in range(m))), ",")
+    return p, n
+
+
 def apply_merges(code_text: Column, vocab: Vocab) -> Column:
     """Apply every merge once, in learned order (B5 on a code text)."""
-    m = len(vocab.merges)
-    if m == 0:
+    if not vocab.merges:
         return code_text
-    pairs, news = vocab.merge_strings()
-    p, n = F.lit(pairs), F.lit(news)
-    return F.aggregate(
-        F.sequence(F.lit(0), F.lit(m - 1)), code_text,
-        lambda acc, i: F.replace(acc, F.substring(p, i * PAIR_WIDTH + 1, PAIR_WIDTH),
-                                 F.substring(n, i * tk.TOKEN_WIDTH + 1, tk.TOKEN_WIDTH)))
+    p, n = _merge_arrays(vocab)
+    return F.aggregate(F.arrays_zip(p.alias("p"), n.alias("n")), code_text,
+                       lambda acc, x: F.replace(acc, x["p"], x["n"]))
 
 
 def expand_merges(code_text: Column, vocab: Vocab) -> Column:
     """Undo merges newest-first: every merge code becomes its pair, down to bytes."""
-    m = len(vocab.merges)
-    if m == 0:
+    if not vocab.merges:
         return code_text
-    pairs, news = vocab.merge_strings()
-    p, n = F.lit(pairs), F.lit(news)
-    return F.aggregate(
-        F.sequence(F.lit(m - 1), F.lit(0), F.lit(-1)), code_text,
-        lambda acc, i: F.replace(acc, F.substring(n, i * tk.TOKEN_WIDTH + 1, tk.TOKEN_WIDTH),
-                                 F.substring(p, i * PAIR_WIDTH + 1, PAIR_WIDTH)))
+    p, n = _merge_arrays(vocab)
+    return F.aggregate(F.reverse(F.arrays_zip(p.alias("p"), n.alias("n"))), code_text,
+                       lambda acc, x: F.replace(acc, x["n"], x["p"]))
 
 
 def merge_pair(ids: Column, left: int, right: int, new_id: int) -> Column:
@@ -129,17 +130,20 @@ def teaching_decode(ids: Column, vocab: Vocab) -> Column:
 
 def pair_table(df: DataFrame, codes_col: str, weight: Column | None = None,
                keep_position: bool = False, key_cols: list[str] | None = None) -> DataFrame:
-    """Explode every adjacent pair (overlaps counted) of a code-text column."""
-    n = tk.n_tokens(F.col(codes_col))
+    """Explode every adjacent pair (overlaps counted) of a code-text column. Linear in
+    the sequence length: the text is split into its tokens once and zipped with itself
+    shifted by one (position-wise substring on long strings would be quadratic)."""
+    toks = F.split(F.ltrim(F.col(codes_col)), " ")
+    n = F.size(toks)
+    pairs = F.zip_with(F.slice(toks, 1, n - 1), F.slice(toks, 2, n - 1),
+                       lambda a, b: F.concat(F.lit(" "), a, F.lit(" "), b))
     cols = [F.col(c) for c in (key_cols or [])]
     w = (weight if weight is not None else F.lit(1)).cast("bigint").alias("w")
-    starts = F.sequence(F.lit(0), n - 2)
-    exploded = df.where(n >= 2).select(*cols, F.col(codes_col), w,
-                                       F.posexplode(starts).alias("pos", "i"))
-    out = [*cols, "w", F.substring(F.col(codes_col), F.col("i") * tk.TOKEN_WIDTH + 1,
-                                   PAIR_WIDTH).alias("pair")]
+    exploded = df.where(F.length(F.col(codes_col)) >= PAIR_WIDTH).select(
+        *cols, w, F.posexplode(pairs).alias("pos", "pair"))
+    out = [*cols, "w", "pair"]
     if keep_position:
-        out.append(F.col("pos"))
+        out.append("pos")
     return exploded.select(*out)
 
 
