@@ -5,10 +5,16 @@ task, and without a key it sends the whole table to one task. Here the table is
 range-partitioned on (key, order) instead, so a hot key is spread over many
 partitions; each partition numbers its rows locally and a tiny table of
 per-(partition, key) counts turns local numbers into global ones.
+
+The range bounds come from sampling, and two separately planned exchanges can sample
+different bounds, so the range-partitioned table is materialised once (persisted,
+eagerly) and both the counts and the numbering are read from that one copy. A lost
+block is recomputed through the same shuffle dependency, hence the same bounds.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +29,9 @@ def ordered_index(df: DataFrame, key_cols: list[str], order_cols: list[str],
     ranged = (df.repartitionByRange(n, *sort_cols)
               .sortWithinPartitions(*sort_cols)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id()))
+              .withColumn("_mono", F.monotonically_increasing_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    ranged.count()
     stats = ranged.groupBy("_pid", *key_cols).agg(F.min("_mono").alias("_first"),
                                                    F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*key_cols).orderBy("_pid") if key_cols else Window.orderBy("_pid")
