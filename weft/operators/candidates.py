@@ -37,27 +37,35 @@ def temperature_probs(logits: Column, temperature: float) -> Column:
 
 
 def top_k_filter(logits: Column, k: int) -> Column:
-    """Keep logits >= the k-th largest (ties with it are kept); k capped at the vocabulary."""
+    """Keep logits >= the k-th largest (ties with it are kept); k capped at the
+    vocabulary. The threshold travels with each element (zip), not as an outer
+    expression inside the lambda (that would be re-evaluated per element)."""
     if k <= 0:
         return logits
     kk = F.least(F.lit(k), F.size(logits))
-    kth = F.element_at(F.array_sort(logits, lambda a, b: F.when(a > b, -1).when(a < b, 1).otherwise(0)), kk)
-    return F.transform(logits, lambda x: F.when(x < kth, F.lit(NEG_INF)).otherwise(x))
+    kth = F.element_at(F.sort_array(logits, asc=False), kk)
+    return F.transform(F.arrays_zip(logits.alias("x"), F.array_repeat(kth, F.size(logits)).alias("t")),
+                       lambda z: F.when(z["x"] < z["t"], F.lit(NEG_INF)).otherwise(z["x"]))
 
 
 def candidate_table(df: DataFrame, key_cols: list[str], logits_col: str, temperature: float = 1.0,
                     top_k: int = 0, repetition_penalty: float = 1.0, seen_col: str | None = None) -> DataFrame:
-    """G5 -> G2 -> G3: per (row, token) the filtered logit and its probability."""
+    """G5 -> G2 -> G3: per (row, token) the filtered logit and its probability. Row
+    constants (k-th largest logit, max, normaliser) are staged as their own columns."""
     logits = F.col(logits_col)
     if seen_col is not None:
         logits = apply_repetition_penalty(logits, F.col(seen_col), repetition_penalty)
-    scaled = F.transform(logits, lambda x: x / F.lit(temperature))
-    filtered = top_k_filter(scaled, top_k)
-    probs = temperature_probs(filtered, 1.0)
-    z = F.arrays_zip(filtered.alias("logit"), probs.alias("prob"))
-    return df.select(*key_cols, F.posexplode(z).alias("token_id", "_z")).select(
+    t = df.select(*key_cols, F.transform(logits, lambda x: x / F.lit(temperature)).alias("_s"))
+    if top_k > 0:
+        t = t.withColumn("_s", top_k_filter(F.col("_s"), top_k))
+    t = t.withColumn("_m", F.array_max("_s"))
+    t = t.withColumn("_e", F.transform(F.arrays_zip(F.col("_s").alias("x"), F.array_repeat("_m", F.size("_s")).alias("m")),
+                                       lambda p: F.exp(p["x"] - p["m"])))
+    t = t.withColumn("_tot", F.aggregate("_e", F.lit(0.0), lambda a, x: a + x))
+    z = F.arrays_zip(F.col("_s").alias("logit"), F.col("_e").alias("e"))
+    return t.select(*key_cols, "_tot", F.posexplode(z).alias("token_id", "_z")).select(
         *key_cols, F.col("token_id").cast("int").alias("token_id"), F.col("_z.logit").alias("logit"),
-        F.col("_z.prob").alias("prob"))
+        (F.col("_z.e") / F.col("_tot")).alias("prob"))
 
 
 def top_p_filter(cands: DataFrame, key_cols: list[str], top_p: float, strict: bool = False) -> DataFrame:

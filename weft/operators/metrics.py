@@ -15,14 +15,21 @@ from pyspark.sql import functions as F
 # --- array helpers --------------------------------------------------------------
 
 def logsumexp(arr: Column) -> Column:
-    m = F.array_max(arr)
-    return m + F.log(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + F.exp(x - m)))
+    """One pass, online: carry (running max, scaled sum); no outer reference inside
+    the lambda (Catalyst re-evaluates those per element)."""
+    init = F.struct(F.lit(float("-inf")).alias("m"), F.lit(0.0).alias("s"))
+
+    def step(acc, x):
+        m = F.greatest(acc["m"], x)
+        return F.struct(m.alias("m"), (acc["s"] * F.exp(acc["m"] - m) + F.exp(x - m)).alias("s"))
+    return F.aggregate(arr, init, step, lambda acc: acc["m"] + F.log(acc["s"]))
 
 
 def log_softmax(arr: Column, temperature: float = 1.0) -> Column:
+    """The normaliser travels with each element (zip), not as an outer expression."""
     scaled = F.transform(arr, lambda x: x / F.lit(temperature)) if temperature != 1.0 else arr
-    lse = logsumexp(scaled)
-    return F.transform(scaled, lambda x: x - lse)
+    z = F.arrays_zip(scaled.alias("x"), F.array_repeat(logsumexp(scaled), F.size(scaled)).alias("z"))
+    return F.transform(z, lambda p: p["x"] - p["z"])
 
 
 def softmax(arr: Column, temperature: float = 1.0) -> Column:

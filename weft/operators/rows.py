@@ -78,15 +78,14 @@ def span_flags(codes: Column, start_anchor: str, end_anchor: str) -> Column:
     pattern = f"(.*?)({start_anchor})(.*?(?:{end_anchor}|$))|(.+)$"
     pieces = F.regexp_extract_all(codes, F.lit(pattern), 0)
     blen = len(start_anchor)
+    meta = F.transform(pieces, lambda p: F.struct(tk.n_tokens(p).alias("n"),
+                                                  F.instr(p, F.lit(start_anchor)).alias("k")))
 
-    def piece_flags(p: Column) -> Column:
-        k = F.instr(p, F.lit(start_anchor))
-        n = tk.n_tokens(p)
-        idx = F.sequence(F.lit(0), n - 1)
-        return F.when(n == 0, F.array().cast("array<boolean>")).otherwise(
-            F.transform(idx, lambda i: (k > 0) & (i * tk.TOKEN_WIDTH >= k - 1 + blen)))
+    def piece_flags(s: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.greatest(s["n"] - 1, F.lit(0))),
+                           lambda i: (s["k"] > 0) & (i * tk.TOKEN_WIDTH >= s["k"] - 1 + blen))
 
-    return F.flatten(F.transform(pieces, piece_flags))
+    return F.flatten(F.transform(F.filter(meta, lambda s: s["n"] > 0), piece_flags))
 
 
 def label_mask(ids: Column, codes: Column, start_anchor: str, end_anchor: str) -> Column:

@@ -21,8 +21,8 @@ def norm(a: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    n = norm(a)
-    return F.transform(a, lambda x: x / n)
+    z = F.arrays_zip(a.alias("x"), F.array_repeat(norm(a), F.size(a)).alias("n"))
+    return F.transform(z, lambda p: p["x"] / p["n"])
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -126,11 +126,18 @@ def gt_in_text(gt: Column, response: Column) -> Column:
 
 
 def repetition_penalty(response: Column, cap: float = 0.5) -> Column:
-    """min(cap, repeated-3-gram share * 2 * cap) over \\w+|[^\\w\\s] tokens."""
+    """min(cap, repeated-3-gram share * 2 * cap) over \\w+|[^\\w\\s] tokens. The
+    3-grams come from zipping the token list with itself shifted by one and two (no
+    per-element re-evaluation of the token regex)."""
     toks = F.regexp_extract_all(F.lower(response), F.lit(WORD_PATTERN), 0)
+    return F.aggregate(F.array(toks), F.lit(0.0), lambda acc, t: acc + _rep_from_tokens(t, cap))
+
+
+def _rep_from_tokens(toks: Column, cap: float) -> Column:
     n = F.size(toks) - 2
-    grams = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
-                        lambda i: F.array_join(F.slice(toks, i + 1, 3), "\u0001"))
+    m = F.greatest(n, F.lit(0))
+    ab = F.zip_with(F.slice(toks, 1, m), F.slice(toks, 2, m), lambda a, b: F.concat(a, F.lit("\u0001"), b))
+    grams = F.zip_with(ab, F.slice(toks, 3, m), lambda x, c: F.concat(x, F.lit("\u0001"), c))
     rep = (n - F.size(F.array_distinct(grams))) * F.lit(cap * 2) / n
     return F.when(n > 0, F.least(F.lit(cap), rep)).otherwise(F.lit(0.0))
 

@@ -111,7 +111,8 @@ def q_b1(spark, d):
 
 @register("b2_pair_counts", f"""
 WITH c AS (SELECT {K.utf8('text')} AS c FROM documents),
-p AS (SELECT substr(c, 5 * i + 1, 10) AS pair FROM c, LATERAL (SELECT unnest(range(0, {K.ntok('c')} - 1)) AS i))
+p AS (SELECT ' ' || t[i] || ' ' || t[i + 1] AS pair FROM (SELECT string_split(ltrim(c), ' ') AS t FROM c),
+      LATERAL (SELECT unnest(range(1, len(t))) AS i))
 SELECT ('0x' || substr(pair, 2, 4))::INT AS "left", ('0x' || substr(pair, 7, 4))::INT AS "right", count(*)::BIGINT AS count
 FROM p GROUP BY pair""")
 def q_b2(spark, d):

@@ -35,8 +35,9 @@ def _teaching_rounds_sql(src: str, rounds: int) -> tuple[str, list[str]]:
     ctes, bests = [], []
     for r in range(1, rounds + 1):
         prev = f"s{r - 1}"
-        ctes.append(f"""p{r} AS (SELECT substr(c, 5 * i + 1, 10) AS pair, o, i FROM {prev},
-                 LATERAL (SELECT unnest(range(0, {K.ntok('c')} - 1)) AS i))""")
+        ctes.append(f"""p{r} AS (SELECT ' ' || t[i + 1] || ' ' || t[i + 2] AS pair, o, i
+                 FROM (SELECT o, string_split(ltrim(c), ' ') AS t FROM {prev}),
+                 LATERAL (SELECT unnest(range(0, len(t) - 1)) AS i))""")
         ctes.append(f"""best{r} AS (SELECT pair FROM p{r} GROUP BY pair
                  ORDER BY count(*) DESC, min(o * 4294967296 + i) ASC LIMIT 1)""")
         ctes.append(f"""s{r} AS (SELECT o, CASE WHEN (SELECT pair FROM best{r}) IS NULL THEN c
