@@ -102,11 +102,12 @@ def group_advantages(df: DataFrame, group_cols: list[str], reward_col: str,
     not ``num_generations`` raises (the reference cannot reshape such a batch)."""
     stats = df.groupBy(*group_cols).agg(F.avg(reward_col).alias("_mean"), F.stddev_pop(reward_col).alias("_std"),
                                         F.count(F.lit(1)).alias("_n"))
-    checked = stats.withColumn("_ok", F.when(F.col("_n") != num_generations, F.raise_error(
-        F.lit(f"group size differs from num_generations={num_generations}"))).otherwise(F.lit(True)))
-    out = df.join(checked, group_cols)
-    return (out.withColumn("advantage", (F.col(reward_col) - F.col("_mean")) / (F.col("_std") + F.lit(1e-4)))
-            .drop("_mean", "_std", "_n", "_ok"))
+    out = df.join(stats, group_cols)
+    adv = (F.col(reward_col) - F.col("_mean")) / (F.col("_std") + F.lit(1e-4))
+    # the size check is part of the output expression, so it cannot be pruned away
+    checked = F.when(F.col("_n") != num_generations, F.raise_error(
+        F.lit(f"group size differs from num_generations={num_generations}"))).otherwise(adv)
+    return out.withColumn("advantage", checked).drop("_mean", "_std", "_n")
 
 
 def _seq_masked_mean_then_mean(df: DataFrame, seq_cols: list[str], loss: Column, mask_col: str) -> DataFrame:
