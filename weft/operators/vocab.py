@@ -128,23 +128,27 @@ def teaching_decode(ids: Column, vocab: Vocab) -> Column:
 
 # --- B2 / B4: pair counting and whole-text training ----------------------------
 
+PAIR_RE = "( [0-9A-F]{4} [0-9A-F]{4})"
+
+
 def pair_table(df: DataFrame, codes_col: str, weight: Column | None = None,
                keep_position: bool = False, key_cols: list[str] | None = None) -> DataFrame:
-    """Explode every adjacent pair (overlaps counted) of a code-text column. Linear in
-    the sequence length: the text is split into its tokens once and zipped with itself
-    shifted by one (position-wise substring on long strings would be quadratic)."""
-    toks = F.split(F.ltrim(F.col(codes_col)), " ")
-    n = F.size(toks)
-    pairs = F.zip_with(F.slice(toks, 1, n - 1), F.slice(toks, 2, n - 1),
-                       lambda a, b: F.concat(F.lit(" "), a, F.lit(" "), b))
-    cols = [F.col(c) for c in (key_cols or [])]
+    """Explode every adjacent pair (overlaps counted) of a code-text column. Linear and
+    JVM-native: one regex pass takes the even-aligned pairs, a second pass on the text
+    shifted by one token takes the odd-aligned ones (each token is exactly five
+    characters and only tokens start with a space, so matches stay aligned)."""
+    c = F.col(codes_col)
+    even = F.regexp_extract_all(c, F.lit(PAIR_RE), 1)
+    odd = F.regexp_extract_all(F.substring(c, tk.TOKEN_WIDTH + 1, 1 << 30), F.lit(PAIR_RE), 1)
+    cols = [F.col(k) for k in (key_cols or [])]
     w = (weight if weight is not None else F.lit(1)).cast("bigint").alias("w")
-    exploded = df.where(F.length(F.col(codes_col)) >= PAIR_WIDTH).select(
-        *cols, w, F.posexplode(pairs).alias("pos", "pair"))
-    out = [*cols, "w", "pair"]
-    if keep_position:
-        out.append("pos")
-    return exploded.select(*out)
+    base = df.where(F.length(c) >= PAIR_WIDTH)
+    if not keep_position:
+        return base.select(*cols, w, F.explode(F.concat(even, odd)).alias("pair"))
+    tagged = F.concat(F.transform(even, lambda p, i: F.struct(p.alias("pair"), (2 * i).alias("pos"))),
+                      F.transform(odd, lambda p, i: F.struct(p.alias("pair"), (2 * i + 1).alias("pos"))))
+    return base.select(*cols, w, F.explode(tagged).alias("_p")).select(
+        *[F.col(k) for k in (key_cols or [])], "w", F.col("_p.pair").alias("pair"), F.col("_p.pos").alias("pos"))
 
 
 def pair_counts(df: DataFrame, ids_col: str = "ids") -> DataFrame:
@@ -174,22 +178,37 @@ def train_teaching(df: DataFrame, text_col: str, order_col: str, vocab_size: int
     seqs = _persist(seqs)
     merges: list[tuple[int, int]] = []
     for r in range(max(0, vocab_size - 256)):
-        pairs = pair_table(seqs, "c", keep_position=True, key_cols=["o"])
-        best = (pairs.groupBy("pair")
-                .agg(F.sum("w").alias("n"), F.min(F.struct("o", "pos")).alias("first"))
-                .orderBy(F.col("n").desc(), F.col("first").asc())
-                .select("pair").limit(1).collect())
-        if not best:
+        best = _best_first_seen(seqs)
+        if best is None:
             break
-        merges.append(_parse_pair(best[0]["pair"]))
-        nxt = seqs.select("o", F.replace("c", F.lit(best[0]["pair"]),
-                                         F.lit(tk.code_hex(tk.MERGE_BASE + r))).alias("c"))
+        merges.append(_parse_pair(best))
+        nxt = seqs.select("o", F.replace("c", F.lit(best), F.lit(tk.code_hex(tk.MERGE_BASE + r))).alias("c"))
         seqs = _advance(seqs, nxt, r, checkpoint_every)
     seqs.unpersist()
     _ = spark
     return Vocab(merges=tuple(merges), layout="teaching", specials=(), presplit=False)
 
 
+def _best_first_seen(seqs: DataFrame, probe: int = 16) -> str | None:
+    """Most frequent pair; ties go to the pair seen first in (text order, position).
+    Counting needs no positions; positions are gathered only for pairs tied at the top,
+    in a second pass filtered to those pairs (rare)."""
+    counts = pair_table(seqs, "c").groupBy("pair").agg(F.sum("w").alias("n"))
+    top = counts.orderBy(F.col("n").desc()).limit(probe).collect()
+    if not top:
+        return None
+    n_max = top[0]["n"]
+    tied = [row["pair"] for row in top if row["n"] == n_max]
+    if len(tied) == 1:
+        return tied[0]
+    if len(tied) == probe:
+        tied = [row["pair"] for row in counts.where(F.col("n") == n_max).select("pair").collect()]
+    firsts = (pair_table(seqs, "c", keep_position=True, key_cols=["o"]).where(F.col("pair").isin(tied))
+              .groupBy("pair").agg(F.min(F.struct("o", "pos")).alias("first"))
+              .orderBy("first").limit(1).collect())
+    return firsts[0]["pair"]
+
+
 def _persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
