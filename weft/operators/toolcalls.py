@@ -142,21 +142,27 @@ def _rep_from_tokens(toks: Column, cap: float) -> Column:
     return F.when(n > 0, F.least(F.lit(cap), rep)).otherwise(F.lit(0.0))
 
 
+def call_blocks(response: Column) -> Column:
+    """F1 as a column: the fenced blocks of one reply that parse to an object with a
+    ``name`` key, in order."""
+    blocks = F.regexp_extract_all(response, F.lit(CALL_PATTERN), 1)
+    return F.filter(blocks, lambda b: F.coalesce(F.array_contains(F.json_object_keys(b), "name"), F.lit(False)))
+
+
 def rewards(spark: SparkSession, df: DataFrame, key_cols: list[str], response_col: str = "response",
             gt_col: str = "gt", cap: float = 0.5) -> DataFrame:
-    """reward = length score + valid-tool bonus + answer bonus - repetition."""
-    calls = extract_calls(df, response_col, key_cols)
-    names = F.broadcast(catalogue(spark).select(F.col("name").alias("tool")))
-    valid = (calls.join(names, calls["name"] == names["tool"], "left_semi")
-             .select(*key_cols).distinct().withColumn("valid_tool", F.lit(True)))
-    n_calls = calls.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("n_calls"))
+    """reward = length score + valid-tool bonus + answer bonus - repetition.
+    Row-local: the calls of a reply come from its own text and the catalogue is a fixed
+    list of six names, so no explode, join or shuffle is needed (F6 is the semi join
+    of F1 with F2 written as a membership test)."""
     resp, gt = F.col(response_col), F.col(gt_col)
-    base = (df.join(valid, key_cols, "left").join(n_calls, key_cols, "left")
-            .select(*key_cols, F.coalesce("n_calls", F.lit(0)).cast("bigint").alias("n_calls"),
-                    F.coalesce("valid_tool", F.lit(False)).alias("valid_tool"),
-                    length_score(resp).alias("length_score"),
-                    (F.coalesce(gt != "", F.lit(False)) & gt_in_text(gt, resp)).alias("gt_hit"),
-                    repetition_penalty(resp, cap).alias("rep_penalty")))
+    staged = df.withColumn("_calls", call_blocks(resp))
+    names = F.transform("_calls", lambda b: F.get_json_object(b, "$.name"))
+    out = staged.select(*key_cols, F.size("_calls").cast("bigint").alias("n_calls"),
+                        F.exists(names, lambda n: F.coalesce(n.isin(*TOOL_NAMES), F.lit(False))).alias("valid_tool"),
+                        length_score(resp).alias("length_score"),
+                        (F.coalesce(gt != "", F.lit(False)) & gt_in_text(gt, resp)).alias("gt_hit"),
+                        repetition_penalty(resp, cap).alias("rep_penalty"))
     total = (F.col("length_score") + F.when(F.col("valid_tool"), 1.0).otherwise(0.0)
              + F.when(F.col("gt_hit"), 1.0).otherwise(0.0) - F.col("rep_penalty"))
-    return base.withColumn("reward", total)
+    return out.withColumn("reward", total)
