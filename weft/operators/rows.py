@@ -108,7 +108,7 @@ def _tokenize_fixed(df: DataFrame, key_cols: list[str], text_col: str, vocab: Vo
 
 def sft_rows(df: DataFrame, key_col: str, messages_col: str, vocab: Vocab,
              max_length: int = 1024, add_system_ratio: float = 0.2,
-             empty_think_ratio: float = 0.2, seed: int = 42) -> DataFrame:
+             empty_think_ratio: float = 0.2, seed: int = 42, keep_codes: bool = False) -> DataFrame:
     """C7 -> D4/C1 -> C8 -> tokenize -> truncate -> pad -> D6."""
     key = F.col(key_col)
     msgs = chat.add_system_prompt(F.col(messages_col), key, add_system_ratio, seed=seed)
@@ -120,7 +120,21 @@ def sft_rows(df: DataFrame, key_col: str, messages_col: str, vocab: Vocab,
     b, e = anchors(vocab)
     return (staged.withColumn("input_ids", ids_of(F.col("_codes"), vocab))
             .withColumn("labels", label_mask(F.col("input_ids"), F.col("_codes"), b, e))
-            .drop("_msgs", "_tools", "_codes"))
+            .drop("_msgs", "_tools", *([] if keep_codes else ["_codes"])))
+
+
+def mask_report(sft: DataFrame, messages_col: str, codes_col: str, vocab: Vocab) -> DataFrame:
+    """T5/T6 report: assistant turns vs assistant spans actually found in the (truncated)
+    token row, and whether user text carries special-token spellings (which become real
+    special ids and can open a fake assistant span)."""
+    b, e = anchors(vocab)
+    pieces = F.regexp_extract_all(F.col(codes_col), F.lit(f"(.*?)({b})(.*?(?:{e}|$))|(.+)$"), 0)
+    alt = tk.specials_alternation(vocab.specials) if vocab.specials else "(?!)"
+    msgs = F.col(messages_col)
+    return sft.withColumn("n_assistant", F.size(F.filter(msgs, lambda m: m["role"] == "assistant")).cast("bigint")) \
+        .withColumn("n_spans", F.size(F.filter(pieces, lambda p: F.instr(p, F.lit(b)) > 0)).cast("bigint")) \
+        .withColumn("user_specials", F.exists(msgs, lambda m: (m["role"] == "user")
+                                              & F.coalesce(m["content"].rlike(alt), F.lit(False))))
 
 
 def preference_rows(df: DataFrame, key_col: str, chosen_col: str, rejected_col: str,

@@ -7,7 +7,7 @@ from . import registry
 
 def _load() -> None:
     from . import q_text  # noqa: F401
-    for mod in ("q_vocab", "q_metrics", "q_stats", "q_stream"):
+    for mod in ("q_vocab", "q_metrics", "q_stats", "q_stream", "q_sources"):
         try:
             __import__(f"{__package__}.{mod}")
         except ModuleNotFoundError as e:
