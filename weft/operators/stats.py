@@ -151,9 +151,10 @@ def duration_label(seconds: Column) -> Column:
 
 
 def power_law_fit(runs: DataFrame, n_col: str, loss_col: str) -> DataFrame:
-    """ln(loss) = alpha ln(Nc) - alpha ln(N); returns alpha and Nc."""
+    """ln(loss) = alpha ln(Nc) - alpha ln(N); returns alpha, Nc and ln(Nc)."""
     fit = runs.agg(F.regr_slope(F.log(loss_col), F.log(n_col)).alias("slope"),
                    F.regr_intercept(F.log(loss_col), F.log(n_col)).alias("intercept"),
                    F.count(F.lit(1)).cast("bigint").alias("n_runs"))
     return fit.select("n_runs", (-F.col("slope")).alias("alpha"),
-                      F.exp(F.col("intercept") / (-F.col("slope"))).alias("n_c"))
+                      F.exp(F.col("intercept") / (-F.col("slope"))).alias("n_c"),
+                      (F.col("intercept") / (-F.col("slope"))).alias("log_n_c"))

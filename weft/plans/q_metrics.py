@@ -282,11 +282,13 @@ def q_e17(spark, d):
 
 
 @register("e18_kl_early_stop", f"""{LOGS}
-SELECT user_id, round(avg(old_logp - policy_logp), 6) AS approx_kl, avg(old_logp - policy_logp) > 0.25 AS stop
+SELECT user_id, round(avg(old_logp - policy_logp) * 16777216) / 16777216 AS approx_kl,
+       avg(old_logp - policy_logp) > 0.25 AS stop
 FROM logs GROUP BY user_id""")
 def q_e18(spark, d):
+    # binary-grid rounding: averages of multiples of 0.05 hit exact decimal ties
     out = M.kl_early_stop(D.token_logs(spark, d), ["user_id"], "old_logp", "policy_logp")
-    return out.select("user_id", R6(F.col("approx_kl")).alias("approx_kl"), "stop")
+    return out.select("user_id", (F.round(F.col("approx_kl") * 16777216) / 16777216).alias("approx_kl"), "stop")
 
 
 # --- F: tool use -------------------------------------------------------------------

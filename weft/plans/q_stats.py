@@ -319,9 +319,9 @@ def q_h14(spark, d):
 WITH r AS (SELECT user_id, sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) + 1 AS n, avg(value) / 100.0 AS loss
            FROM events GROUP BY user_id)
 SELECT count(*)::BIGINT AS n_runs, round(-regr_slope(ln(loss), ln(n)), 6) AS alpha,
-       round(exp(regr_intercept(ln(loss), ln(n)) / -regr_slope(ln(loss), ln(n))), 6) AS n_c FROM r""")
+       round(regr_intercept(ln(loss), ln(n)) / -regr_slope(ln(loss), ln(n)), 6) AS log_n_c FROM r""")
 def q_h15(spark, d):
     ev = D.table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     runs = ev.groupBy("user_id").agg((F.sum("k") + 1).alias("n"), (F.avg("value") / 100.0).alias("loss"))
     f = H.power_law_fit(runs, "n", "loss")
-    return f.select("n_runs", R6(F.col("alpha")).alias("alpha"), R6(F.col("n_c")).alias("n_c"))
+    return f.select("n_runs", R6(F.col("alpha")).alias("alpha"), R6(F.col("log_n_c")).alias("log_n_c"))
