@@ -107,6 +107,11 @@ def merge_pair(ids: Column, left: int, right: int, new_id: int) -> Column:
     return tk.codes_array(merged)
 
 
+def merge_codes(codes: Column, left: int, right: int, new_id: int) -> Column:
+    """B3 on code text (no array round trip): one left-to-right, non-overlapping replace."""
+    return F.replace(codes, F.lit(tk.pair_text(left, right)), F.lit(tk.code_hex(new_id)))
+
+
 def byte_codes_to_text(code_text: Column, strict: bool = True) -> Column:
     """Byte code text -> string. strict: invalid UTF-8 gives NULL (the reference raises);
     otherwise invalid bytes become U+FFFD (lossy, like the production decoder)."""

@@ -127,10 +127,10 @@ SELECT doc_id, n_before::BIGINT AS n_before, {K.ntok('c2')}::BIGINT AS n_after,
   md5(array_to_string(list_transform(string_split(ltrim(c2), ' '), lambda x: ('0x' || x)::INT), ',')) AS ids_md5
 FROM m""")
 def q_b3(spark, d):
-    b = D.table(spark, d, "documents").select("doc_id", V.byte_ids(F.col("text")).alias("ids"))
-    m = b.select("doc_id", F.size("ids").alias("n_before"), V.merge_pair(F.col("ids"), 0x65, 0x20, 256).alias("m"))
+    c = D.table(spark, d, "documents").select("doc_id", tk.utf8_codes(F.col("text")).alias("c"))
+    m = c.select("doc_id", tk.n_tokens(F.col("c")).alias("n_before"), V.merge_codes(F.col("c"), 0x65, 0x20, 256).alias("m"))
     return m.select("doc_id", F.col("n_before").cast("bigint").alias("n_before"),
-                    F.size("m").cast("bigint").alias("n_after"), MD5(F.col("m")).alias("ids_md5"))
+                    tk.n_tokens(F.col("m")).cast("bigint").alias("n_after"), MD5(tk.codes_array(F.col("m"))).alias("ids_md5"))
 
 
 def _rendered_prompts(spark, d):
