@@ -137,6 +137,13 @@ def test_production_training_matches_plain_python(spark):
     assert list(vocab.merges) == _py_production(corpus, 12)
 
 
+def test_incremental_production_training_matches(spark):
+    corpus = ["The cat sat on the mat.", "the cats' hats  are   there\nthen", "数据 数据 数据 that's 42 items"] * 3
+    df = spark.createDataFrame([(t,) for t in corpus], "text STRING")
+    inc = V.train_production(df, "text", 24 + 256 + 12, incremental=True)
+    assert list(inc.merges) == _py_production(corpus, 12)
+
+
 def test_presplit_matches_python_regex(spark):
     samples = ["Hello world", "a  b   c\n\n d", "it's 12 o'clock!!", "数据 和 text", "tail   "]
     df = spark.createDataFrame([(s,) for s in samples], "t STRING")

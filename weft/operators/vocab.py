@@ -256,9 +256,14 @@ def _tie_key(code: Column, n_special: int) -> Column:
 
 
 def train_production(df: DataFrame, text_col: str, vocab_size: int = 6400,
-                     specials=tk.ALL_SPECIAL_TOKENS, checkpoint_every: int = 20) -> Vocab:
+                     specials=tk.ALL_SPECIAL_TOKENS, checkpoint_every: int = 20,
+                     incremental: bool = False) -> Vocab:
     """Specials first, the 256-symbol alphabet, then merges over the weighted word
-    table until ``vocab_size``. Ties: higher count, then smaller (left id, right id)."""
+    table until ``vocab_size``. Ties: higher count, then smaller (left id, right id).
+    ``incremental=True`` keeps a pair-count table and applies per-merge deltas (the
+    large-corpus path, see :func:`_train_production_incremental`)."""
+    if incremental:
+        return _train_production_incremental(df, text_col, vocab_size, specials)
     n_sp = len(specials)
     words = word_histogram(df, text_col, specials).select(
         tk.utf8_codes(F.col("word")).alias("c"), F.col("count").alias("n"))
@@ -282,6 +287,47 @@ def train_production(df: DataFrame, text_col: str, vocab_size: int = 6400,
     return Vocab(merges=tuple(merges), layout="production", specials=tuple(specials), presplit=True)
 
 
+def _train_production_incremental(df: DataFrame, text_col: str, vocab_size: int, specials,
+                                  checkpoint_every: int = 3) -> Vocab:
+    """Same merges as the full recount, with pair counts kept as a table: merging P only
+    changes words containing P, so a round subtracts those words' old pairs and adds
+    their new ones (one small explode) instead of re-exploding every word. Both the word
+    table and the count table are reliably checkpointed every few rounds: each round's
+    plan nests the previous ones, and without the cut the plan itself grows
+    geometrically."""
+    n_sp = len(specials)
+    words = word_histogram(df, text_col, specials).select(
+        tk.utf8_codes(F.col("word")).alias("c"), F.col("count").alias("n"))
+    words = cut_lineage(words.where(tk.n_tokens(F.col("c")) >= 2))
+    counts = cut_lineage(pair_table(words, "c", weight=F.col("n")).groupBy("pair").agg(F.sum("w").alias("n")))
+    left = F.conv(F.substring("pair", 2, 4), 16, 10).cast("int")
+    right = F.conv(F.substring("pair", 7, 4), 16, 10).cast("int")
+    merges: list[tuple[int, int]] = []
+    for r in range(max(0, vocab_size - n_sp - 256)):
+        best = (counts.where(F.col("n") > 0)
+                .orderBy(F.col("n").desc(), _tie_key(left, n_sp), _tie_key(right, n_sp))
+                .select("pair").limit(1).collect())
+        if not best:
+            break
+        pair, new = best[0]["pair"], tk.code_hex(tk.MERGE_BASE + r)
+        merges.append(_parse_pair(pair))
+        hit = words.where(F.col("c").contains(pair))
+        before = pair_table(hit, "c", weight=-F.col("n"))
+        after = pair_table(hit.select(F.replace("c", F.lit(pair), F.lit(new)).alias("c"), "n"), "c",
+                           weight=F.col("n"))
+        delta = before.unionByName(after).groupBy("pair").agg(F.sum("w").alias("d"))
+        nxt_counts = (counts.join(delta, "pair", "full_outer")
+                      .select("pair", (F.coalesce("n", F.lit(0)) + F.coalesce("d", F.lit(0))).alias("n"))
+                      .where(F.col("n") != 0))
+        nxt_words = (words.select(F.replace("c", F.lit(pair), F.lit(new)).alias("c"), "n")
+                     .where(tk.n_tokens(F.col("c")) >= 2))
+        counts = _advance(counts, nxt_counts, r, checkpoint_every)
+        words = _advance(words, nxt_words, r, checkpoint_every)
+    words.unpersist()
+    counts.unpersist()
+    return Vocab(merges=tuple(merges), layout="production", specials=tuple(specials), presplit=True)
+
+
 # --- B10 / B11 / B12: corpus tokenization --------------------------------------
 
 def encode_inline(text: Column, vocab: Vocab) -> Column:

@@ -141,7 +141,7 @@ def _prod_rounds_sql(rounds: int) -> tuple[str, list[str]]:
 
 def production_vocab(spark, d, merges=PROD_MERGES):
     docs = D.table(spark, d, "documents").select("text")
-    return V.train_production(docs, "text", N_SP + 256 + merges)
+    return V.train_production(docs, "text", N_SP + 256 + merges, incremental=True)
 
 
 @register("b7_train_production", lambda: f"""
