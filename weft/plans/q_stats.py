@@ -257,8 +257,10 @@ ORDER BY score DESC, pc."left", pc."right" LIMIT 20""")
 def q_h10(spark, d):
     codes = D.table(spark, d, "documents").select(tk.utf8_codes(F.col("text")).alias("c"))
     pairs = V.pair_counts_codes(codes, "c")
-    uni = codes.select(F.explode(tk.codes_array(F.col("c"))).alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("count"))
+    # group on the 4-hex token text, convert only the distinct tokens
+    uni = (codes.select(F.explode(F.split(F.ltrim(F.col("c")), " ")).alias("t")).groupBy("t")
+           .agg(F.count(F.lit(1)).alias("count"))
+           .select(F.conv("t", 16, 10).cast("int").alias("token"), "count"))
     s = H.pair_scores(pairs, uni)
     return (s.orderBy(F.col("score").desc(), "left", "right").limit(20)
             .select("left", "right", "count", F.round("score", 9).alias("score")))
