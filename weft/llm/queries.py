@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid
+from . import decontam, dedup, kneserney, langid
 from .ship import ship
 
 
@@ -19,7 +19,22 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(_table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.match(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneserney.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.classes(_table(spark, sf_dir, "documents")).drop("node")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op5_decontamination": op5_decontamination,
+    "op7_quality": op7_quality,
+    "op8_near_duplicates": op8_near_duplicates,
 }
 ORACLES: dict[str, str] = {}
