@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, dedup, kneserney, langid
+from . import decontam, dedup, kneserney, langid, licenses, packing, perspectives, separators
 from .ship import ship
 
 
@@ -19,10 +19,22 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(_table(spark, sf_dir, "documents"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.match(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(_table(spark, sf_dir, "conversations"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneserney.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -31,10 +43,20 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.classes(_table(spark, sf_dir, "documents")).drop("node")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return separators.token_counts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_licenses": op2_licenses,
+    "op4_packing": op4_packing,
     "op5_decontamination": op5_decontamination,
+    "op6_perspectives": op6_perspectives,
     "op7_quality": op7_quality,
     "op8_near_duplicates": op8_near_duplicates,
+    "op10_token_counts": op10_token_counts,
+}
+ORACLES: dict[str, str] = {
+    "op6_perspectives": perspectives.ORACLE,
 }
-ORACLES: dict[str, str] = {}

@@ -84,10 +84,34 @@ def _cut(data: np.ndarray, lo: int, n: int, is_word: np.ndarray) -> int:
     return hi
 
 
+def lowered(b: np.ndarray, accents: bool = True) -> np.ndarray:
+    """Bytes with A-Z in lower case; with ``accents`` the Latin-1 letters of UTF-8 too."""
+    out = LOWER[b]
+    if accents and len(b) > 1:
+        tail = b[1:]
+        capital = (b[:-1] == 0xC3) & (tail >= 0x80) & (tail <= 0x9E) & (tail != 0x97)
+        out[1:] += capital.astype(np.uint8) * np.uint8(32)
+    return out
+
+
+def hashes(b: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the spans s..e of bytes b."""
+    pw, inv = _tables(len(b) + 1)
+    v = b.astype(U64)
+    v += U64(1)
+    v *= pw[:len(b)]
+    total = np.empty(len(b) + 1, U64)
+    total[0] = 0
+    np.cumsum(v, out=total[1:])
+    h = (total[e] - total[s]) * inv[s]
+    h ^= (e - s).astype(U64) * U64(0xD6E8FEB86659FD93)
+    return mix(h)
+
+
 def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = WORD,
-          lower: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and 64-bit hashes of all words; and the first word of each document (n+1)."""
-    starts, ends, hashes = [], [], []
+          accents: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and 64-bit hashes of all (lower-cased) words; and the first word of each document (n+1)."""
+    starts, ends, keys = [], [], []
     lo, n = 0, len(data)
     while lo < n:
         hi = _cut(data, lo, n, is_word)
@@ -103,24 +127,15 @@ def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = WORD,
         edge[-1] = True
         edge[first[first > 0] - 1] = True
         e = np.flatnonzero(w & edge) + 1
-        pw, inv = _tables(len(b) + 1)
-        v = lower[b].astype(U64)
-        v += U64(1)
-        v *= pw[:len(b)]
-        total = np.empty(len(b) + 1, U64)
-        total[0] = 0
-        np.cumsum(v, out=total[1:])
-        h = (total[e] - total[s]) * inv[s]
-        h ^= (e - s).astype(U64) * U64(0xD6E8FEB86659FD93)
         starts.append(s + lo)
         ends.append(e + lo)
-        hashes.append(mix(h))
+        keys.append(hashes(lowered(b, accents), s, e))
         lo = hi
     if not starts:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(0, U64), np.zeros(len(offsets), np.int64)
-    starts, ends, hashes = map(np.concatenate, (starts, ends, hashes))
-    return starts, ends, hashes, np.searchsorted(starts, offsets)
+    starts, ends, keys = map(np.concatenate, (starts, ends, keys))
+    return starts, ends, keys, np.searchsorted(starts, offsets)
 
 
 def word_hash(word: str) -> int:
@@ -158,3 +173,48 @@ def isin_sorted(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.n
     at = np.searchsorted(table, values)
     at[at == len(table)] = 0
     return at, table[at] == values
+
+
+class Positions:
+    """A map from 64-bit hashes to positions 0, 1, ... in order of arrival, probed in bulk."""
+
+    def __init__(self, bits: int = 16):
+        self._clear(bits)
+
+    def _clear(self, bits: int):
+        self._shift, self.n = U64(64 - bits), 0
+        self._key, self._at = np.zeros(1 << bits, U64), np.full(1 << bits, -1, np.int32)
+
+    def __len__(self) -> int:
+        return self.n
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Position of each key, -1 where it is not there."""
+        slot = (keys >> self._shift).astype(np.int64)
+        out = self._at[slot]
+        left = np.flatnonzero((out >= 0) & (self._key[slot] != keys))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (len(self._key) - 1)
+            at = self._at[slot[left]]
+            out[left] = at
+            left = left[(at >= 0) & (self._key[slot[left]] != keys[left])]
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Append distinct keys that are not there."""
+        if (self.n + len(keys)) * 2 > len(self._key):
+            full = self._at >= 0
+            old = self._key[full][np.argsort(self._at[full])]
+            self._clear(int(2 * (self.n + len(keys))).bit_length() + 1)
+            self.add(old)
+        at = np.arange(self.n, self.n + len(keys), dtype=np.int32)
+        self.n += len(keys)
+        slot = (keys >> self._shift).astype(np.int64)
+        left = np.arange(len(keys))
+        while len(left):
+            free = left[self._at[slot[left]] < 0]
+            self._at[slot[free]] = at[free]
+            done = free[self._at[slot[free]] == at[free]]
+            self._key[slot[done]] = keys[done]
+            left = left[self._at[slot[left]] != at[left]]
+            slot[left] = (slot[left] + 1) & (len(self._key) - 1)
