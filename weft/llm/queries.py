@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, dedup, kneserney, langid, licenses, packing, perspectives, separators
+from . import decontam, dedup, kneserney, langid, licenses, nndescent, packing, perspectives, separators
 from .ship import ship
 
 
@@ -23,6 +23,10 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_licenses": op2_licenses,
+    "op3_neighbours": op3_neighbours,
     "op4_packing": op4_packing,
     "op5_decontamination": op5_decontamination,
     "op6_perspectives": op6_perspectives,
