@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, dedup, kneserney, langid, licenses, nndescent, packing, perspectives, separators
+from . import attention, decontam, dedup, kneserney, langid, licenses, nndescent, packing, perspectives, separators
 from .ship import ship
 
 
@@ -47,6 +47,10 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.classes(_table(spark, sf_dir, "documents")).drop("node")
 
 
+def op9_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention.score(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_perspectives": op6_perspectives,
     "op7_quality": op7_quality,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_attention_scores": op9_attention_scores,
     "op10_token_counts": op10_token_counts,
 }
 ORACLES: dict[str, str] = {

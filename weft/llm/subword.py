@@ -26,7 +26,7 @@ _KIND[48:58] = _DIGIT
 for _c in range(33, 127):
     if not chr(_c).isalnum() and chr(_c) not in "'<>|":
         _KIND[_c] = _SIGN
-_KIND[[9, 10, 13, 32]] = _SPACE
+_KIND[[9, 10, 11, 12, 13, 32]] = _SPACE
 
 
 def default_path() -> str:
@@ -63,6 +63,10 @@ class Encoder:
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and the first id of each text (n+1)."""
+        return self.encode_pieces(data, off)[:2]
+
+    def encode_pieces(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As encode; and each piece's start and number of ids."""
         s, e, key = pieces(data, off)
         at = self._known.find(key)
         miss = np.flatnonzero(at < 0)
@@ -78,7 +82,7 @@ class Encoder:
         end = np.cumsum(n)
         total = int(end[-1]) if len(end) else 0
         ids = self._ids[np.repeat(self._at[at] - (end - n), n) + np.arange(total)]
-        return ids, np.r_[0, end][np.searchsorted(s, off)]
+        return ids, np.r_[0, end][np.searchsorted(s, off)], s, n
 
 
 def pieces(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
