@@ -10,6 +10,7 @@ Texts travel once, as zstd-compressed Arrow batches.
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

@@ -22,6 +22,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -148,14 +149,16 @@ def scores(text, has_letter, model: dict, ambiguous_below: float):
             pa.array(letter & (share < ambiguous_below))]
 
 
-def rejected(docs: DataFrame, model: dict, ambiguous_below: float = 0.5):
-    """A function of (text, has_letter) telling which rows are ``und`` or ambiguous; for filters."""
+def keep_known(docs: DataFrame, model: dict, ambiguous_below: float = 0.5) -> DataFrame:
+    """The rows of docs, all columns, whose language is neither ``und`` nor ambiguous."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def mask(text, letter):
-        pred, _, _, unsure = scores(text, letter, shared.value, ambiguous_below)
-        return np.array([p == "und" for p in pred.to_pylist()], bool) | unsure.to_numpy(zero_copy_only=False)
-    return mask
+    def run(batches):
+        for b in batches:
+            pred, _, _, unsure = scores(b.column("text"), b.column("__letter"), shared.value, ambiguous_below)
+            good = pa.compute.and_(pa.compute.not_equal(pred, "und"), pa.compute.invert(unsure))
+            yield b.drop_columns(["__letter"]).filter(good)
+    return docs.withColumn("__letter", F.col("text").rlike(r"\p{L}")).mapInArrow(run, docs.schema)
 
 
 def predict(docs: DataFrame, model: dict, ambiguous_below: float = 0.5) -> DataFrame:
