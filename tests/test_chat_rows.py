@@ -73,39 +73,51 @@ def test_pretrain_rows_pad_and_labels(spark):
     assert len(r[1]["input_ids"]) == 32 and r[1]["input_ids"][-1] == BV.eos_id
 
 
-def _py_mask(ids, b, e, max_length):
-    labels = [0] * len(ids)
-    i = 0
-    while i < len(ids):
-        if ids[i:i + len(b)] == b:
-            start = i + len(b)
-            end = start
-            while end < len(ids):
-                if ids[end:end + len(e)] == e:
-                    break
-                end += 1
-            for j in range(start, min(end + len(e), max_length)):
-                labels[j] = 1
-            i = end + len(e) if end < len(ids) else len(ids)
-        else:
-            i += 1
-    return labels
-
-
-def test_span_mask_matches_left_to_right_scan(spark):
+# spans open at 0 5 6 and close at 1 7; the masks were written by hand
+MASKS = [
+    ([], []),
+    ([9, 9], [0, 0]),
+    ([0, 5, 6], [0, 0, 0]),
+    ([0, 5, 6, 9], [0, 0, 0, 1]),
+    ([0, 5, 6, 1, 7], [0, 0, 0, 1, 1]),
+    ([0, 5, 6, 9, 9, 1, 7, 9], [0, 0, 0, 1, 1, 1, 1, 0]),
+    ([9, 0, 5, 6, 9, 1, 7, 0, 5, 6, 9, 1, 7], [0, 0, 0, 0, 1, 1, 1, 0, 0, 0, 1, 1, 1]),
+    ([0, 5, 6, 9, 0, 5, 6, 1, 7], [0, 0, 0, 1, 1, 1, 1, 1, 1]),       # an opener inside a span is content
+    ([0, 5, 6, 9, 1, 9, 7], [0, 0, 0, 1, 1, 1, 1]),                   # broken closer: the span runs to the end
+    ([1, 7, 0, 5, 6, 9], [0, 0, 0, 0, 0, 1]),                         # a closer outside a span means nothing
+    ([0, 5, 9, 0, 5, 6, 7, 1], [0, 0, 0, 0, 0, 0, 1, 1]),             # a broken opener opens nothing
+    ([0, 5, 6, 1, 7, 1, 7], [0, 0, 0, 1, 1, 0, 0]),
+    ([0, 0, 5, 6, 1, 1, 7], [0, 0, 0, 0, 1, 1, 1]),
+]
+
+
+def test_span_mask_hand_values(spark):
+    df = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(MASKS)], "k INT, ids ARRAY<INT>")
+    bt, et = "".join(map(tk.code_hex, (0, 5, 6))), "".join(map(tk.code_hex, (1, 7)))
+    codes = V.ids_to_codes(F.col("ids"))
+    got = df.select("k", "ids", rows.loss_mask(codes, bt, et).alias("m"),
+                    rows.label_mask(F.col("ids"), codes, bt, et).alias("l")).orderBy("k").collect()
+    for r, (ids, mask) in zip(got, MASKS):
+        assert r["m"] == mask, ids
+        assert r["l"] == [x if m else -100 for x, m in zip(ids, mask)]
+
+
+def test_span_masks_of_random_arrays_keep_their_invariants(spark):
     rnd = random.Random(7)
-    b, e = [0, 5, 6], [1, 7]
-    arrays = []
-    for _ in range(400):
-        n = rnd.randint(0, 40)
-        a = [rnd.choice([0, 5, 6, 1, 7, 9]) for _ in range(n)]
-        arrays.append(a)
+    arrays = [[rnd.choice([0, 5, 6, 1, 7, 9]) for _ in range(rnd.randint(0, 40))] for _ in range(400)]
     df = spark.createDataFrame([(i, a) for i, a in enumerate(arrays)], "k INT, ids ARRAY<INT>")
-    bt, et = "".join(tk.code_hex(x) for x in b), "".join(tk.code_hex(x) for x in e)
-    codes = V.ids_to_codes(F.col("ids"))
-    got = df.select("k", rows.loss_mask(codes, bt, et).alias("m")).orderBy("k").collect()
+    bt, et = "".join(map(tk.code_hex, (0, 5, 6))), "".join(map(tk.code_hex, (1, 7)))
+    got = df.select("k", rows.loss_mask(V.ids_to_codes(F.col("ids")), bt, et).alias("m")).orderBy("k").collect()
     for r, a in zip(got, arrays):
-        assert r["m"] == _py_mask(a, b, e, len(a)), a
+        m = r["m"]
+        assert len(m) == len(a)
+        edges = [i for i in range(len(a)) if m[i] and (i == 0 or not m[i - 1] or (a[i - 2:i] == [1, 7] and i - 2 >= 0 and m[i - 2]))]
+        for i in edges:
+            if not (i and m[i - 1]):
+                assert a[i - 3:i] == [0, 5, 6]                # every run starts right behind an opener
+        ends = [i for i in range(len(a)) if m[i] and (i + 1 == len(a) or not m[i + 1])]
+        for i in ends:
+            assert i + 1 == len(a) or a[i - 1:i + 1] == [1, 7]  # and stops at a closer or the end
 
 
 def test_sft_rows_mask_assistant_only(spark):

@@ -1,7 +1,5 @@
 """Vocabulary: pair counts, merges, whole-text training, encode/decode, production
-training against a plain-Python count, specials, save/load."""
-
-from collections import Counter
+training against hand-worked merges, specials, save/load."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,42 +36,26 @@ def test_merge_left_to_right(spark, seq, pair, expected):
     assert out == expected
 
 
-def _py_train(texts, vocab_size):
-    """Plain-Python whole-text trainer (first-seen tie rule), for comparison."""
-    seqs = [list(t.encode("utf-8")) for t in texts]
-    merges = []
-    for i in range(vocab_size - 256):
-        counts, first = Counter(), {}
-        for si, s in enumerate(seqs):
-            for j in range(len(s) - 1):
-                p = (s[j], s[j + 1])
-                counts[p] += 1
-                first.setdefault(p, (si, j))
-        if not counts:
-            break
-        best = max(counts, key=lambda p: (counts[p], tuple(-x for x in first[p])))
-        merges.append(best)
-        new = []
-        for s in seqs:
-            out, j = [], 0
-            while j < len(s):
-                if j < len(s) - 1 and (s[j], s[j + 1]) == best:
-                    out.append(256 + i)
-                    j += 2
-                else:
-                    out.append(s[j])
-                    j += 1
-            new.append(out)
-        seqs = new
-    return merges
-
-
-@pytest.mark.parametrize("texts,size", [(["abab", "ab"], 257), (["aabb"], 258), (["abc"], 258),
-                                        (["hello world", "hold the wall", "a"], 262), (["x"], 260)])
-def test_train_teaching_matches_plain_python(spark, texts, size):
+# merges worked out by hand: most frequent pair, the one seen first among equals
+@pytest.mark.parametrize("texts,size,merges", [
+    (["abab", "ab"], 257, [(97, 98)]),
+    (["aabb"], 258, [(97, 97), (256, 98)]),
+    (["abc"], 258, [(97, 98), (256, 99)]),
+    (["hello world", "hold the wall", "a"], 262,
+     [(104, 101), (108, 108), (32, 119), (108, 100), (256, 257), (260, 111)]),
+    (["x"], 260, []),
+])
+def test_train_teaching_hand_values(spark, texts, size, merges):
     df = spark.createDataFrame(list(enumerate(texts)), "o INT, text STRING")
-    vocab = V.train_teaching(df, "text", "o", size, checkpoint_every=2)
-    assert list(vocab.merges) == _py_train(texts, size)
+    assert list(V.train_teaching(df, "text", "o", size, checkpoint_every=2).merges) == merges
+
+
+def test_train_teaching_with_a_thousand_ties(spark):
+    # every pair occurs once: 1,000 ties, the first pair of the first text wins
+    text = "".join(chr(0x4E00 + i) for i in range(334))
+    df = spark.createDataFrame([(0, text)], "o INT, text STRING")
+    first = text.encode()[:2]
+    assert V.train_teaching(df, "text", "o", 257).merges == ((first[0], first[1]),)
 
 
 def test_teaching_encode_decode_round_trip(spark):
@@ -92,56 +74,49 @@ def test_invalid_utf8_decodes_to_null(spark):
     assert df.select(V.teaching_decode(F.col("ids"), V.TEACHING_VOCAB).alias("t")).first()["t"] is None
 
 
-def _py_production(texts, n_merges):
-    words = Counter(w for t in texts for p in tk.split_specials_py(t) if p not in tk.ALL_SPECIAL_TOKENS
-                    for w in tk.python_presplit(p))
-    seqs = {w: list(w.encode("utf-8")) for w in words}
-
-    def pid(c):
-        if c >= 256:
-            return 24 + 256 + c - 256
-        for rank_rule in [(33, 126, -33), (161, 172, -67), (174, 255, -68)]:
-            lo, hi, off = rank_rule
-            if lo <= c <= hi:
-                return 24 + c + off
-        return 24 + (c + 188 if c <= 32 else c + 94 if c <= 160 else 255)
-
-    merges = []
-    for r in range(n_merges):
-        counts = Counter()
-        for w, s in seqs.items():
-            for j in range(len(s) - 1):
-                counts[(s[j], s[j + 1])] += words[w]
-        if not counts:
-            break
-        best = min(counts, key=lambda p: (-counts[p], pid(p[0]), pid(p[1])))
-        merges.append(best)
-        for w, s in seqs.items():
-            out, j = [], 0
-            while j < len(s):
-                if j < len(s) - 1 and (s[j], s[j + 1]) == best:
-                    out.append(256 + r)
-                    j += 2
-                else:
-                    out.append(s[j])
-                    j += 1
-            seqs[w] = out
-    return merges
-
-
-def test_production_training_matches_plain_python(spark):
-    corpus = ["The cat sat on the mat.", "the cats' hats  are   there\nthen", "数据 数据 数据 that's 42 items",
-              "<|im_start|>user\nthe the the<|im_end|>"] * 3
-    df = spark.createDataFrame([(t,) for t in corpus], "text STRING")
-    vocab = V.train_production(df, "text", 24 + 256 + 12, checkpoint_every=5)
-    assert list(vocab.merges) == _py_production(corpus, 12)
+# words of "ab ab abc": "ab", " ab", " abc"; then ties go to the smaller ids
+PRODUCTION = [
+    (["ab ab abc"], 10, [(97, 98), (32, 256), (257, 99)]),
+    (["xy", "ab"], 10, [(97, 98), (120, 121)]),
+    (["<|im_start|>zz zz<|im_end|>zz"], 1, [(122, 122)]),
+]
+
+
+@pytest.mark.parametrize("texts,rounds,merges", PRODUCTION)
+@pytest.mark.parametrize("incremental", [False, True])
+def test_production_training_hand_values(spark, texts, rounds, merges, incremental):
+    df = spark.createDataFrame([(t,) for t in texts], "text STRING")
+    vocab = V.train_production(df, "text", 24 + 256 + rounds, checkpoint_every=2, incremental=incremental)
+    assert list(vocab.merges) == merges
 
 
-def test_incremental_production_training_matches(spark):
+def test_incremental_training_equals_full_recount(spark):
     corpus = ["The cat sat on the mat.", "the cats' hats  are   there\nthen", "数据 数据 数据 that's 42 items"] * 3
     df = spark.createDataFrame([(t,) for t in corpus], "text STRING")
-    inc = V.train_production(df, "text", 24 + 256 + 12, incremental=True)
-    assert list(inc.merges) == _py_production(corpus, 12)
+    full, inc = (V.train_production(df, "text", 24 + 256 + 12, incremental=i) for i in (False, True))
+    assert full.merges == inc.merges and len(full.merges) == 12
+
+
+def test_nul_and_control_characters_survive_the_special_cut(spark):
+    texts = ["a\0b", "\0", "\0\x01a\x01b\0<|im_end|>\0", "\x01<|pad|>\x01a", "plain"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k INT, t STRING")
+    got = [r["p"] for r in df.orderBy("k").select(V.special_pieces(F.col("t")).alias("p")).collect()]
+    assert got == [["a\0b"], ["\0"], ["\0\x01a\x01b\0", "<|im_end|>", "\0"], ["\x01", "<|pad|>", "\x01a"], ["plain"]]
+    n = [r["n"] for r in df.orderBy("k").select(F.size(V.ids_of(V.encode_inline(F.col("t"), V.BYTE_VOCAB), V.BYTE_VOCAB)).alias("n")).collect()]
+    assert n == [3, 1, 8, 4, 5]
+
+
+def test_codes_of_a_large_vocabulary_stay_apart(spark):
+    vocab = V.Vocab(merges=tuple((97, 98) for _ in range(70_000)))
+    pairs, codes = vocab.merge_strings()
+    assert len(codes) == 70_000 * tk.TOKEN_WIDTH and len(set(codes.split())) == 70_000
+    assert not set(codes.split()) & {tk.code_hex(tk.SPECIAL_BASE + i).strip() for i in range(24)}
+    last = 24 + 256 + 69_999
+    df = spark.createDataFrame([([0, 24, 24 + 256, last],)], "ids ARRAY<INT>")
+    back = df.select(V.ids_of(V.ids_to_codes(F.transform("ids", lambda i: V.id_to_code(i, vocab))), vocab).alias("i")).first()["i"]
+    assert back == [0, 24, 24 + 256, last]
+    with pytest.raises(ValueError):
+        V.Vocab(merges=tuple((97, 98) for _ in range(tk.MAX_MERGES + 1)))
 
 
 def test_presplit_matches_python_regex(spark):

@@ -1,13 +1,13 @@
 """Token sequences as fixed-width code text.
 
-Every token is written as a space plus four upper-case hex digits, e.g. ``" 0074 0068"``.
+Every token is written as a space plus five upper-case hex digits, e.g. ``" 00074 00068"``.
 Internal codes:
 
-* ``0x0000-0x00FF``  a raw UTF-8 byte,
-* ``0x0100 + r``     the merge learned in round ``r`` (0-based),
-* ``0xFF00 + s``     special token number ``s``.
+* ``0x00000-0x000FF``  a raw UTF-8 byte,
+* ``0x00100 + r``     the merge learned in round ``r`` (0-based), up to ``0xFFEFF``,
+* ``0xFFF00 + s``     special token number ``s``.
 
-Because each token starts with the only space in its five characters, a built-in
+Because each token starts with the only space in its six characters, a built-in
 ``replace(text, " A B", " N")`` merges a pair left to right without overlaps and can
 never match across a token boundary. Conversion to integer ids happens only at the
 output edge, in one of two id layouts:
@@ -26,9 +26,12 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPECIAL_BASE = 0xFF00
+SPECIAL_BASE = 0xFFF00
 MERGE_BASE = 0x100
-TOKEN_WIDTH = 5
+DIGITS = 5
+TOKEN_WIDTH = DIGITS + 1
+CODE_FORMAT = f" %0{DIGITS}X"
+MAX_MERGES = SPECIAL_BASE - MERGE_BASE
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference): special-token spellings in id order.
@@ -83,7 +86,9 @@ def special_piece_pattern(specials=ALL_SPECIAL_TOKENS) -> str:
 
 
 def code_hex(code: int) -> str:
-    return " %04X" % code
+    if not 0 <= code < 1 << (4 * DIGITS):
+        raise ValueError(f"code {code} has no {DIGITS}-digit form")
+    return CODE_FORMAT % code
 
 
 def pair_text(left: int, right: int) -> str:
@@ -93,8 +98,8 @@ def pair_text(left: int, right: int) -> str:
 # --- column helpers ----------------------------------------------------------
 
 def utf8_codes(text: Column) -> Column:
-    """Text -> code text of its UTF-8 bytes (' 00XX' per byte)."""
-    return F.regexp_replace(F.hex(F.encode(text, "UTF-8")), "(..)", " 00$1")
+    """Text -> code text of its UTF-8 bytes (' 000XX' per byte)."""
+    return F.regexp_replace(F.hex(F.encode(text, "UTF-8")), "(..)", " " + "0" * (DIGITS - 2) + "$1")
 
 
 def n_tokens(code_text: Column) -> Column:

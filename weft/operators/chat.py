@@ -40,15 +40,6 @@ DEFAULT_SYSTEM_PROMPTS = (
     "Give the user a useful, correct and friendly answer.",
 )
 
-MESSAGE_TYPE = T.StructType([
-    T.StructField("role", T.StringType()),
-    T.StructField("content", T.StringType()),
-    T.StructField("reasoning_content", T.StringType()),
-    T.StructField("tools", T.StringType()),
-    T.StructField("tool_calls", T.StringType()),
-])
-
-
 def _str(c: Column) -> Column:
     """Python f-string semantics for a possibly-NULL string field."""
     return F.coalesce(c, F.lit("None"))
@@ -140,14 +131,17 @@ def last_system_tools(messages: Column) -> Column:
 @F.pandas_udf(T.StringType())
 def normalise_tools(tools_json):
     """Re-serialise a JSON tool list one object per line with Python separators and
-    non-ASCII kept. Arrow-batched; JSON text has no built-in equivalent of this layout."""
+    non-ASCII kept. Each distinct value of an Arrow batch is parsed once; a value that is not
+    JSON counts as no tools."""
     def one(s):
-        if s is None or s == "":
+        try:
+            parsed = json.loads(s)
+        except (ValueError, RecursionError):
             return None
-        parsed = json.loads(s)
         if not parsed:
             return ""
         if isinstance(parsed, dict):
             parsed = [parsed]
         return "".join(json.dumps(t, ensure_ascii=False) + "\n" for t in parsed).strip()
-    return tools_json.map(one)
+    known = {s: one(s) for s in tools_json.unique() if s}
+    return tools_json.map(lambda s: known.get(s) if s else None)

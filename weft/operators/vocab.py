@@ -13,10 +13,9 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import tokens as tk
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import cut_lineage
 
 PAIR_WIDTH = 2 * tk.TOKEN_WIDTH
 
@@ -30,6 +29,10 @@ class Vocab:
     specials: tuple = field(default=tk.ALL_SPECIAL_TOKENS)
     presplit: bool = True               # production vocabularies never merge across words
 
+    def __post_init__(self):
+        if len(self.merges) > tk.MAX_MERGES:
+            raise ValueError(f"{len(self.merges)} merges; codes leave room for {tk.MAX_MERGES}")
+
     @property
     def n_special(self) -> int:
         return len(self.specials) if self.layout == "production" else 0
@@ -71,7 +74,7 @@ def byte_ids(text: Column) -> Column:
 
 def ids_to_codes(ids: Column) -> Column:
     """ARRAY<INT> of internal codes -> code text."""
-    return F.array_join(F.transform(ids, lambda x: F.concat(F.lit(" "), F.lpad(F.hex(x), 4, "0"))), "")
+    return F.array_join(F.transform(ids, lambda x: F.concat(F.lit(" "), F.lpad(F.hex(x), tk.DIGITS, "0"))), "")
 
 
 def _merge_arrays(vocab: Vocab) -> tuple[Column, Column]:
@@ -115,7 +118,7 @@ def merge_codes(codes: Column, left: int, right: int, new_id: int) -> Column:
 def byte_codes_to_text(code_text: Column, strict: bool = True) -> Column:
     """Byte code text -> string. strict: invalid UTF-8 gives NULL (the reference raises);
     otherwise invalid bytes become U+FFFD (lossy, like the production decoder)."""
-    raw = F.unhex(F.regexp_replace(code_text, " 00", "")).cast("string")
+    raw = F.unhex(F.regexp_replace(code_text, " " + "0" * (tk.DIGITS - 2), "")).cast("string")
     if strict:
         return F.when(F.is_valid_utf8(raw), raw)
     return F.make_valid_utf8(raw)
@@ -133,18 +136,18 @@ def teaching_decode(ids: Column, vocab: Vocab) -> Column:
 
 # --- B2 / B4: pair counting and whole-text training ----------------------------
 
-PAIR_RE = "( [0-9A-F]{4} [0-9A-F]{4})"
+PAIR_RE = f"( [0-9A-F]{{{tk.DIGITS}}} [0-9A-F]{{{tk.DIGITS}}})"
 
 
 def pair_table(df: DataFrame, codes_col: str, weight: Column | None = None,
                keep_position: bool = False, key_cols: list[str] | None = None) -> DataFrame:
     """Explode every adjacent pair (overlaps counted) of a code-text column. Linear and
     JVM-native: one regex pass takes the even-aligned pairs, a second pass on the text
-    shifted by one token takes the odd-aligned ones (each token is exactly five
+    shifted by one token takes the odd-aligned ones (each token is exactly six
     characters and only tokens start with a space, so matches stay aligned)."""
     c = F.col(codes_col)
     even = F.regexp_extract_all(c, F.lit(PAIR_RE), 1)
-    odd = F.regexp_extract_all(F.substring(c, tk.TOKEN_WIDTH + 1, 1 << 30), F.lit(PAIR_RE), 1)
+    odd = F.regexp_extract_all(F.substr(c, F.lit(tk.TOKEN_WIDTH + 1)), F.lit(PAIR_RE), 1)
     cols = [F.col(k) for k in (key_cols or [])]
     w = (weight if weight is not None else F.lit(1)).cast("bigint").alias("w")
     base = df.where(F.length(c) >= PAIR_WIDTH)
@@ -165,20 +168,26 @@ def pair_counts_codes(df: DataFrame, codes_col: str) -> DataFrame:
     """B2 on code text: explode pairs, map-side partial counts, one shuffle by pair."""
     pairs = pair_table(df, codes_col)
     agg = pairs.groupBy("pair").agg(F.sum("w").alias("count"))
-    return agg.select(F.conv(F.substring("pair", 2, 4), 16, 10).cast("int").alias("left"),
-                      F.conv(F.substring("pair", 7, 4), 16, 10).cast("int").alias("right"),
+    left, right = _pair_codes(F.col("pair"))
+    return agg.select(left.alias("left"), right.alias("right"),
                       F.col("count").cast("bigint").alias("count"))
 
 
+def _pair_codes(pair: Column) -> tuple[Column, Column]:
+    def code(at: int) -> Column:
+        return F.conv(F.substring(pair, at, tk.DIGITS), 16, 10).cast("int")
+    return code(2), code(tk.TOKEN_WIDTH + 2)
+
+
 def _parse_pair(pair: str) -> tuple[int, int]:
-    return int(pair[1:5], 16), int(pair[6:10], 16)
+    left, right = pair.split()
+    return int(left, 16), int(right, 16)
 
 
 def train_teaching(df: DataFrame, text_col: str, order_col: str, vocab_size: int,
                    checkpoint_every: int = 10) -> Vocab:
     """Merges over whole texts (no pre-split); ids from 256; ties go to the pair seen
     first in scan order (text order, then position); stops early when no pair is left."""
-    spark = df.sparkSession
     seqs = df.select(F.col(order_col).alias("o"), tk.utf8_codes(F.col(text_col)).alias("c"))
     seqs = _persist(seqs)
     merges: list[tuple[int, int]] = []
@@ -190,7 +199,6 @@ def train_teaching(df: DataFrame, text_col: str, order_col: str, vocab_size: int
         nxt = seqs.select("o", F.replace("c", F.lit(best), F.lit(tk.code_hex(tk.MERGE_BASE + r))).alias("c"))
         seqs = _advance(seqs, nxt, r, checkpoint_every)
     seqs.unpersist()
-    _ = spark
     return Vocab(merges=tuple(merges), layout="teaching", specials=(), presplit=False)
 
 
@@ -206,9 +214,12 @@ def _best_first_seen(seqs: DataFrame, probe: int = 16) -> str | None:
     tied = [row["pair"] for row in top if row["n"] == n_max]
     if len(tied) == 1:
         return tied[0]
-    if len(tied) == probe:
-        tied = [row["pair"] for row in counts.where(F.col("n") == n_max).select("pair").collect()]
-    firsts = (pair_table(seqs, "c", keep_position=True, key_cols=["o"]).where(F.col("pair").isin(tied))
+    places = pair_table(seqs, "c", keep_position=True, key_cols=["o"])
+    if len(tied) < probe:
+        places = places.where(F.col("pair").isin(tied))
+    else:  # any number of ties: a join, not a list
+        places = places.join(counts.where(F.col("n") == n_max).select("pair"), "pair", "left_semi")
+    firsts = (places
               .groupBy("pair").agg(F.min(F.struct("o", "pos")).alias("first"))
               .orderBy("first").limit(1).collect())
     return firsts[0]["pair"]
@@ -232,9 +243,17 @@ def _advance(prev: DataFrame, nxt: DataFrame, r: int, every: int) -> DataFrame:
 
 def special_pieces(text: Column, specials=tk.ALL_SPECIAL_TOKENS) -> Column:
     """Cut a text into special tokens and the ordinary runs between them, in order
-    (longest special first). Linear: mark specials with NUL, split, drop empties."""
-    marked = F.regexp_replace(text, f"({tk.specials_alternation(specials)})", "\u0000$1\u0000")
-    return F.filter(F.split(marked, "\u0000"), lambda p: p != "")
+    (longest special first). Linear: mark specials with NUL, split, drop empties. A text
+    that holds NUL itself is escaped first (``\\u0001a`` for ``\\u0001``, ``\\u0001b`` for NUL) and
+    its pieces are restored."""
+    one, nul = F.lit("\u0001"), F.lit("\u0000")
+
+    def cut(t: Column) -> Column:
+        marked = F.regexp_replace(t, f"({tk.specials_alternation(specials)})", "\u0000$1\u0000")
+        return F.filter(F.split(marked, "\u0000"), lambda p: p != "")
+    escaped = F.replace(F.replace(text, one, F.lit("\u0001a")), nul, F.lit("\u0001b"))
+    restored = F.transform(cut(escaped), lambda p: F.replace(F.replace(p, F.lit("\u0001b"), nul), F.lit("\u0001a"), one))
+    return F.when(F.contains(text, nul), restored).otherwise(cut(text))
 
 
 def presplit_words(text: Column) -> Column:
@@ -272,8 +291,7 @@ def train_production(df: DataFrame, text_col: str, vocab_size: int = 6400,
     for r in range(max(0, vocab_size - n_sp - 256)):
         pairs = pair_table(words, "c", weight=F.col("n"))
         counts = pairs.groupBy("pair").agg(F.sum("w").alias("n"))
-        left = F.conv(F.substring("pair", 2, 4), 16, 10).cast("int")
-        right = F.conv(F.substring("pair", 7, 4), 16, 10).cast("int")
+        left, right = _pair_codes(F.col("pair"))
         best = (counts.orderBy(F.col("n").desc(), _tie_key(left, n_sp), _tie_key(right, n_sp))
                 .select("pair").limit(1).collect())
         if not best:
@@ -300,8 +318,7 @@ def _train_production_incremental(df: DataFrame, text_col: str, vocab_size: int,
         tk.utf8_codes(F.col("word")).alias("c"), F.col("count").alias("n"))
     words = cut_lineage(words.where(tk.n_tokens(F.col("c")) >= 2))
     counts = cut_lineage(pair_table(words, "c", weight=F.col("n")).groupBy("pair").agg(F.sum("w").alias("n")))
-    left = F.conv(F.substring("pair", 2, 4), 16, 10).cast("int")
-    right = F.conv(F.substring("pair", 7, 4), 16, 10).cast("int")
+    left, right = _pair_codes(F.col("pair"))
     merges: list[tuple[int, int]] = []
     for r in range(max(0, vocab_size - n_sp - 256)):
         best = (counts.where(F.col("n") > 0)
@@ -416,10 +433,10 @@ def decode_ids(ids: Column, vocab: Vocab, skip_special_tokens: bool = True) -> C
     # keep specials: decode runs of ordinary ids between them
     spell = F.array(*[F.lit(s) for s in vocab.specials])
     pieces = F.transform(ids, lambda x: F.when(x < n_sp, F.concat(F.lit("\u0001S"), F.element_at(spell, x + 1), F.lit("\u0001")))
-                         .otherwise(F.format_string(" %04X", id_to_code(x, vocab))))
+                         .otherwise(F.format_string(tk.CODE_FORMAT, id_to_code(x, vocab))))
     joined = F.array_join(pieces, "")
     parts = F.split(joined, "\u0001")
-    return F.array_join(F.transform(parts, lambda p: F.when(p.startswith("S"), F.substring(p, 2, 1 << 30))
+    return F.array_join(F.transform(parts, lambda p: F.when(p.startswith("S"), F.substr(p, F.lit(2)))
                                     .otherwise(byte_codes_to_text(expand_merges(p, vocab), strict=False))), "")
 
 
@@ -448,7 +465,7 @@ def vocab_table(spark: SparkSession, vocab: Vocab) -> DataFrame:
         .cast("int").alias("code"))
     spelled = codes.select(
         F.col("code"),
-        tk.codes_array(expand_merges(F.format_string(" %04X", F.col("code")), vocab)).alias("bytes"))
+        tk.codes_array(expand_merges(F.format_string(tk.CODE_FORMAT, F.col("code")), vocab)).alias("bytes"))
     out = spelled.select(
         F.array_join(F.transform("bytes", byte_symbol), "").alias("token"),
         tk.code_to_id(F.col("code"), vocab.layout, n_sp).cast("int").alias("id"),
@@ -485,5 +502,3 @@ def compression_report(df: DataFrame, group_col: str, text_col: str, ids_col: st
              F.round(F.col("n_tokens") / F.col("n_chars"), 6).alias("tokens_per_char"),
              F.round(F.col("n_chars") / F.col("n_tokens"), 6).alias("chars_per_token"))
 
-
-_ = (T, ensure_checkpoint_dir)

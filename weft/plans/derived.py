@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import tokens as tk
 from ..operators.chat import EMPTY_THINK
 from ..operators.ordering import ordered_index
 from ..operators.toolcalls import TOOL_SPEC_JSON
@@ -73,11 +72,17 @@ TOOL_BLOCKS = (
     ' and ```json\n{"name": "translate_text", "arguments": {"text": "Good morning", "target_language": "chinese"}}\n```'
     ' and ```json\n{"name": "get_current_time", "arguments": {"timezone": "Europe/London"}}\n```'
     ' and ```json\n{"name": "unit_converter", "arguments": {"value": 3.5, "from_unit": "KG", "to_unit": "Pounds"}}\n```',
+    "```json\n{'name': 'get_current_weather'}\n```",
+    '```json\n{"name": "get_current_weather"} trailing\n```',
+    '```json\n{"name": "get_current_weather"} {\n```',
+    '```json\n{"name": "get_current_weather",}\n```',
+    '```json\n{"name": "x", "name": "get_current_time"}\n```',
+    '```json\n{"name": "get_current_time", "v": NaN}\n```',
 )
 
 
 def tool_responses(spark: SparkSession, d: str) -> DataFrame:
-    """Tool-use replies: every assistant turn plus a fenced block chosen by conv_id % 6;
+    """Tool-use replies: every assistant turn plus a fenced block chosen by conv_id;
     gt = the reply's first word (hit), whitespace only, a miss, or NULL by conv_id % 4."""
     c = table(spark, d, "conversations").where(F.col("role") == "assistant")
     blocks = F.array(*[F.lit(b) for b in TOOL_BLOCKS])
@@ -122,5 +127,3 @@ def token_logs(spark: SparkSession, d: str) -> DataFrame:
         (k / 100.0).alias("v_est"),
         (k / 100.0 + ((k % 3) - 1) / 10.0).alias("old_v"))
 
-
-_ = tk

@@ -32,12 +32,6 @@ def with_teacher(spark, d):
     return r.join(t, "vec_id")
 
 
-LOGITS_SQL = """lr AS (
-  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS logits, label, vec_id // 10 AS seq, vec_id % 10 AS pos,
-         CASE WHEN label = 9 THEN -100 ELSE label END AS label_used, CASE WHEN vec_id % 10 >= 2 THEN 1 ELSE 0 END AS mask
-  FROM embeddings),
-lse AS (SELECT vec_id, max(x) + ln(sum(exp(x - max(x)) )) AS z FROM (SELECT vec_id, unnest(logits) AS x FROM lr) GROUP BY vec_id)"""
-
 # DuckDB cannot nest aggregates; logsumexp via a window max.
 LOGITS_SQL = """lr AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS logits, label, vec_id // 10 AS seq, vec_id % 10 AS pos,
@@ -297,12 +291,15 @@ RESP = f"WITH {K.tool_responses_cte()}"
 CALLS_SQL = f"""{RESP},
 blk AS (SELECT conv_id, turn, unnest(regexp_extract_all(response, '(?s)```json\\s*(.*?)\\s*```', 1)) AS block,
                generate_subscripts(regexp_extract_all(response, '(?s)```json\\s*(.*?)\\s*```', 1), 1) - 1 AS call_no FROM resp),
-calls AS (SELECT conv_id, turn, call_no, block FROM blk
-          WHERE json_valid(block) AND json_type(block) = 'OBJECT' AND list_contains(json_keys(block), 'name'))"""
+-- DuckDB's parser lets a trailing comma pass; of repeated names the last one counts
+calls AS (SELECT conv_id, turn, call_no, nullif(regexp_extract_all(block, '"name"\\s*:\\s*(null|"[^"]*")', 1)[-1], 'null') AS q,
+                 trim(q, '"') AS name FROM blk
+          WHERE CASE WHEN json_valid(block) AND NOT regexp_matches(block, ',\\s*[}}\\]]')
+                     THEN json_type(block) = 'OBJECT' AND list_contains(json_keys(block), 'name') ELSE false END)"""
 
 
 @register("f1_tool_calls", f"""{CALLS_SQL}
-SELECT conv_id, turn, call_no::INT AS call_no, json_extract_string(block, '$.name') AS name FROM calls""")
+SELECT conv_id, turn, call_no::INT AS call_no, name FROM calls""")
 def q_f1(spark, d):
     c = T.extract_calls(D.tool_responses(spark, d), "response", ["conv_id", "turn"])
     return c.select("conv_id", "turn", F.col("call_no").cast("int").alias("call_no"), "name")
@@ -310,8 +307,8 @@ def q_f1(spark, d):
 
 @register("f2_catalogue_usage", lambda: f"""{CALLS_SQL},
 cat AS (SELECT unnest({K.slist(T.TOOL_NAMES)}) AS name, unnest({[len(t['function']['parameters']['required']) for t in T.TOOLS]}) AS n_required)
-SELECT cat.name, cat.n_required::INT AS n_required, count(c.block)::BIGINT AS n_calls
-FROM cat LEFT JOIN calls c ON json_extract_string(c.block, '$.name') = cat.name GROUP BY cat.name, cat.n_required""")
+SELECT cat.name, cat.n_required::INT AS n_required, count(c.name)::BIGINT AS n_calls
+FROM cat LEFT JOIN calls c ON c.name = cat.name GROUP BY cat.name, cat.n_required""")
 def q_f2(spark, d):
     cat = T.catalogue(spark)
     calls = T.extract_calls(D.tool_responses(spark, d), "response", ["conv_id", "turn"])
@@ -321,51 +318,11 @@ def q_f2(spark, d):
                     F.coalesce("n_calls", F.lit(0)).cast("bigint").alias("n_calls")))
 
 
-def _lookup_sql() -> str:
-    def vals(rows):
-        return ", ".join("(" + ", ".join(K.s(x) if isinstance(x, str) else repr(x) + "::DOUBLE" for x in r) + ")" for r in rows)
-    return f"""w(loc, temp, cond) AS (VALUES {vals(T.WEATHER)}),
-tz(zone, dt) AS (VALUES {vals(T.TIMES)}),
-fx(f, t, rate) AS (VALUES {vals(T.RATES)}),
-tr(src, lang, out) AS (VALUES {vals(T.TRANSLATIONS)}),
-un(k, factor) AS (VALUES {vals(T.UNIT_FACTORS)})"""
-
-
-def _js(x: str) -> str:
-    return f"CASE WHEN {x} IS NULL THEN 'null' ELSE to_json({x})::VARCHAR END"
-
-
-@register("f3_execute_tools", lambda: f"""{CALLS_SQL}, {_lookup_sql()},
-a AS (SELECT conv_id, turn, call_no, json_extract_string(block, '$.name') AS name, json_extract(block, '$.arguments') AS args FROM calls),
-b AS (SELECT *, json_extract_string(args, '$.location') AS loc, coalesce(json_extract_string(args, '$.timezone'), 'Asia/Shanghai') AS zone,
-        json_extract_string(args, '$.from_currency') AS f, json_extract_string(args, '$.to_currency') AS t,
-        json_extract_string(args, '$.text') AS src, json_extract_string(args, '$.target_language') AS lang,
-        coalesce(CAST(json_extract_string(args, '$.value') AS DOUBLE), 0.0) AS val,
-        lower(coalesce(json_extract_string(args, '$.from_unit'), '')) || '_' || lower(coalesce(json_extract_string(args, '$.to_unit'), '')) AS uk FROM a)
-SELECT conv_id, turn, call_no::INT AS call_no, name,
-  CASE name
-    WHEN 'get_current_weather' THEN '{{"city": ' || {_js('b.loc')} || ', "temperature": "' || coalesce(w.temp, {K.s(T.WEATHER_DEFAULT[0])}) || '", "condition": "' || coalesce(w.cond, {K.s(T.WEATHER_DEFAULT[1])}) || '"}}'
-    WHEN 'get_current_time' THEN '{{"datetime": "' || coalesce(tz.dt, {K.s(T.TIME_DEFAULT)}) || '", "timezone": ' || {_js('b.zone')} || '}}'
-    WHEN 'get_exchange_rate' THEN '{{"from": ' || {_js('b.f')} || ', "to": ' || {_js('b.t')} || ', "rate": ' || CAST(coalesce(fx.rate, 1.0) AS VARCHAR) || '}}'
-    WHEN 'translate_text' THEN '{{"translated_text": ' || {_js("coalesce(tr.out, b.src, '')")} || '}}'
-    WHEN 'unit_converter' THEN '{{"result": ' || CAST(round(b.val * coalesce(un.factor, 1.0), 4) AS VARCHAR) || '}}'
-  END AS result
-FROM b LEFT JOIN w ON b.name = 'get_current_weather' AND w.loc = b.loc
-  LEFT JOIN tz ON b.name = 'get_current_time' AND tz.zone = b.zone
-  LEFT JOIN fx ON b.name = 'get_exchange_rate' AND fx.f = b.f AND fx.t = b.t
-  LEFT JOIN tr ON b.name = 'translate_text' AND tr.src = b.src AND tr.lang = b.lang
-  LEFT JOIN un ON b.name = 'unit_converter' AND un.k = b.uk""")
-def q_f3(spark, d):
-    calls = T.extract_calls(D.tool_responses(spark, d), "response", ["conv_id", "turn"])
-    out = T.execute_calls(spark, calls)
-    return out.select("conv_id", "turn", F.col("call_no").cast("int").alias("call_no"), "name", "result")
-
-
 WORD_SQL = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 
 
 @register("f8_rewards", lambda: f"""{CALLS_SQL},
-valid AS (SELECT DISTINCT conv_id, turn FROM calls WHERE json_extract_string(block, '$.name') IN {tuple(T.TOOL_NAMES)}),
+valid AS (SELECT DISTINCT conv_id, turn FROM calls WHERE name IN {tuple(T.TOOL_NAMES)}),
 nc AS (SELECT conv_id, turn, count(*) AS n_calls FROM calls GROUP BY ALL),
 tk AS (SELECT conv_id, turn, regexp_extract_all(lower(response), {K.s(WORD_SQL)}) AS toks FROM resp),
 gr AS (SELECT conv_id, turn, len(toks) - 2 AS n,

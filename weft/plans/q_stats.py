@@ -249,7 +249,7 @@ def q_h9(spark, d):
 WITH c AS (SELECT {K.utf8('text')} AS c FROM documents),
 p AS (SELECT ' ' || t[i] || ' ' || t[i + 1] AS pair FROM (SELECT string_split(ltrim(c), ' ') AS t FROM c),
       LATERAL (SELECT unnest(range(1, len(t))) AS i)),
-pc AS (SELECT ('0x' || substr(pair, 2, 4))::INT AS "left", ('0x' || substr(pair, 7, 4))::INT AS "right", count(*) AS n FROM p GROUP BY pair),
+pc AS (SELECT ('0x' || substr(pair, 2, {tk.DIGITS}))::INT AS "left", ('0x' || substr(pair, {tk.TOKEN_WIDTH + 2}, {tk.DIGITS}))::INT AS "right", count(*) AS n FROM p GROUP BY pair),
 uc AS (SELECT ('0x' || x)::INT AS token, count(*) AS n FROM (SELECT unnest(string_split(ltrim(c), ' ')) AS x FROM c) GROUP BY x)
 SELECT pc."left", pc."right", pc.n::BIGINT AS count, round(pc.n / (a.n * b.n::DOUBLE), 9) AS score
 FROM pc JOIN uc a ON a.token = pc."left" JOIN uc b ON b.token = pc."right"

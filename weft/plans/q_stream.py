@@ -13,7 +13,7 @@ from ..operators import vocab as V
 from ..session import shared_path
 from ..streaming.rows_stream import file_stream, stream_per_batch, stream_rows
 from . import derived as D
-from . import q_metrics, q_text
+from . import q_metrics
 from .registry import ORACLES, register
 
 
@@ -63,5 +63,3 @@ def q_s2(spark, d):
     return r.select("conv_id", "turn", "n_calls", "valid_tool", "length_score", "gt_hit",
                     R6(F.col("rep_penalty")).alias("rep_penalty"), R6(F.col("reward")).alias("reward"))
 
-
-_ = q_text

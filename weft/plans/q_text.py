@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import tokens as tk
@@ -85,7 +87,7 @@ def q_a6(spark, d):
 SELECT count(*)::BIGINT AS n_rows, count(DISTINCT doc_id)::BIGINT AS n_docs, sum(doc_id)::BIGINT AS doc_id_sum,
        sum(n_chars)::BIGINT AS n_chars FROM documents""")
 def q_a9(spark, d):
-    path = shared_path(spark, f"shards-{abs(hash(d))}")
+    path = shared_path(spark, f"shards-{uuid.uuid4().hex}")
     docs = D.table(spark, d, "documents").select("doc_id", "n_chars")
     readers.write_shards(docs, path, 4, ["doc_id"])
     back = spark.read.parquet(path)
@@ -113,7 +115,7 @@ def q_b1(spark, d):
 WITH c AS (SELECT {K.utf8('text')} AS c FROM documents),
 p AS (SELECT ' ' || t[i] || ' ' || t[i + 1] AS pair FROM (SELECT string_split(ltrim(c), ' ') AS t FROM c),
       LATERAL (SELECT unnest(range(1, len(t))) AS i))
-SELECT ('0x' || substr(pair, 2, 4))::INT AS "left", ('0x' || substr(pair, 7, 4))::INT AS "right", count(*)::BIGINT AS count
+SELECT ('0x' || substr(pair, 2, {tk.DIGITS}))::INT AS "left", ('0x' || substr(pair, {tk.TOKEN_WIDTH + 2}, {tk.DIGITS}))::INT AS "right", count(*)::BIGINT AS count
 FROM p GROUP BY pair""")
 def q_b2(spark, d):
     codes = D.table(spark, d, "documents").select(tk.utf8_codes(F.col("text")).alias("c"))
@@ -122,7 +124,7 @@ def q_b2(spark, d):
 
 @register("b3_merge_pair", f"""
 WITH c AS (SELECT doc_id, {K.utf8('text')} AS c FROM documents),
-m AS (SELECT doc_id, {K.ntok('c')} AS n_before, replace(c, ' 0065 0020', ' 0100') AS c2 FROM c)
+m AS (SELECT doc_id, {K.ntok('c')} AS n_before, replace(c, {K.s(tk.pair_text(0x65, 0x20))}, {K.s(tk.code_hex(256))}) AS c2 FROM c)
 SELECT doc_id, n_before::BIGINT AS n_before, {K.ntok('c2')}::BIGINT AS n_after,
   md5(array_to_string(list_transform(string_split(ltrim(c2), ' '), lambda x: ('0x' || x)::INT), ',')) AS ids_md5
 FROM m""")
@@ -429,5 +431,3 @@ def q_d17(spark, d):
     r = rows.pretrain_rows(docs, ["doc_id"], "text", BV, 340)
     return rows.training_budget(r, "input_ids", PAD, 64, 4, 64e6)
 
-
-_ = (tk,)

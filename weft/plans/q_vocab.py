@@ -3,6 +3,8 @@ Oracles unroll the same training rounds in DuckDB SQL (a few rounds, whole table
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import tokens as tk
@@ -51,8 +53,8 @@ def _merges_select(bests: list[str], prod: bool) -> str:
         return tk.code_to_id_sql(x) if prod else x
     parts = []
     for r, b in enumerate(bests):
-        left = f"('0x' || substr((SELECT pair FROM {b}), 2, 4))::INT"
-        right = f"('0x' || substr((SELECT pair FROM {b}), 7, 4))::INT"
+        left = f"('0x' || substr((SELECT pair FROM {b}), 2, {tk.DIGITS}))::INT"
+        right = f"('0x' || substr((SELECT pair FROM {b}), {tk.TOKEN_WIDTH + 2}, {tk.DIGITS}))::INT"
         parts.append(f"SELECT {r} AS rank, {idv(left)} AS left_id, {idv(right)} AS right_id "
                      f"WHERE (SELECT pair FROM {b}) IS NOT NULL")
     return " UNION ALL ".join(parts)
@@ -127,9 +129,9 @@ def _prod_rounds_sql(rounds: int) -> tuple[str, list[str]]:
     ctes, bests = [words], []
     for r in range(1, rounds + 1):
         prev = f"w{r - 1}"
-        left = tk.code_to_id_sql("('0x' || substr(pair, 2, 4))::INT")
-        right = tk.code_to_id_sql("('0x' || substr(pair, 7, 4))::INT")
-        ctes.append(f"""q{r} AS (SELECT substr(c, 5 * i + 1, 10) AS pair, n FROM {prev},
+        left = tk.code_to_id_sql(f"('0x' || substr(pair, 2, {tk.DIGITS}))::INT")
+        right = tk.code_to_id_sql(f"('0x' || substr(pair, {tk.TOKEN_WIDTH + 2}, {tk.DIGITS}))::INT")
+        ctes.append(f"""q{r} AS (SELECT substr(c, {tk.TOKEN_WIDTH} * i + 1, {2 * tk.TOKEN_WIDTH}) AS pair, n FROM {prev},
                  LATERAL (SELECT unnest(range(0, {K.ntok('c')} - 1)) AS i))""")
         ctes.append(f"""best{r} AS (SELECT pair FROM q{r} GROUP BY pair
                  ORDER BY sum(n) DESC, {left} ASC, {right} ASC LIMIT 1)""")
@@ -211,7 +213,7 @@ SELECT (rank + {N_SP + 256})::INT AS id,
 FROM ex""")
 def q_a8(spark, d):
     vocab = production_vocab(spark, d)
-    path = shared_path(spark, f"vocab-{abs(hash(d))}")
+    path = shared_path(spark, f"vocab-{uuid.uuid4().hex}")
     V.save_vocab(spark, vocab, path)
     back = V.load_vocab(spark, path + "/merges")
     if back != vocab:
@@ -223,7 +225,7 @@ def q_a8(spark, d):
 def _expand_sql(bests: list[str]) -> str:
     """Code text of merge ``rank`` expanded to bytes: start from its code, undo merges
     newest-first."""
-    out = f"printf(' %04X', {tk.MERGE_BASE} + m.rank)"
+    out = f"printf('{tk.CODE_FORMAT}', {tk.MERGE_BASE} + m.rank)"
     for r in range(len(bests) - 1, -1, -1):
         out = f"replace({out}, {K.s(tk.code_hex(tk.MERGE_BASE + r))}, coalesce((SELECT pair FROM {bests[r]}), '#'))"
     return out

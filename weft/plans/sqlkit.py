@@ -7,7 +7,7 @@ from ..functions import tokens as tk
 from ..functions.draws import uniform_sql
 from ..operators.chat import DEFAULT_SYSTEM_PROMPTS, EMPTY_THINK, TOOLS_INTRO
 from ..operators.toolcalls import TOOL_SPEC_JSON
-from .derived import GROUP_SIZE, SEQ_LEN, TOOL_BLOCKS
+from .derived import SEQ_LEN, TOOL_BLOCKS
 
 
 def s(text: str) -> str:
@@ -20,11 +20,11 @@ def slist(items) -> str:
 
 
 def utf8(t: str) -> str:
-    return f"regexp_replace(hex(encode({t})), '(..)', ' 00\\1', 'g')"
+    return f"regexp_replace(hex(encode({t})), '(..)', ' {"0" * (tk.DIGITS - 2)}\\1', 'g')"
 
 
 def ntok(c: str) -> str:
-    return f"(length({c}) // 5)"
+    return f"(length({c}) // {tk.TOKEN_WIDTH})"
 
 
 SPECIAL_ALT = tk.specials_alternation()
@@ -62,7 +62,7 @@ def pad(c: str, max_length: int) -> str:
 
 
 def trunc(c: str, n: int) -> str:
-    return f"substr({c}, 1, {n * 5})"
+    return f"substr({c}, 1, {n * tk.TOKEN_WIDTH})"
 
 
 def draw(key: str, purpose: str) -> str:
@@ -157,8 +157,8 @@ def span_mask(c: str, b: str, e: str, keep: str, drop: str) -> str:
     pat = f"(.*?)({b})(.*?(?:{e}|$))|(.+)$"
     blen = len(b)
     return (f"flatten(list_transform(regexp_extract_all({c}, {s(pat)}), lambda p: "
-            f"list_transform(range(0, length(p) // 5), lambda i: "
-            f"CASE WHEN strpos(p, {s(b)}) > 0 AND i * 5 >= strpos(p, {s(b)}) - 1 + {blen} THEN {keep} ELSE {drop} END)))")
+            f"list_transform(range(0, length(p) // {tk.TOKEN_WIDTH}), lambda i: "
+            f"CASE WHEN strpos(p, {s(b)}) > 0 AND i * {tk.TOKEN_WIDTH} >= strpos(p, {s(b)}) - 1 + {blen} THEN {keep} ELSE {drop} END)))")
 
 
 def token_logs_cte() -> str:
@@ -185,5 +185,3 @@ def tool_responses_cte() -> str:
          WHEN conv_id % 4 = 2 THEN 'zzqx' ELSE NULL END AS gt
   FROM conversations WHERE role = 'assistant')"""
 
-
-_ = (GROUP_SIZE,)

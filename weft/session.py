@@ -1,8 +1,8 @@
 """Session helpers: a local session for tests/bench, and the shared checkpoint folder.
 
 On a cluster the checkpoint folder comes from ``spark.checkpoint.dir`` (a shared
-file system path the cluster names); we only pick a scratch folder when nothing is
-configured, which is the local-test case.
+file system path the cluster names). A scratch folder is chosen only for a local master
+with nothing configured; another master without the setting is an error.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("WEFT_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Java's regex engine recurses on long texts; tasks run in the driver's JVM here
         .config("spark.driver.extraJavaOptions", "-Xss32m")
     )
     spark = builder.getOrCreate()
@@ -45,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="weft-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
