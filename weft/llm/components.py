@@ -1,4 +1,4 @@
-"""Connected components of a links table by alternating large and small stars, in Spark."""
+"""Connected components of a links table by least labels and pointer jumping, in Spark."""
 
 from __future__ import annotations
 
@@ -10,36 +10,30 @@ from pyspark.sql import functions as F
 from weft.session import shared_path
 
 
-def _lowest(edges: DataFrame) -> DataFrame:
-    """(u, v, m): every directed edge with the least of u and u's neighbours."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    return edges.join(least.select("u", F.least("u", "m").alias("m")), "u")
-
-
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) of every node of the links; the component is its least node.
 
-    Each round is written to the shared folder, which cuts the lineage. Groups are only
-    ever aggregated to their minimum (map-side combined) and joined back, so a component
-    of any size spreads over the tasks that its links spread over."""
+    A round takes each node's label down to the least of its neighbours' and then to its
+    label's own label, so the rounds grow with the logarithm of a component's width. Each
+    round is written to the shared folder, which cuts the lineage. Neighbours are only
+    aggregated to their minimum (map-side combined), so a component of any size spreads over
+    the tasks that its links spread over."""
     spark = links.sparkSession
     base = shared_path(spark, f"components-{uuid.uuid4().hex}")
-    edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    edges = edges.select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")).distinct()
-    before, step = None, 0
+    one = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
+    one.union(one.select(F.col("v").alias("u"), F.col("u").alias("v"))).write.parquet(f"{base}/links")
+    both = spark.read.parquet(f"{base}/links")
+    both.groupBy("u").agg(F.min("v").alias("m")).select(
+        F.col("u").alias("node"), F.least("u", "m").alias("component")).write.parquet(f"{base}/0")
+    step, before = 0, None
     while True:
-        both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _lowest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.union(_lowest(both).where("v = m").select("u", F.col("m").alias("v")).where("v < u"))
-        down = large.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        low = _lowest(down)
-        small = low.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        path = f"{base}/{step}"
-        small.where("u <> v").distinct().write.parquet(path)
-        edges = spark.read.parquet(path)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if now == before:
-            break
-        before, step = now, step + 1
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        now = spark.read.parquet(f"{base}/{step}")
+        state = now.agg(F.sum(F.xxhash64("node", "component").cast("decimal(20,0)"))).first()[0]
+        if state == before:
+            return now
+        low = (both.join(now, F.col("v") == F.col("node")).groupBy(F.col("u").alias("node"))
+               .agg(F.min("component").alias("least")))
+        low = now.join(low, "node").select("node", F.least("component", "least").alias("least"))
+        jump = now.select(F.col("node").alias("least"), F.col("component").alias("next"))
+        low.join(jump, "least").select("node", F.least("least", "next").alias("component")).write.parquet(f"{base}/{step + 1}")
+        before, step = state, step + 1

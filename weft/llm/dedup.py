@@ -5,10 +5,11 @@ their occurrence within the text. Each of ``BANDS`` sketches takes the ``TAKE``
 k-mers of least hash and keeps them in text order; texts that share a sketch are
 candidates. Texts of the same words are folded into one node first.
 
-Candidates are compared in two steps, both on node ids only until the pair is known: every
-node of a bucket with the bucket's two extreme nodes (stars), and then, in the buckets
-that still hold several components, every pair across components. So a bucket of copies
-costs a number of pairs in proportion to its size, and no pair is left out.
+Candidates are compared in two steps. First every node of a bucket with the bucket's two
+extreme nodes (stars). Then, in buckets that still hold several components, the pairs across
+components that can still reach the similarity given what each node shares with the bucket's
+centre: those that share further k-mers, or whose shares with the centre suffice. So a bucket
+of copies costs a number of pairs in proportion to its size, and no pair is left out.
 
 A pair is verified by the longest common subsequence of its k-mers within the band that
 a similarity of ``SIMILARITY`` allows: ``lcs / (na + nb - lcs)``. Linked nodes form classes.
@@ -22,6 +23,7 @@ an empty table gives no rows; further columns are ignored (kept by ``keep_one``)
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 
 import numpy as np
@@ -34,8 +36,8 @@ from weft.session import shared_path
 from . import textvec as tv
 from .components import components
 
-BANDS, TAKE, RUN, SIMILARITY = 16, 4, 5, 0.8
-CHUNK = 1 << 20
+BANDS, TAKE, RUN, SIMILARITY = 20, 5, 5, 0.8
+CHUNK = 1 << 18
 U64 = np.uint64
 _A = (np.random.default_rng(8).integers(0, 1 << 63, BANDS, dtype=np.uint64) << U64(1)) | U64(1)
 
@@ -162,52 +164,99 @@ def _verify(least: float):
 
 
 def _linked(pairs: DataFrame, payload: DataFrame, least: float) -> DataFrame:
-    # ids travel first; each side's k-mers join by node, so no bucket meets in one task
-    rows = (pairs.join(payload.select(F.col("node").alias("a"), F.col("runs").alias("left")), "a")
-            .join(payload.select(F.col("node").alias("b"), F.col("runs").alias("right")), "b"))
-    return rows.select("a", "b", "left", "right").mapInArrow(_verify(least), "a binary, b binary")
+    # ids travel first; each side's k-mers join by id, so no bucket meets in one task
+    rows = (pairs.join(payload.select(F.col("id").alias("a"), F.col("runs").alias("left")), "a")
+            .join(payload.select(F.col("id").alias("b"), F.col("runs").alias("right")), "b"))
+    return rows.select("a", "b", "left", "right").mapInArrow(_verify(least), "a long, b long")
+
+
+def _against(least: float):
+    """What each node shares with its bucket's centre: the number of k-mers, and a prefix of those that
+    the centre lacks, in hash order, of the length that a prefix filter needs."""
+    def run(batches):
+        for b in batches:
+            out = [[], [], []]
+            for x, c in zip(b.column("left"), b.column("right")):
+                x = _labelled(np.frombuffer(x.as_buffer(), U64))
+                c = np.sort(_labelled(np.frombuffer(c.as_buffer(), U64)))
+                rest = np.sort(x[~tv.isin_sorted(x, c)[1]])
+                shared = len(x) - len(rest)
+                out[0].append(len(x))
+                out[1].append(shared)
+                out[2].append(rest[:len(rest) - max(1, math.ceil(least * len(x)) - shared) + 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("centre"), b.column("own"), b.column("id"), b.column("component"), pa.array(out[0], pa.int32()),
+                 pa.array(out[1], pa.int32()), pa.array(out[2], pa.list_(pa.int64()))], names=["centre", "own", "id", "component", "size", "shared", "residue"])
+    return run
+
+
+def _undecided(left: DataFrame, least: float) -> DataFrame:
+    """(a, b): the pairs across components, of one centre, that can reach ``least``.
+
+    Two nodes share at most what both share with the centre, plus what they share beyond it. So
+    either they meet in their residues (a join on the k-mer, not on the bucket), or the lesser of
+    their shares with the centre is enough by itself (a join on the size that the other must have)."""
+    def pick(tag: str):
+        return [F.col(c).alias(f"{c}_{tag}") for c in ("id", "component", "size", "shared")]
+    other = left.where("component <> own")  # of two components, one is not the centre's
+    part = other.select("centre", *pick("x"), F.explode("residue").alias("k"))
+    meet = part.join(left.select("centre", *pick("y"), F.explode("residue").alias("k")), ["centre", "k"])
+    most = F.floor((1 + least) / least * F.col("shared") + 1e-9).cast("int") - F.col("size")
+    lone = other.withColumn("least_size", F.ceil(F.col("size") * least - 1e-9).cast("int")).withColumn("most_size", most)
+    lone = lone.where("most_size >= least_size").select(
+        "centre", *pick("x"), F.explode(F.sequence("least_size", "most_size")).alias("size_y"))
+    alone = lone.join(left.select("centre", *pick("y")), ["centre", "size_y"])
+    enough = F.least("shared_x", "shared_y") * (1 + least) + 1e-6 >= least * (F.col("size_x") + F.col("size_y"))
+    pairs = (meet.where((F.col("component_x") != F.col("component_y"))
+                        & (F.least("size_x", "size_y") + 1e-9 >= least * F.greatest("size_x", "size_y"))).select("id_x", "id_y")
+             .union(alone.where((F.col("component_x") != F.col("component_y")) & enough).select("id_x", "id_y")))
+    return pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """doc_id, node, class_id (least doc_id of the class), class_rows, keep of every row."""
+    """doc_id, node, class_id (least doc_id of the class) of every row."""
     spark = docs.sparkSession
     base = shared_path(spark, f"dedup-{uuid.uuid4().hex}")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     docs.mapInArrow(_sketches, "doc_id long, node binary, size int, keys array<long>").write.parquet(f"{base}/sketches")
     every = spark.read.parquet(f"{base}/sketches")
-    nodes = every.where("node is not null").groupBy("node").agg(
+    (every.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("keys").alias("keys"))
-    members = nodes.select("node", "size", F.explode("keys").alias("key"))
-    ends = members.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+     .withColumn("id", F.monotonically_increasing_id()).write.parquet(f"{base}/nodes"))
+    nodes = spark.read.parquet(f"{base}/nodes")
+    members = nodes.select("id", "size", F.explode("keys").alias("key"))
+    ends = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")).where("n > 1")
     members.join(ends, "key").write.parquet(f"{base}/buckets")
     buckets = spark.read.parquet(f"{base}/buckets")
-    candidates = buckets.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
+    candidates = nodes.select("id", "node", "doc_id").join(buckets.select("id").distinct(), "id")
     texts = docs.join(candidates.select(F.col("doc_id").alias("rep")).distinct(), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    (texts.mapInArrow(_payload, "node binary, runs binary").join(candidates.select("node"), "node", "left_semi")
-     .groupBy("node").agg(F.first("runs").alias("runs")).write.parquet(f"{base}/payload"))
+    (texts.mapInArrow(_payload, "node binary, runs binary").join(candidates, "node")
+     .groupBy("id").agg(F.first("runs").alias("runs")).write.parquet(f"{base}/payload"))
     payload = spark.read.parquet(f"{base}/payload")
 
-    def ordered(x: str, y: str):
-        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-    stars = (buckets.where("node <> low").select(*ordered("node", "low"))
-             .union(buckets.where("node <> high").select(*ordered("node", "high"))).distinct())
+    stars = (buckets.select("id", F.explode(F.array("low", "high")).alias("end")).where("id <> end")
+             .select(F.least("id", "end").alias("a"), F.greatest("id", "end").alias("b")).distinct())
     _linked(stars, payload, least).write.parquet(f"{base}/links")
     links = spark.read.parquet(f"{base}/links")
     found = components(links, "a", "b")
-    # buckets of several components: what the stars did not decide
-    marked = buckets.join(found, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
+    # the stars compare all pairs of up to three nodes; of larger buckets, what lies in several components is left
+    marked = buckets.where("n > 3").join(found.withColumnRenamed("node", "id"), "id", "left").select(
+        "key", "id", "low", F.coalesce("component", "id").alias("component"))
     mixed = marked.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("key")
-    marked = marked.join(mixed, "key")
-    other = marked.select("key", *(F.col(c).alias(f"{c}_2") for c in ("node", "size", "component")))
-    rest = (marked.join(other, "key").where((F.col("component") < F.col("component_2"))
-            & (F.least("size", "size_2") >= least * F.greatest("size", "size_2")))
-            .select(*ordered("node", "node_2")).distinct().join(stars, ["a", "b"], "left_anti"))
-    _linked(rest, payload, least).write.parquet(f"{base}/more")
+    left = marked.join(mixed, "key").select("id", F.col("low").alias("centre"), "component").distinct()
+    left = left.join(found.select(F.col("node").alias("centre"), F.col("component").alias("own")), "centre", "left").withColumn(
+        "own", F.coalesce("own", "centre"))
+    both = (left.join(payload.withColumnRenamed("runs", "left"), "id")
+            .join(payload.select(F.col("id").alias("centre"), F.col("runs").alias("right")), "centre"))
+    both.mapInArrow(_against(least), "centre long, own long, id long, component long, size int, shared int, residue array<long>") \
+        .write.parquet(f"{base}/left")
+    _linked(_undecided(spark.read.parquet(f"{base}/left"), least).join(stars, ["a", "b"], "left_anti"), payload, least) \
+        .write.parquet(f"{base}/more")
     more = spark.read.parquet(f"{base}/more")
     if more.take(1):
         found = components(links.union(more), "a", "b")
-    tagged = nodes.select("node", F.col("doc_id").alias("rep")).join(found, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
+    tagged = nodes.select("id", "node", F.col("doc_id").alias("rep")).join(
+        found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     least_id = tagged.groupBy("component").agg(F.min("rep").alias("class_id"))
     label = tagged.join(least_id, "component").select("node", "class_id")
     return (every.select("doc_id", "node").join(label, "node", "left")
@@ -223,11 +272,11 @@ def keep_one(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     keep = (marked.where(F.col("node").isNull() | F.col("doc_id").eqNullSafe(F.col("class_id")))
             .groupBy("doc_id").agg(F.count("node").alias("rows")))
     keep.write.parquet(path)
-    keep = spark.read.parquet(path).select(F.col("doc_id").alias("keep_id"), F.col("rows").alias("keep_rows"))
-    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id")))
-    once = rows.where("keep_rows < 2").select(*docs.columns)
-    if not keep.where("keep_rows > 1").take(1):
+    keep = spark.read.parquet(path).select(F.col("doc_id").alias("__keep_id"), F.col("rows").alias("__keep_rows"))
+    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__keep_id")))
+    once = rows.where("__keep_rows < 2").select(*docs.columns)
+    if not keep.where("__keep_rows > 1").take(1):
         return once
-    again = rows.where("keep_rows > 1").select(*docs.columns)
+    again = rows.where("__keep_rows > 1").select(*docs.columns)
     blank = F.trim(F.coalesce(F.col("text"), F.lit(""))) == ""
     return once.union(again.where(blank)).union(again.where(~blank).dropDuplicates(["doc_id"]))
