@@ -78,6 +78,10 @@ class Model:
         self.q, self.k, self.v, self.r = e @ p["wq"], e @ p["wk"], e @ p["wv"], e @ p["wr"] + p["b"]
         d = _relative()
         self.bias = np.where(d >= 0, p["rel"][np.maximum(d, 0)], -1e4).astype(np.float32)
+        # exp needs no guard where no input can bring a score over what float32 holds
+        most = [np.abs(m).max(0) for m in (self.q, self.k, self.v)]
+        self.guard = float(most[0] @ most[1] + np.abs(p["rel"]).max()) > 60 or \
+            float(np.abs(self.r).max() + (most[2] @ np.abs(p["o"])).max()) > 60
 
     def logp(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Natural log probability of every target (each text's ids, then its end), and their places (n+1)."""
@@ -91,21 +95,24 @@ class Model:
             w = where[lo:lo + AT_ONCE]
             x = x_all[np.maximum(w, 0)]
             q = x[:, LAP:]
-            a = np.matmul(self.q[q], self.k[x].swapaxes(1, 2))
+            a = np.matmul(np.take(self.q, q, axis=0), np.take(self.k, x, axis=0).swapaxes(1, 2))
             a += self.bias
-            np.minimum(a, 60, out=a)
+            if self.guard:
+                np.minimum(a, 60, out=a)
             np.exp(a, out=a)
             if (w[:, 0] < 0).any():
                 a *= (w >= 0)[:, None, :] | np.eye(LAP + STRIDE, dtype=bool)[LAP:][None]
-            z = np.matmul(a, self.v[x])
+            z = np.matmul(a, np.take(self.v, x, axis=0))
             z /= a.sum(2, keepdims=True)
-            t = w[:, LAP:].ravel()
-            keep = np.flatnonzero(t >= 0)
-            t = t[keep]
-            logits = self.r[q.ravel()[keep]]
-            logits += z.reshape(-1, z.shape[2])[keep] @ p["o"]
+            t, q, z = w[:, LAP:].ravel(), q.ravel(), z.reshape(-1, z.shape[2])
+            if (t < 0).any():
+                keep = np.flatnonzero(t >= 0)
+                t, q, z = t[keep], q[keep], z[keep]
+            logits = np.take(self.r, q, axis=0)
+            logits += z @ p["o"]
             pick = logits[np.arange(len(t)), cls[t]]
-            np.minimum(logits, 60, out=logits)
+            if self.guard:
+                np.minimum(logits, 60, out=logits)
             np.exp(logits, out=logits)
             out[t] = pick - np.log(logits.sum(1)) + inner[t]
         return out, at
@@ -254,11 +261,14 @@ def _words(data, off):
     return tv.words(data, off, is_word=tv.INK, accents=False)
 
 
-def _keys(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, int]:
-    """A block's distinct words (sorted hashes), their counts in training documents, and all of these."""
+def _keys(rows: pa.Table, kept: list | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """A block's distinct words (sorted hashes), their counts in training documents, and all of these.
+    ``kept`` gets the words' starts, hashes and first words of each span."""
     every, learnt, ends = [np.array([END_WORD])], [np.zeros(0, np.uint64)], 0
     for b, lo, hi, data, off in _spans(rows):
-        _, _, h, first = _words(data, off)
+        start, _, h, first = _words(data, off)
+        if kept is not None:
+            kept.append((start, h, first))
         every.append(_distinct(h))
         free = ~b.column("held_out").to_numpy(zero_copy_only=False)[lo:hi]
         ends += int(free.sum())
@@ -330,7 +340,8 @@ def _answer(shared, path: str | None, mix: float):
         order = np.argsort(answers.column("shard").to_numpy(), kind="stable")
         n = np.concatenate([np.frombuffer(answers.column("n")[int(i)].as_buffer(), "<i8") for i in order])
         tokens, types = max(answers.column("tokens").to_pylist()), sum(answers.column("types").to_pylist())
-        keys = _keys(rows)[0]
+        kept: list = []
+        keys = _keys(rows, kept)[0]
         known = tv.Positions()
         known.add(keys)
         ends = int(n[np.searchsorted(keys, END_WORD)])
@@ -339,8 +350,7 @@ def _answer(shared, path: str | None, mix: float):
             with np.errstate(divide="ignore"):
                 return np.logaddexp(att + np.log(mix), np.log((1 - mix) * c / max(tokens, 1)))
         out = []
-        for b, lo, hi, data, off in _spans(rows):
-            start, _, h, first = _words(data, off)
+        for (b, lo, hi, data, off), (start, h, first) in zip(_spans(rows), kept):
             c = n[known.find(h)]
             ids, at, piece, size = enc.encode_pieces(data, off)
             logp, place = model.logp(ids, at)

@@ -17,7 +17,7 @@ import numpy as np
 
 from . import textvec as tv
 
-CACHE = 1_000_000
+CACHE = 1_500_000
 CHUNK = 2 << 20
 _OTHER, _LETTER, _DIGIT, _SIGN, _SPACE = 0, 1, 2, 3, 4
 _KIND = np.zeros(256, np.uint8)
