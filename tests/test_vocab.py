@@ -131,7 +131,7 @@ def test_specials_are_single_tokens_and_tokens_fewer_than_chars(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(corpus)], "k INT, text STRING")
     vocab = V.train_production(df, "text", 24 + 256 + 20)
     probe = spark.createDataFrame([(0, "数据工程<|im_end|>很有<|pad|>意思")], "k INT, text STRING")
-    enc = V.encode_corpus(probe, ["k"], "text", vocab, "codes")
+    enc = V.encode_corpus(probe, "text", vocab, "codes")
     ids = enc.select(V.ids_of(F.col("codes"), vocab).alias("ids")).first()["ids"]
     assert ids.count(1) == 1 and ids.count(2) == 1
     assert len(ids) < len("数据工程<|im_end|>很有<|pad|>意思")
@@ -160,3 +160,20 @@ def test_truncation_and_wrapping(spark):
     assert (r[0]["a"], r[0]["b"]) == (3, 6)
     assert r[0]["w"][0] == 0 and r[0]["w"][-1] == 1 and len(r[0]["w"]) == 8
     assert r[1]["w"] == []
+
+
+def test_tokenizing_keeps_rows_of_equal_and_null_keys(spark):
+    vocab = V.Vocab(merges=((97, 98), (32, 256), (256, 99)))
+    rows = [(1, "ab ab"), (1, "abc"), (None, " ab"), (None, "abc<|pad|>ab"), (2, None), (2, ""), (1, "ab ab")]
+    df = spark.createDataFrame(rows, "k INT, text STRING")
+    got = V.encode_corpus(df, "text", vocab).collect()
+    m = [tk.code_hex(256 + i) for i in range(3)]
+    want = {"ab ab": m[0] + m[1], "abc": m[2], " ab": m[1], "abc<|pad|>ab": m[2] + tk.code_hex(tk.SPECIAL_BASE + 2) + m[0], None: "", "": ""}
+    assert sorted(((r["k"], r["text"], r["codes"]) for r in got), key=str) == sorted(((k, t, want[t]) for k, t in rows), key=str)
+
+
+def test_merging_a_word_equals_replacing_in_learned_order(spark):
+    vocab = V.train_production(spark.createDataFrame([("banana bandana anna nab ban ana",)], "text STRING"), "text", 24 + 256 + 12)
+    df = spark.createDataFrame([(w,) for w in "banana bandana anna nabanna xyz aaaa".split()], "w STRING")
+    got = V.encode_corpus(df, "w", vocab).withColumn("other", V.apply_merges(tk.utf8_codes(F.col("w")), vocab)).collect()
+    assert all(r["codes"] == r["other"] for r in got)

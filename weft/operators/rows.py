@@ -1,8 +1,7 @@
 """Training-row builders.
 
 Builders work on the code text of a rendered sample and convert to ``ARRAY<INT>`` at
-the end; everything is map-side except tokenization with a merged vocabulary (B10's
-word join) and the batch numbering (D13), which uses the skew-safe index.
+the end; everything is map-side except the batch numbering (D13), which uses the skew-safe index.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import tokens as tk
 from . import chat
 from .ordering import ordered_index
-from .vocab import Vocab, encode_corpus, encode_inline, ids_of
+from .vocab import Vocab, encode_corpus, encode_inline, ids_of, word_codes
 
 
 def _code(vocab: Vocab, special: str) -> str:
@@ -25,10 +24,21 @@ def _code(vocab: Vocab, special: str) -> str:
 def encode(df: DataFrame, key_cols: list[str], text_col: str, vocab: Vocab,
            out_col: str = "codes") -> DataFrame:
     if vocab.merges and vocab.presplit:
-        return encode_corpus(df, key_cols, text_col, vocab, out_col)
+        return encode_corpus(df, text_col, vocab, out_col)
     return df.withColumn(out_col, encode_inline(F.col(text_col), vocab))
 
 
+def chat_template(df: DataFrame, messages_col: str, vocab: Vocab, tokenize: bool = False,
+                  add_generation_prompt: bool = False, open_thinking: bool = False) -> DataFrame:
+    """Messages rendered (with the tools of the last system message) as ``prompt``, and with
+    ``tokenize`` encoded as ``input_ids``."""
+    tools = chat.normalise_tools(chat.last_system_tools(F.col(messages_col)))
+    out = df.withColumn("prompt", chat.render_messages(F.col(messages_col), tools, open_thinking, add_generation_prompt))
+    if not tokenize:
+        return out
+    return encode(out, [], "prompt", vocab, "_c").withColumn("input_ids", ids_of(F.col("_c"), vocab)).drop("_c")
+
+
 def pad_codes(codes: Column, vocab: Vocab, max_length: int) -> Column:
     """Right-pad to max_length (a negative count pads nothing)."""
     missing = F.lit(max_length) - tk.n_tokens(codes)
@@ -53,21 +63,9 @@ def pretrain_rows(df: DataFrame, key_cols: list[str], text_col: str, vocab: Voca
 
 def anchors(vocab: Vocab) -> tuple[str, str]:
     """Code text of '<|im_start|>assistant\\n' and '<|im_end|>\\n' (computed once)."""
-    if vocab.merges and vocab.presplit:
-        from pyspark.sql import SparkSession
-        spark = SparkSession.getActiveSession()
-        df = spark.createDataFrame([(0, tk.BOS + "assistant\n"), (1, tk.EOS + "\n")], "k INT, t STRING")
-        rows = {r["k"]: r["codes"] for r in encode_corpus(df, ["k"], "t", vocab).collect()}
-        return rows[0], rows[1]
-    def lit_codes(s: str) -> str:
-        out = []
-        for piece in tk.split_specials_py(s, vocab.specials):
-            if piece in vocab.specials:
-                out.append(tk.code_hex(tk.SPECIAL_BASE + vocab.specials.index(piece)))
-            else:
-                out.extend(tk.code_hex(b) for b in piece.encode("utf-8"))
-        return "".join(out)
-    return lit_codes(tk.BOS + "assistant\n"), lit_codes(tk.EOS + "\n")
+    ranks = {pair: r for r, pair in enumerate(vocab.merges)}
+    word, end = word_codes("assistant", ranks), word_codes("\n", ranks)
+    return _code(vocab, tk.BOS) + word + end, _code(vocab, tk.EOS) + end
 
 
 def span_flags(codes: Column, start_anchor: str, end_anchor: str) -> Column:

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import tokens as tk
 from ..session import cut_lineage
@@ -360,32 +362,48 @@ def encode_inline(text: Column, vocab: Vocab) -> Column:
     return apply_merges(tk.utf8_codes(text), vocab)
 
 
-def encode_corpus(df: DataFrame, key_cols: list[str], text_col: str, vocab: Vocab,
-                  out_col: str = "codes") -> DataFrame:
-    """Tokenize a corpus. Distinct words are encoded once and joined back by word
-    (a shuffle join; AQE splits hot words such as ' the'), then each row's words are
-    regrouped by key in (piece, word) order. Rows keep every original column."""
+def word_codes(word: str, ranks: dict) -> str:
+    """Code text of one pre-split word: the pair learned first is merged first, everywhere."""
+    seq = list(word.encode("utf-8"))
+    while len(seq) > 1:
+        rank, pair = min(((ranks.get(p, tk.MAX_MERGES), p) for p in zip(seq, seq[1:])))
+        if rank == tk.MAX_MERGES:
+            break
+        out, i = [], 0
+        while i < len(seq):
+            both = tuple(seq[i:i + 2]) == pair
+            out.append(tk.MERGE_BASE + rank if both else seq[i])
+            i += 2 if both else 1
+        seq = out
+    return "".join(map(tk.code_hex, seq))
+
+
+def _words_encoder(vocab: Vocab):
+    ranks = {pair: r for r, pair in enumerate(vocab.merges)}
+    fixed = {s: tk.code_hex(tk.SPECIAL_BASE + i) for i, s in enumerate(vocab.specials)}
+
+    @F.pandas_udf(T.StringType())
+    def encode(words: pd.Series) -> pd.Series:
+        known = dict(fixed)  # each distinct word of the batch is merged once
+
+        def code(w: str) -> str:
+            if w not in known:
+                known[w] = word_codes(w, ranks)
+            return known[w]
+        return words.map(lambda row: None if row is None else "".join(map(code, row)))
+    return encode
+
+
+def encode_corpus(df: DataFrame, text_col: str, vocab: Vocab, out_col: str = "codes") -> DataFrame:
+    """Tokenize a corpus, row by row: every row keeps its columns, whatever its key. The
+    text is cut into specials and words in the JVM; a word is merged once per Arrow batch. No
+    shuffle, so no hot word either. A null text has no codes."""
     if not vocab.merges or not vocab.presplit:
-        return df.withColumn(out_col, encode_inline(F.col(text_col), vocab))
-    smap = tk.special_code_text(vocab.specials)
-    keys = [F.col(k) for k in key_cols]
-    pieces = df.select(*keys, F.posexplode(special_pieces(F.col(text_col), vocab.specials))
-                       .alias("piece_no", "p"))
-    pieces = pieces.withColumn("sp", F.try_element_at(smap, F.col("p")))
-    specials_part = pieces.where(F.col("sp").isNotNull()).select(
-        *key_cols, "piece_no", F.lit(0).alias("word_no"), F.col("sp").alias("wc"))
-    words = pieces.where(F.col("sp").isNull()).select(
-        *key_cols, "piece_no", F.posexplode(presplit_words(F.col("p"))).alias("word_no", "word"))
-    dictionary = (words.select("word").distinct()
-                  .select("word", apply_merges(tk.utf8_codes(F.col("word")), vocab).alias("wc")))
-    coded = words.join(dictionary, "word").select(*key_cols, "piece_no", "word_no", "wc")
-    allparts = coded.unionByName(specials_part)
-    regrouped = allparts.groupBy(*key_cols).agg(
-        F.array_sort(F.collect_list(F.struct("piece_no", "word_no", "wc"))).alias("parts"))
-    regrouped = regrouped.select(*key_cols, F.array_join(F.transform("parts", lambda x: x["wc"]), "")
-                                 .alias(out_col))
-    return (df.join(regrouped, key_cols, "left")
-            .withColumn(out_col, F.coalesce(F.col(out_col), F.lit(""))))
+        return df.withColumn(out_col, F.coalesce(encode_inline(F.col(text_col), vocab), F.lit("")))
+    special = F.array(*map(F.lit, vocab.specials))
+    words = F.flatten(F.transform(special_pieces(F.col(text_col), vocab.specials), lambda p: F.when(
+        F.array_contains(special, p), F.array(p)).otherwise(presplit_words(p))))
+    return df.withColumn(out_col, F.coalesce(_words_encoder(vocab)(words), F.lit("")))
 
 
 def ids_of(codes: Column, vocab: Vocab) -> Column:

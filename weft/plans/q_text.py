@@ -300,18 +300,9 @@ def q_d7(spark, d):
                     MD5(F.col("input_ids")).alias("ids_md5"), MD5(F.col("labels")).alias("labels_md5"))
 
 
-def _pref_sql(max_length=4096):
-    b, e = rows.anchors(BV)
-    n = max_length - 1
-
-    def side(name, purpose):
-        return f"""
-r_{name} AS (SELECT pair_id, {K.drop_think('p', 'pair_id', purpose)} AS p FROM pieces_{name}),
-c_{name} AS (SELECT pair_id, {K.pad(K.trunc(K.encode_bytes('p'), max_length), max_length)} AS c FROM r_{name}),
-m_{name} AS (SELECT pair_id, {K.code_ids_fast('c')} AS ids,
-   {K.span_mask('c', b, e, '1', '0')} AS mask FROM c_{name})"""
-    return f"""
-WITH conv AS (SELECT conv_id, arg_max(role, turn) AS last_role, count(*) AS n,
+def pref_texts_sql() -> str:
+    """CTEs pieces_chosen and pieces_rejected (pair_id, p)."""
+    return f"""conv AS (SELECT conv_id, arg_max(role, turn) AS last_role, count(*) AS n,
                 min(turn) FILTER (WHERE role = 'user') AS first_user_turn FROM conversations GROUP BY conv_id),
 t AS (SELECT c.conv_id AS pair_id, c.turn, c.role,
         CASE WHEN c.role = 'assistant' AND c.conv_id % 4 = 1 THEN {K.s(chat.EMPTY_THINK)} || c.text ELSE c.text END AS content,
@@ -323,7 +314,21 @@ echo AS (SELECT v.conv_id AS pair_id,
 pieces_chosen AS (SELECT pair_id, string_agg({K.render_piece('role', 'content')}, '' ORDER BY turn) AS p FROM t GROUP BY pair_id),
 pieces_rejected AS (SELECT t.pair_id, string_agg(CASE WHEN t.is_last THEN {K.render_piece("'assistant'", 'e.echo')}
                                                  ELSE {K.render_piece('t.role', 't.content')} END, '' ORDER BY t.turn) AS p
-                    FROM t JOIN echo e USING (pair_id) GROUP BY t.pair_id),
+                    FROM t JOIN echo e USING (pair_id) GROUP BY t.pair_id)"""
+
+
+def _pref_sql(max_length=4096):
+    b, e = rows.anchors(BV)
+    n = max_length - 1
+
+    def side(name, purpose):
+        return f"""
+r_{name} AS (SELECT pair_id, {K.drop_think('p', 'pair_id', purpose)} AS p FROM pieces_{name}),
+c_{name} AS (SELECT pair_id, {K.pad(K.trunc(K.encode_bytes('p'), max_length), max_length)} AS c FROM r_{name}),
+m_{name} AS (SELECT pair_id, {K.code_ids_fast('c')} AS ids,
+   {K.span_mask('c', b, e, '1', '0')} AS mask FROM c_{name})"""
+    return f"""
+WITH {pref_texts_sql()},
 {side('chosen', 'empty-think-chosen')},
 {side('rejected', 'empty-think-rejected')}
 SELECT pair_id,

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import tokens as tk
+from ..operators import rows
 from ..operators import vocab as V
 from ..session import shared_path
 from . import derived as D
@@ -153,20 +154,25 @@ def q_b7(spark, d):
     return _merges_df(spark, production_vocab(spark, d))
 
 
-def _tokenized_cte() -> str:
-    """Per document: pieces between specials (position i), words in each piece
+def _encoded_cte(src: str, key: str, text: str, out: str) -> str:
+    """CTEs up to ``out`` (key, c): pieces between specials (position i), words in each piece
     (position j), each word encoded by the unrolled merges, reassembled in order."""
-    prefix, bests = _prod_rounds_sql(PROD_MERGES)
+    bests = _prod_rounds_sql(PROD_MERGES)[1]
     alt = K.s(tk.specials_alternation())
-    return f"""{prefix},
-pp AS (SELECT doc_id, string_split_regex(text, {alt}) AS parts, regexp_extract_all(text, {alt}) AS seps FROM documents),
-pi AS (SELECT doc_id, i, parts[i] AS p, seps[i] AS sep FROM pp, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i)),
-pw AS (SELECT doc_id, i, {_sql_words('p')} AS words FROM pi),
-wi AS (SELECT doc_id, i, j, words[j] AS w FROM pw, LATERAL (SELECT unnest(range(1, len(words) + 1)) AS j)),
-wc AS (SELECT doc_id, i, j, {_apply_pairs_sql(K.utf8('w'), bests)} AS c FROM wi),
-pc AS (SELECT doc_id, i, string_agg(c, '' ORDER BY j) AS c FROM wc GROUP BY doc_id, i),
-enc AS (SELECT pi.doc_id, string_agg(coalesce(pc.c, '') || coalesce({K.special_code('pi.sep')}, ''), '' ORDER BY pi.i) AS c
-        FROM pi LEFT JOIN pc ON pc.doc_id = pi.doc_id AND pc.i = pi.i GROUP BY pi.doc_id),
+    o = out
+    return f"""{o}_pp AS (SELECT {key}, string_split_regex({text}, {alt}) AS parts, regexp_extract_all({text}, {alt}) AS seps FROM {src}),
+{o}_pi AS (SELECT {key}, i, parts[i] AS p, seps[i] AS sep FROM {o}_pp, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i)),
+{o}_pw AS (SELECT {key}, i, {_sql_words('p')} AS words FROM {o}_pi),
+{o}_wi AS (SELECT {key}, i, j, words[j] AS w FROM {o}_pw, LATERAL (SELECT unnest(range(1, len(words) + 1)) AS j)),
+{o}_wc AS (SELECT {key}, i, j, {_apply_pairs_sql(K.utf8('w'), bests)} AS c FROM {o}_wi),
+{o}_pc AS (SELECT {key}, i, string_agg(c, '' ORDER BY j) AS c FROM {o}_wc GROUP BY {key}, i),
+{o} AS (SELECT x.{key}, string_agg(coalesce(y.c, '') || coalesce({K.special_code('x.sep')}, ''), '' ORDER BY x.i) AS c
+        FROM {o}_pi x LEFT JOIN {o}_pc y ON y.{key} = x.{key} AND y.i = x.i GROUP BY x.{key})"""
+
+
+def _tokenized_cte() -> str:
+    return f"""{_prod_rounds_sql(PROD_MERGES)[0]},
+{_encoded_cte('documents', 'doc_id', 'text', 'enc')},
 tok AS (SELECT d.doc_id, d.lang, d.text, {K.code_ids_fast("coalesce(e.c, '')")} AS ids
         FROM documents d LEFT JOIN enc e USING (doc_id))"""
 
@@ -177,7 +183,7 @@ SELECT doc_id, len(ids)::BIGINT AS n_tokens, md5(array_to_string(ids, ',')) AS i
 def q_b10(spark, d):
     vocab = production_vocab(spark, d)
     docs = D.table(spark, d, "documents").select("doc_id", "text")
-    enc = V.encode_corpus(docs, ["doc_id"], "text", vocab, "codes")
+    enc = V.encode_corpus(docs, "text", vocab, "codes")
     ids = V.ids_of(F.col("codes"), vocab)
     t = enc.select("doc_id", ids.alias("ids"))
     return t.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), MD5(F.col("ids")).alias("ids_md5"))
@@ -192,11 +198,80 @@ FROM tok GROUP BY lang""")
 def q_b14t(spark, d):
     vocab = production_vocab(spark, d)
     docs = D.table(spark, d, "documents").select("doc_id", "lang", "text")
-    enc = V.encode_corpus(docs, ["doc_id"], "text", vocab, "codes")
+    enc = V.encode_corpus(docs, "text", vocab, "codes")
     t = enc.select("lang", "text", V.ids_of(F.col("codes"), vocab).alias("ids"))
     return V.compression_report(t, "lang", "text", "ids")
 
 
+# --- rendering and row builders on the trained vocabulary ---------------------------------
+
+def _anchors_sql() -> tuple[str, str]:
+    """Code text of the span anchors, from the trained merges."""
+    bests = _prod_rounds_sql(PROD_MERGES)[1]
+    word, end = (_apply_pairs_sql(K.utf8(x), bests) for x in ("'assistant'", "chr(10)"))
+    return f"{K.special_code(K.s(tk.BOS))} || {word} || {end}", f"{K.special_code(K.s(tk.EOS))} || {end}"
+
+
+PAD_ID = tk.ALL_SPECIAL_TOKENS.index(tk.PAD)
+
+
+@register("d1_trained", lambda: f"""
+WITH {_prod_rounds_sql(PROD_MERGES)[0]},
+{_encoded_cte('documents', 'doc_id', 'text', 'enc')},
+r AS (SELECT doc_id, {K.ntok('c')} AS n, {K.code_ids_fast(K.pad(f"{K.special_code(K.s(tk.BOS))} || {K.trunc('c', 510)} || {K.special_code(K.s(tk.EOS))}", 512))} AS ids FROM enc)
+SELECT doc_id, n::BIGINT AS n_raw_tokens, md5(array_to_string(ids, ',')) AS ids_md5,
+  md5(array_to_string(list_transform(ids, lambda x: CASE WHEN x = {PAD_ID} THEN -100 ELSE x END), ',')) AS labels_md5 FROM r""")
+def q_d1_trained(spark, d):
+    r = rows.pretrain_rows(D.table(spark, d, "documents").select("doc_id", "text"), ["doc_id"], "text", production_vocab(spark, d), 512)
+    return r.select("doc_id", F.col("n_raw_tokens").cast("bigint").alias("n_raw_tokens"),
+                    MD5(F.col("input_ids")).alias("ids_md5"), MD5(F.col("labels")).alias("labels_md5"))
+
+
+@register("c6_chat_tokens", lambda: f"""
+WITH {_prod_rounds_sql(PROD_MERGES)[0]}, {K.turns_cte()}, {K.conv_meta_cte()}, {K.rendered_cte(gen_prompt=True)},
+{_encoded_cte('rendered', 'conv_id', 'prompt', 'enc')},
+i AS (SELECT conv_id, {K.code_ids_fast('c')} AS ids FROM enc)
+SELECT conv_id, len(ids)::BIGINT AS n_tokens, md5(array_to_string(ids, ',')) AS ids_md5 FROM i""")
+def q_c6(spark, d):
+    t = rows.chat_template(D.messages(spark, d), "messages", production_vocab(spark, d), tokenize=True, add_generation_prompt=True)
+    return t.select("conv_id", F.size("input_ids").cast("bigint").alias("n_tokens"), MD5(F.col("input_ids")).alias("ids_md5"))
+
+
+@register("d7_trained", lambda: f"""
+WITH {_prod_rounds_sql(PROD_MERGES)[0]}, {K.turns_cte()}, {K.conv_meta_cte()}, {K.rendered_cte(system_prompt=True)},
+pr AS (SELECT conv_id, {K.drop_think('prompt', 'conv_id')} AS prompt FROM rendered),
+{_encoded_cte('pr', 'conv_id', 'prompt', 'enc')},
+anchor AS (SELECT {_anchors_sql()[0]} AS b, {_anchors_sql()[1]} AS e),
+c AS (SELECT conv_id, {K.pad(K.trunc('c', 1024), 1024)} AS c, b, e FROM enc, anchor),
+l AS (SELECT conv_id, {K.code_ids_fast('c')} AS ids, {K.span_mask_of('c', 'b', 'e', 'true', 'false')} AS m FROM c)
+SELECT conv_id, len(list_filter(m, lambda x: x))::BIGINT AS n_label_tokens, md5(array_to_string(ids, ',')) AS ids_md5,
+  md5(array_to_string(list_transform(list_zip(ids, m), lambda z: CASE WHEN z[2] THEN z[1] ELSE -100 END), ',')) AS labels_md5 FROM l""")
+def q_d7_trained(spark, d):
+    r = rows.sft_rows(D.messages(spark, d), "conv_id", "messages", production_vocab(spark, d), 1024)
+    return r.select("conv_id", F.size(F.filter("labels", lambda x: x != -100)).cast("bigint").alias("n_label_tokens"),
+                    MD5(F.col("input_ids")).alias("ids_md5"), MD5(F.col("labels")).alias("labels_md5"))
+
+
+def _pref_trained_sql(max_length: int = 1024) -> str:
+    from .q_text import pref_texts_sql
+    sides = ("chosen", "rejected")
+    coded = ",\n".join(f"""r_{x} AS (SELECT pair_id, {K.drop_think('p', 'pair_id', f'empty-think-{x}')} AS p FROM pieces_{x}),
+{_encoded_cte(f'r_{x}', 'pair_id', 'p', f'enc_{x}')},
+c_{x} AS (SELECT pair_id, {K.pad(K.trunc('c', max_length), max_length)} AS c, b, e FROM enc_{x}, anchor),
+m_{x} AS (SELECT pair_id, {K.code_ids_fast('c')} AS ids, {K.span_mask_of('c', 'b', 'e', '1', '0')} AS mask FROM c_{x})""" for x in sides)
+    cols = ", ".join(f"md5(array_to_string(m_{x}.ids[1:{max_length - 1}], ',')) AS x_{x}_md5, "
+                     f"md5(array_to_string(m_{x}.mask[2:{max_length}], ',')) AS mask_{x}_md5" for x in sides)
+    return f"""WITH {_prod_rounds_sql(PROD_MERGES)[0]}, {pref_texts_sql()},
+anchor AS (SELECT {_anchors_sql()[0]} AS b, {_anchors_sql()[1]} AS e), {coded}
+SELECT pair_id, {cols} FROM m_chosen JOIN m_rejected USING (pair_id)"""
+
+
+@register("d8_trained", _pref_trained_sql)
+def q_d8_trained(spark, d):
+    r = rows.preference_rows(D.pairs(spark, d), "pair_id", "chosen", "rejected", production_vocab(spark, d), 1024)
+    return r.select("pair_id", *(MD5(F.col(f"{k}_{x}")).alias(f"{k}_{x}_md5") for x in ("chosen", "rejected") for k in ("x", "mask")))
+
+
 def _symbol_sql(b: str) -> str:
     rank = tk.alphabet_rank_sql(b)
     return (f"chr(CAST(CASE WHEN ({b} BETWEEN 33 AND 126) OR ({b} BETWEEN 161 AND 172) OR {b} >= 174 "

@@ -154,11 +154,15 @@ def drop_think(prompt: str, key: str, purpose: str = "empty-think") -> str:
 def span_mask(c: str, b: str, e: str, keep: str, drop: str) -> str:
     """Per-token label/loss values over a code text (same piece cutting as the Spark side,
     written with DuckDB list functions)."""
-    pat = f"(.*?)({b})(.*?(?:{e}|$))|(.+)$"
-    blen = len(b)
-    return (f"flatten(list_transform(regexp_extract_all({c}, {s(pat)}), lambda p: "
+    return span_mask_of(c, s(b), s(e), keep, drop)
+
+
+def span_mask_of(c: str, b: str, e: str, keep: str, drop: str) -> str:
+    """The same with the anchors as SQL expressions."""
+    pat = f"'(.*?)(' || {b} || ')(.*?(?:' || {e} || '|$))|(.+)$'"
+    return (f"flatten(list_transform(regexp_extract_all({c}, {pat}), lambda p: "
             f"list_transform(range(0, length(p) // {tk.TOKEN_WIDTH}), lambda i: "
-            f"CASE WHEN strpos(p, {s(b)}) > 0 AND i * {tk.TOKEN_WIDTH} >= strpos(p, {s(b)}) - 1 + {blen} THEN {keep} ELSE {drop} END)))")
+            f"CASE WHEN strpos(p, {b}) > 0 AND i * {tk.TOKEN_WIDTH} >= strpos(p, {b}) - 1 + length({b}) THEN {keep} ELSE {drop} END)))")
 
 
 def token_logs_cte() -> str:
