@@ -65,6 +65,36 @@ def test_gae_matches_backward_loop(spark):
             assert got[(b, t)] == pytest.approx(last)
 
 
+def test_preference_mean_counts_unpaired(spark):
+    s = spark.createDataFrame([(0, 0, -0.5, -1.0), (0, 1, -2.0, -1.0), (1, 0, -1.0, -1.0)], "pair INT, side INT, policy DOUBLE, ref DOUBLE")
+    r = M.preference_mean(M.preference_loss(s, ["pair"], "side", 0.15)).first()
+    assert (r["n_pairs"], r["n_unpaired"]) == (1, 1)
+    assert r["loss"] == pytest.approx(math.log1p(math.exp(-0.15 * 1.5)))
+
+
+def test_advantages_of_a_hot_batch_and_of_an_unmasked_one(spark):
+    rows = [(0, float(i % 5), 1, 1.0) for i in range(500)] + [(1, 3.0, 0, 1.0)]
+    df = spark.createDataFrame(rows, "b INT, a DOUBLE, m INT, v DOUBLE")
+    out = M.normalise_advantages(df, ["b"], "a", "m", "v").collect()
+    hot = [r["norm_advantage"] for r in out if r["b"] == 0]
+    assert sum(hot) == pytest.approx(0, abs=1e-9) and max(hot) == pytest.approx(2 / math.sqrt(2 + 1e-8))
+    assert [r["norm_advantage"] for r in out if r["b"] == 1] == [0.0]
+    raw = M.normalise_advantages(df, ["b"], "a", "m", "v", raw_returns=True).where("b = 1").first()
+    assert raw["returns"] == 4.0
+
+
+def test_neighbours_in_blocks_match_numpy(spark):
+    rng = np.random.default_rng(3)
+    x, q = rng.normal(size=(300, 8)), rng.normal(size=(7, 8))
+    x[5] = 0
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id LONG, v ARRAY<DOUBLE>").repartition(3)
+    w = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(q)], "q LONG, v ARRAY<DOUBLE>")
+    got = H.top_neighbours(v, w, "id", "v", "q", "v", 4).orderBy("query_id", "rank").collect()
+    cos = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)).T
+    cos[:, 5] = -9
+    assert [r["vec_id"] for r in got] == np.argsort(-cos, axis=1)[:, :4].ravel().tolist()
+
+
 def test_kl_and_distillation_zero_when_equal(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0], [1.0, 2.0, 3.0], -0.3, -0.3)], "s ARRAY<DOUBLE>, t ARRAY<DOUBLE>, a DOUBLE, b DOUBLE")
     assert df.select(M.per_token_kl(F.col("a"), F.col("b"))).first()[0] == pytest.approx(0.0)

@@ -31,6 +31,14 @@ def test_jsonl_readers(spark, tmp_path):
     assert R.sample_count(R.read_text_jsonl(spark, text)).first()["n_samples"] == 3
 
 
+@pytest.mark.parametrize("read", [R.read_text_jsonl, R.read_conversations_jsonl, R.read_prompts_jsonl,
+                                  R.read_pairs_jsonl, R.read_agent_jsonl])
+def test_readers_refuse_a_bad_line(spark, tmp_path, read):
+    bad = _write(tmp_path / "bad.jsonl", ["{}", '{"text": "cut off'])
+    with pytest.raises(Exception):
+        read(spark, bad).collect()
+
+
 def test_assemble_and_shards(spark, tmp_path):
     turns = spark.createDataFrame([(1, 1, "assistant", "b"), (1, 0, "user", "a"), (2, 0, "user", "c")],
                                   "conv_id INT, turn INT, role STRING, text STRING")

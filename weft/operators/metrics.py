@@ -8,8 +8,11 @@ aggregation, and batch statistics are small aggregates joined back.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 # --- array helpers --------------------------------------------------------------
@@ -73,21 +76,25 @@ def masked_ce(df: DataFrame, logits_col: str, label_col: str, mask_col: str,
 
 # --- E4-E9 ------------------------------------------------------------------------
 
-def masked_seq_sum(df: DataFrame, seq_cols: list[str], value_col: str, mask_col: str,
-                   out_col: str) -> DataFrame:
-    """Per-sequence masked sum of log-probs."""
-    return df.groupBy(*seq_cols).agg(F.sum(F.col(value_col) * F.col(mask_col)).alias(out_col))
+def masked_seq_sums(df: DataFrame, seq_cols: list[str], values: dict[str, str], mask_col: str) -> DataFrame:
+    """Per-sequence masked sums of log-probs, ``values`` maps output to input column."""
+    return df.groupBy(*seq_cols).agg(*(F.sum(F.col(v) * F.col(mask_col)).alias(k) for k, v in values.items()))
 
 
 def preference_loss(seq_sums: DataFrame, pair_cols: list[str], side_col: str,
                     beta: float = 0.15) -> DataFrame:
-    """E5: mean(-logsigmoid(beta * ((pi_c - pi_r) - (ref_c - ref_r)))) over pairs.
-    ``seq_sums`` holds ``policy`` and ``ref`` sums with ``side`` 0 = chosen, 1 = rejected."""
-    c = seq_sums.where(F.col(side_col) == 0).select(*pair_cols, F.col("policy").alias("pc"), F.col("ref").alias("rc"))
-    r = seq_sums.where(F.col(side_col) == 1).select(*pair_cols, F.col("policy").alias("pr"), F.col("ref").alias("rr"))
-    z = F.lit(beta) * ((F.col("pc") - F.col("pr")) - (F.col("rc") - F.col("rr")))
-    pairs = c.join(r, pair_cols).withColumn("loss", softplus(-z))
-    return pairs
+    """E5: -logsigmoid(beta * ((pi_c - pi_r) - (ref_c - ref_r))) per pair; NULL for a pair that lacks a
+    side. ``seq_sums`` holds ``policy`` and ``ref`` sums with ``side`` 0 = chosen, 1 = rejected."""
+    def of(col: str, side: int) -> Column:
+        return F.max(F.when(F.col(side_col) == side, F.col(col)))
+    z = F.lit(beta) * ((of("policy", 0) - of("policy", 1)) - (of("ref", 0) - of("ref", 1)))
+    return seq_sums.groupBy(*pair_cols).agg(softplus(-z).alias("loss"))
+
+
+def preference_mean(pair_losses: DataFrame) -> DataFrame:
+    """E5: the mean loss over pairs, with the numbers of pairs and of unpaired sequences."""
+    return pair_losses.agg(F.avg("loss").alias("loss"), F.count("loss").alias("n_pairs"),
+                           F.count(F.when(F.col("loss").isNull(), 1)).alias("n_unpaired"))
 
 
 def per_token_kl(ref: Column, policy: Column) -> Column:
@@ -97,16 +104,17 @@ def per_token_kl(ref: Column, policy: Column) -> Column:
 
 
 def group_advantages(df: DataFrame, group_cols: list[str], reward_col: str,
-                     num_generations: int) -> DataFrame:
-    """(r - mean) / (population std + 1e-4) per prompt group; a group whose size is
-    not ``num_generations`` raises (the reference cannot reshape such a batch)."""
+                     num_generations: int, strict: bool = True) -> DataFrame:
+    """(r - mean) / (population std + 1e-4) per prompt group. A group whose size is not
+    ``num_generations`` raises (the reference cannot reshape such a batch), or with
+    ``strict=False`` has NULL advantages."""
     stats = df.groupBy(*group_cols).agg(F.avg(reward_col).alias("_mean"), F.stddev_pop(reward_col).alias("_std"),
                                         F.count(F.lit(1)).alias("_n"))
     out = df.join(stats, group_cols)
     adv = (F.col(reward_col) - F.col("_mean")) / (F.col("_std") + F.lit(1e-4))
+    wrong = F.raise_error(F.lit(f"group size differs from num_generations={num_generations}")) if strict else F.lit(None)
     # the size check is part of the output expression, so it cannot be pruned away
-    checked = F.when(F.col("_n") != num_generations, F.raise_error(
-        F.lit(f"group size differs from num_generations={num_generations}"))).otherwise(adv)
+    checked = F.when(F.col("_n") != num_generations, wrong.cast("double")).otherwise(adv)
     return out.withColumn("advantage", checked).drop("_mean", "_std", "_n")
 
 
@@ -137,45 +145,50 @@ def cispo_loss(df: DataFrame, seq_cols: list[str], policy: str, old: str, ref: s
 
 # --- E10-E13 ----------------------------------------------------------------------
 
+def _discounted(c: float):
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def run(deltas: pd.Series) -> pd.Series:
+        def one(x):
+            out, last = np.empty(len(x)), 0.0
+            for t in range(len(x) - 1, -1, -1):
+                last = out[t] = x[t] + c * last
+            return out
+        return deltas.map(one)
+    return run
+
+
 def gae(df: DataFrame, seq_cols: list[str], pos_col: str, reward_col: str, value_col: str,
-        gamma: float = 1.0, lam: float = 0.95) -> DataFrame:
+        gamma: float = 1.0, lam: float = 0.95, carry: tuple[str, ...] = ()) -> DataFrame:
     """A_t = delta_t + gamma*lam*A_{t+1}, delta_t = r_t + gamma V_{t+1} - V_t, with
     V after the last step = 0; the mask is not used in the recursion. One sequence per
-    group (bounded by the sequence length); the backward fold runs inside the task."""
-    g = df.groupBy(*seq_cols).agg(F.array_sort(F.collect_list(F.struct(pos_col, reward_col, value_col))).alias("_s"))
-    n = F.size("_s")
+    group (bounded by the sequence length), one backward pass over it; the columns in
+    ``carry`` travel along, so nothing is joined back."""
+    cols = list(dict.fromkeys([pos_col, reward_col, value_col, *carry]))
+    g = df.groupBy(*seq_cols).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("_s"))
     vals = F.transform("_s", lambda x: x[value_col])
-    nxt = F.concat(F.slice(vals, 2, F.greatest(n - 1, F.lit(0))), F.array(F.lit(0.0)))
-    delta = F.zip_with(F.col("_s"), nxt, lambda x, v1: x[reward_col] + F.lit(gamma) * v1 - x[value_col])
-    c = F.lit(gamma * lam)
-    rev = F.aggregate(F.reverse(delta), F.struct(F.array().cast("array<double>").alias("out"), F.lit(0.0).alias("last")),
-                      lambda acc, d: F.struct(F.concat(F.array(d + c * acc["last"]), acc["out"]).alias("out"),
-                                              (d + c * acc["last"]).alias("last")))
-    g = g.select(*seq_cols, F.arrays_zip(F.transform("_s", lambda x: x[pos_col]).alias("pos"),
-                                         rev["out"].alias("advantage")).alias("_z"))
-    return g.select(*seq_cols, F.explode("_z").alias("_e")).select(
-        *seq_cols, F.col("_e.pos").alias(pos_col), F.col("_e.advantage").alias("advantage"))
+    nxt = F.concat(F.slice(vals, 2, F.greatest(F.size("_s") - 1, F.lit(0))), F.array(F.lit(0.0)))
+    delta = F.zip_with(F.col("_s"), nxt, lambda x, v1: (x[reward_col] + F.lit(gamma) * v1 - x[value_col]).cast("double"))
+    g = g.select(*seq_cols, "_s", _discounted(gamma * lam)(delta).alias("_a"))
+    g = g.select(*seq_cols, F.explode(F.arrays_zip("_s", "_a")).alias("_e"))
+    return g.select(*seq_cols, *(F.col(f"_e._s.{c}").alias(c) for c in cols if c not in seq_cols), F.col("_e._a").alias("advantage"))
 
 
 def normalise_advantages(df: DataFrame, batch_cols: list[str], adv_col: str, mask_col: str,
-                         value_col: str) -> DataFrame:
-    """Advantages * mask; batch masked mean/var; if var > 1e-6 normalise
-    ((a - mean) * rsqrt(var + 1e-8) * mask); returns = advantages + values (T11: the
-    normalised advantages)."""
+                         value_col: str, raw_returns: bool = False) -> DataFrame:
+    """Advantages * mask; masked mean and variance of each batch, in one aggregation; if var >
+    1e-6 normalise ((a - mean) * rsqrt(var + 1e-8) * mask); returns = advantages + values
+    (T11: the normalised advantages, or with ``raw_returns`` those before). The mask is 0 or 1.
+    The batch table is small beside the log; Spark broadcasts it or splits a hot batch."""
     a = F.col(adv_col) * F.col(mask_col)
-    staged = df.withColumn("_a", a)
-    m = staged.groupBy(*batch_cols).agg(
-        (F.sum("_a") / F.greatest(F.sum(mask_col), F.lit(1))).alias("_mean"),
-        F.greatest(F.sum(mask_col), F.lit(1)).alias("_den"))
-    staged = staged.join(m, batch_cols)
-    v = staged.groupBy(*batch_cols).agg(
-        (F.sum(F.pow(F.col("_a") - F.col("_mean"), 2) * F.col(mask_col)) / F.first("_den")).alias("_var"))
-    staged = staged.join(v, batch_cols)
-    norm = F.when(F.col("_var") > 1e-6, (F.col("_a") - F.col("_mean")) / F.sqrt(F.col("_var") + F.lit(1e-8))
-                  * F.col(mask_col)).otherwise(F.col("_a"))
+    inside = F.when(F.col(mask_col) != 0, F.col(adv_col))
+    stats = df.groupBy(*batch_cols).agg(F.coalesce(F.avg(inside), F.lit(0.0)).alias("_mean"),
+                                        F.coalesce(F.var_pop(inside), F.lit(0.0)).alias("_var"))
+    staged = df.join(stats, batch_cols)
+    norm = F.when(F.col("_var") > 1e-6, (a - F.col("_mean")) / F.sqrt(F.col("_var") + F.lit(1e-8))
+                  * F.col(mask_col)).otherwise(a)
     return (staged.withColumn("norm_advantage", norm)
-            .withColumn("returns", F.col("norm_advantage") + F.col(value_col))
-            .drop("_a", "_mean", "_den", "_var"))
+            .withColumn("returns", (F.col(adv_col) if raw_returns else F.col("norm_advantage")) + F.col(value_col))
+            .drop("_mean", "_var"))
 
 
 def ppo_policy_loss(df: DataFrame, seq_cols: list[str], new: str, old: str, adv: str, mask: str,

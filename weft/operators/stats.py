@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MAX_BROADCAST_QUERIES = 10_000
+#: Rows of a block of vectors.
+BLOCK = 1024
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -30,28 +34,44 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (norm(a) * norm(b))
 
 
+def _packed(df: DataFrame, id_col: str, vec_col: str, tag: str) -> DataFrame:
+    """Blocks of at most BLOCK rows: ids and the unit vectors as one matrix."""
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, BLOCK):
+                part = b.slice(lo, BLOCK)
+                x = np.stack([v.values.to_numpy(zero_copy_only=False) for v in part.column("v")])
+                norm = np.linalg.norm(x, axis=1, keepdims=True)
+                x = np.divide(x, norm, out=np.full_like(x, np.nan), where=norm > 0)
+                yield pa.RecordBatch.from_pydict({f"{tag}_ids": [part.column("id").to_pylist()], f"{tag}_x": [x.tobytes()]},
+                                                 schema=pa.schema([(f"{tag}_ids", pa.list_(pa.int64())), (f"{tag}_x", pa.binary())]))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    return rows.mapInArrow(run, T.StructType([T.StructField(f"{tag}_ids", T.ArrayType(T.LongType())), T.StructField(f"{tag}_x", T.BinaryType())]))
+
+
 def top_neighbours(vectors: DataFrame, queries: DataFrame, id_col: str, vec_col: str,
                    qid_col: str, qvec_col: str, n: int = 5) -> DataFrame:
-    """H1: for each query vector, the n most cosine-similar vectors (ties by id).
-    The query set must be small: its size is checked, then it travels with the task
-    as a literal array (chunks of MAX_BROADCAST_QUERIES beyond that), and each vector
-    row scores itself against it. The per-query top-n is a window group limit, which
-    Spark applies partially before the shuffle, so no query gathers all candidates."""
-    q = queries.select(F.col(qid_col).alias("query_id"), unit(F.col(qvec_col).cast("array<double>")).alias("_q"))
-    n_q = q.count()
-    v = vectors.select(F.col(id_col).alias("vec_id"), unit(F.col(vec_col).cast("array<double>")).alias("_v"))
+    """H1: for each query vector, the n most cosine-similar vectors (ties by id). Vectors and
+    queries meet block by block, one matrix product each, and every pair of blocks hands on
+    its own n best per query; no query or vector passes through the driver. The final top-n is a
+    window group limit, applied partially before the shuffle. Zero vectors are no one's neighbours."""
+    def best(batches):
+        for b in batches:
+            for ids, x, qids, q in zip(*(b.column(c) for c in ("v_ids", "v_x", "q_ids", "q_x"))):
+                i, qi = ids.values.to_numpy(), qids.values.to_numpy()
+                a = np.frombuffer(x.as_buffer()).reshape(len(i), -1)
+                c = np.frombuffer(q.as_buffer()).reshape(len(qi), -1)
+                s = c @ a.T
+                order = np.lexsort((np.broadcast_to(i, s.shape), -s), axis=1)[:, :n]
+                score = np.take_along_axis(s, order, 1).ravel()
+                keep = ~np.isnan(score)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(qi, order.shape[1])[keep]), pa.array(i[order].ravel()[keep]), pa.array(score[keep])],
+                    names=["query_id", "vec_id", "cosine"])
+    pairs = _packed(vectors, id_col, vec_col, "v").crossJoin(_packed(queries, qid_col, qvec_col, "q"))  # of blocks
+    scored = pairs.mapInArrow(best, "query_id long, vec_id long, cosine double")
     w = Window.partitionBy("query_id").orderBy(F.col("cosine").desc(), F.col("vec_id").asc())
-    out = None
-    for c in range(max(1, math.ceil(n_q / MAX_BROADCAST_QUERIES))):
-        rows = q.orderBy("query_id").offset(c * MAX_BROADCAST_QUERIES).limit(MAX_BROADCAST_QUERIES).collect()
-        lit = F.array(*[F.struct(F.lit(r["query_id"]).alias("query_id"),
-                                 F.array(*[F.lit(float(x)) for x in r["_q"]]).alias("q")) for r in rows])
-        scored = v.select("vec_id", F.explode(F.transform(lit, lambda s: F.struct(
-            s["query_id"].alias("query_id"), dot(s["q"], F.col("_v")).alias("cosine")))).alias("_s"))
-        scored = scored.select(F.col("_s.query_id").alias("query_id"), "vec_id", F.col("_s.cosine").alias("cosine"))
-        top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-        out = top if out is None else out.unionByName(top)
-    return out
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
 def distribution(df: DataFrame, group_cols: list[str], item_col: str) -> DataFrame:
@@ -72,14 +92,12 @@ def entropy(dist: DataFrame, group_cols: list[str], p_col: str = "p") -> DataFra
         F.max(-F.log(p)).alias("max_self_info_nat"))
 
 
-def divergences(p: DataFrame, q: DataFrame, item_col: str) -> DataFrame:
-    """H6/H7: cross-entropy H(p,q), KL(p||q), H(p) and Jensen-Shannon over the union
-    support (full outer join). Inputs carry ``item_col`` and ``p`` / ``q``."""
-    j = p.join(q, item_col, "full_outer").select(item_col, F.coalesce("p", F.lit(0.0)).alias("p"),
-                                                 F.coalesce("q", F.lit(0.0)).alias("q"))
+def divergences(pairs: DataFrame, group_cols: list[str]) -> DataFrame:
+    """H6/H7: cross-entropy H(p,q), KL(p||q), H(p) and Jensen-Shannon of each group. Rows are the
+    items of the union support with their ``p`` and ``q`` (0 where an item is missing)."""
     m = (F.col("p") + F.col("q")) / 2
     xlogy = lambda x, y: F.when(x > 0, x * F.log(y)).otherwise(F.lit(0.0))
-    return j.agg(
+    return pairs.groupBy(*group_cols).agg(
         (-F.sum(xlogy(F.col("p"), F.col("q")))).alias("cross_entropy"),
         (-F.sum(xlogy(F.col("p"), F.col("p")))).alias("entropy_p"),
         F.sum(xlogy(F.col("p"), F.col("p")) - xlogy(F.col("p"), F.col("q"))).alias("kl"),

@@ -76,26 +76,35 @@ LOGS = f"WITH {K.token_logs_cte()}"
 SELECT user_id, seq_no, round(sum(policy_logp * mask), 6) AS policy, round(sum(ref_logp * mask), 6) AS ref
 FROM logs GROUP BY user_id, seq_no""")
 def q_e4(spark, d):
-    lg = D.token_logs(spark, d)
-    p = M.masked_seq_sum(lg, ["user_id", "seq_no"], "policy_logp", "mask", "policy")
-    r = M.masked_seq_sum(lg, ["user_id", "seq_no"], "ref_logp", "mask", "ref")
-    return p.join(r, ["user_id", "seq_no"]).select("user_id", "seq_no", R6(F.col("policy")).alias("policy"),
-                                                   R6(F.col("ref")).alias("ref"))
+    p = M.masked_seq_sums(D.token_logs(spark, d), ["user_id", "seq_no"], {"policy": "policy_logp", "ref": "ref_logp"}, "mask")
+    return p.select("user_id", "seq_no", R6(F.col("policy")).alias("policy"), R6(F.col("ref")).alias("ref"))
 
 
-@register("e5_preference_loss", f"""{LOGS},
+PREFERENCE_SQL = f"""{LOGS},
 s AS (SELECT user_id, seq_no // 2 AS pair_no, seq_no % 2 AS side, sum(policy_logp * mask) AS policy,
              sum(ref_logp * mask) AS ref FROM logs GROUP BY ALL),
 z AS (SELECT c.user_id, c.pair_no, 0.15 * ((c.policy - r.policy) - (c.ref - r.ref)) AS z
-      FROM s c JOIN s r ON c.user_id = r.user_id AND c.pair_no = r.pair_no AND c.side = 0 AND r.side = 1)
-SELECT user_id, pair_no, round(ln(1 + exp(-z)), 6) AS loss FROM z""")
+      FROM s c LEFT JOIN s r ON c.user_id = r.user_id AND c.pair_no = r.pair_no AND r.side = 1 WHERE c.side = 0),
+l AS (SELECT user_id, pair_no, ln(1 + exp(-z)) AS loss FROM z)"""
+
+
+@register("e5_preference_loss", f"{PREFERENCE_SQL} SELECT user_id, pair_no, round(loss, 6) AS loss FROM l")
 def q_e5(spark, d):
+    return _pair_losses(spark, d).select("user_id", "pair_no", R6(F.col("loss")).alias("loss"))
+
+
+@register("e5_preference_mean", f"""{PREFERENCE_SQL}
+SELECT round(avg(loss), 6) AS loss, count(loss)::BIGINT AS n_pairs, count(*) FILTER (WHERE loss IS NULL)::BIGINT AS n_unpaired FROM l""")
+def q_e5_mean(spark, d):
+    m = M.preference_mean(_pair_losses(spark, d))
+    return m.select(R6(F.col("loss")).alias("loss"), "n_pairs", "n_unpaired")
+
+
+def _pair_losses(spark, d):
     lg = D.token_logs(spark, d).withColumn("pair_no", F.floor(F.col("seq_no") / 2).cast("bigint")) \
         .withColumn("side", (F.col("seq_no") % 2).cast("int"))
-    keys = ["user_id", "pair_no", "side"]
-    s = M.masked_seq_sum(lg, keys, "policy_logp", "mask", "policy").join(
-        M.masked_seq_sum(lg, keys, "ref_logp", "mask", "ref"), keys)
-    return M.preference_loss(s, ["user_id", "pair_no"], "side").select("user_id", "pair_no", R6(F.col("loss")).alias("loss"))
+    s = M.masked_seq_sums(lg, ["user_id", "pair_no", "side"], {"policy": "policy_logp", "ref": "ref_logp"}, "mask")
+    return M.preference_loss(s, ["user_id", "pair_no"], "side")
 
 
 @register("e6_per_token_kl", f"""{LOGS}
@@ -107,15 +116,13 @@ def q_e6(spark, d):
 
 @register("e7_group_advantages", f"""{LOGS},
 g AS (SELECT event_id, user_id, (rn - 1) // {D.GROUP_SIZE} AS grp, value / 100.0 AS reward FROM logs),
-ok AS (SELECT user_id, grp FROM g GROUP BY ALL HAVING count(*) = {D.GROUP_SIZE}),
-st AS (SELECT user_id, grp, avg(reward) AS m, stddev_pop(reward) AS sd FROM g JOIN ok USING (user_id, grp) GROUP BY ALL)
-SELECT event_id, round((reward - m) / (sd + 1e-4), 6) AS advantage FROM g JOIN st USING (user_id, grp)""")
+st AS (SELECT user_id, grp, count(*) AS n, avg(reward) AS m, stddev_pop(reward) AS sd FROM g GROUP BY ALL)
+SELECT event_id, CASE WHEN n = {D.GROUP_SIZE} THEN round((reward - m) / (sd + 1e-4), 6) END AS advantage FROM g JOIN st USING (user_id, grp)""")
 def q_e7(spark, d):
+    """Events of an incomplete last group stay, without an advantage."""
     lg = D.token_logs(spark, d).select("event_id", "user_id", F.floor((F.col("rn") - 1) / D.GROUP_SIZE).alias("grp"),
                                        (F.col("value") / 100.0).alias("reward"))
-    complete = lg.groupBy("user_id", "grp").count().where(F.col("count") == D.GROUP_SIZE).drop("count")
-    g = lg.join(complete, ["user_id", "grp"])
-    out = M.group_advantages(g, ["user_id", "grp"], "reward", D.GROUP_SIZE)
+    out = M.group_advantages(lg, ["user_id", "grp"], "reward", D.GROUP_SIZE, strict=False)
     return out.select("event_id", R6(F.col("advantage")).alias("advantage"))
 
 
@@ -152,8 +159,8 @@ adv AS (SELECT a.user_id, a.seq_no, a.pos, a.event_id, a.mask, a.v_est, sum(powe
 
 def _gae(spark, d):
     lg = D.token_logs(spark, d)
-    a = M.gae(lg, ["user_id", "seq_no"], "pos", "reward", "v_est", 1.0, 0.95)
-    return lg.join(a, ["user_id", "seq_no", "pos"])
+    keys = ["user_id", "seq_no"]
+    return M.gae(lg, keys, "pos", "reward", "v_est", 1.0, 0.95, carry=tuple(c for c in lg.columns if c not in keys))
 
 
 @register("e10_gae", f"""{GAE_SQL}
@@ -247,7 +254,7 @@ def q_e15(spark, d):
     return out.select(R6(F.col("ce")).alias("ce"), R6(F.col("distill")).alias("distill"), R6(F.col("loss")).alias("loss"))
 
 
-ROUTE_SQL = """g AS (SELECT vec_id, unnest(CAST(embedding[1:4] AS DOUBLE[])) AS x, generate_subscripts(embedding[1:4], 1) - 1 AS expert FROM embeddings),
+ROUTE_SQL = """g AS (SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS x, generate_subscripts(embedding, 1) - 1 AS expert FROM embeddings),
 gm AS (SELECT vec_id, expert, exp(x - max(x) OVER (PARTITION BY vec_id)) AS ex FROM g),
 sc AS (SELECT vec_id, expert, ex / sum(ex) OVER (PARTITION BY vec_id) AS s FROM gm),
 rk AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, expert) - 1 AS slot FROM sc),
@@ -258,7 +265,7 @@ top AS (SELECT *, sum(s) OVER (PARTITION BY vec_id) AS tot FROM rk WHERE slot <
 WITH {ROUTE_SQL}
 SELECT vec_id, slot::INT AS slot, expert::INT AS expert, round(s / (tot + 1e-20), 6) AS weight FROM top""")
 def q_e16(spark, d):
-    e = D.table(spark, d, "embeddings").select("vec_id", F.slice(F.col("embedding").cast("array<double>"), 1, 4).alias("gate"))
+    e = D.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("gate"))
     r = M.route_experts(e, ["vec_id"], "gate", 2)
     return r.select("vec_id", F.col("slot").cast("int").alias("slot"), "expert", R6(F.col("weight")).alias("weight"))
 
@@ -270,7 +277,7 @@ pe AS (SELECT expert, sum(s) AS ss FROM sc GROUP BY expert),
 ld AS (SELECT expert, count(*) AS nr FROM top GROUP BY expert)
 SELECT round(sum(coalesce(nr, 0) / n * (ss / n)) * 4 * 5e-4, 9) AS aux_loss FROM pe LEFT JOIN ld USING (expert), n""")
 def q_e17(spark, d):
-    e = D.table(spark, d, "embeddings").select("vec_id", F.slice(F.col("embedding").cast("array<double>"), 1, 4).alias("gate"))
+    e = D.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("gate"))
     r = M.route_experts(e, ["vec_id"], "gate", 2)
     return M.load_balance(r, ["vec_id"], 4).select(F.round("aux_loss", 9).alias("aux_loss"))
 

@@ -15,6 +15,7 @@ from ..session import shared_path
 from ..sources import readers as R
 from . import derived as D
 from . import sqlkit as K
+from .q_text import pref_texts_sql
 from .registry import register
 
 
@@ -22,61 +23,86 @@ def _tmp(spark, name):
     return shared_path(spark, f"jsonl/{name}-{uuid.uuid4().hex[:12]}")
 
 
-@register("a1_text_jsonl", """
-SELECT count(*)::BIGINT AS n_samples, sum(length(text))::BIGINT AS n_chars, sum(strlen(text))::BIGINT AS n_bytes FROM documents""")
+def _messages_md5(messages, *fields):
+    """md5 of a message array's fields, in order; NULL fields count as '~'."""
+    one = lambda m: F.concat_ws("|", *(F.coalesce(m[f], F.lit("~")) for f in fields))
+    return F.md5(F.array_join(F.transform(messages, one), ";"))
+
+
+def _messages_md5_sql(*fields: str) -> str:
+    one = " || '|' || ".join(f"coalesce({f}, '~')" for f in fields)
+    return f"md5(string_agg({one}, ';' ORDER BY turn))"
+
+
+def _counted(df, *cols):
+    """Rows read, as digests with their number (a reader has no key column)."""
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+
+
+@register("a1_text_jsonl", "SELECT md5(text) AS text_md5, count(*)::BIGINT AS n_rows FROM documents GROUP BY 1")
 def q_a1(spark, d):
     path = _tmp(spark, "text")
-    D.table(spark, d, "documents").select("text").write.mode("overwrite").json(path)
-    t = R.read_text_jsonl(spark, path)
-    return t.agg(F.count(F.lit(1)).cast("bigint").alias("n_samples"), F.sum(F.length("text")).cast("bigint").alias("n_chars"),
-                 F.sum(F.octet_length("text")).cast("bigint").alias("n_bytes"))
+    D.table(spark, d, "documents").select("text").write.json(path)
+    return _counted(R.read_text_jsonl(spark, path).select(F.md5("text").alias("text_md5")), "text_md5")
 
 
 @register("a2_conversations_jsonl", lambda: f"""
-WITH {K.turns_cte()}
-SELECT conv_id, count(*)::BIGINT AS n_messages, string_agg(role, ',' ORDER BY turn) AS roles,
-       count(tools)::BIGINT AS n_with_tools, sum(length(content))::BIGINT AS n_chars FROM turns GROUP BY conv_id""")
+WITH {K.turns_cte()},
+c AS (SELECT conv_id, count(*)::BIGINT AS n_messages, {_messages_md5_sql('role', 'content', 'NULL', 'tools')} AS messages_md5 FROM turns GROUP BY conv_id)
+SELECT n_messages, messages_md5, count(*)::BIGINT AS n_rows FROM c GROUP BY 1, 2""")
 def q_a2(spark, d):
     path = _tmp(spark, "conv")
-    D.messages(spark, d).select("conv_id", F.col("messages").alias("conversations")).write.mode("overwrite").json(path)
-    back = spark.read.schema(f"conv_id BIGINT, {R.CONVERSATION_SCHEMA}").json(path)
-    c = R.read_conversations_jsonl(spark, path)  # the declared reader (no key column)
-    assert set(c.columns) == {"conversations"}
+    D.messages(spark, d).select(F.col("messages").alias("conversations")).write.json(path)
     m = F.col("conversations")
-    return back.select("conv_id", F.size(m).cast("bigint").alias("n_messages"),
-                       F.array_join(F.transform(m, lambda x: x["role"]), ",").alias("roles"),
-                       F.size(F.filter(m, lambda x: x["tools"].isNotNull())).cast("bigint").alias("n_with_tools"),
-                       F.aggregate(m, F.lit(0).cast("bigint"), lambda a, x: a + F.length(x["content"])).alias("n_chars"))
-
-
-@register("a3_pairs_jsonl", """
-WITH conv AS (SELECT conv_id, arg_max(role, turn) AS last_role, count(*) AS n FROM conversations GROUP BY conv_id)
-SELECT count(*)::BIGINT AS n_pairs, sum(n)::BIGINT AS n_chosen_messages, sum(n)::BIGINT AS n_rejected_messages
-FROM conv WHERE last_role = 'assistant'""")
+    c = R.read_conversations_jsonl(spark, path).select(
+        F.size(m).cast("bigint").alias("n_messages"),
+        _messages_md5(m, "role", "content", "reasoning_content", "tools").alias("messages_md5"))
+    return _counted(c, "n_messages", "messages_md5")
+
+
+@register("a3_pairs_jsonl", lambda: f"""
+WITH {pref_texts_sql()},
+c AS (SELECT pair_id, {_messages_md5_sql('role', 'content')} AS chosen_md5 FROM t GROUP BY pair_id),
+r AS (SELECT t.pair_id, {_messages_md5_sql('role', 'content')} AS rejected_md5
+      FROM (SELECT t.pair_id, turn, CASE WHEN is_last THEN 'assistant' ELSE role END AS role,
+                   CASE WHEN is_last THEN e.echo ELSE content END AS content FROM t JOIN echo e USING (pair_id)) t GROUP BY t.pair_id)
+SELECT chosen_md5, rejected_md5, count(*)::BIGINT AS n_rows FROM c JOIN r USING (pair_id) GROUP BY 1, 2""")
 def q_a3(spark, d):
     path = _tmp(spark, "pairs")
-    D.pairs(spark, d).select("chosen", "rejected").write.mode("overwrite").json(path)
-    p = R.read_pairs_jsonl(spark, path)
-    return p.agg(F.count(F.lit(1)).cast("bigint").alias("n_pairs"),
-                 F.sum(F.size("chosen")).cast("bigint").alias("n_chosen_messages"),
-                 F.sum(F.size("rejected")).cast("bigint").alias("n_rejected_messages"))
+    D.pairs(spark, d).select("chosen", "rejected").write.json(path)
+    p = R.read_pairs_jsonl(spark, path).select(
+        *(_messages_md5(F.col(c), "role", "content").alias(f"{c}_md5") for c in ("chosen", "rejected")))
+    return _counted(p, "chosen_md5", "rejected_md5")
+
+
+@register("a4_prompts_jsonl", lambda: f"""
+WITH {K.turns_cte()},
+c AS (SELECT conv_id, count(*)::BIGINT AS n_messages, {_messages_md5_sql('role', 'content')} AS messages_md5 FROM turns GROUP BY conv_id)
+SELECT n_messages, messages_md5, count(*)::BIGINT AS n_rows FROM c GROUP BY 1, 2""")
+def q_a4(spark, d):
+    path = _tmp(spark, "prompts")
+    m = F.col("messages")
+    D.messages(spark, d).select(F.transform(m, lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
+                                .alias("conversations")).write.json(path)
+    c = F.col("conversations")
+    return _counted(R.read_prompts_jsonl(spark, path).select(
+        F.size(c).cast("bigint").alias("n_messages"), _messages_md5(c, "role", "content").alias("messages_md5")),
+        "n_messages", "messages_md5")
 
 
 @register("a5_agent_jsonl", lambda: f"""
 WITH {K.turns_cte()},
-last AS (SELECT conv_id, arg_max(content, turn) AS last_content, count(*) AS n FROM turns GROUP BY conv_id)
-SELECT count(*)::BIGINT AS n_samples, sum(n)::BIGINT AS n_messages,
-       count(*) FILTER (WHERE split_part(last_content, ' ', 1) <> '')::BIGINT AS n_with_gt FROM last""")
+c AS (SELECT conv_id, split_part(arg_max(content, turn), ' ', 1) AS gt, {_messages_md5_sql('role', 'content', 'NULL', 'tools')} AS messages_md5
+      FROM turns GROUP BY conv_id)
+SELECT gt, messages_md5, count(*)::BIGINT AS n_rows FROM c GROUP BY 1, 2""")
 def q_a5(spark, d):
     path = _tmp(spark, "agent")
     m = D.messages(spark, d)
     m.select(F.col("messages").alias("conversations"),
-             F.split_part(F.element_at("messages", -1)["content"], F.lit(" "), F.lit(1)).alias("gt")
-             ).write.mode("overwrite").json(path)
-    a = R.read_agent_jsonl(spark, path)
-    return a.agg(F.count(F.lit(1)).cast("bigint").alias("n_samples"),
-                 F.sum(F.size("conversations")).cast("bigint").alias("n_messages"),
-                 F.count(F.when(F.col("gt") != "", 1)).cast("bigint").alias("n_with_gt"))
+             F.split_part(F.element_at("messages", -1)["content"], F.lit(" "), F.lit(1)).alias("gt")).write.json(path)
+    a = R.read_agent_jsonl(spark, path).select(
+        "gt", _messages_md5(F.col("conversations"), "role", "content", "reasoning_content", "tools").alias("messages_md5"))
+    return _counted(a, "gt", "messages_md5")
 
 
 # --- T5/T6 report over SFT rows ---------------------------------------------------------

@@ -202,22 +202,29 @@ def q_h5(spark, d):
 
 
 @register("h6_divergences", f"""WITH {BYTES_SQL},
-c AS (SELECT byte, count(*) FILTER (WHERE lang = 'en') AS ne, count(*) FILTER (WHERE lang = 'fr') AS nf FROM b
-      WHERE lang IN ('en', 'fr') GROUP BY byte),
-s AS (SELECT byte, (ne + 1.0) / (sum(ne) OVER () + count(*) OVER ()) AS p, (nf + 1.0) / (sum(nf) OVER () + count(*) OVER ()) AS q FROM c)
-SELECT round(-sum(p * ln(q)), 6) AS cross_entropy, round(-sum(p * ln(p)), 6) AS entropy_p,
+c AS (SELECT lang, byte, count(*) AS n FROM b GROUP BY ALL),
+l AS (SELECT DISTINCT lang FROM c),
+u AS (SELECT x.lang AS lang_p, y.lang AS lang_q, c.byte, sum(CASE WHEN c.lang = x.lang THEN n ELSE 0 END) AS np,
+             sum(CASE WHEN c.lang = y.lang THEN n ELSE 0 END) AS nq
+      FROM l x JOIN l y ON x.lang < y.lang JOIN c ON c.lang IN (x.lang, y.lang) GROUP BY ALL),
+s AS (SELECT lang_p, lang_q, (np + 1.0) / (sum(np) OVER w + count(*) OVER w) AS p, (nq + 1.0) / (sum(nq) OVER w + count(*) OVER w) AS q
+      FROM u WINDOW w AS (PARTITION BY lang_p, lang_q))
+SELECT lang_p, lang_q, round(-sum(p * ln(q)), 6) AS cross_entropy, round(-sum(p * ln(p)), 6) AS entropy_p,
        round(sum(p * ln(p) - p * ln(q)), 6) AS kl,
-       round(0.5 * sum(p * ln(p) - p * ln((p + q) / 2)) + 0.5 * sum(q * ln(q) - q * ln((p + q) / 2)), 6) AS js FROM s""")
+       round(0.5 * sum(p * ln(p) - p * ln((p + q) / 2)) + 0.5 * sum(q * ln(q) - q * ln((p + q) / 2)), 6) AS js FROM s GROUP BY ALL""")
 def q_h6(spark, d):
-    b = _bytes(spark, d).where(F.col("lang").isin("en", "fr"))
-    c = b.groupBy("byte").agg(F.count(F.when(F.col("lang") == "en", 1)).alias("ne"),
-                              F.count(F.when(F.col("lang") == "fr", 1)).alias("nf"))
-    tot = c.agg(F.sum("ne").alias("te"), F.sum("nf").alias("tf"), F.count(F.lit(1)).alias("v")).withColumn("_k", F.lit(1))
-    sm = c.withColumn("_k", F.lit(1)).join(F.broadcast(tot), "_k")
-    p = sm.select("byte", ((F.col("ne") + 1.0) / (F.col("te") + F.col("v"))).alias("p"))
-    q = sm.select("byte", ((F.col("nf") + 1.0) / (F.col("tf") + F.col("v"))).alias("q"))
-    out = H.divergences(p, q, "byte")
-    return out.select(*[R6(F.col(c)).alias(c) for c in ("cross_entropy", "entropy_p", "kl", "js")])
+    """Byte distributions of every pair of languages, add-one smoothed over the pair's bytes."""
+    c = _bytes(spark, d).groupBy("lang", "byte").agg(F.count(F.lit(1)).alias("n"))
+    langs = c.select("lang").distinct()
+    pairs = langs.select(F.col("lang").alias("lang_p")).join(langs.select(F.col("lang").alias("lang_q")), F.col("lang_p") < F.col("lang_q"))
+    sides = [pairs.join(c.withColumnRenamed("lang", f"lang_{x}"), f"lang_{x}").select(
+        "lang_p", "lang_q", "byte", *(F.col("n").alias(f"n{y}") if x == y else F.lit(0).cast("bigint").alias(f"n{y}") for y in "pq"))
+        for x in "pq"]
+    u = sides[0].union(sides[1]).groupBy("lang_p", "lang_q", "byte").agg(F.sum("np").alias("np"), F.sum("nq").alias("nq"))
+    w = Window.partitionBy("lang_p", "lang_q")  # the bytes of one pair: 256 rows at most
+    share = [((F.col(f"n{x}") + 1.0) / (F.sum(f"n{x}").over(w) + F.count(F.lit(1)).over(w))).alias(x) for x in "pq"]
+    out = H.divergences(u.select("lang_p", "lang_q", *share), ["lang_p", "lang_q"])
+    return out.select("lang_p", "lang_q", *[R6(F.col(c)).alias(c) for c in ("cross_entropy", "entropy_p", "kl", "js")])
 
 
 @register("h8_mutual_information", """

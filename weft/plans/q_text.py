@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import tokens as tk
@@ -17,6 +18,7 @@ from .registry import register
 
 BV = V.BYTE_VOCAB
 PAD = BV.pad_id
+BOS_CODE, EOS_CODE = (K.s(tk.code_hex(tk.SPECIAL_BASE + i)) for i in (BV.bos_id, BV.eos_id))
 MD5 = lambda c: F.md5(F.array_join(c, ","))
 
 
@@ -36,12 +38,18 @@ def pretrain_summary(spark, d, max_length=512):
         .cast("bigint").alias("label_sum"))
 
 
+def _pretrain_ids_sql(max_length=512):
+    body = K.pad(f"({BOS_CODE} || {K.trunc('c', max_length - 2)} || {EOS_CODE})", max_length)
+    return f"""SELECT doc_id, md5(array_to_string({K.code_ids_fast(body)}, ',')) AS ids_md5
+      FROM (SELECT doc_id, {K.encode_bytes("coalesce(text, 'None')")} AS c FROM documents)"""
+
+
 def _pretrain_sql(max_length=512):
     body = max_length - 2
     return f"""
 WITH d AS (SELECT doc_id, lang, {K.encode_bytes("coalesce(text, 'None')")} AS c FROM documents),
 r AS (SELECT doc_id, lang, {K.ntok('c')} AS n_raw,
-        {K.code_ids_fast(K.pad("(' FF00' || " + K.trunc('c', body) + " || ' FF01')", max_length))} AS ids FROM d)
+        {K.code_ids_fast(K.pad(f"({BOS_CODE} || {K.trunc('c', body)} || {EOS_CODE})", max_length))} AS ids FROM d)
 SELECT lang, count(*)::BIGINT AS n_docs, sum(least(n_raw, {body}) + 2)::BIGINT AS n_tokens,
   sum(len(list_filter(ids, lambda x: x <> {PAD})))::BIGINT AS n_label_tokens,
   sum(CASE WHEN n_raw > {body} THEN 1 ELSE 0 END)::BIGINT AS n_truncated,
@@ -83,18 +91,27 @@ def q_a6(spark, d):
     return out.drop("_k")
 
 
-@register("a9_write_shards", """
-SELECT count(*)::BIGINT AS n_rows, count(DISTINCT doc_id)::BIGINT AS n_docs, sum(doc_id)::BIGINT AS doc_id_sum,
-       sum(n_chars)::BIGINT AS n_chars FROM documents""")
+SHARD_CHARS = 4_000_000
+
+
+@register("a9_write_shards", f"""
+WITH r AS ({_pretrain_ids_sql()})
+SELECT doc_id, ids_md5, 0::BIGINT AS n_out_of_order FROM r""")
 def q_a9(spark, d):
+    """Finished pretraining rows, written in ranges of doc_id and read back. Every row carries the number
+    of rows of its shard that follow a larger id, plus the number of shards that overlap the one before."""
     path = shared_path(spark, f"shards-{uuid.uuid4().hex}")
-    docs = D.table(spark, d, "documents").select("doc_id", "n_chars")
-    readers.write_shards(docs, path, 4, ["doc_id"])
+    docs = D.table(spark, d, "documents").select("doc_id", "text")
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    done = rows.pretrain_rows(docs, ["doc_id"], "text", BV, 512).select("doc_id", "input_ids", "labels")
+    readers.write_shards(done, path, chars // SHARD_CHARS + 1, ["doc_id"])
     back = spark.read.parquet(path)
-    return back.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
-                    F.countDistinct("doc_id").cast("bigint").alias("n_docs"),
-                    F.sum("doc_id").cast("bigint").alias("doc_id_sum"),
-                    F.sum("n_chars").cast("bigint").alias("n_chars"))
+    file = back.select("doc_id", "shard", F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"))
+    late = file.withColumn("was", F.lag("doc_id").over(Window.partitionBy("f").orderBy("i"))).groupBy("shard").agg(
+        F.sum((F.col("was") > F.col("doc_id")).cast("bigint")).alias("late"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    overlap = late.withColumn("before", F.lag("hi").over(Window.orderBy("shard")))  # one row per shard
+    bad = overlap.select("shard", (F.coalesce("late", F.lit(0)) + F.coalesce((F.col("before") >= F.col("lo")).cast("bigint"), F.lit(0))).alias("n_out_of_order"))
+    return back.join(bad, "shard").select("doc_id", MD5(F.col("input_ids")).alias("ids_md5"), "n_out_of_order")
 
 
 # --- B: byte level ----------------------------------------------------------------
@@ -166,12 +183,18 @@ def _byte_vocab_sql() -> str:
 
 @register("b9_token_lookup", lambda: f"""
 WITH {_byte_vocab_sql()},
-toks AS (SELECT DISTINCT substr(text, 1, 1) AS token FROM documents)
-SELECT t.token, v.id::INT AS id FROM toks t LEFT JOIN bytevocab v USING (token)""")
+toks AS (SELECT DISTINCT unnest(string_split(text, '')) AS token FROM documents),
+b AS (SELECT t.token, v.id::INT AS id FROM toks t LEFT JOIN bytevocab v USING (token)),
+s AS (SELECT unnest(%s) AS token, unnest(range(0, %d))::INT AS id)
+SELECT token, id, CASE WHEN id IS NOT NULL THEN token END AS back, false AS is_special FROM b WHERE token <> ''
+UNION ALL SELECT token, id, token, true FROM s""" % (K.slist(tk.ALL_SPECIAL_TOKENS), len(tk.ALL_SPECIAL_TOKENS)))
 def q_b9(spark, d):
     vt = V.vocab_table(spark, BV)
-    toks = D.table(spark, d, "documents").select(F.substring("text", 1, 1).alias("token")).distinct()
-    return toks.join(F.broadcast(vt.select("token", "id")), "token", "left")
+    toks = D.table(spark, d, "documents").select(F.explode(F.split("text", "")).alias("token")).distinct().where("token <> ''")
+    toks = toks.withColumn("is_special", F.lit(False)).union(vt.where("is_special").select("token", "is_special"))
+    found = toks.join(vt.select("token", "id"), "token", "left")
+    back = vt.select("id", F.col("token").alias("back"))  # and from the id to its token
+    return found.join(back, "id", "left").select("token", "id", "back", "is_special")
 
 
 @register("b11_truncate", f"""

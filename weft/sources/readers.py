@@ -11,28 +11,38 @@ SIMPLE_MESSAGE = "STRUCT<role: STRING, content: STRING>"
 TEXT_SCHEMA = "text STRING"
 CONVERSATION_SCHEMA = f"conversations ARRAY<{MESSAGE}>"
 PAIR_SCHEMA = f"chosen ARRAY<{SIMPLE_MESSAGE}>, rejected ARRAY<{SIMPLE_MESSAGE}>"
+PROMPT_SCHEMA = f"conversations ARRAY<{SIMPLE_MESSAGE}>"
 AGENT_SCHEMA = f"conversations ARRAY<{MESSAGE}>, gt STRING"
 
 
+def _strict_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A malformed line fails the read. Unlike the reference, a blank line is skipped."""
+    return spark.read.option("mode", "FAILFAST").schema(schema).json(path)
+
+
 def read_text_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """A1: ``{"text": ...}`` per line."""
-    return spark.read.schema(TEXT_SCHEMA).json(path)
+    return _strict_jsonl(spark, path, TEXT_SCHEMA)
 
 
 def read_conversations_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """A2/A4: conversations with the five-field message schema; absent fields are NULL."""
-    return spark.read.schema(CONVERSATION_SCHEMA).json(path)
+    """A2: conversations with the five-field message schema; absent fields are NULL."""
+    return _strict_jsonl(spark, path, CONVERSATION_SCHEMA)
+
+
+def read_prompts_jsonl(spark: SparkSession, path: str) -> DataFrame:
+    """A4: RL prompts, conversations of (role, content)."""
+    return _strict_jsonl(spark, path, PROMPT_SCHEMA)
 
 
 def read_pairs_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """A3: preference pairs."""
-    return spark.read.schema(PAIR_SCHEMA).json(path)
+    return _strict_jsonl(spark, path, PAIR_SCHEMA)
 
 
 def read_agent_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """A5: tool-use samples; a malformed line fails the read (FAILFAST). Unlike the
-    reference, a blank line is skipped rather than fatal."""
-    return spark.read.option("mode", "FAILFAST").schema(AGENT_SCHEMA).json(path)
+    """A5: tool-use samples."""
+    return _strict_jsonl(spark, path, AGENT_SCHEMA)
 
 
 def sample_count(df: DataFrame) -> DataFrame:
@@ -66,8 +76,8 @@ def assemble_messages(turns: DataFrame, key_col: str = "conv_id", order_col: str
 
 
 def write_shards(df: DataFrame, path: str, n_shards: int, order_cols: list[str]) -> None:
-    """Range-partition finished rows into ``n_shards`` ordered shards and write them
+    """Range-partition finished rows into ``n_shards`` sorted shards and write them
     as parquet, one folder per shard (the output committer publishes atomically)."""
-    (df.repartitionByRange(n_shards, *order_cols)
+    (df.repartitionByRange(n_shards, *order_cols).sortWithinPartitions(*order_cols)
      .withColumn("shard", F.spark_partition_id())
-     .write.mode("overwrite").partitionBy("shard").parquet(path))
+     .write.partitionBy("shard").parquet(path))
