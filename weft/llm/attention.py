@@ -261,21 +261,26 @@ def _words(data, off):
     return tv.words(data, off, is_word=tv.INK, accents=False)
 
 
-def _keys(rows: pa.Table, kept: list | None = None) -> tuple[np.ndarray, np.ndarray, int]:
-    """A block's distinct words (sorted hashes), their counts in training documents, and all of these.
-    ``kept`` gets the words' starts, hashes and first words of each span."""
-    every, learnt, ends = [np.array([END_WORD])], [np.zeros(0, np.uint64)], 0
+def _asked(rows: pa.Table, kept: list | None = None) -> np.ndarray:
+    """A block's distinct words, as sorted hashes, the end among them. ``kept`` gets each span's
+    words: starts, hashes, first words, and which of its texts are held out."""
+    every = [np.array([END_WORD])]
     for b, lo, hi, data, off in _spans(rows):
         start, _, h, first = _words(data, off)
         if kept is not None:
-            kept.append((start, h, first))
+            kept.append((start, h, first, b.column("held_out").to_numpy(zero_copy_only=False)[lo:hi]))
         every.append(_distinct(h))
-        free = ~b.column("held_out").to_numpy(zero_copy_only=False)[lo:hi]
-        ends += int(free.sum())
-        learnt.append(h[np.repeat(free, np.diff(first))])
-    keys = _distinct(np.concatenate(every))
-    own = np.sort(np.concatenate(learnt))
-    n = np.searchsorted(own, keys, "right") - np.searchsorted(own, keys, "left")
+    return _distinct(np.concatenate(every))
+
+
+def _keys(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, int]:
+    """A block's distinct words, their counts in training documents, and all of these."""
+    kept: list = []
+    keys = _asked(rows, kept)
+    own = np.sort(np.concatenate([np.zeros(0, np.uint64), *(h[np.repeat(~held, np.diff(first))] for _, h, first, held in kept)]))
+    edge = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, int)
+    n, ends = np.zeros(len(keys), np.int64), sum(int((~held).sum()) for *_, held in kept)
+    n[np.searchsorted(keys, own[edge])] = np.diff(np.r_[edge, len(own)])
     n[np.searchsorted(keys, END_WORD)] += ends
     return keys, n, len(own) + ends
 
@@ -341,7 +346,7 @@ def _answer(shared, path: str | None, mix: float):
         n = np.concatenate([np.frombuffer(answers.column("n")[int(i)].as_buffer(), "<i8") for i in order])
         tokens, types = max(answers.column("tokens").to_pylist()), sum(answers.column("types").to_pylist())
         kept: list = []
-        keys = _keys(rows, kept)[0]
+        keys = _asked(rows, kept)
         known = tv.Positions()
         known.add(keys)
         ends = int(n[np.searchsorted(keys, END_WORD)])
@@ -350,7 +355,7 @@ def _answer(shared, path: str | None, mix: float):
             with np.errstate(divide="ignore"):
                 return np.logaddexp(att + np.log(mix), np.log((1 - mix) * c / max(tokens, 1)))
         out = []
-        for (b, lo, hi, data, off), (start, h, first) in zip(_spans(rows), kept):
+        for (b, lo, hi, data, off), (start, h, first, _) in zip(_spans(rows), kept):
             c = n[known.find(h)]
             ids, at, piece, size = enc.encode_pieces(data, off)
             logp, place = model.logp(ids, at)
