@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 
 from weft.session import shared_path
 
-K, TREES, SIGNS, LEAF, ROUNDS, POOL, EXPAND, STEPS = 16, 6, 4, 128, 6, 48, 12, 8
+K, TREES, SIGNS, LEAF, ROUNDS, POOL, EXPAND, STEPS = 32, 6, 4, 128, 4, 128, 32, 8
+#: Of the pairs found at one gathering node, each member keeps so many; nodes handled at once.
+LOCAL, AT_ONCE = 10, 1000
 NEAREST, MOST = 5, 6
 LIST = "node long, ids array<long>, sims array<float>"
 
@@ -127,25 +129,27 @@ def _merge(batches):
 def _compare(batches):
     """Pairs among a node's gathered neighbours, at least one of them new, that beat what a member has."""
     for b in batches:
-        own, oth, val = [], [], []
-        for g in b.column("gathered"):
-            n = g.values.field("id").to_numpy()
-            fresh = g.values.field("fresh").to_numpy(zero_copy_only=False)
-            worst = g.values.field("worst").to_numpy()
-            _, first = np.unique(n, return_index=True)
-            if len(first) < 2:
-                continue
-            x = _matrix(g.values.field("unit").take(pa.array(first)))
-            any_fresh = np.isin(n[first], n[fresh])
-            sim = x @ x.T
-            ok = (any_fresh[:, None] | any_fresh[None, :]) & (sim > worst[first][:, None])
-            np.fill_diagonal(ok, False)
-            i, j = np.nonzero(ok)
-            own.append(n[first][i])
-            oth.append(n[first][j])
-            val.append(sim[i, j])
-        if own:
-            yield pa.RecordBatch.from_arrays(_best(*map(np.concatenate, (own, oth, val)), K), names=["node", "ids", "sims"])
+        for lo in range(0, b.num_rows, AT_ONCE):
+            own, oth, val = [], [], []
+            for g in b.column("gathered").slice(lo, AT_ONCE):
+                n, first = np.unique(g.values.field("id").to_numpy(), return_index=True)
+                if len(n) < 2:
+                    continue
+                take = pa.array(first)
+                fresh = np.isin(n, g.values.field("id").filter(g.values.field("fresh")).to_numpy())
+                x = _matrix(g.values.field("unit").take(take))
+                sim = x @ x.T
+                ok = (fresh[:, None] | fresh[None, :]) & (sim > g.values.field("worst").take(take).to_numpy()[:, None])
+                np.fill_diagonal(ok, False)
+                sim[~ok] = -3
+                if len(n) > LOCAL:
+                    ok &= sim >= np.partition(sim, -LOCAL, axis=1)[:, -LOCAL:-LOCAL + 1]
+                i, j = np.nonzero(ok)
+                own.append(n[i])
+                oth.append(n[j])
+                val.append(sim[i, j])
+            if own:
+                yield pa.RecordBatch.from_arrays(_best(*map(np.concatenate, (own, oth, val)), K), names=["node", "ids", "sims"])
 
 
 def _merged(lists: DataFrame, old: DataFrame | None) -> DataFrame:
@@ -166,7 +170,6 @@ def graph(units: DataFrame, base: str) -> DataFrame:
     leaves = placed.repartitionByRange("place").sortWithinPartitions("place", "node").drop("place")
     _merged(leaves.mapInArrow(_leaves, LIST), None).write.parquet(f"{base}/graph0")
     g = spark.read.parquet(f"{base}/graph0")
-    total = None
     for r in range(1, ROUNDS + 1):
         edges = g.select("node", F.explode(F.arrays_zip("ids", "sims", "fresh")).alias("e")).select(
             "node", F.col("e.ids").alias("id"), F.col("e.sims").alias("sim"), F.col("e.fresh").alias("fresh"))
@@ -183,8 +186,7 @@ def graph(units: DataFrame, base: str) -> DataFrame:
         _merged(found, g).write.parquet(f"{base}/graph{r}")
         g = spark.read.parquet(f"{base}/graph{r}")
         changed = g.agg(F.sum(F.size(F.filter("fresh", lambda x: x))).alias("c"), F.sum(F.size("ids")).alias("n")).first()
-        total = changed["n"]
-        if (changed["c"] or 0) <= 0.02 * (total or 0):
+        if (changed["c"] or 0) <= 0.02 * (changed["n"] or 0):
             break
     return g
 
