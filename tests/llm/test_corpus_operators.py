@@ -101,11 +101,12 @@ def test_kneserney_probabilities_match_dictionaries(spark):
     assert {x["gram"].to_bytes(order, "big"): x["n"] for x in table.collect()} == counts
     probe = [*list(counts)[:30], b"abz", b"zzz", b"\x01\x01q", b"dd\x02"]
     keys = spark.createDataFrame([(int.from_bytes(g, "big"),) for g in probe], "gram LONG")
-    got = {x["gram"].to_bytes(order, "big"): x["logp"] for x in kneserney.probabilities(keys, kneserney.levels(table, order)).collect()}
+    model = kneserney.levels(table, order)
+    got = {x["gram"].to_bytes(order, "big"): x["logp"] for x in kneserney.probabilities(keys, kneserney.seen(model), model).collect()}
     for g in probe:
         assert got[g] == pytest.approx(math.log(p(g)))
     every = spark.createDataFrame([(int.from_bytes(b"ab" + bytes([c]), "big"),) for c in range(256)], "gram LONG")
-    total = kneserney.probabilities(every, kneserney.levels(table, order)).agg(F.sum(F.exp("logp"))).first()[0]
+    total = kneserney.probabilities(every, kneserney.seen(model), model).agg(F.sum(F.exp("logp"))).first()[0]
     assert total == pytest.approx(1.0)
 
 

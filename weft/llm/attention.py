@@ -245,7 +245,9 @@ def fit(docs: DataFrame, path: str | None = None, sample: int = SAMPLE) -> dict:
         z = np.load(io.BytesIO(bytes(got[0]["model"])))
         return {k: z[k] if z[k].ndim else int(z[k]) for k in z.files}
     size = subword.Encoder(path).size()
-    return train([], size, size - 1, epochs=0)
+    p = train([np.zeros(0, np.int64)], size, size - 1, epochs=0)
+    p["e"][:], p["b"][:] = 0, np.log([1 / size, (size - 1) / size])
+    return p
 
 
 # --- the words' counts -------------------------------------------------------------------
