@@ -116,7 +116,8 @@ def scan(docs: DataFrame) -> DataFrame:
     idf = {w: math.log(1 + (total - df.get(w, 0) + 0.5) / (df.get(w, 0) + 0.5)) for w in strong}
     postings = [(name, i, w, idf[w]) for name, (text, _) in TEMPLATES.items() for i, w in enumerate(_split(text)) if w in idf]
     whole = {name: sum(p[3] for p in postings if p[0] == name) for name in TEMPLATES}
-    index = F.broadcast(spark.createDataFrame(postings, "template string, tpos int, w string, idf double"))
+    index = F.broadcast(spark.range(1).select(F.inline(F.array(*(F.struct(  # a fixed table
+        F.lit(t).alias("template"), F.lit(p).alias("tpos"), F.lit(w).alias("w"), F.lit(x).alias("idf")) for t, p, w, x in postings)))))
 
     weight = F.create_map(*(F.lit(x) for kv in idf.items() for x in kv))
     ranked = F.array_sort(F.transform(F.array_distinct(F.filter("found.w", lambda w: weight[w].isNotNull())),
