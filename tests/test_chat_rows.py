@@ -163,3 +163,26 @@ def test_schedule_and_steps(spark):
                               rows.rescale_step(F.lit(1000), F.lit(4), F.lit(8)).alias("r")).first()
     assert r["a"] == pytest.approx(1.0) and r["b"] == pytest.approx(0.55) and r["c"] == pytest.approx(0.1)
     assert (r["s"], r["t"], r["r"]) == (3, 2, 500)
+
+
+def test_empty_conversations_are_counted_not_trained_on(spark):
+    df = spark.createDataFrame([(0, []), (1, None), (2, [dict(role="user", content="q", reasoning_content=None, tools=None, tool_calls=None)])],
+                               f"k INT, messages ARRAY<{MESSAGE}>")
+    assert [r["k"] for r in rows.sft_rows(df, "k", "messages", BV, 64).collect()] == [2]
+    assert rows.rejected_conversations(df, "messages").first()["n_rejected"] == 2
+
+
+def test_trained_anchors_may_be_swallowed_by_a_longer_merge(spark):
+    # T5: with a merge of two line feeds the opener's own line feed is not a token any more
+    msgs = _msgs(spark, [[("user", "q"), ("assistant", "a")], [("user", "q"), ("assistant", "\n\na")]])
+    vocab = V.Vocab(merges=((10, 10),))
+    plain = rows.sft_rows(msgs, "k", "messages", BV, 64, add_system_ratio=0.0).orderBy("k").collect()
+    merged = rows.sft_rows(msgs, "k", "messages", vocab, 64, add_system_ratio=0.0).orderBy("k").collect()
+    n = [[sum(x != -100 for x in r["labels"]) for r in t] for t in (plain, merged)]
+    assert n[0] == [3, 5] and n[1] == [3, 0]
+
+
+def test_malformed_tools_count_as_none(spark):
+    df = _msgs(spark, [[("system", "s"), ("user", "q")]], "[{broken")
+    t = df.select(chat.normalise_tools(chat.last_system_tools(F.col("messages"))).alias("t")).first()["t"]
+    assert t is None

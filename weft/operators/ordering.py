@@ -7,31 +7,38 @@ partitions; each partition numbers its rows locally and a tiny table of
 per-(partition, key) counts turns local numbers into global ones.
 
 The range bounds come from sampling, and two separately planned exchanges can sample
-different bounds, so the range-partitioned table is materialised once (persisted,
-eagerly) and both the counts and the numbering are read from that one copy. A lost
-block is recomputed through the same shuffle dependency, hence the same bounds.
+different bounds, so the range-partitioned table is written once to the shared folder
+and both the counts and the numbering are read from that one copy; it survives lost
+executors and holds no cache.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_path
+
+#: Rows of one range; the number of ranges follows the data.
+RANGE_ROWS = 5_000_000
+
 
 def ordered_index(df: DataFrame, key_cols: list[str], order_cols: list[str],
                   out_col: str = "rn", num_partitions: int | None = None) -> DataFrame:
     """Add a 1-based row number per key in (order_cols) order. ``order_cols`` must make
     the order total (end with a unique column) for the numbering to be deterministic."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or max(spark.sparkContext.defaultParallelism, df.count() // RANGE_ROWS + 1)
     sort_cols = [*key_cols, *order_cols]
-    ranged = (df.repartitionByRange(n, *sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    ranged.count()
+    path = shared_path(spark, f"ordered-{uuid.uuid4().hex}")
+    (df.repartitionByRange(n, *sort_cols)
+     .sortWithinPartitions(*sort_cols)
+     .withColumn("_pid", F.spark_partition_id())
+     .withColumn("_mono", F.monotonically_increasing_id())
+     .write.parquet(path))
+    ranged = spark.read.parquet(path)
     stats = ranged.groupBy("_pid", *key_cols).agg(F.min("_mono").alias("_first"),
                                                    F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*key_cols).orderBy("_pid") if key_cols else Window.orderBy("_pid")

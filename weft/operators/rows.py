@@ -104,11 +104,22 @@ def _tokenize_fixed(df: DataFrame, key_cols: list[str], text_col: str, vocab: Vo
     return staged.withColumn(f"{out_prefix}codes", padded).drop("_c")
 
 
+def _empty(messages_col: str) -> Column:
+    return F.coalesce(F.size(messages_col) <= 0, F.lit(True))
+
+
+def rejected_conversations(df: DataFrame, messages_col: str) -> DataFrame:
+    """The number of conversations that give no training row, as a one-row DataFrame."""
+    return df.agg(F.count(F.when(_empty(messages_col), 1)).alias("n_rejected"))
+
+
 def sft_rows(df: DataFrame, key_col: str, messages_col: str, vocab: Vocab,
              max_length: int = 1024, add_system_ratio: float = 0.2,
              empty_think_ratio: float = 0.2, seed: int = 42, keep_codes: bool = False) -> DataFrame:
-    """C7 -> D4/C1 -> C8 -> tokenize -> truncate -> pad -> D6."""
+    """C7 -> D4/C1 -> C8 -> tokenize -> truncate -> pad -> D6. Conversations without a
+    message are no training rows (T18); :func:`rejected_conversations` counts them."""
     key = F.col(key_col)
+    df = df.where(~_empty(messages_col))
     msgs = chat.add_system_prompt(F.col(messages_col), key, add_system_ratio, seed=seed)
     staged = df.withColumn("_msgs", msgs)
     staged = staged.withColumn("_tools", chat.normalise_tools(chat.last_system_tools(F.col("_msgs"))))
@@ -202,7 +213,7 @@ def resume_length(n_samples: Column, batch_size: int, skip: int) -> Column:
 def rescale_step(step: Column, saved_world: Column, current_world: Column) -> Column:
     """Step * saved_world // current_world when the worker count changed."""
     return F.when(saved_world != current_world,
-                  F.floor(step * saved_world / current_world)).otherwise(step).cast("bigint")
+                  F.call_function("div", step * saved_world, current_world)).otherwise(step).cast("bigint")
 
 
 def optimizer_steps(n_batches: Column, accumulation_steps: int, start_step: Column | int = 0) -> Column:

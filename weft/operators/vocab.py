@@ -511,10 +511,10 @@ def load_vocab(spark: SparkSession, path: str) -> Vocab:
                  specials=tuple(specials), presplit=layout == "production")
 
 
-def compression_report(df: DataFrame, group_col: str, text_col: str, ids_col: str) -> DataFrame:
-    """Tokens per character (and characters per token) per group."""
+def compression_report(df: DataFrame, group_col: str, text_col: str, codes_col: str) -> DataFrame:
+    """Tokens per character (and characters per token) per group, counted on code text."""
     return df.groupBy(group_col).agg(
-        F.sum(F.size(ids_col)).cast("bigint").alias("n_tokens"),
+        F.sum(tk.n_tokens(F.col(codes_col))).cast("bigint").alias("n_tokens"),
         F.sum(F.length(text_col)).cast("bigint").alias("n_chars"),
     ).select(group_col, "n_tokens", "n_chars",
              F.round(F.col("n_tokens") / F.col("n_chars"), 6).alias("tokens_per_char"),

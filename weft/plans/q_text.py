@@ -235,8 +235,8 @@ SELECT lang, sum(strlen(text))::BIGINT AS n_tokens, sum(length(text))::BIGINT AS
 FROM documents GROUP BY lang""")
 def q_b14(spark, d):
     docs = D.table(spark, d, "documents")
-    t = docs.select("lang", "text", V.ids_of(V.encode_inline(F.col("text"), BV), BV).alias("ids"))
-    return V.compression_report(t, "lang", "text", "ids")
+    t = docs.select("lang", "text", V.encode_inline(F.col("text"), BV).alias("codes"))
+    return V.compression_report(t, "lang", "text", "codes")
 
 
 # --- C: rendering -------------------------------------------------------------------

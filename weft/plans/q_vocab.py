@@ -199,8 +199,7 @@ def q_b14t(spark, d):
     vocab = production_vocab(spark, d)
     docs = D.table(spark, d, "documents").select("doc_id", "lang", "text")
     enc = V.encode_corpus(docs, "text", vocab, "codes")
-    t = enc.select("lang", "text", V.ids_of(F.col("codes"), vocab).alias("ids"))
-    return V.compression_report(t, "lang", "text", "ids")
+    return V.compression_report(enc, "lang", "text", "codes")
 
 
 # --- rendering and row builders on the trained vocabulary ---------------------------------
