@@ -10,6 +10,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+# Python workers share an executor's memory with its JVM: freed batches go back to the system.
+pa.set_memory_pool(pa.system_memory_pool())
+
 PIECE = 1 << 20
 _P = 0x9E3779B97F4A7C15
 _M64 = (1 << 64) - 1
