@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from weft.session import shared_path
 
-K, TREES, SIGNS, LEAF, ROUNDS, POOL, EXPAND, STEPS = 32, 6, 4, 128, 4, 128, 32, 8
+K, TREES, SIGNS, LEAF, ROUNDS, POOL, EXPAND, STEPS = 32, 6, 4, 128, 4, 128, 64, 8
 #: Of the pairs found at one gathering node, each member keeps so many; nodes handled at once.
 LOCAL, AT_ONCE = 10, 1000
 NEAREST, MOST = 5, 6
@@ -234,7 +234,7 @@ def search(queries: DataFrame, g: DataFrame, units: DataFrame, base: str) -> Dat
         rows = rows.join(cand, "query", "left").select("query", "unit", "pool", "sim", "seen", "cand")
         rows.mapInArrow(_walk, state).write.parquet(f"{base}/pool{step}")
         pool = spark.read.parquet(f"{base}/pool{step}")
-        if not pool.where(F.exists(F.slice("seen", 1, 2 * EXPAND), lambda x: ~x)).take(1):
+        if not pool.where(F.exists(F.slice("seen", 1, EXPAND), lambda x: ~x)).take(1):
             break
     return pool.select("query", "pool")
 
