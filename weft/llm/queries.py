@@ -52,7 +52,7 @@ def op9_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return separators.token_counts(_table(spark, sf_dir, "documents"))
+    return separators.token_counts(_table(spark, sf_dir, "documents"), files=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

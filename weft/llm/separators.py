@@ -106,10 +106,17 @@ def documents(summaries: DataFrame) -> DataFrame:
                       (F.col("stop") - start).alias("n_tokens"), (F.col("i") < F.col("count")).alias("closed"))
 
 
-def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, file, document, start of every row: written flat, then scanned."""
+def token_counts(docs: DataFrame, path: str | None = None, files: bool = False) -> DataFrame:
+    """doc_id, n_tokens, file, document, start of every row: written flat, then scanned.
+
+    The rows are read twice, for the texts and for the order of the ids. ``files`` says that docs
+    reads files as they are, so both readings have one order; otherwise ids and texts are written
+    to the shared folder first, since a shuffle may order other columns otherwise."""
     spark = docs.sparkSession
     folder = shared_path(spark, f"flat-{uuid.uuid4().hex}")
+    if not files:
+        docs.select("doc_id", "text").write.parquet(f"{folder}-rows")
+        docs = spark.read.parquet(f"{folder}-rows")
     write_flat(docs, folder, path)
     found = documents(blocks(spark, folder)).withColumn(
         "file", F.regexp_extract("path", r"part-(\d+)", 1).cast("int"))
