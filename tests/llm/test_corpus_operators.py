@@ -308,6 +308,29 @@ def test_attention_without_training_rows(spark):
     assert attention.score(_docs(spark, [(held, "ab", None)]).limit(0)).count() == 0
 
 
+def test_attention_learns_from_every_training_document(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [letters[i // 676 % 26] + letters[i // 26 % 26] + letters[i % 26] for i in range(0, 17576, 7)]
+    p = attention.fit(_docs(spark, [(i, t, None) for i, t in enumerate(texts)]).select("doc_id", "text"), block_bytes=2000, epochs=1)
+    used = np.unique(np.concatenate([ids for _, _, ids, _ in subword.encode_column(pa.array(texts))]))
+    assert (p["compact"][used] < len(p["e"]) - 1).all() and np.isfinite(p["e"]).all()
+
+
+def test_attention_of_averaged_blocks_beats_id_shares(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    both = {h: [t for i, t in rows.collect() if (zlib.crc32(str(i).encode()) % 7 == 2) == h] for h in (False, True)}
+    p = attention.fit(spark.createDataFrame(list(enumerate(both[False])), "doc_id LONG, text STRING"), block_bytes=1 << 20)
+    flat, first = [], [0]
+    for lo, hi, ids, at in subword.encode_column(pa.array(both[True])):
+        flat.append(ids)
+        first += (at[1:] + first[-1]).tolist()
+    logp, place = attention.Model(p).logp(np.concatenate(flat), np.array(first))
+    share = np.full(subword.encoder().size(), 0.5)
+    for _, _, ids, _ in subword.encode_column(pa.array(both[False])):
+        share += np.bincount(ids, minlength=len(share))
+    assert logp.mean() > np.log(share / share.sum())[np.concatenate(flat)].mean() + 0.7
+
+
 def test_word_counts_of_a_block_and_of_its_shards():
     words = "a b a c".split()
     data, off = tv.utf8(pa.array([" ".join(words)]))

@@ -4,8 +4,11 @@ The model has two parts, mixed word by word with weight ``MIX``:
 
 * a one-layer causal self-attention model over subword ids. From the current id and the
   attended context it gives the class of the next id (``CLASSES`` classes, clustered by
-  the ids' neighbours) and from the class the id. It is trained with Adam on the training
-  documents of least id hash, ``SAMPLE`` of them (a documented bound);
+  the ids' neighbours) and from the class the id. It is trained with Adam on all training
+  documents: in each of ``EPOCHS`` rounds every block of documents starts from the same
+  parameters and takes its own steps, and Spark averages the blocks' results (an id's
+  vector by how often the block has the id, the rest by the block's targets), so that the
+  driver holds only tables of the vocabulary's size;
 * the share of the word in all training documents. These counts grow with the corpus: each
   block of documents sends its distinct words with their counts to hash shards, which sum
   them and send the sums back to the block (see ``blocks``).
@@ -16,14 +19,14 @@ A word's probability is the product of its ids'; the end of the text is a word o
 
 Defined results: null and empty texts are the end alone; rows of null doc_id are not held
 out; without training rows the counts are 0, the attention part is uniform over ids, and
-base_score is 0 for every token (log10 of 1/1); ids unseen in the sample share one class;
+base_score is 0 for every token (log10 of 1/1); ids unseen in training share one class;
 every row is scored by itself, so repeated rows keep (and count as) their rows; an empty
 table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
-import io
+import math
 import uuid
 
 import numpy as np
@@ -35,11 +38,12 @@ from weft.session import shared_path
 
 from . import blocks, langid, subword, textvec as tv
 
-SAMPLE, CLASSES, WIDTH, LAP, STRIDE, MIX = 1500, 128, 16, 8, 24, 0.6
+CLASSES, WIDTH, LAP, STRIDE, MIX = 128, 16, 8, 24, 0.6
 EPOCHS, BATCH, RATE = 3, 256, 0.01
 AT_ONCE = 512
 END_WORD = np.uint64(0x5EED5EED5EED5EED)
 SPAN = 1 << 20
+COMMON, PART, LOTS = 256, 512, 64
 
 
 # --- the attention model -----------------------------------------------------------------
@@ -122,16 +126,34 @@ def _cluster(ids: np.ndarray, first: np.ndarray, n: int, end: int, classes: int)
     """A class for each of n compact ids, by k-means over what stands before and after them."""
     _, inputs, targets, _ = _windows(ids, first, end)
     size = np.bincount(targets, minlength=n).astype(float)
-    top = np.argsort(-size, kind="stable")[:256]
-    col = np.full(n, -1)
+    cells = _cells(inputs, targets, _columns(size))
+    m = np.bincount(cells, minlength=n * 2 * COMMON).reshape(n, 2, COMMON).astype(float)
+    return _kmeans(m, size, classes)
+
+
+def _columns(size: np.ndarray) -> np.ndarray:
+    """The column of each of the most frequent ids; -1 for the others."""
+    top = np.argsort(-size, kind="stable")[:COMMON]
+    col = np.full(len(size), -1)
     col[top] = np.arange(len(top))
-    feats = []
-    for a, b in ((targets, inputs), (inputs, targets)):
+    return col
+
+
+def _cells(inputs: np.ndarray, targets: np.ndarray, col: np.ndarray) -> np.ndarray:
+    """(id, side, column) of every neighbour that has a column, as one number."""
+    out = []
+    for side, (a, b) in enumerate(((targets, inputs), (inputs, targets))):
         ok = col[b] >= 0
-        m = np.bincount(a[ok] * len(top) + col[b[ok]], minlength=n * len(top)).reshape(n, len(top)).astype(float)
-        feats.append(np.sqrt(m / np.maximum(m.sum(1, keepdims=True), 1)))
-    f = np.concatenate(feats, 1)
-    _, _, vt = np.linalg.svd(f * np.sqrt(size / size.sum())[:, None], full_matrices=False)
+        out.append((a[ok] * 2 + side) * COMMON + col[b[ok]])
+    return np.concatenate(out)
+
+
+def _kmeans(m: np.ndarray, size: np.ndarray, classes: int) -> np.ndarray:
+    """Classes of ids from their neighbours' counts (n, 2, COMMON)."""
+    m /= np.maximum(m.sum(2, keepdims=True), 1)
+    f = np.sqrt(m, out=m).reshape(len(m), -1)
+    half = f * np.sqrt(size / size.sum())[:, None].astype(f.dtype)
+    vt = np.linalg.eigh((half.T @ half).astype(float))[1].T[::-1]
     f = f @ vt[:24].T
     centre = f[np.argsort(-size, kind="stable")[:classes]].copy()
     for _ in range(12):
@@ -155,11 +177,16 @@ def train(texts: list[np.ndarray], vocabulary: int, end: int, epochs: int = EPOC
     last = int(np.searchsorted(seen, end))
     classes = min(CLASSES, n)
     cls = _cluster(ids, first, n, last, classes)
-    where, inputs, targets, _ = _windows(ids, first, last)
-    count = np.bincount(targets, minlength=n) + 0.5
-    inner = np.log(count / np.bincount(cls, count, minlength=classes)[cls])
-    d, c, span = WIDTH, classes + 1, LAP + STRIDE
-    unseen = n
+    count = np.bincount(_windows(ids, first, last)[2], minlength=n) + 0.5
+    p, state = _start(count, cls, classes, rng), {}
+    for k in range(epochs):
+        _epoch(p, ids, first, last, cls, rng, state, k, epochs)
+    return _whole(p, seen, count, cls, classes, vocabulary, end)
+
+
+def _start(count: np.ndarray, cls: np.ndarray, classes: int, rng) -> dict:
+    """First parameters, from the ids' counts and classes."""
+    n, d, c, span = len(count), WIDTH, classes + 1, LAP + STRIDE
     f4 = np.float32
     p = {"e": rng.standard_normal((n + 1, d)).astype(f4) * f4(0.3), "rel": np.zeros(span, f4), "b": np.zeros(c, f4)}
     for k in ("wq", "wk", "wv"):
@@ -168,56 +195,69 @@ def train(texts: list[np.ndarray], vocabulary: int, end: int, epochs: int = EPOC
         p[k] = (rng.standard_normal((d, c)) * 0.1).astype(f4)
     p["b"][:classes] = np.log(np.maximum(np.bincount(cls, count, minlength=classes), 0.5) / count.sum()).astype(f4)
     p["b"][classes] = np.log(1e-5)
-    moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
+    return p
+
+
+def _epoch(p: dict, ids: np.ndarray, first: np.ndarray, end: int, cls: np.ndarray, rng, state: dict, k: int, epochs: int) -> None:
+    """The k-th pass over the texts: Adam steps on p, in place. ``state`` keeps the moments between passes."""
+    where, inputs, targets, _ = _windows(ids, first, end)
+    moment = state.setdefault("moment", {name: (np.zeros_like(v), np.zeros_like(v)) for name, v in p.items()})
+    step, f4, d, span = state.get("step", 0), np.float32, WIDTH, LAP + STRIDE
     dist = _relative()
     causal, back = dist >= 0, np.maximum(dist, 0)
-    step, steps = 0, epochs * -(-len(where) // BATCH)
-    for _ in range(epochs):
-        order = rng.permutation(len(where))
-        for lo in range(0, len(order), BATCH):
-            w = where[order[lo:lo + BATCH]]
-            x = inputs[np.maximum(w, 0)]
-            valid = (w >= 0)[:, None, :] | np.eye(span, dtype=bool)[LAP:][None]
-            e = p["e"][x]
-            q, k, v = e[:, LAP:] @ p["wq"], e @ p["wk"], e @ p["wv"]
-            s = np.matmul(q, k.swapaxes(1, 2)) + p["rel"][back]
-            s = np.where(causal & valid, s, f4(-1e4))
-            s -= s.max(2, keepdims=True)
-            a = np.exp(s)
-            a /= a.sum(2, keepdims=True)
-            z = np.matmul(a, v)
-            logits = e[:, LAP:] @ p["wr"] + z @ p["o"] + p["b"]
-            logits -= logits.max(2, keepdims=True)
-            g = np.exp(logits)
-            g /= g.sum(2, keepdims=True)
-            t = w[:, LAP:]
-            ok = t >= 0
-            y = cls[targets[np.maximum(t, 0)]]
-            np.put_along_axis(g, y[:, :, None], np.take_along_axis(g, y[:, :, None], 2) - 1, 2)
-            g *= ok[:, :, None] / f4(max(ok.sum(), 1))
-            grad = {"b": g.sum((0, 1)), "o": np.tensordot(z, g, ((0, 1), (0, 1))), "wr": np.tensordot(e[:, LAP:], g, ((0, 1), (0, 1)))}
-            dz = g @ p["o"].T
-            da = np.matmul(dz, v.swapaxes(1, 2))
-            dv = np.matmul(a.swapaxes(1, 2), dz)
-            ds = a * (da - (da * a).sum(2, keepdims=True))
-            grad["rel"] = np.bincount(back.ravel(), np.where(causal, ds.sum(0), 0).ravel(), minlength=span).astype(f4)
-            dq, dk = np.matmul(ds, k), np.matmul(ds.swapaxes(1, 2), q)
-            grad["wq"] = np.tensordot(e[:, LAP:], dq, ((0, 1), (0, 1)))
-            grad["wk"], grad["wv"] = (np.tensordot(e, m, ((0, 1), (0, 1))) for m in (dk, dv))
-            de = dk @ p["wk"].T + dv @ p["wv"].T
-            de[:, LAP:] += g @ p["wr"].T + dq @ p["wq"].T
-            ge = np.zeros_like(p["e"])
-            np.add.at(ge, x.ravel(), de.reshape(-1, d))
-            grad["e"] = ge
-            step += 1
-            rate = RATE * min(1.0, step / 20) * (1 - step / (steps + 1))
-            for name, m in grad.items():
-                one, two = moment[name]
-                one *= 0.9
-                one += 0.1 * m
-                two *= 0.99
-                two += 0.01 * m * m
-                p[name] -= (rate * one / (1 - 0.9 ** step) / (np.sqrt(two / (1 - 0.99 ** step)) + 1e-8)).astype(f4)
+    done, steps = k * -(-len(where) // BATCH), epochs * -(-len(where) // BATCH)
+    order = rng.permutation(len(where))
+    for lo in range(0, len(order), BATCH):
+        w = where[order[lo:lo + BATCH]]
+        x = inputs[np.maximum(w, 0)]
+        valid = (w >= 0)[:, None, :] | np.eye(span, dtype=bool)[LAP:][None]
+        e = p["e"][x]
+        q, key, v = e[:, LAP:] @ p["wq"], e @ p["wk"], e @ p["wv"]
+        s = np.matmul(q, key.swapaxes(1, 2)) + p["rel"][back]
+        s = np.where(causal & valid, s, f4(-1e4))
+        s -= s.max(2, keepdims=True)
+        a = np.exp(s)
+        a /= a.sum(2, keepdims=True)
+        z = np.matmul(a, v)
+        logits = e[:, LAP:] @ p["wr"] + z @ p["o"] + p["b"]
+        logits -= logits.max(2, keepdims=True)
+        g = np.exp(logits)
+        g /= g.sum(2, keepdims=True)
+        t = w[:, LAP:]
+        ok = t >= 0
+        y = cls[targets[np.maximum(t, 0)]]
+        np.put_along_axis(g, y[:, :, None], np.take_along_axis(g, y[:, :, None], 2) - 1, 2)
+        g *= ok[:, :, None] / f4(max(ok.sum(), 1))
+        grad = {"b": g.sum((0, 1)), "o": np.tensordot(z, g, ((0, 1), (0, 1))), "wr": np.tensordot(e[:, LAP:], g, ((0, 1), (0, 1)))}
+        dz = g @ p["o"].T
+        da = np.matmul(dz, v.swapaxes(1, 2))
+        dv = np.matmul(a.swapaxes(1, 2), dz)
+        ds = a * (da - (da * a).sum(2, keepdims=True))
+        grad["rel"] = np.bincount(back.ravel(), np.where(causal, ds.sum(0), 0).ravel(), minlength=span).astype(f4)
+        dq, dk = np.matmul(ds, key), np.matmul(ds.swapaxes(1, 2), q)
+        grad["wq"] = np.tensordot(e[:, LAP:], dq, ((0, 1), (0, 1)))
+        grad["wk"], grad["wv"] = (np.tensordot(e, m, ((0, 1), (0, 1))) for m in (dk, dv))
+        de = dk @ p["wk"].T + dv @ p["wv"].T
+        de[:, LAP:] += g @ p["wr"].T + dq @ p["wq"].T
+        ge = np.zeros_like(p["e"])
+        np.add.at(ge, x.ravel(), de.reshape(-1, d))
+        grad["e"] = ge
+        step, done = step + 1, done + 1
+        rate = RATE * min(1.0, step / 20) * (1 - done / (steps + 1))
+        for name, m in grad.items():
+            one, two = moment[name]
+            one *= 0.9
+            one += 0.1 * m
+            two *= 0.99
+            two += 0.01 * m * m
+            p[name] -= (rate * one / (1 - 0.9 ** step) / (np.sqrt(two / (1 - 0.99 ** step)) + 1e-8)).astype(f4)
+    state["step"] = step
+
+
+def _whole(p: dict, seen: np.ndarray, count: np.ndarray, cls: np.ndarray, classes: int, vocabulary: int, end: int) -> dict:
+    """Parameters with the tables over all ids of the vocabulary; those not seen share the last class and vector."""
+    n = unseen = len(seen)
+    inner = np.log(count / np.bincount(cls, count, minlength=classes)[cls])
     p["e"][unseen] = 0
     full_cls, full_inner = np.full(vocabulary, classes), np.full(vocabulary, -np.log(max(vocabulary - n, 1)), np.float64)
     compact = np.full(vocabulary, unseen)
@@ -225,29 +265,157 @@ def train(texts: list[np.ndarray], vocabulary: int, end: int, epochs: int = EPOC
     return p | {"cls": full_cls, "inner": full_inner, "compact": compact, "end": end}
 
 
-def _train_on(path: str | None):
+IDS = "block int, ids binary, first binary"
+SPARSE = "part int, lot int, at binary, x binary"
+
+
+def _encode(path: str | None):
+    """A block's ids, its texts in an order that a retried task repeats."""
     def run(rows: pa.Table) -> pa.Table:
-        enc = subword.encoder(path)
-        texts = [ids[first[i]:first[i + 1]] for col in rows.column("text").chunks
-                 for lo, hi, ids, first in subword.encode_column(col, path) for i in range(hi - lo)]
-        sink = io.BytesIO()
-        np.savez(sink, **train(texts, enc.size(), enc.size() - 1))
-        return pa.table({"model": pa.array([sink.getvalue()], pa.binary())})
+        block, kind, texts = rows.column("block")[0].as_py(), "<u2" if subword.encoder(path).size() <= 1 << 16 else "<u4", []
+        for b in blocks.unpack(rows):
+            key = b.column("key").to_numpy()
+            texts += [(key[i], ids[first[i - lo]:first[i - lo + 1]].astype(kind)) for lo, hi, ids, first in
+                      subword.encode_column(b.column("text"), path) for i in range(lo, hi)]
+        texts.sort(key=lambda t: t[0])
+        first = np.r_[0, np.cumsum([len(t) for _, t in texts])]
+        return pa.table({"block": pa.array([block], pa.int32()), "ids": pa.array([np.concatenate([t for _, t in texts]).tobytes()], pa.binary()),
+                         "first": pa.array([first.astype("<i8").tobytes()], pa.binary())})
+    return run
+
+
+def _each(kind: str, lots: int, each):
+    """mapInArrow over blocks of ids; each(block, ids, first) gives (indexes, values a row) to be summed."""
+    def run(batches):
+        for b in batches:
+            for block, ids, first in zip(*(b.column(c) for c in ("block", "ids", "first"))):
+                block = block.as_py()
+                for at, x in each(block, np.frombuffer(ids.as_buffer(), kind).astype(np.int64), np.frombuffer(first.as_buffer(), "<i8")):
+                    part, edge = at[0], at[1]
+                    for i, lo, hi in zip(part.tolist(), edge[:-1].tolist(), edge[1:].tolist()):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([i], pa.int32()), pa.array([block % lots], pa.int32()), pa.array([at[2][lo:hi].astype("<i4").tobytes()], pa.binary()),
+                             pa.array([x[lo:hi].astype("<f4").tobytes()], pa.binary())], names=["part", "lot", "at", "x"])
     return run
 
 
-def fit(docs: DataFrame, path: str | None = None, sample: int = SAMPLE) -> dict:
-    """The attention model of (doc_id, text) rows: trained in one task, on a bounded sample."""
-    ids = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("text", F.lit(0).alias("all"))  # ``sample`` ids at most
-    got = rows.groupBy("all").applyInArrow(_train_on(path), "model binary").collect()
-    if got:
-        z = np.load(io.BytesIO(bytes(got[0]["model"])))
-        return {k: z[k] if z[k].ndim else int(z[k]) for k in z.files}
+def _parted(at: np.ndarray, size: int):
+    """(part numbers, their edges, at) of sorted indexes, ``size`` to a part."""
+    part = at // size
+    edge = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    return part[edge], np.r_[edge, len(at)], at
+
+
+def _total(width: int):
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("lot")
+        at = np.concatenate([np.frombuffer(x.as_buffer(), "<i4") for x in rows.column("at")])
+        x = np.concatenate([np.frombuffer(x.as_buffer(), "<f4") for x in rows.column("x")]).reshape(-1, width)
+        order = np.argsort(at, kind="stable")
+        edge = np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1]])
+        x = np.add.reduceat(x[order].astype(float), edge)
+        return pa.table([rows.column("part")[:1], rows.column("lot")[:1], pa.array([at[order][edge].tobytes()], pa.binary()),
+                         pa.array([x.astype("<f4").tobytes()], pa.binary())], names=["part", "lot", "at", "x"])
+    return run
+
+
+def _added(sparse: DataFrame, lots: int, width: int) -> DataFrame:
+    """One row a part: the sums over all blocks, first within lots of blocks where there are many."""
+    if lots > LOTS:
+        sparse = sparse.groupBy("part", "lot").applyInArrow(_total(width), SPARSE)
+    return sparse.groupBy("part").applyInArrow(_total(width), SPARSE)
+
+
+def _unpacked(rows: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
+    at = np.concatenate([np.frombuffer(x.as_buffer(), "<i4") for x in rows.column("at")])
+    return at, np.concatenate([np.frombuffer(x.as_buffer(), "<f4") for x in rows.column("x")]).reshape(-1, width).astype(float)
+
+
+def _class_task(size: np.ndarray, classes: int):
+    """The neighbours' counts of the whole vocabulary (a fixed size) to classes."""
+    def run(rows: pa.Table) -> pa.Table:
+        at, x = _unpacked(rows, 1)
+        m = np.zeros(len(size) * 2 * COMMON, np.float32)
+        m[at] = x[:, 0]
+        cls = _kmeans(m.reshape(len(size), 2, COMMON), size, classes)
+        return pa.table({"cls": pa.array([cls.astype("<i4").tobytes()], pa.binary())})
+    return run
+
+
+def _learn(end: int, k: int, epochs: int, shared):
+    """One block's steps of round k from the shared parameters."""
+    def each(block: int, ids: np.ndarray, first: np.ndarray):
+        start, compact, cls = shared.value
+        ids, last = compact[ids], int(compact[end])
+        own, local = np.unique(np.r_[ids, last], return_inverse=True)  # ids that a block lacks keep their vectors
+        p = {name: v.copy() for name, v in start.items()} | {"e": start["e"][own]}
+        seed = np.random.default_rng([5, k, block])
+        _epoch(p, local[:-1], first, int(local[-1]), cls[own], seed, {}, k, epochs)
+        n = np.bincount(local[:-1], minlength=len(own)).astype(float)
+        n[local[-1]] += len(first) - 1
+        yield _parted(own, PART), np.c_[p["e"] * n[:, None], n]
+        flat = np.r_[np.concatenate([p[name].ravel() for name in sorted(p) if name != "e"]).astype(float), 1.0] * n.sum()
+        flat = np.r_[flat, np.zeros(-len(flat) % (WIDTH + 1))].reshape(-1, WIDTH + 1)
+        yield (np.array([-1]), np.array([0, len(flat)]), np.arange(len(flat))), flat
+    return each
+
+
+def fit(docs: DataFrame, path: str | None = None, block_bytes: int = blocks.BLOCK_BYTES, epochs: int = EPOCHS) -> dict:
+    """The attention model of (doc_id, text) rows, trained on all of them, block by block."""
+    spark = docs.sparkSession
     size = subword.Encoder(path).size()
-    p = train([np.zeros(0, np.int64)], size, size - 1, epochs=0)
-    p["e"][:], p["b"][:] = 0, np.log([1 / size, (size - 1) / size])
-    return p
+    end, kind = size - 1, "<u2" if size <= 1 << 16 else "<u4"
+    rows, n_blocks = blocks.pack(docs.select("doc_id", "text", F.xxhash64("text", "doc_id").alias("key")), block_bytes)
+    lots = math.isqrt(n_blocks - 1) + 1 if n_blocks > LOTS else n_blocks
+    out = shared_path(spark, f"attention-{uuid.uuid4().hex}")
+    rows.groupBy("block").applyInArrow(_encode(path), IDS).write.parquet(out)
+    coded = spark.read.parquet(out)
+
+    def summed(each, width: int) -> DataFrame:
+        return _added(coded.mapInArrow(_each(kind, lots, each), SPARSE), lots, width)
+
+    def counts(block, ids, first):
+        n = np.bincount(ids, minlength=size)
+        n[end] += len(first) - 1
+        at = np.flatnonzero(n)
+        yield _parted(at, PART), n[at][:, None]
+    got = summed(counts, 1).toArrow()
+    if not got.num_rows:
+        p = train([np.zeros(0, np.int64)], size, end, epochs=0)
+        p["e"][:], p["b"][:] = 0, np.log([1 / size, (size - 1) / size])
+        return p
+    at, n = _unpacked(got, 1)
+    count = np.zeros(size)
+    count[at] = n[:, 0]
+    seen = np.flatnonzero(count)
+    count = count[seen]
+    compact = np.full(size, len(seen))
+    compact[seen] = np.arange(len(seen))
+    last, col, classes = int(compact[end]), _columns(count), min(CLASSES, len(seen))
+
+    def cells(block, ids, first):
+        _, inputs, targets, _ = _windows(compact[ids], first, last)
+        at, n = np.unique(_cells(inputs, targets, col), return_counts=True)
+        yield _parted(at, 2 * COMMON * PART), n[:, None]
+    every = summed(cells, 1).select("at", "x", F.lit(0).alias("all"))
+    cls = np.frombuffer(every.groupBy("all").applyInArrow(_class_task(count, classes), "cls binary").first()["cls"], "<i4").astype(np.int64)
+    count = count + 0.5
+    p = _start(count, cls, classes, np.random.default_rng(5))
+    for k in range(epochs):
+        shared = spark.sparkContext.broadcast((p, compact, cls))
+        got = summed(_learn(end, k, epochs, shared), WIDTH + 1).toArrow()
+        shared.destroy()
+        p = {name: v.copy() for name, v in p.items()}
+        part = got.column("part").to_numpy()
+        at, x = _unpacked(got.filter(pa.array(part >= 0)), WIDTH + 1)
+        p["e"][at] = x[:, :-1] / x[:, -1:]
+        flat = _unpacked(got.filter(pa.array(part < 0)), WIDTH + 1)[1].ravel()
+        names, lo = [name for name in sorted(p) if name != "e"], 0
+        total = flat[sum(p[name].size for name in names)]
+        for name in names:
+            p[name] = (flat[lo:lo + p[name].size] / total).reshape(p[name].shape).astype(np.float32)
+            lo += p[name].size
+    return _whole(p, seen, count, cls, classes, size, end)
 
 
 # --- the words' counts -------------------------------------------------------------------
@@ -380,11 +548,11 @@ def _answer(shared, path: str | None, mix: float):
     return run
 
 
-def score(docs: DataFrame, path: str | None = None, sample: int = SAMPLE, mix: float = MIX) -> DataFrame:
+def score(docs: DataFrame, path: str | None = None, mix: float = MIX) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", langid.held_out("doc_id", 7))
-    shared = spark.sparkContext.broadcast(fit(docs.where("not held_out").select("doc_id", "text"), path, sample))
+    shared = spark.sparkContext.broadcast(fit(docs.where("not held_out").select("doc_id", "text"), path))
     rows, n = blocks.pack(docs)
     bits = max(0, n // 2).bit_length()
     asked = rows.groupBy("block").applyInArrow(_ask(bits), "block int, shard int, keys binary, n binary, tokens long")
