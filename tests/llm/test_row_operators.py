@@ -102,6 +102,16 @@ def test_licences_match_brute_force(spark):
     assert by[12]["labels"] == "proprietary" and by[4]["score"] == pytest.approx(1)
 
 
+def test_licences_of_several_notices_in_one_text(spark):
+    groups = [("mit", "bsd"), ("gpl", "mit"), ("mit", "apache-2.0", "bsd", "mpl-2.0"), ("mit", "isc", "unlicense", "proprietary"), ("gpl", "mit", "bsd")]
+    filler = " some prose about nothing at all, " * 200
+    rows = [(i, filler.join(licenses.TEMPLATES[t][0] + "." for t in g), None) for i, g in enumerate(groups)]
+    rows += [(100 + i, "plain prose of other things", None) for i in range(200)]
+    got = {r["doc_id"]: r for r in licenses.scan(_docs(spark, rows)).collect()}
+    for i, g in enumerate(groups):
+        assert set(g) <= set(got[i]["labels"].split(",")) and got[i]["score"] == pytest.approx(1)
+
+
 def test_licences_of_an_empty_table(spark):
     assert licenses.scan(_docs(spark, [(1, "x", None)]).limit(0)).count() == 0
 

@@ -5,14 +5,14 @@ phrases' vocabulary, a fixed small set). Everything after that works on those pl
 
 * base phrases: places where a phrase's words stand consecutively;
 * templates: the inverse document frequency of every licence word is counted over all rows;
-  a row's ``RARE`` licence words of highest IDF look up the template postings (word ->
-  template, position); hits are intersected by relative position (the place minus the
-  template's position), and a template is found where the IDF found at one relative position
+  every place of a licence word looks up the template postings (word -> template, position);
+  hits are intersected by relative position (the place minus the template's position), and a
+  template is found where the IDF found at one relative position
   reaches ``SHARE`` of the template's whole and every mandatory key phrase stands within it.
 
 Defined results: null and empty texts have no words and no labels (empty strings, nulls for
 first_word and last_word, score 0); each row is judged by itself, so repeated rows and null
-ids keep their rows; equal IDF goes by the word; an empty table gives no rows; further
+ids keep their rows; an empty table gives no rows; further
 columns are ignored.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from weft.session import shared_path
 
-RARE, SHARE = 12, 0.6
+SHARE = 0.6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -119,11 +119,7 @@ def scan(docs: DataFrame) -> DataFrame:
     index = F.broadcast(spark.range(1).select(F.inline(F.array(*(F.struct(  # a fixed table
         F.lit(t).alias("template"), F.lit(p).alias("tpos"), F.lit(w).alias("w"), F.lit(x).alias("idf")) for t, p, w, x in postings)))))
 
-    weight = F.create_map(*(F.lit(x) for kv in idf.items() for x in kv))
-    ranked = F.array_sort(F.transform(F.array_distinct(F.filter("found.w", lambda w: weight[w].isNotNull())),
-                                      lambda w: F.struct((-weight[w]).alias("k"), w.alias("w"))))
-    rare = F.transform(F.slice(ranked, 1, RARE), lambda x: x.w)
-    hits = (marked.withColumn("rare", rare).select("row", F.explode(F.expr("filter(found, x -> array_contains(rare, x.w))")).alias("x"))
+    hits = (marked.select("row", F.explode(F.filter("found", lambda x: F.array_contains(F.array(*map(F.lit, strong)), x.w))).alias("x"))
             .select("row", "x.pos", "x.w").join(index, "w")
             .groupBy("row", "template", (F.col("pos") - F.col("tpos")).alias("at")).agg(F.sum("idf").alias("idf")))
     full = F.create_map(*(F.lit(x) for kv in whole.items() for x in kv))
