@@ -206,6 +206,17 @@ def test_classes_match_brute_force_on_families_of_copies(spark):
     assert label[None] == label[1000]
 
 
+def test_classes_of_short_texts_with_a_word_more(spark):
+    rows, n = [], 0
+    for words in (8, 9, 10, 11, 12, 13):
+        for k in range(40):
+            text = [f"w{n}x{j}" for j in range(words + 1)]
+            rows += [(2 * n, " ".join(text[1:] if k % 2 else text[:-1]), None), (2 * n + 1, " ".join(text), None)]
+            n += 1
+    got = {r["doc_id"]: r["class_id"] for r in dedup.classes(_docs(spark, rows)).collect()}
+    assert all(got[2 * k] == got[2 * k + 1] == 2 * k for k in range(n))
+
+
 def test_keep_one_keeps_the_least_of_each_class(spark):
     r = np.random.default_rng(6)
     t = _copies(r, 4, 1)

@@ -3,7 +3,9 @@
 A text is its sequence of lower-cased words; k-mers are runs of five words, labelled by
 their occurrence within the text. Each of ``BANDS`` sketches takes the ``TAKE`` labelled
 k-mers of least hash and keeps them in text order; texts that share a sketch are
-candidates. Texts of the same words are folded into one node first.
+candidates. Texts of at most ``FEW`` k-mers get exact keys besides: a pair of similarity
+``least`` or more has in common one of the sequences that are left when each drops as many
+k-mers as its own size permits. Texts of the same words are folded into one node first.
 
 Candidates are compared in two steps. First every node of a bucket with the bucket's two
 extreme nodes (stars). Then, in buckets that still hold several components, the pairs across
@@ -22,7 +24,9 @@ an empty table gives no rows; further columns are ignored (kept by ``keep_one``)
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 import math
 import uuid
 
@@ -37,6 +41,7 @@ from . import textvec as tv
 from .components import components
 
 BANDS, TAKE, RUN, SIMILARITY = 20, 5, 5, 0.8
+FEW = 12
 CHUNK = 1 << 18
 U64 = np.uint64
 _A = (np.random.default_rng(8).integers(0, 1 << 63, BANDS, dtype=np.uint64) << U64(1)) | U64(1)
@@ -80,6 +85,26 @@ def sketch(r: np.ndarray) -> np.ndarray:
     return key
 
 
+@functools.cache
+def _left(n: int, drop: int) -> np.ndarray:
+    """Places kept, a row for each way to drop so many of n."""
+    return np.array(list(itertools.combinations(range(n), n - drop)))
+
+
+def _exact(r: np.ndarray, least: float) -> np.ndarray:
+    """Keys of a short text: its k-mers, and what is left of them without as many as ``least`` permits.
+
+    The common subsequence of a pair is at least ``least`` of each one's size."""
+    keys, n = [], len(r)
+    for drop in range(n - max(1, math.ceil(least * n - 1e-9)) + 1):
+        at = _left(n, drop)
+        key = np.full(len(at), 0xA5A5A5A5, U64)
+        for j in range(at.shape[1]):
+            key = tv.mix(key * U64(0x9FB21C651E98DF25) + r[at[:, j]])
+        keys.append(key)
+    return np.unique(np.concatenate(keys))
+
+
 def _per_text(col, each):
     """Calls each(text number, k-mers, node bytes or None) for every text of a column."""
     data, off = tv.utf8(col)
@@ -98,17 +123,21 @@ def _per_text(col, each):
             each(lo + i, r[at[i]:at[i + 1]], key)
 
 
-def _sketches(batches):
-    for b in batches:
-        nodes, keys, size = [None] * b.num_rows, [None] * b.num_rows, [0] * b.num_rows
-
-        def each(i, r, key):
-            nodes[i], size[i] = key, len(r)
-            keys[i] = sketch(r).view(np.int64) if len(r) else None
-        _per_text(b.column("text"), each)
-        yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(size, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
-            names=["doc_id", "node", "size", "keys"])
+def _sketches(least: float):
+    def run(batches):
+        for b in batches:
+            nodes, keys, size = [None] * b.num_rows, [None] * b.num_rows, [0] * b.num_rows
+
+            def each(i, r, key):
+                nodes[i], size[i] = key, len(r)
+                if len(r):
+                    own = sketch(r)
+                    keys[i] = (np.r_[own, _exact(r, least)] if len(r) <= FEW else own).view(np.int64)
+            _per_text(b.column("text"), each)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(size, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "node", "size", "keys"])
+    return run
 
 
 def _payload(batches):
@@ -218,7 +247,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     spark = docs.sparkSession
     base = shared_path(spark, f"dedup-{uuid.uuid4().hex}")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    docs.mapInArrow(_sketches, "doc_id long, node binary, size int, keys array<long>").write.parquet(f"{base}/sketches")
+    docs.mapInArrow(_sketches(least), "doc_id long, node binary, size int, keys array<long>").write.parquet(f"{base}/sketches")
     every = spark.read.parquet(f"{base}/sketches")
     (every.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("keys").alias("keys"))
