@@ -252,6 +252,16 @@ def q_h9(spark, d):
     return p.select("label", "n_tokens", R6(F.col("mean_nll")).alias("mean_nll"), R6(F.col("perplexity")).alias("perplexity"))
 
 
+def _pair_scores(spark, d):
+    codes = D.table(spark, d, "documents").select(tk.utf8_codes(F.col("text")).alias("c"))
+    pairs = V.pair_counts_codes(codes, "c")
+    # group on the 4-hex token text, convert only the distinct tokens
+    uni = (codes.select(F.explode(F.split(F.ltrim(F.col("c")), " ")).alias("t")).groupBy("t")
+           .agg(F.count(F.lit(1)).alias("count"))
+           .select(F.conv("t", 16, 10).cast("int").alias("token"), "count"))
+    return H.pair_scores(pairs, uni)
+
+
 @register("h10_pair_scores", f"""
 WITH c AS (SELECT {K.utf8('text')} AS c FROM documents),
 p AS (SELECT ' ' || t[i] || ' ' || t[i + 1] AS pair FROM (SELECT string_split(ltrim(c), ' ') AS t FROM c),
@@ -262,17 +272,23 @@ SELECT pc."left", pc."right", pc.n::BIGINT AS count, round(pc.n / (a.n * b.n::DO
 FROM pc JOIN uc a ON a.token = pc."left" JOIN uc b ON b.token = pc."right"
 ORDER BY score DESC, pc."left", pc."right" LIMIT 20""")
 def q_h10(spark, d):
-    codes = D.table(spark, d, "documents").select(tk.utf8_codes(F.col("text")).alias("c"))
-    pairs = V.pair_counts_codes(codes, "c")
-    # group on the 4-hex token text, convert only the distinct tokens
-    uni = (codes.select(F.explode(F.split(F.ltrim(F.col("c")), " ")).alias("t")).groupBy("t")
-           .agg(F.count(F.lit(1)).alias("count"))
-           .select(F.conv("t", 16, 10).cast("int").alias("token"), "count"))
-    s = H.pair_scores(pairs, uni)
-    return (s.orderBy(F.col("score").desc(), "left", "right").limit(20)
+    return (_pair_scores(spark, d).orderBy(F.col("score").desc(), "left", "right").limit(20)
             .select("left", "right", "count", F.round("score", 9).alias("score")))
 
 
+@register("h10_pair_scores_all", f"""
+WITH c AS (SELECT {K.utf8('text')} AS c FROM documents),
+p AS (SELECT ' ' || t[i] || ' ' || t[i + 1] AS pair FROM (SELECT string_split(ltrim(c), ' ') AS t FROM c),
+      LATERAL (SELECT unnest(range(1, len(t))) AS i)),
+pc AS (SELECT ('0x' || substr(pair, 2, {tk.DIGITS}))::INT AS "left", ('0x' || substr(pair, {tk.TOKEN_WIDTH + 2}, {tk.DIGITS}))::INT AS "right", count(*) AS n FROM p GROUP BY pair),
+uc AS (SELECT ('0x' || x)::INT AS token, count(*) AS n FROM (SELECT unnest(string_split(ltrim(c), ' ')) AS x FROM c) GROUP BY x)
+SELECT pc."left", pc."right", pc.n::BIGINT AS count, round(pc.n / (a.n * b.n::DOUBLE), 9) AS score
+FROM pc JOIN uc a ON a.token = pc."left" JOIN uc b ON b.token = pc."right"
+""")
+def q_h10_all(spark, d):
+    return _pair_scores(spark, d).select("left", "right", "count", F.round("score", 9).alias("score"))
+
+
 def _train_log(spark, d):
     ev = D.table(spark, d, "events").select("event_id", "ts", "value")
     log = ordered_index(ev, [], ["ts", "event_id"], "step")
