@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention, decontam, dedup, kneserney, langid, licenses, nndescent, packing, perspectives, separators
+from . import attention, audit, crosstoken, decontam, dedup, kneserney, langid, licenses, nndescent, packing, perspectives, separators, urlrules
 from .ship import ship
 
 
@@ -55,6 +55,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.token_counts(_table(spark, sf_dir, "documents"), files=True)
 
 
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlrules.judge(_table(spark, sf_dir, "pages"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstoken.score(_table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_licenses": op2_licenses,
@@ -66,7 +78,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_attention_scores": op9_attention_scores,
     "op10_token_counts": op10_token_counts,
+    "op11_url_rules": op11_url_rules,
+    "op12_alignment": op12_alignment,
+    "op13_filter_audit": op13_filter_audit,
 }
 ORACLES: dict[str, str] = {
     "op6_perspectives": perspectives.ORACLE,
+    "op11_url_rules": urlrules.ORACLE,
+    "op13_filter_audit": audit.ORACLE,
 }
