@@ -102,7 +102,7 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     steps = (steps.withColumn("own", F.contains("fails", letter))
              .withColumn("gone", F.length(F.call_function("translate", before, F.col("fails"), F.lit(""))) < F.length(before)))
     # a document that fails k filters is removed by each of them in 120 / k of the orders
-    share = F.expr(f"{len(ORDERS)} div length(fails)")
+    share = F.expr(f"{len(ORDERS)} div nullif(length(fails), 0)")
     here = F.col("own") & ~F.col("gone")
 
     def total(count: Column, of: Column) -> Column:
