@@ -1,13 +1,27 @@
 """Vocabulary: pair counts, merges, whole-text training, encode/decode, production
 training against hand-worked merges, specials, save/load."""
 
+import random
+import re
+from collections import Counter
+
+import numpy as np
 import pytest
+import regex
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from weft.functions import merging
 from weft.functions import tokens as tk
+from weft.operators import training
 from weft.operators import vocab as V
 
 
+def python_presplit(text):
+    return regex.findall(tk.PRESPLIT_PATTERN.replace("(?U)", ""), text)
+
+
 def _ids_df(spark, seqs):
     return spark.createDataFrame([(s,) for s in seqs], "ids ARRAY<INT>")
 
@@ -47,7 +61,7 @@ def test_merge_left_to_right(spark, seq, pair, expected):
 ])
 def test_train_teaching_hand_values(spark, texts, size, merges):
     df = spark.createDataFrame(list(enumerate(texts)), "o INT, text STRING")
-    assert list(V.train_teaching(df, "text", "o", size, checkpoint_every=2).merges) == merges
+    assert list(V.train_teaching(df, "text", "o", size, rewrite=2).merges) == merges
 
 
 def test_train_teaching_with_a_thousand_ties(spark):
@@ -83,18 +97,103 @@ PRODUCTION = [
 
 
 @pytest.mark.parametrize("texts,rounds,merges", PRODUCTION)
-@pytest.mark.parametrize("incremental", [False, True])
-def test_production_training_hand_values(spark, texts, rounds, merges, incremental):
+@pytest.mark.parametrize("sizes", [{}, {"batch": 1, "rewrite": 1}, {"tracked": 2}])
+def test_production_training_hand_values(spark, texts, rounds, merges, sizes):
     df = spark.createDataFrame([(t,) for t in texts], "text STRING")
-    vocab = V.train_production(df, "text", 24 + 256 + rounds, checkpoint_every=2, incremental=incremental)
+    vocab = V.train_production(df, "text", 24 + 256 + rounds, **sizes)
     assert list(vocab.merges) == merges
 
 
-def test_incremental_training_equals_full_recount(spark):
-    corpus = ["The cat sat on the mat.", "the cats' hats  are   there\nthen", "数据 数据 数据 that's 42 items"] * 3
-    df = spark.createDataFrame([(t,) for t in corpus], "text STRING")
-    full, inc = (V.train_production(df, "text", 24 + 256 + 12, incremental=i) for i in (False, True))
-    assert full.merges == inc.merges and len(full.merges) == 12
+def _plain_merge(seq, pair, new):
+    out = []
+    for x in seq:
+        if out and (out[-1], x) == pair and out[-1] is not None:
+            out[-1] = new
+            out.append(None)  # a merged token takes no part in the next pair of this pass
+        else:
+            out.append(x)
+    return [x for x in out if x is not None]
+
+
+def _one_at_a_time(words, n, place):
+    """Merges over (tokens, weight) words; ties go to the pair of smallest ``place``."""
+    words, merges = [(list(w), c) for w, c in words], []
+    for r in range(n):
+        count, first = Counter(), {}
+        for w, (seq, c) in enumerate(words):
+            for i, p in enumerate(zip(seq, seq[1:])):
+                count[p] += c
+                first.setdefault(p, (w, i))
+        if not count:
+            break
+        best = min(count, key=lambda p: (-count[p], place(p) if place else first[p]))
+        merges.append(best)
+        words = [(_plain_merge(s, best, 256 + r), c) for s, c in words]
+    return merges
+
+
+def _corpus(seed, n=60):
+    r = random.Random(seed)
+    stems = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 7))) for _ in range(80)]
+    texts = [" ".join(r.choice(stems) + r.choice(["", "ing", "ed", "s", "'s", "!!", " 42"]) for _ in range(r.randint(5, 40))) for _ in range(n)]
+    return texts + ["数据工程" * 7, "aaaaaaaaab aaaa aaa", "<|pad|>x<|im_end|>", "", None]
+
+
+def _symbol_rank(code):
+    """Place of a token in id order: byte-level symbols by code point, then merges."""
+    if code >= 256:
+        return code
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return plain.index(code) if code in plain else len(plain) + [b for b in range(256) if b not in plain].index(code)
+
+
+@pytest.mark.parametrize("sizes", [{}, {"tracked": 40, "batch": 7, "rewrite": 25}])
+def test_batched_training_equals_one_at_a_time(spark, sizes):
+    texts = _corpus(1)
+    df = spark.createDataFrame([(t,) for t in texts], "text STRING")
+    words = Counter(w for t in texts if t for p in re.split(r"<\|pad\|>|<\|im_end\|>", t) for w in python_presplit(p))
+    want = _one_at_a_time([(w.encode(), c) for w, c in words.items()], 300, lambda p: tuple(map(_symbol_rank, p)))
+    assert list(V.train_production(df, "text", 24 + 256 + 300, **sizes).merges) == want and len(want) == 300
+
+
+@pytest.mark.parametrize("sizes", [{}, {"tracked": 20, "batch": 5, "rewrite": 8}])
+def test_whole_text_training_equals_one_at_a_time(spark, sizes):
+    texts = _corpus(2, 12)
+    df = spark.createDataFrame(list(enumerate(texts)), "o INT, text STRING").repartition(3)
+    want = _one_at_a_time([((t or "").encode(), 1) for t in texts], 40, None)
+    assert list(V.train_teaching(df, "text", "o", 256 + 40, **sizes).merges) == want
+
+
+def test_training_needs_few_rounds_and_ends_when_no_pair_is_left(spark):
+    df = spark.createDataFrame([(t,) for t in _corpus(3)], "text STRING")
+    rows = training.text_rows(V.word_histogram(df, "text").select(F.lit(0).cast("long").alias("o"), F.col("count").alias("n"), F.col("word").alias("text")))
+    trainer = training.Trainer(rows, False)
+    assert len(trainer.learn(200)) == 200 and trainer.rounds < 60
+    tiny = spark.createDataFrame([("ab ab",)], "text STRING")
+    assert V.train_production(tiny, "text", 6400).merges == ((97, 98), (32, 256))
+    assert V.train_production(tiny.limit(0), "text", 6400).merges == ()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("abc", max_size=12), max_size=6), st.lists(st.tuples(st.integers(0, 6), st.integers(0, 6)), max_size=5, unique=True))
+def test_merging_flat_arrays_equals_merging_in_learned_order(words, picks):
+    codes = [97, 98, 99]
+    pairs = []
+    for i, j in picks:  # only pairs of codes that exist by then
+        pairs.append((codes[i % len(codes)], codes[j % len(codes)]))
+        codes.append(256 + len(pairs) - 1)
+    pairs = list(dict.fromkeys(pairs))
+    if any(max(p) >= 256 + r for r, p in enumerate(pairs)):
+        return
+    flat = np.frombuffer("".join(words).encode(), np.uint8)
+    got, lengths = merging.merge_words(flat, np.array([len(w) for w in words], np.int64), merging.MergeTable(pairs))
+    want = []
+    for w in words:
+        seq = list(w.encode())
+        for r, p in enumerate(pairs):
+            seq = _plain_merge(seq, p, 256 + r)
+        want.append(seq)
+    assert got.tolist() == sum(want, []) and lengths.tolist() == [len(x) for x in want]
 
 
 def test_nul_and_control_characters_survive_the_special_cut(spark):
@@ -123,7 +222,7 @@ def test_presplit_matches_python_regex(spark):
     samples = ["Hello world", "a  b   c\n\n d", "it's 12 o'clock!!", "数据 和 text", "tail   "]
     df = spark.createDataFrame([(s,) for s in samples], "t STRING")
     got = [r["w"] for r in df.select(V.presplit_words(F.col("t")).alias("w")).collect()]
-    assert got == [tk.python_presplit(s) for s in samples]
+    assert got == [python_presplit(s) for s in samples]
 
 
 def test_specials_are_single_tokens_and_tokens_fewer_than_chars(spark):

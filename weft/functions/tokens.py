@@ -21,8 +21,6 @@ output edge, in one of two id layouts:
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -77,14 +75,6 @@ def specials_alternation(specials=ALL_SPECIAL_TOKENS) -> str:
     return "|".join(regex_escape(s) for s in sorted(specials, key=len, reverse=True))
 
 
-def special_piece_pattern(specials=ALL_SPECIAL_TOKENS) -> str:
-    """Cuts a text into special tokens and maximal runs of ordinary text (Java regex)."""
-    alt = specials_alternation(specials)
-    firsts = sorted({s[0] for s in specials})
-    cls = "".join(regex_escape(c) if c not in "-]^" else "\\" + c for c in firsts)
-    return f"(?s){alt}|(?:[^{cls}]|(?!{alt})[{cls}])+"
-
-
 def code_hex(code: int) -> str:
     if not 0 <= code < 1 << (4 * DIGITS):
         raise ValueError(f"code {code} has no {DIGITS}-digit form")
@@ -159,15 +149,3 @@ def special_code_text(specials=ALL_SPECIAL_TOKENS) -> Column:
     for i, s in enumerate(specials):
         kv += [F.lit(s), F.lit(code_hex(SPECIAL_BASE + i))]
     return F.create_map(*kv)
-
-
-def python_presplit(text: str) -> list[str]:
-    """Plain-Python reference of the pre-split (tests only; needs the `regex` module)."""
-    import regex
-    pat = PRESPLIT_PATTERN.replace("(?U)", "")
-    return regex.findall(pat, text)
-
-
-def split_specials_py(text: str, specials=ALL_SPECIAL_TOKENS) -> list[str]:
-    pat = "(" + "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True)) + ")"
-    return [p for p in re.split(pat, text) if p]

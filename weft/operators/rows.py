@@ -63,8 +63,7 @@ def pretrain_rows(df: DataFrame, key_cols: list[str], text_col: str, vocab: Voca
 
 def anchors(vocab: Vocab) -> tuple[str, str]:
     """Code text of '<|im_start|>assistant\\n' and '<|im_end|>\\n' (computed once)."""
-    ranks = {pair: r for r, pair in enumerate(vocab.merges)}
-    word, end = word_codes("assistant", ranks), word_codes("\n", ranks)
+    word, end = word_codes("assistant", vocab), word_codes("\n", vocab)
     return _code(vocab, tk.BOS) + word + end, _code(vocab, tk.EOS) + end
 
 

@@ -1,23 +1,27 @@
 """Byte-pair vocabulary training and corpus tokenization.
 
-All sequence work happens on the fixed-width code text of :mod:`weft.functions.tokens`:
-a merge is one built-in ``replace``; pair counting is ``explode`` + ``groupBy``;
-training is a driver loop of Spark jobs in which the driver only ever holds the
-current best pair and the (vocabulary-bounded) list of merges learned so far.
+Texts are cut into specials and words in the JVM; merging is done on flat arrays of codes, a
+whole Arrow batch at a time (:mod:`weft.functions.merging`), in :mod:`weft.operators.training` for
+training and here for encoding. Between operators, tokens travel as the fixed-width code
+text of :mod:`weft.functions.tokens`.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
-import pandas as pd
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import merging as M
 from ..functions import tokens as tk
-from ..session import cut_lineage
+from ..session import ship
+from . import training
 
 PAIR_WIDTH = 2 * tk.TOKEN_WIDTH
 
@@ -58,6 +62,16 @@ class Vocab:
     def pad_id(self) -> int:
         return self.special_id(tk.PAD)
 
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of every token, by id (a special token's spelling)."""
+        codes = [bytes([b]) for b in range(256)]
+        for a, b in self.merges:
+            codes.append(codes[a] + codes[b])
+        if self.layout == "teaching":
+            return codes
+        order = np.argsort(training._BYTE_ORDER).tolist()
+        return [s.encode("utf-8") for s in self.specials] + [codes[b] for b in order] + codes[256:]
+
     def merge_strings(self) -> tuple[str, str]:
         pairs = "".join(tk.pair_text(a, b) for a, b in self.merges)
         return pairs, "".join(tk.code_hex(tk.MERGE_BASE + r) for r in range(len(self.merges)))
@@ -97,15 +111,6 @@ def apply_merges(code_text: Column, vocab: Vocab) -> Column:
                        lambda acc, x: F.replace(acc, x["p"], x["n"]))
 
 
-def expand_merges(code_text: Column, vocab: Vocab) -> Column:
-    """Undo merges newest-first: every merge code becomes its pair, down to bytes."""
-    if not vocab.merges:
-        return code_text
-    p, n = _merge_arrays(vocab)
-    return F.aggregate(F.reverse(F.arrays_zip(p.alias("p"), n.alias("n"))), code_text,
-                       lambda acc, x: F.replace(acc, x["n"], x["p"]))
-
-
 def merge_pair(ids: Column, left: int, right: int, new_id: int) -> Column:
     """Replace a pair left to right, without overlaps."""
     merged = F.replace(ids_to_codes(ids), F.lit(tk.pair_text(left, right)), F.lit(tk.code_hex(new_id)))
@@ -117,23 +122,95 @@ def merge_codes(codes: Column, left: int, right: int, new_id: int) -> Column:
     return F.replace(codes, F.lit(tk.pair_text(left, right)), F.lit(tk.code_hex(new_id)))
 
 
-def byte_codes_to_text(code_text: Column, strict: bool = True) -> Column:
-    """Byte code text -> string. strict: invalid UTF-8 gives NULL (the reference raises);
-    otherwise invalid bytes become U+FFFD (lossy, like the production decoder)."""
-    raw = F.unhex(F.regexp_replace(code_text, " " + "0" * (tk.DIGITS - 2), "")).cast("string")
-    if strict:
-        return F.when(F.is_valid_utf8(raw), raw)
-    return F.make_valid_utf8(raw)
+def teaching_encode(text: Column, vocab: Vocab) -> Column:
+    """Bytes of the whole text, then every merge in learned order; null gives null."""
+    return _ids_udf(vocab)(F.encode(text, "UTF-8"))
 
 
-def teaching_encode(text: Column, vocab: Vocab) -> Column:
-    """Bytes of the whole text, then every merge once in learned order."""
-    return tk.codes_array(apply_merges(tk.utf8_codes(text), vocab))
+def _ids_udf(vocab: Vocab):
+    """Bytes -> ids of the whole text, all merges in one sweep."""
+    _ship()
+    pairs, layout, n_special = vocab.merges, vocab.layout, vocab.n_special
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def encode(texts: pa.Array) -> pa.Array:
+        data, off = _bytes_of(texts)
+        codes, lengths = M.merge_words(data, np.diff(off), _tables(pairs))
+        return _list_array(_ids_of(codes, layout, n_special), lengths, pc.is_null(texts).to_numpy(zero_copy_only=False))
+    return encode
 
 
 def teaching_decode(ids: Column, vocab: Vocab) -> Column:
-    """Expand ids recursively to bytes, then UTF-8 (NULL where invalid)."""
-    return byte_codes_to_text(expand_merges(ids_to_codes(ids), vocab), strict=True)
+    """The bytes of all ids, then UTF-8 (NULL where invalid, or where an id is unknown)."""
+    raw = _bytes_udf(vocab, False, True)(ids).cast("string")
+    return F.when(F.is_valid_utf8(raw), raw)
+
+
+def _bytes_udf(vocab: Vocab, skip_special_tokens: bool, strict: bool):
+    """Ids -> bytes, gathered from one table; unknown ids make the row NULL if strict, else are left out."""
+    _ship()
+    table = vocab.token_bytes()
+    if skip_special_tokens:
+        table = [b""] * vocab.n_special + table[vocab.n_special:]
+
+    @F.arrow_udf(T.BinaryType())
+    def decode(lists: pa.Array) -> pa.Array:
+        size = np.fromiter(map(len, table), np.int64, len(table))
+        at, data = np.cumsum(size) - size, np.frombuffer(b"".join(table), np.uint8)
+        ids = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+        row = np.r_[0, np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False))]
+        known = (ids >= 0) & (ids < len(table))
+        ids = np.where(known, ids, 0)
+        size = np.where(known, size[ids], 0)
+        off = np.r_[0, np.cumsum(size)][row]
+        bad = np.diff(np.r_[0, np.cumsum(~known)][row]) > 0 if strict else np.zeros(len(lists), bool)
+        return _var_array(pa.binary(), off, data[M.gather(at[ids], size)].tobytes(), bad | pc.is_null(lists).to_numpy(zero_copy_only=False))
+    return decode
+
+
+# --- Arrow buffers ---------------------------------------------------------------
+
+_tables = M.per_worker(M.MergeTable)
+
+
+def _ship() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship(spark)
+
+
+def _bytes_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets (n+1) of a string or binary array; null counts as empty."""
+    if col.null_count:
+        col = col.fill_null(b"" if pa.types.is_binary(col.type) or pa.types.is_large_binary(col.type) else "")
+    _, off, data = col.buffers()
+    wide = pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type)
+    off = np.frombuffer(off, np.int64 if wide else np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64) if len(col) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[off[0]:off[-1]], off - off[0]
+
+
+def _mask(null: np.ndarray):
+    return pa.py_buffer(np.packbits(~null, bitorder="little").tobytes()) if null.any() else None
+
+
+def _var_array(kind, off: np.ndarray, data: bytes, null: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(kind, len(off) - 1, [_mask(null), pa.py_buffer(off.astype(np.int32).tobytes()), pa.py_buffer(data)])
+
+
+def _list_array(ids: np.ndarray, lengths: np.ndarray, null: np.ndarray) -> pa.Array:
+    off = np.r_[0, np.cumsum(lengths)].astype(np.int32)
+    return pa.Array.from_buffers(pa.list_(pa.int32()), len(lengths), [_mask(null), pa.py_buffer(off.tobytes())], children=[pa.array(ids.astype(np.int32))])
+
+
+def _ids_of(codes: np.ndarray, layout: str, n_special: int) -> np.ndarray:
+    """Internal codes -> ids of the layout."""
+    if layout == "teaching":
+        return codes
+    ids = codes + (n_special + 256 - tk.MERGE_BASE)
+    byte = codes < 256
+    ids[byte] = training._BYTE_ORDER[codes[byte]] + n_special
+    return np.where(codes >= tk.SPECIAL_BASE, codes - tk.SPECIAL_BASE, ids)
 
 
 # --- B2 / B4: pair counting and whole-text training ----------------------------
@@ -186,59 +263,15 @@ def _parse_pair(pair: str) -> tuple[int, int]:
     return int(left, 16), int(right, 16)
 
 
-def train_teaching(df: DataFrame, text_col: str, order_col: str, vocab_size: int,
-                   checkpoint_every: int = 10) -> Vocab:
+def train_teaching(df: DataFrame, text_col: str, order_col: str, vocab_size: int, **sizes) -> Vocab:
     """Merges over whole texts (no pre-split); ids from 256; ties go to the pair seen
     first in scan order (text order, then position); stops early when no pair is left."""
-    seqs = df.select(F.col(order_col).alias("o"), tk.utf8_codes(F.col(text_col)).alias("c"))
-    seqs = _persist(seqs)
-    merges: list[tuple[int, int]] = []
-    for r in range(max(0, vocab_size - 256)):
-        best = _best_first_seen(seqs)
-        if best is None:
-            break
-        merges.append(_parse_pair(best))
-        nxt = seqs.select("o", F.replace("c", F.lit(best), F.lit(tk.code_hex(tk.MERGE_BASE + r))).alias("c"))
-        seqs = _advance(seqs, nxt, r, checkpoint_every)
-    seqs.unpersist()
-    return Vocab(merges=tuple(merges), layout="teaching", specials=(), presplit=False)
-
-
-def _best_first_seen(seqs: DataFrame, probe: int = 16) -> str | None:
-    """Most frequent pair; ties go to the pair seen first in (text order, position).
-    Counting needs no positions; positions are gathered only for pairs tied at the top,
-    in a second pass filtered to those pairs (rare)."""
-    counts = pair_table(seqs, "c").groupBy("pair").agg(F.sum("w").alias("n"))
-    top = counts.orderBy(F.col("n").desc()).limit(probe).collect()
-    if not top:
-        return None
-    n_max = top[0]["n"]
-    tied = [row["pair"] for row in top if row["n"] == n_max]
-    if len(tied) == 1:
-        return tied[0]
-    places = pair_table(seqs, "c", keep_position=True, key_cols=["o"])
-    if len(tied) < probe:
-        places = places.where(F.col("pair").isin(tied))
-    else:  # any number of ties: a join, not a list
-        places = places.join(counts.where(F.col("n") == n_max).select("pair"), "pair", "left_semi")
-    firsts = (places
-              .groupBy("pair").agg(F.min(F.struct("o", "pos")).alias("first"))
-              .orderBy("first").limit(1).collect())
-    return firsts[0]["pair"]
-
-
-def _persist(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _advance(prev: DataFrame, nxt: DataFrame, r: int, every: int) -> DataFrame:
-    if every and (r + 1) % every == 0:
-        out = cut_lineage(nxt)
-    else:
-        out = _persist(nxt)
-        out.count()
-    prev.unpersist()
-    return out
+    n = max(0, vocab_size - 256)
+    if not n:
+        return TEACHING_VOCAB
+    rows = df.select(F.col(order_col).cast("long").alias("o"), F.lit(1).cast("long").alias("n"), F.col(text_col).alias("text"))
+    rows = training.text_rows(rows.repartition(training.written_parts(rows, "text")))
+    return Vocab(tuple(training.Trainer(rows, True, **sizes).learn(n)), "teaching", (), False)
 
 
 # --- B7 / B8: production vocabulary --------------------------------------------
@@ -272,79 +305,18 @@ def word_histogram(df: DataFrame, text_col: str, specials=tk.ALL_SPECIAL_TOKENS)
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
-def _tie_key(code: Column, n_special: int) -> Column:
-    return tk.code_to_id(code, "production", n_special)
-
-
 def train_production(df: DataFrame, text_col: str, vocab_size: int = 6400,
-                     specials=tk.ALL_SPECIAL_TOKENS, checkpoint_every: int = 20,
-                     incremental: bool = False) -> Vocab:
+                     specials=tk.ALL_SPECIAL_TOKENS, **sizes) -> Vocab:
     """Specials first, the 256-symbol alphabet, then merges over the weighted word
-    table until ``vocab_size``. Ties: higher count, then smaller (left id, right id).
-    ``incremental=True`` keeps a pair-count table and applies per-merge deltas (the
-    large-corpus path, see :func:`_train_production_incremental`)."""
-    if incremental:
-        return _train_production_incremental(df, text_col, vocab_size, specials)
-    n_sp = len(specials)
-    words = word_histogram(df, text_col, specials).select(
-        tk.utf8_codes(F.col("word")).alias("c"), F.col("count").alias("n"))
-    words = cut_lineage(words.where(tk.n_tokens(F.col("c")) >= 2))
-    merges: list[tuple[int, int]] = []
-    for r in range(max(0, vocab_size - n_sp - 256)):
-        pairs = pair_table(words, "c", weight=F.col("n"))
-        counts = pairs.groupBy("pair").agg(F.sum("w").alias("n"))
-        left, right = _pair_codes(F.col("pair"))
-        best = (counts.orderBy(F.col("n").desc(), _tie_key(left, n_sp), _tie_key(right, n_sp))
-                .select("pair").limit(1).collect())
-        if not best:
-            break
-        merges.append(_parse_pair(best[0]["pair"]))
-        nxt = (words.select(F.replace("c", F.lit(best[0]["pair"]),
-                                      F.lit(tk.code_hex(tk.MERGE_BASE + r))).alias("c"), "n")
-               .where(tk.n_tokens(F.col("c")) >= 2))
-        words = _advance(words, nxt, r, checkpoint_every)
-    words.unpersist()
-    return Vocab(merges=tuple(merges), layout="production", specials=tuple(specials), presplit=True)
-
-
-def _train_production_incremental(df: DataFrame, text_col: str, vocab_size: int, specials,
-                                  checkpoint_every: int = 3) -> Vocab:
-    """Same merges as the full recount, with pair counts kept as a table: merging P only
-    changes words containing P, so a round subtracts those words' old pairs and adds
-    their new ones (one small explode) instead of re-exploding every word. Both the word
-    table and the count table are reliably checkpointed every few rounds: each round's
-    plan nests the previous ones, and without the cut the plan itself grows
-    geometrically."""
-    n_sp = len(specials)
-    words = word_histogram(df, text_col, specials).select(
-        tk.utf8_codes(F.col("word")).alias("c"), F.col("count").alias("n"))
-    words = cut_lineage(words.where(tk.n_tokens(F.col("c")) >= 2))
-    counts = cut_lineage(pair_table(words, "c", weight=F.col("n")).groupBy("pair").agg(F.sum("w").alias("n")))
-    left, right = _pair_codes(F.col("pair"))
-    merges: list[tuple[int, int]] = []
-    for r in range(max(0, vocab_size - n_sp - 256)):
-        best = (counts.where(F.col("n") > 0)
-                .orderBy(F.col("n").desc(), _tie_key(left, n_sp), _tie_key(right, n_sp))
-                .select("pair").limit(1).collect())
-        if not best:
-            break
-        pair, new = best[0]["pair"], tk.code_hex(tk.MERGE_BASE + r)
-        merges.append(_parse_pair(pair))
-        hit = words.where(F.col("c").contains(pair))
-        before = pair_table(hit, "c", weight=-F.col("n"))
-        after = pair_table(hit.select(F.replace("c", F.lit(pair), F.lit(new)).alias("c"), "n"), "c",
-                           weight=F.col("n"))
-        delta = before.unionByName(after).groupBy("pair").agg(F.sum("w").alias("d"))
-        nxt_counts = (counts.join(delta, "pair", "full_outer")
-                      .select("pair", (F.coalesce("n", F.lit(0)) + F.coalesce("d", F.lit(0))).alias("n"))
-                      .where(F.col("n") != 0))
-        nxt_words = (words.select(F.replace("c", F.lit(pair), F.lit(new)).alias("c"), "n")
-                     .where(tk.n_tokens(F.col("c")) >= 2))
-        counts = _advance(counts, nxt_counts, r, checkpoint_every)
-        words = _advance(words, nxt_words, r, checkpoint_every)
-    words.unpersist()
-    counts.unpersist()
-    return Vocab(merges=tuple(merges), layout="production", specials=tuple(specials), presplit=True)
+    table until ``vocab_size``. Ties: higher count, then smaller (left id, right id)."""
+    specials = tuple(specials)
+    n = max(0, vocab_size - len(specials) - 256)
+    if not n:
+        return Vocab(specials=specials)
+    words = word_histogram(df, text_col, specials).select(F.lit(0).cast("long").alias("o"), F.col("count").alias("n"), F.col("word").alias("text"))
+    parts = df.sparkSession.sparkContext.defaultParallelism
+    rows = training.text_rows(words.repartition(max(parts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "text"))
+    return Vocab(tuple(training.Trainer(rows, False, **sizes).learn(n)), specials=specials)
 
 
 # --- B10 / B11 / B12: corpus tokenization --------------------------------------
@@ -362,48 +334,98 @@ def encode_inline(text: Column, vocab: Vocab) -> Column:
     return apply_merges(tk.utf8_codes(text), vocab)
 
 
-def word_codes(word: str, ranks: dict) -> str:
-    """Code text of one pre-split word: the pair learned first is merged first, everywhere."""
-    seq = list(word.encode("utf-8"))
-    while len(seq) > 1:
-        rank, pair = min(((ranks.get(p, tk.MAX_MERGES), p) for p in zip(seq, seq[1:])))
-        if rank == tk.MAX_MERGES:
-            break
-        out, i = [], 0
-        while i < len(seq):
-            both = tuple(seq[i:i + 2]) == pair
-            out.append(tk.MERGE_BASE + rank if both else seq[i])
-            i += 2 if both else 1
-        seq = out
-    return "".join(map(tk.code_hex, seq))
-
-
-def _words_encoder(vocab: Vocab):
-    ranks = {pair: r for r, pair in enumerate(vocab.merges)}
-    fixed = {s: tk.code_hex(tk.SPECIAL_BASE + i) for i, s in enumerate(vocab.specials)}
-
-    @F.pandas_udf(T.StringType())
-    def encode(words: pd.Series) -> pd.Series:
-        known = dict(fixed)  # each distinct word of the batch is merged once
-
-        def code(w: str) -> str:
-            if w not in known:
-                known[w] = word_codes(w, ranks)
-            return known[w]
-        return words.map(lambda row: None if row is None else "".join(map(code, row)))
+def word_codes(word: str, vocab: Vocab) -> str:
+    """Code text of one pre-split word."""
+    raw = np.frombuffer(word.encode("utf-8"), np.uint8)
+    codes, _ = M.merge_words(raw, np.array([len(raw)]), M.MergeTable(vocab.merges))
+    return "".join(map(tk.code_hex, codes.tolist()))
+
+
+class _WordCache:
+    """Codes of the words a Python worker has met, up to ``LIMIT`` of them."""
+
+    LIMIT = 1 << 20
+
+    def __init__(self, vocab: Vocab):
+        self.table, self.specials = M.MergeTable(vocab.merges), vocab.specials
+        self.clear()
+
+    def clear(self):
+        n = len(self.specials)
+        self.words = pa.array(self.specials, pa.string())
+        self.at, self.size = np.arange(n), np.ones(n, np.int64)
+        self.codes = np.arange(tk.SPECIAL_BASE, tk.SPECIAL_BASE + n, dtype=np.int32)
+
+    def encode(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of all words of all rows, and how many there are in each row."""
+        row = np.r_[0, np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False))]
+        met = lists.flatten().dictionary_encode()
+        words = met.dictionary.cast(pa.string())
+        found = pc.index_in(words, value_set=self.words)
+        if found.null_count and len(self.words) + found.null_count > self.LIMIT:
+            self.clear()
+            found = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(found))
+        if len(new):
+            data, off = _bytes_of(new)
+            codes, size = M.merge_words(data, np.diff(off), self.table)
+            at = len(self.codes) + np.cumsum(size) - size
+            place = found.to_numpy(zero_copy_only=False).copy()
+            place[np.isnan(place)] = np.arange(len(self.words), len(self.words) + len(new))
+            self.words = pa.concat_arrays([self.words, new])
+            self.at, self.size, self.codes = np.r_[self.at, at], np.r_[self.size, size], np.r_[self.codes, codes]
+        else:
+            place = found.to_numpy(zero_copy_only=False)
+        word = place.astype(np.int64)[met.indices.to_numpy(zero_copy_only=False)]
+        size = self.size[word]
+        return self.codes[M.gather(self.at[word], size)], np.diff(np.r_[0, np.cumsum(size)][row])
+
+
+_caches = M.per_worker(_WordCache)
+_HEX = np.frombuffer(b"0123456789ABCDEF", np.uint8)
+
+
+def _words(text: Column, vocab: Vocab) -> Column:
+    special = F.array(*map(F.lit, vocab.specials)).cast("array<string>")
+    return F.flatten(F.transform(special_pieces(text, vocab.specials), lambda p: F.when(
+        F.array_contains(special, p), F.array(p)).otherwise(presplit_words(p))))
+
+
+def _codes_udf(vocab: Vocab):
+    @F.arrow_udf(T.StringType())
+    def encode(lists: pa.Array) -> pa.Array:
+        codes, lengths = _caches(vocab).encode(lists)
+        text = np.full((len(codes), tk.TOKEN_WIDTH), 32, np.uint8)
+        for k in range(tk.DIGITS):
+            text[:, 1 + k] = _HEX[(codes >> (4 * (tk.DIGITS - 1 - k))) & 15]
+        return _var_array(pa.string(), np.r_[0, np.cumsum(lengths)] * tk.TOKEN_WIDTH, text.tobytes(), np.zeros(len(lists), bool))
+    return encode
+
+
+def _word_ids_udf(vocab: Vocab):
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def encode(lists: pa.Array) -> pa.Array:
+        codes, lengths = _caches(vocab).encode(lists)
+        return _list_array(_ids_of(codes, vocab.layout, vocab.n_special), lengths, np.zeros(len(lists), bool))
     return encode
 
 
 def encode_corpus(df: DataFrame, text_col: str, vocab: Vocab, out_col: str = "codes") -> DataFrame:
     """Tokenize a corpus, row by row: every row keeps its columns, whatever its key. The
-    text is cut into specials and words in the JVM; a word is merged once per Arrow batch. No
-    shuffle, so no hot word either. A null text has no codes."""
+    text is cut into specials and words in the JVM; a distinct word is merged once per worker.
+    No shuffle, so no hot word either. A null text has no codes."""
     if not vocab.merges or not vocab.presplit:
         return df.withColumn(out_col, F.coalesce(encode_inline(F.col(text_col), vocab), F.lit("")))
-    special = F.array(*map(F.lit, vocab.specials))
-    words = F.flatten(F.transform(special_pieces(F.col(text_col), vocab.specials), lambda p: F.when(
-        F.array_contains(special, p), F.array(p)).otherwise(presplit_words(p))))
-    return df.withColumn(out_col, F.coalesce(_words_encoder(vocab)(words), F.lit("")))
+    ship(df.sparkSession)
+    return df.withColumn(out_col, _codes_udf(vocab)(_words(F.col(text_col), vocab)))
+
+
+def encode_ids(df: DataFrame, text_col: str, vocab: Vocab, out_col: str = "ids") -> DataFrame:
+    """B10 straight to ids (ARRAY<INT>, in the vocabulary's layout)."""
+    if not vocab.presplit or vocab.layout != "production":
+        return df.withColumn(out_col, F.coalesce(teaching_encode(F.col(text_col), vocab), F.array().cast("array<int>")))
+    ship(df.sparkSession)
+    return df.withColumn(out_col, _word_ids_udf(vocab)(_words(F.col(text_col), vocab)))
 
 
 def ids_of(codes: Column, vocab: Vocab) -> Column:
@@ -443,19 +465,7 @@ def decode_ids(ids: Column, vocab: Vocab, skip_special_tokens: bool = True) -> C
     Production decoding is lossy like the byte-level decoder (bad bytes -> U+FFFD)."""
     if vocab.layout == "teaching":
         return teaching_decode(ids, vocab)
-    n_sp = vocab.n_special
-    kept = F.filter(ids, lambda x: x >= n_sp) if skip_special_tokens else ids
-    if skip_special_tokens:
-        codes = ids_to_codes(F.transform(kept, lambda x: id_to_code(x, vocab)))
-        return byte_codes_to_text(expand_merges(codes, vocab), strict=False)
-    # keep specials: decode runs of ordinary ids between them
-    spell = F.array(*[F.lit(s) for s in vocab.specials])
-    pieces = F.transform(ids, lambda x: F.when(x < n_sp, F.concat(F.lit("\u0001S"), F.element_at(spell, x + 1), F.lit("\u0001")))
-                         .otherwise(F.format_string(tk.CODE_FORMAT, id_to_code(x, vocab))))
-    joined = F.array_join(pieces, "")
-    parts = F.split(joined, "\u0001")
-    return F.array_join(F.transform(parts, lambda p: F.when(p.startswith("S"), F.substr(p, F.lit(2)))
-                                    .otherwise(byte_codes_to_text(expand_merges(p, vocab), strict=False))), "")
+    return F.make_valid_utf8(_bytes_udf(vocab, skip_special_tokens, False)(ids).cast("string"))
 
 
 # --- B9 / A8: the vocabulary as tables ---------------------------------------------
@@ -478,16 +488,8 @@ def vocab_table(spark: SparkSession, vocab: Vocab) -> DataFrame:
     n_sp = vocab.n_special
     specials = spark.createDataFrame([(s, i, True) for i, s in enumerate(vocab.specials)],
                                      "token STRING, id INT, is_special BOOLEAN") if n_sp else None
-    codes = spark.range(0, 256 + len(vocab.merges)).select(
-        F.when(F.col("id") < 256, F.col("id")).otherwise(F.col("id") - 256 + tk.MERGE_BASE)
-        .cast("int").alias("code"))
-    spelled = codes.select(
-        F.col("code"),
-        tk.codes_array(expand_merges(F.format_string(tk.CODE_FORMAT, F.col("code")), vocab)).alias("bytes"))
-    out = spelled.select(
-        F.array_join(F.transform("bytes", byte_symbol), "").alias("token"),
-        tk.code_to_id(F.col("code"), vocab.layout, n_sp).cast("int").alias("id"),
-        F.lit(False).alias("is_special"))
+    spelled = spark.createDataFrame([(i, list(t)) for i, t in enumerate(vocab.token_bytes()[n_sp:], n_sp)], "id INT, bytes ARRAY<INT>")
+    out = spelled.select(F.array_join(F.transform("bytes", byte_symbol), "").alias("token"), "id", F.lit(False).alias("is_special"))
     return specials.unionByName(out) if specials is not None else out
 
 

@@ -17,7 +17,8 @@ from .registry import register
 
 TEACH_ROUNDS = 4          # B4: merges over whole documents
 BENCH_ROUNDS = 5          # B5/B6: merges learned on the benchmark texts
-PROD_MERGES = 10          # B7/B10/B14/A8: production merges over the documents corpus
+PROD_MERGES = 10          # B7/B10/B14/A8: production merges that the SQL below unrolls
+VOCAB_SIZE = 6400         # the default size, learned by b7_train_default
 N_SP = len(tk.ALL_SPECIAL_TOKENS)
 MD5 = lambda c: F.md5(F.array_join(c, ","))
 
@@ -142,9 +143,18 @@ def _prod_rounds_sql(rounds: int) -> tuple[str, list[str]]:
     return ",\n".join(ctes), bests
 
 
+_trained: dict[tuple, str] = {}
+
+
 def production_vocab(spark, d, merges=PROD_MERGES):
-    docs = D.table(spark, d, "documents").select("text")
-    return V.train_production(docs, "text", N_SP + 256 + merges, incremental=True)
+    """Trained once per application, table and size; then loaded from the shared folder."""
+    key = (spark.sparkContext.applicationId, d, merges)
+    if key not in _trained:
+        docs = D.table(spark, d, "documents").select("text")
+        path = shared_path(spark, f"vocab-{uuid.uuid4().hex}")
+        V.save_vocab(spark, V.train_production(docs, "text", N_SP + 256 + merges), path)
+        _trained[key] = path
+    return V.load_vocab(spark, _trained[key])
 
 
 @register("b7_train_production", lambda: f"""
@@ -181,14 +191,34 @@ tok AS (SELECT d.doc_id, d.lang, d.text, {K.code_ids_fast("coalesce(e.c, '')")}
 WITH {_tokenized_cte()}
 SELECT doc_id, len(ids)::BIGINT AS n_tokens, md5(array_to_string(ids, ',')) AS ids_md5 FROM tok""")
 def q_b10(spark, d):
-    vocab = production_vocab(spark, d)
-    docs = D.table(spark, d, "documents").select("doc_id", "text")
-    enc = V.encode_corpus(docs, "text", vocab, "codes")
-    ids = V.ids_of(F.col("codes"), vocab)
-    t = enc.select("doc_id", ids.alias("ids"))
+    return _tokenized(spark, d, production_vocab(spark, d))
+
+
+def _tokenized(spark, d, vocab):
+    t = V.encode_ids(D.table(spark, d, "documents").select("doc_id", "text"), "text", vocab)
     return t.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), MD5(F.col("ids")).alias("ids_md5"))
 
 
+# The default vocabulary has 6,120 merges: no SQL unrolls them, the tests compare with brute force.
+
+@register("b7_train_default")
+def q_b7_default(spark, d):
+    return _merges_df(spark, production_vocab(spark, d, VOCAB_SIZE - N_SP - 256))
+
+
+@register("b10_tokenize_default")
+def q_b10_default(spark, d):
+    return _tokenized(spark, d, production_vocab(spark, d, VOCAB_SIZE - N_SP - 256))
+
+
+@register("b13_round_trip_default", "SELECT doc_id, text AS decoded FROM documents")
+def q_b13_default(spark, d):
+    """Every text tokenized with the default vocabulary and decoded again."""
+    vocab = production_vocab(spark, d, VOCAB_SIZE - N_SP - 256)
+    t = V.encode_ids(D.table(spark, d, "documents").select("doc_id", "text"), "text", vocab)
+    return t.select("doc_id", F.when(F.col("text").isNotNull(), V.decode_ids(F.col("ids"), vocab, False)).alias("decoded"))
+
+
 @register("b14_compression_trained", lambda: f"""
 WITH {_tokenized_cte()}
 SELECT lang, sum(len(ids))::BIGINT AS n_tokens, sum(length(text))::BIGINT AS n_chars,

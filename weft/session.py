@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,3 +64,25 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder, for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + "/weft-tables/" + name
+
+
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Add this package's code to the Python path of the executors, once per application.
+
+    Spark's own file server carries the archive, which holds code only."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="weft-code-"), "weft_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(_ROOT, "weft")):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, _ROOT))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
