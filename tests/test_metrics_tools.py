@@ -1,5 +1,6 @@
 """Loss / advantage metrics, tool-call parsing and reward, candidate selection, statistics."""
 
+import hashlib
 import math
 
 import numpy as np
@@ -65,6 +66,73 @@ def test_gae_matches_backward_loop(spark):
             assert got[(b, t)] == pytest.approx(last)
 
 
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 1 << 18])
+@pytest.mark.parametrize("gamma,lam", [(1.0, 0.95), (0.9, 0.0), (1.0, 1.0)])
+def test_advantages_of_sequences_cut_into_pieces(spark, monkeypatch, piece, gamma, lam):
+    monkeypatch.setattr(M, "GAE_PIECE", piece)
+    rng = np.random.default_rng(piece)
+    seqs = {("a", 0): 1, ("a", None): 9, (None, 3): 4, ("b", 0): 40, ("", 7): 2}
+    rows, want = [], {}
+    for (k, j), n in seqs.items():
+        r, v, last = rng.normal(size=n), rng.normal(size=n), 0.0
+        for t in reversed(range(n)):
+            last = r[t] + gamma * (v[t + 1] if t + 1 < n else 0.0) - v[t] + gamma * lam * last
+            want[k, j, t] = last
+        rows += [(k, j, t, float(r[t]), float(v[t]), f"x{t}") for t in range(n)]
+    df = spark.createDataFrame(rows, "k STRING, j INT, t INT, r DOUBLE, v DOUBLE, extra STRING").repartition(3)
+    got = M.gae(df, ["k", "j"], "t", "r", "v", gamma, lam, carry=("t", "extra")).collect()
+    assert {(x["k"], x["j"], x["t"]): pytest.approx(x["advantage"]) for x in got} == want
+    assert all(x["extra"] == f"x{x['t']}" for x in got) and len(got) == len(rows)
+    assert M.gae(df.limit(0), ["k", "j"], "t", "r", "v").count() == 0
+
+
+def test_one_very_long_sequence(spark):
+    n = 1_000_000
+    df = spark.range(n).select(F.lit(1).alias("s"), F.col("id").alias("t"), (F.col("id") % 7 / 7).alias("r"), (F.col("id") % 5 / 5).alias("v"))
+    got = M.gae(df, ["s"], "t", "r", "v", 1.0, 0.95)
+    t = np.arange(n)
+    r, v = t % 7 / 7, t % 5 / 5
+    first, delta = 0.0, r + np.r_[v[1:], 0] - v
+    for k in range(599, -1, -1):  # 0.95 ** 600 is below 1e-13
+        first = delta[k] + 0.95 * first
+    assert got.where("t = 0").first()["advantage"] == pytest.approx(first)
+    assert got.count() == n
+
+
+def test_penalty_top_p_and_draw_in_the_row(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=n).tolist(), s) for i, (n, s) in enumerate([(5, [0, 0, 4, 9, -1, None]), (1, []), (6400, list(range(0, 6400, 3))), (3, [1])])]
+    df = spark.createDataFrame([*rows, (4, None, [1]), (5, [], [0])], "r INT, l ARRAY<DOUBLE>, seen ARRAY<INT>")
+    got = {r["r"]: r["x"] for r in df.select("r", G.apply_repetition_penalty(F.col("l"), F.col("seen"), 1.3).alias("x")).collect()}
+    for i, x, seen in rows:
+        assert got[i] == pytest.approx([(y / 1.3 if y > 0 else y * 1.3) if k in seen else y for k, y in enumerate(x)])
+    assert got[4] is None and got[5] == []
+    probs = G.candidate_probs(df, "l", 0.8, 50)
+    kept = probs.select("r", "probs", G.top_p_filter(F.col("probs"), 0.9).alias("kept")).withColumn("token", G.weighted_draw(F.col("kept"), F.col("r")))
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    for r in kept.collect():
+        if not r["probs"]:
+            assert not r["kept"] and r["token"] is None
+            continue
+        p = np.array(r["probs"])
+        order = sorted(range(len(p)), key=lambda k: (-p[k], k))
+        mass = np.cumsum(p[order])
+        want = [k for n, k in enumerate(order) if p[k] > 0 and (n < 2 or mass[n - 2] < 0.9)]
+        assert np.flatnonzero(r["kept"]).tolist() == sorted(want) and sum(r["kept"]) == pytest.approx(1)
+        u = int(hashlib.md5(f"42:sample-draw:{r['r']}".encode()).hexdigest()[:8], 16) / 2**32
+        assert r["token"] == next(k for k in sorted(want) if sum(r["kept"][:k + 1]) >= u)
+
+
+def test_routing_loss_by_hand(spark):
+    # two tokens, three experts, one slot: expert 0 has both; mean scores 0.5, 0.3, 0.2
+    gates = [[math.log(x) for x in p] for p in ([0.6, 0.2, 0.2], [0.4, 0.4, 0.2])]
+    df = spark.createDataFrame([(i, layer, g) for layer in (0, 1) for i, g in enumerate(gates)], "t INT, layer INT, g ARRAY<DOUBLE>")
+    per = M.load_balance(M.route_experts(df, ["t", "layer"], "g", 1), ["layer"], 0.1)
+    assert [r["aux_loss"] for r in per.collect()] == pytest.approx([1.0 * 0.5 * 3 * 0.1] * 2)
+    out = M.loss_with_routing(spark.createDataFrame([(2.0,)], "ce DOUBLE"), per).first()
+    assert (out["aux_loss"], out["loss"]) == (pytest.approx(0.3), pytest.approx(2.3))
+
+
 def test_preference_mean_counts_unpaired(spark):
     s = spark.createDataFrame([(0, 0, -0.5, -1.0), (0, 1, -2.0, -1.0), (1, 0, -1.0, -1.0)], "pair INT, side INT, policy DOUBLE, ref DOUBLE")
     r = M.preference_mean(M.preference_loss(s, ["pair"], "side", 0.15)).first()
@@ -173,9 +241,9 @@ def test_top_k_ties_and_top_p_width(spark):
     assert c.where("prob > 0").count() == 3
     probs = [math.log(p) for p in (0.5, 0.3, 0.15, 0.05)]
     d2 = spark.createDataFrame([(0, probs)], "r INT, l ARRAY<DOUBLE>")
-    cand = G.candidate_table(d2, ["r"], "l")
-    assert sorted(r["token_id"] for r in G.top_p_filter(cand, ["r"], 0.5).collect()) == [0, 1]
-    assert sorted(r["token_id"] for r in G.top_p_filter(cand, ["r"], 0.5, strict=True).collect()) == [0]
+    cand = G.candidate_probs(d2, "l")
+    wide, narrow = (cand.select(G.top_p_filter(F.col("probs"), 0.5, strict)).first()[0] for strict in (False, True))
+    assert wide == pytest.approx([0.625, 0.375, 0, 0]) and narrow == [1.0, 0, 0, 0]
     assert df.select(G.greedy(F.col("l"))).first()[0] == 0
 
 

@@ -13,6 +13,7 @@ import heapq
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 from .tokens import DIGITS, MERGE_BASE
 
@@ -171,6 +172,19 @@ def spans(lengths: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int, i
         lo = hi
 
 
+def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets (n+1) of a string or binary array; null counts as empty."""
+    if len(col) == 0:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    if col.null_count:
+        col = col.fill_null(b"" if pa.types.is_binary(col.type) or pa.types.is_large_binary(col.type) else "")
+    _, off, data = col.buffers()
+    wide = pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type)
+    off = np.frombuffer(off, np.int64 if wide else np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[off[0]:off[-1]], off - off[0]
+
+
 def gather(at: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Indices of slices [at, at + size) one behind the other."""
     end = np.cumsum(size)

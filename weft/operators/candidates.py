@@ -1,14 +1,19 @@
 """Next-token candidate selection over a table of logits (G1-G8): one decoding step
-for many rows at once. Selection inside a row is an array expression (map-side);
-the cumulative-mass steps (top-p, weighted draw) explode to (row, token) and use a
-window per row, whose size is bounded by the vocabulary."""
+for many rows at once, without a shuffle. Selection inside a row is an array expression;
+the steps that need an order or a place in the row (penalty, top-p, draw) work on the flat
+values of a whole Arrow batch, at the cost of one sort."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.draws import uniform
+from ..session import ship_active
 
 NEG_INF = float("-inf")
 
@@ -19,21 +24,43 @@ def greedy(logits: Column) -> Column:
     return (-best["neg_id"]).cast("int")
 
 
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column (null: NaN or -1), and where each row begins (n+1)."""
+    size = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+    values = lists.flatten()
+    if values.null_count:
+        values = values.fill_null(float("nan") if pa.types.is_floating(values.type) else -1)
+    return values.to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(size)]
+
+
+def _lists(values: np.ndarray, off: np.ndarray, like: pa.Array) -> pa.Array:
+    null = pc.is_null(like).to_numpy(zero_copy_only=False)
+    mask = pa.py_buffer(np.packbits(~null, bitorder="little").tobytes()) if null.any() else None
+    return pa.Array.from_buffers(pa.list_(pa.float64()), len(off) - 1, [mask, pa.py_buffer(off.astype(np.int32).tobytes())], children=[pa.array(values)])
+
+
+def _row_sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(np.r_[values, 0.0], off[:-1]) * (np.diff(off) > 0) if len(off) > 1 else np.zeros(0)
+
+
 def apply_repetition_penalty(logits: Column, seen: Column, penalty: float) -> Column:
-    """G5 (per row, T4): seen tokens: positive logits / penalty, others * penalty."""
+    """G5 (per row, T4): seen tokens: positive logits / penalty, others * penalty. The seen ids
+    index the row's values; ids outside of it, repeated and null ids change nothing."""
     if penalty == 1.0:
         return logits
-    return F.transform(logits, lambda x, i: F.when(F.array_contains(seen, i),
-                                                   F.when(x > 0, x / penalty).otherwise(x * penalty)).otherwise(x))
-
+    ship_active()
 
-def temperature_probs(logits: Column, temperature: float) -> Column:
-    """softmax(logits / T); -inf entries get probability 0."""
-    scaled = F.transform(logits, lambda x: x / F.lit(temperature))
-    m = F.array_max(scaled)
-    e = F.transform(scaled, lambda x: F.exp(x - m))
-    total = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(e, lambda x: x / total)
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def penalised(rows: pa.Array, ids: pa.Array) -> pa.Array:
+        x, off = _flat(rows)
+        token, first = _flat(ids)
+        row = np.repeat(np.arange(len(ids)), np.diff(first))
+        token = token.astype(np.int64)
+        good = (token >= 0) & (token < np.diff(off)[row])
+        marked = np.zeros(len(x), bool)  # the bitmap of seen ids of all rows
+        marked[off[:-1][row[good]] + token[good]] = True
+        return _lists(np.where(marked, np.where(x > 0, x / penalty, x * penalty), x), off, rows)
+    return penalised(logits, seen)
 
 
 def top_k_filter(logits: Column, k: int) -> Column:
@@ -43,57 +70,90 @@ def top_k_filter(logits: Column, k: int) -> Column:
     if k <= 0:
         return logits
     kk = F.least(F.lit(k), F.size(logits))
-    kth = F.element_at(F.sort_array(logits, asc=False), kk)
+    kth = F.get(F.sort_array(logits, asc=False), kk - 1)
     return F.transform(F.arrays_zip(logits.alias("x"), F.array_repeat(kth, F.size(logits)).alias("t")),
                        lambda z: F.when(z["x"] < z["t"], F.lit(NEG_INF)).otherwise(z["x"]))
 
 
-def candidate_table(df: DataFrame, key_cols: list[str], logits_col: str, temperature: float = 1.0,
-                    top_k: int = 0, repetition_penalty: float = 1.0, seen_col: str | None = None) -> DataFrame:
-    """G5 -> G2 -> G3: per (row, token) the filtered logit and its probability. Row
-    constants (k-th largest logit, max, normaliser) are staged as their own columns."""
+def candidate_probs(df: DataFrame, logits_col: str, temperature: float = 1.0, top_k: int = 0,
+                    repetition_penalty: float = 1.0, seen_col: str | None = None, out_col: str = "probs",
+                    filtered_col: str | None = None) -> DataFrame:
+    """G5 -> G2 -> G3: adds each row's probabilities by token id (0 where filtered), and on
+    request its filtered logits. Row constants (k-th largest logit, max, normaliser) are
+    staged as their own columns."""
     logits = F.col(logits_col)
     if seen_col is not None:
         logits = apply_repetition_penalty(logits, F.col(seen_col), repetition_penalty)
-    t = df.select(*key_cols, F.transform(logits, lambda x: x / F.lit(temperature)).alias("_s"))
+    t = df.withColumn("_s", F.transform(logits, lambda x: x / F.lit(temperature)))
     if top_k > 0:
         t = t.withColumn("_s", top_k_filter(F.col("_s"), top_k))
     t = t.withColumn("_m", F.array_max("_s"))
     t = t.withColumn("_e", F.transform(F.arrays_zip(F.col("_s").alias("x"), F.array_repeat("_m", F.size("_s")).alias("m")),
                                        lambda p: F.exp(p["x"] - p["m"])))
     t = t.withColumn("_tot", F.aggregate("_e", F.lit(0.0), lambda a, x: a + x))
-    z = F.arrays_zip(F.col("_s").alias("logit"), F.col("_e").alias("e"))
-    return t.select(*key_cols, "_tot", F.posexplode(z).alias("token_id", "_z")).select(
-        *key_cols, F.col("token_id").cast("int").alias("token_id"), F.col("_z.logit").alias("logit"),
-        (F.col("_z.e") / F.col("_tot")).alias("prob"))
-
-
-def top_p_filter(cands: DataFrame, key_cols: list[str], top_p: float, strict: bool = False) -> DataFrame:
-    """On the (top-k filtered) distribution sorted by probability (ties by token id),
-    the first token is always kept; a later token is dropped when the mass before its
-    predecessor already reaches p (T3: one token wider than the textbook set). With
-    ``strict`` the textbook minimal set is kept instead. Probabilities are renormalised."""
-    live = cands.where(F.col("prob") > 0)
-    if top_p <= 0.0:
-        kept = live
-    else:
-        w = Window.partitionBy(*key_cols).orderBy(F.col("prob").desc(), F.col("token_id").asc())
-        upto = -1 if strict else -2
-        before = F.coalesce(F.sum("prob").over(w.rowsBetween(Window.unboundedPreceding, upto)), F.lit(0.0))
-        kept = live.withColumn("_before", before).where(F.col("_before") < top_p).drop("_before")
-    tot = Window.partitionBy(*key_cols)
-    return kept.withColumn("prob", F.col("prob") / F.sum("prob").over(tot))
-
-
-def weighted_draw(kept: DataFrame, key_cols: list[str], seed: int = 42) -> DataFrame:
-    """Inverse-CDF draw over the kept set in token-id order with a per-row uniform."""
-    u = uniform(F.concat_ws(":", *[F.col(k).cast("string") for k in key_cols]), "sample-draw", seed)
-    w = Window.partitionBy(*key_cols).orderBy("token_id")
-    cum = kept.withColumn("_cum", F.sum("prob").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_u", u)
-    hit = cum.where(F.col("_cum") >= F.col("_u"))
-    first = Window.partitionBy(*key_cols).orderBy("token_id")
-    picked = hit.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1)
-    return picked.select(*key_cols, "token_id")
+    t = t.withColumn(out_col, F.transform(F.arrays_zip(F.col("_e").alias("e"), F.array_repeat("_tot", F.size("_e")).alias("t")), lambda p: p["e"] / p["t"]))
+    if filtered_col:
+        t = t.withColumn(filtered_col, F.col("_s"))
+    return t.drop("_s", "_m", "_e", "_tot")
+
+
+def candidate_table(df: DataFrame, key_cols: list[str], logits_col: str, temperature: float = 1.0,
+                    top_k: int = 0, repetition_penalty: float = 1.0, seen_col: str | None = None) -> DataFrame:
+    """The same as rows (keys..., token_id, logit, prob)."""
+    t = candidate_probs(df, logits_col, temperature, top_k, repetition_penalty, seen_col, "_p", "_l")
+    z = F.arrays_zip(F.col("_l").alias("logit"), F.col("_p").alias("prob"))
+    return t.select(*key_cols, F.posexplode(z).alias("token_id", "_z")).select(
+        *key_cols, F.col("token_id").cast("int").alias("token_id"), F.col("_z.logit").alias("logit"), F.col("_z.prob").alias("prob"))
+
+
+def top_p_filter(probs: Column, top_p: float, strict: bool = False) -> Column:
+    """Of a row's probabilities by token id, sorted by probability (ties by token id), the
+    first is always kept; a later token is dropped when the mass before its predecessor
+    already reaches p (T3: one token wider than the textbook set). With ``strict`` the textbook
+    minimal set is kept instead. Kept probabilities are renormalised, the others are 0."""
+    ship_active()
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def kept(rows: pa.Array) -> pa.Array:
+        x, off = _flat(rows)
+        n = np.diff(off)
+        row = np.repeat(np.arange(len(n)), n)
+        live = x > 0
+        if top_p > 0:
+            order = np.lexsort((np.arange(len(x)), -x, row))
+            mass = np.cumsum(x[order])  # within a row, from its first token on
+            start = np.r_[0.0, mass][off[:-1]][row]
+            back = 1 if strict else 2
+            place = np.arange(len(x)) - off[:-1][row]
+            before = np.where(place >= back, np.r_[np.zeros(back), mass][:len(x)] - start, 0.0)
+            live[order] &= before < top_p
+        x = np.where(live, x, 0.0)
+        return _lists(x / np.where(live, _row_sums(x, off)[row], 1.0), off, rows)
+    return kept(probs)
+
+
+def weighted_draw(probs: Column, key: Column, seed: int = 42) -> Column:
+    """Inverse-CDF draw from a row's probabilities in token-id order, with a uniform by key:
+    the first kept token whose running mass reaches it. NULL where no token is kept."""
+    ship_active()
+
+    @F.arrow_udf(T.IntegerType())
+    def drawn(rows: pa.Array, u: pa.Array) -> pa.Array:
+        x, off = _flat(rows)
+        n = np.diff(off)
+        row = np.repeat(np.arange(len(n)), n)
+        mass = np.cumsum(x)
+        mass = mass - np.r_[0.0, mass][off[:-1]][row]
+        live = x > 0
+        want = u.to_numpy(zero_copy_only=False)[row]
+        at = np.flatnonzero(live & (mass >= want))
+        out = np.full(len(n), -1, np.int64)
+        out[row[at][::-1]] = (at - off[:-1][row[at]])[::-1]
+        # rounding can leave the whole mass just under the draw: then the last kept token
+        rest = np.flatnonzero(live & (out[row] < 0))
+        out[row[rest]] = rest - off[:-1][row[rest]]
+        return pa.array(out.astype(np.int32), mask=out < 0)
+    return drawn(probs, uniform(key, "sample-draw", seed))
 
 
 def stop_at_eos(tokens: Column, eos_id: int) -> Column:

@@ -8,12 +8,18 @@ aggregation, and batch statistics are small aggregates joined back.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_path, ship
+
 
 # --- array helpers --------------------------------------------------------------
 
@@ -145,32 +151,123 @@ def cispo_loss(df: DataFrame, seq_cols: list[str], policy: str, old: str, ref: s
 
 # --- E10-E13 ----------------------------------------------------------------------
 
-def _discounted(c: float):
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def run(deltas: pd.Series) -> pd.Series:
-        def one(x):
-            out, last = np.empty(len(x)), 0.0
-            for t in range(len(x) - 1, -1, -1):
-                last = out[t] = x[t] + c * last
-            return out
-        return deltas.map(one)
-    return run
+#: Steps of one piece of the advantage scan.
+GAE_PIECE = 1 << 18
+
+
+def _back_scan(start: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """x[t] = start[t] + step[t] * x[t + 1] for all t at once, as (value if what follows the last step is
+    0, how much of what follows reaches t). Pairs (start, step) are composed by doubling."""
+    start, step, n = start.copy(), step.copy(), 1
+    while n < len(start) and step[:-n].any():
+        start[:-n] += step[:-n] * start[n:]
+        step[:-n] *= step[n:]
+        n *= 2
+    return start, step
+
+
+def _pieces(rows: DataFrame, keys: int, gamma: float, c: float) -> DataFrame:
+    """Sorted rows packed into pieces. A piece says which sequence is first and last in it, and what its
+    first advantage is: ``first_local`` + ``reach`` * (what follows the piece), if it is all one sequence."""
+    def run(batches):
+        part, n, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def piece(table: pa.Table):
+            nonlocal n
+            delta, step, key = _deltas(table, keys, gamma, c)
+            a, reach = _back_scan(delta, step)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                w.write_table(table)
+            n += 1
+            one = len(np.unique(key)) == 1
+            return pa.RecordBatch.from_pydict(
+                {"piece": [(part << 32) + n], "first": [repr(table.slice(0, 1).select(range(keys)).to_pylist()[0])],
+                 "last": [repr(table.slice(table.num_rows - 1).select(range(keys)).to_pylist()[0])], "value": [_number(table, keys + 2)[0]],
+                 "local": [a[0]], "reach": [reach[0] if one else 0.0], "blob": [sink.getvalue().to_pybytes()]}, schema=_PIECE_ARROW)
+        for b in batches:
+            for lo in range(0, b.num_rows, GAE_PIECE):
+                held.append(b.slice(lo, GAE_PIECE))
+                size += held[-1].num_rows
+                if size >= GAE_PIECE:
+                    yield piece(pa.Table.from_batches(held).combine_chunks())
+                    held, size = [], 0
+        if size:
+            yield piece(pa.Table.from_batches(held).combine_chunks())
+    return rows.mapInArrow(run, _PIECE)
+
+
+_PIECE = "piece long, first string, last string, value double, local double, reach double, blob binary"
+_PIECE_ARROW = pa.schema([("piece", pa.int64()), ("first", pa.string()), ("last", pa.string()), ("value", pa.float64()),
+                          ("local", pa.float64()), ("reach", pa.float64()), ("blob", pa.binary())])
+
+
+def _number(table: pa.Table, i: int) -> np.ndarray:
+    return table.column(i).cast(pa.float64()).fill_null(0.0).to_numpy()
+
+
+def _deltas(table: pa.Table, keys: int, gamma: float, c: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """delta and step of each row as if a value of 0 followed the piece, and the number of its sequence."""
+    n = table.num_rows
+    new = np.zeros(n, bool)
+    for i in range(keys):
+        col = table.column(i).combine_chunks().dictionary_encode()
+        code = (col.chunk(0) if isinstance(col, pa.ChunkedArray) else col).indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        new[1:] |= code[1:] != code[:-1]
+    key = np.cumsum(new)
+    reward, value = _number(table, keys + 1), _number(table, keys + 2)
+    goes_on = np.r_[~new[1:], True]  # the last row may go on in the next piece
+    after = np.where(goes_on, np.r_[value[1:], 0.0], 0.0)
+    return reward + gamma * after - value, np.where(goes_on, c, 0.0), key
 
 
 def gae(df: DataFrame, seq_cols: list[str], pos_col: str, reward_col: str, value_col: str,
         gamma: float = 1.0, lam: float = 0.95, carry: tuple[str, ...] = ()) -> DataFrame:
     """A_t = delta_t + gamma*lam*A_{t+1}, delta_t = r_t + gamma V_{t+1} - V_t, with
-    V after the last step = 0; the mask is not used in the recursion. One sequence per
-    group (bounded by the sequence length), one backward pass over it; the columns in
-    ``carry`` travel along, so nothing is joined back."""
-    cols = list(dict.fromkeys([pos_col, reward_col, value_col, *carry]))
-    g = df.groupBy(*seq_cols).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("_s"))
-    vals = F.transform("_s", lambda x: x[value_col])
-    nxt = F.concat(F.slice(vals, 2, F.greatest(F.size("_s") - 1, F.lit(0))), F.array(F.lit(0.0)))
-    delta = F.zip_with(F.col("_s"), nxt, lambda x, v1: (x[reward_col] + F.lit(gamma) * v1 - x[value_col]).cast("double"))
-    g = g.select(*seq_cols, "_s", _discounted(gamma * lam)(delta).alias("_a"))
-    g = g.select(*seq_cols, F.explode(F.arrays_zip("_s", "_a")).alias("_e"))
-    return g.select(*seq_cols, *(F.col(f"_e._s.{c}").alias(c) for c in cols if c not in seq_cols), F.col("_e._a").alias("advantage"))
+    V after the last step = 0; the mask is not used in the recursion. Null rewards and values
+    count as 0. Columns in ``carry`` travel along, so nothing is joined back.
+
+    Rows are ranged by sequence and position and packed into pieces of ``GAE_PIECE`` steps; a
+    sequence may lie in any number of them. Within a piece the recursion is an associative scan over
+    all its sequences at once; from piece to piece a table of one row per piece is carried."""
+    spark = df.sparkSession
+    ship(spark)
+    c = gamma * lam
+    keys = len(seq_cols)
+    cols = list(dict.fromkeys([*seq_cols, pos_col, *carry, reward_col, value_col]))
+    # fixed places: the keys, position, reward, value; then what travels along
+    rows = df.select(*seq_cols, F.col(pos_col).alias("_pos"), F.col(reward_col).alias("_reward"), F.col(value_col).alias("_value"),
+                     *(F.col(x) for x in cols if x not in seq_cols))
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranged = rows.repartitionByRange(parts, *seq_cols, "_pos").sortWithinPartitions(*seq_cols, "_pos")
+    path = shared_path(spark, f"pieces-{uuid.uuid4().hex}")
+    _pieces(ranged, keys, gamma, c).write.parquet(path)
+    pieces = spark.read.parquet(path)
+    follows, after = {}, None
+    for p in reversed(sorted(pieces.drop("blob").collect())):  # one small row per piece
+        own = after is not None and after[0] == p["last"]
+        follows[p["piece"]] = (after[1], after[2]) if own else (0.0, 0.0)
+        a, v = follows[p["piece"]]
+        # the last step's delta gains gamma * v, its advantage also c * a; both fade with reach on the way to the first step
+        first = p["local"] + (p["reach"] * (a + (gamma * v / c if c else 0.0)) if own else 0.0)
+        if own and not c and p["reach"] == 0.0 and p["first"] == p["last"]:
+            first = None  # without discounting only a piece of one step feels what follows
+        after = (p["first"], p["local"] if first is None else first, p["value"])
+    shared = spark.sparkContext.broadcast(follows)
+    schema = T.StructType([*rows.schema.fields[:keys], *rows.schema.fields[keys + 3:], T.StructField("advantage", T.DoubleType())])
+
+    def run(batches):
+        for b in batches:
+            for number, blob in zip(b.column("piece").to_pylist(), b.column("blob")):
+                with pa.ipc.open_stream(blob.as_buffer()) as r:
+                    table = r.read_all().combine_chunks()
+                delta, step, _ = _deltas(table, keys, gamma, c)
+                a, v = shared.value[number]
+                delta[-1] += gamma * v + c * a
+                step[-1] = 0.0
+                out = table.select([*range(keys), *range(keys + 3, table.num_columns)]).append_column("advantage", pa.array(_back_scan(delta, step)[0]))
+                yield from out.to_batches()
+    return pieces.select("piece", "blob").mapInArrow(run, schema)
 
 
 def normalise_advantages(df: DataFrame, batch_cols: list[str], adv_col: str, mask_col: str,
@@ -257,16 +354,23 @@ def route_experts(df: DataFrame, key_cols: list[str], gate_col: str, k: int = 1,
     return out.select(*key_cols, "scores", "slot", F.col("_t.expert").cast("int").alias("expert"), w.alias("weight"))
 
 
-def load_balance(routed: DataFrame, key_cols: list[str], n_experts: int, coef: float = 5e-4) -> DataFrame:
-    """sum_e (tokens routed to e / N) * mean score_e * E * coef. Every term is a
-    global aggregate; the per-expert table has E rows."""
-    per_tok = routed.where(F.col("slot") == 0).select(*key_cols, "scores")
-    scores = per_tok.select(F.posexplode("scores").alias("expert", "s")).groupBy("expert").agg(
-        F.sum("s").alias("sum_s"), F.count(F.lit(1)).alias("n_tok"))
-    loads = routed.groupBy("expert").agg(F.count(F.lit(1)).alias("n_routed"))
-    joined = scores.join(loads, "expert", "left")
+def load_balance(routed: DataFrame, layer_cols: list[str] = (), coef: float = 5e-4) -> DataFrame:
+    """E17, per layer: sum_e (tokens routed to e / N) * mean score_e * E * coef, where E is the number
+    of scores a token has. Every term is an aggregate; the per-expert table has E rows a layer."""
+    keys = list(layer_cols)
+    per_tok = routed.where(F.col("slot") == 0).select(*keys, "scores")
+    scores = per_tok.select(*keys, F.size("scores").alias("_e"), F.posexplode("scores").alias("expert", "s")).groupBy(*keys, "expert").agg(
+        F.sum("s").alias("sum_s"), F.count(F.lit(1)).alias("n_tok"), F.max("_e").alias("n_experts"))
+    loads = routed.groupBy(*keys, "expert").agg(F.count(F.lit(1)).alias("n_routed"))
+    joined = scores.join(loads, [*keys, "expert"], "left")
     term = (F.coalesce("n_routed", F.lit(0)) / F.col("n_tok")) * (F.col("sum_s") / F.col("n_tok"))
-    return joined.agg((F.sum(term) * F.lit(n_experts * coef)).alias("aux_loss"))
+    return joined.groupBy(*keys).agg((F.sum(term * F.col("n_experts")) * F.lit(coef)).alias("aux_loss"))
+
+
+def loss_with_routing(ce: DataFrame, per_layer: DataFrame) -> DataFrame:
+    """The training loss of a routed model: E2's cross-entropy plus the layers' E17 values (0 without layers)."""
+    aux = per_layer.agg(F.coalesce(F.sum("aux_loss"), F.lit(0.0)).alias("aux_loss"), F.lit(1).alias("_k"))
+    return ce.withColumn("_k", F.lit(1)).join(aux, "_k").drop("_k").withColumn("loss", F.col("ce") + F.col("aux_loss"))
 
 
 def kl_early_stop(df: DataFrame, batch_cols: list[str], old: str, new: str, threshold: float = 0.25) -> DataFrame:

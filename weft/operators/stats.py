@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import merging
+from ..session import ship
+
 #: Rows of a block of vectors.
 BLOCK = 1024
 
@@ -83,6 +86,64 @@ def distribution(df: DataFrame, group_cols: list[str], item_col: str) -> DataFra
     return c.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k").drop("_k")
 
 
+#: Groups of count arrays a task holds at once, and bytes counted in one go.
+COUNT_GROUPS, COUNT_BYTES = 64, 4 << 20
+
+
+def byte_counts(df: DataFrame, text_col: str, group_cols: list[str] = (), pairs: bool = False) -> DataFrame:
+    """Per group, how often each byte stands in the texts (UTF-8): (groups..., byte, n). With ``pairs``
+    also adjacent bytes of a text, overlaps counted: (groups..., left, right, n), where a single
+    byte has no ``right``. Tasks fill arrays of 256 and 65,536 cells; only cells are shuffled."""
+    ship(df.sparkSession)
+    rows = df.select(*group_cols, F.col(text_col).alias("_text"))
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("left", T.IntegerType()), T.StructField("right", T.IntegerType()), T.StructField("n", T.LongType())])
+    n_groups = len(group_cols)
+
+    def run(batches):
+        held: dict[tuple, np.ndarray] = {}
+        out = None
+
+        def cells():
+            for group, count in held.items():
+                at = np.flatnonzero(count)
+                right = np.where(at < 256, 0, (at - 256) & 255)
+                left = np.where(at < 256, at, (at - 256) >> 8)
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array([g] * len(at), f.type) for g, f in zip(group, out)), pa.array(left.astype(np.int32)),
+                     pa.array(right.astype(np.int32), mask=at < 256), pa.array(count[at])], names=schema.names)
+            held.clear()
+        for b in batches:
+            out = list(b.schema)[:n_groups]
+            data, off = merging.text_bytes(b.column(n_groups))
+            keys = list(zip(*(b.column(i).to_pylist() for i in range(n_groups)))) if n_groups else [()] * b.num_rows
+            number: dict[tuple, int] = {}
+            group = np.fromiter((number.setdefault(k, len(number)) for k in keys), np.int64, len(keys))
+            names = list(number)
+            for lo, hi, a, z in merging.spans(np.diff(off), COUNT_BYTES):
+                size = np.diff(off[lo:hi + 1])
+                of = np.repeat(group[lo:hi], size)
+                byte = data[a:z].astype(np.int64)
+                for g in np.unique(of):
+                    own = of == g
+                    if len(held) >= COUNT_GROUPS and names[g] not in held:
+                        yield from cells()
+                    count = held.setdefault(names[g], np.zeros(256 + 65536 * pairs, np.int64))
+                    count[:256] += np.bincount(byte[own], minlength=256)
+                    if pairs:
+                        at = np.flatnonzero(own & ~merging.last_flags(size))
+                        count[256:] += np.bincount((byte[at] << 8) | byte[at + 1], minlength=65536)
+        if held:
+            yield from cells()
+    total = rows.mapInArrow(run, schema).groupBy(*group_cols, "left", "right").agg(F.sum("n").alias("n"))
+    return total if pairs else total.select(*group_cols, F.col("left").alias("byte"), "n")
+
+
+def shares(counts: DataFrame, group_cols: list[str], count_col: str = "n") -> DataFrame:
+    """Adds ``p``, each count's share of its group's sum. A group has few rows (cells of a count array)."""
+    w = Window.partitionBy(*group_cols)
+    return counts.withColumn("p", F.col(count_col) / F.sum(count_col).over(w))
+
+
 def entropy(dist: DataFrame, group_cols: list[str], p_col: str = "p") -> DataFrame:
     """H5: entropy in nats and bits, plus the largest self-information."""
     p = F.col(p_col)

@@ -27,9 +27,9 @@ from ..functions import merging as M
 from ..functions import tokens as tk
 from ..session import shared_path, ship
 
-BATCH = 64
+BATCH = 128
 TRACKED = 1 << 16
-REWRITE, ROUNDS = 512, 32
+REWRITE, ROUNDS = 256, 32
 ROWS = "o long, n long, codes binary"
 
 
@@ -40,10 +40,7 @@ def _wide(codes: int) -> str:
 
 def _load(batch: pa.RecordBatch, dtype: str):
     """(order, weight, codes, lengths) of an Arrow batch of rows."""
-    col = batch.column("codes")
-    _, off, data = col.buffers()
-    off = np.frombuffer(off, np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
-    data = np.frombuffer(data, np.uint8)[off[0]:off[-1]] if data is not None else np.zeros(0, np.uint8)
+    data, off = M.text_bytes(batch.column("codes"))
     codes = np.frombuffer(data.tobytes(), dtype).astype(np.int32)
     return batch.column("o").to_numpy(zero_copy_only=False), batch.column("n").to_numpy(zero_copy_only=False), codes, np.diff(off) // np.dtype(dtype).itemsize
 
@@ -62,14 +59,11 @@ def text_rows(df: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            col = b.column("text").fill_null("").cast(pa.binary())
-            _, off, data = col.buffers()
-            off = np.frombuffer(off, np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
-            data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+            data, off = M.text_bytes(b.column("text"))
             o, n = (b.column(c).to_numpy(zero_copy_only=False) for c in ("o", "n"))
             for lo, hi, a, z in M.spans(np.diff(off), 16 * M.CHUNK):
                 size = np.diff(off[lo:hi + 1])
-                yield _rows(o[lo:hi], n[lo:hi], data[off[0] + a:off[0] + z], size, dtype)
+                yield _rows(o[lo:hi], n[lo:hi], data[a:z], size, dtype)
     return df.select("o", "n", "text").where(F.octet_length("text") > 1).mapInArrow(run, ROWS)
 
 
@@ -82,6 +76,7 @@ class Trainer:
         self.merges: list[tuple[int, int]] = []
         self.rounds = 0
         self._dtype = _wide(256)
+        self._guess = 8.0
         self._keep(rows)
 
     # rows ---------------------------------------------------------------------------
@@ -195,7 +190,10 @@ class Trainer:
                 best = self._best(True)
                 if best is None:
                     break
-            self._round(self._predict(best, min(self._batch, n - len(self.merges))))
+            before = len(self.merges)
+            # twice as many as were right of late
+            self._round(self._predict(best, min(self._batch, int(2 * self._guess) + 2, n - before)))
+            self._guess = (self._guess + len(self.merges) - before) / 2
             if len(self.merges) - self._written >= self._rewrite or self._since >= ROUNDS:
                 self._write_again()
         return self.merges

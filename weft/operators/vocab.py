@@ -9,6 +9,7 @@ text of :mod:`weft.functions.tokens`.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions import merging as M
 from ..functions import tokens as tk
-from ..session import ship
+from ..session import shared_path, ship, ship_active
 from . import training
 
 PAIR_WIDTH = 2 * tk.TOKEN_WIDTH
@@ -129,12 +130,12 @@ def teaching_encode(text: Column, vocab: Vocab) -> Column:
 
 def _ids_udf(vocab: Vocab):
     """Bytes -> ids of the whole text, all merges in one sweep."""
-    _ship()
+    ship_active()
     pairs, layout, n_special = vocab.merges, vocab.layout, vocab.n_special
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
-        data, off = _bytes_of(texts)
+        data, off = M.text_bytes(texts)
         codes, lengths = M.merge_words(data, np.diff(off), _tables(pairs))
         return _list_array(_ids_of(codes, layout, n_special), lengths, pc.is_null(texts).to_numpy(zero_copy_only=False))
     return encode
@@ -148,7 +149,7 @@ def teaching_decode(ids: Column, vocab: Vocab) -> Column:
 
 def _bytes_udf(vocab: Vocab, skip_special_tokens: bool, strict: bool):
     """Ids -> bytes, gathered from one table; unknown ids make the row NULL if strict, else are left out."""
-    _ship()
+    ship_active()
     table = vocab.token_bytes()
     if skip_special_tokens:
         table = [b""] * vocab.n_special + table[vocab.n_special:]
@@ -173,23 +174,6 @@ def _bytes_udf(vocab: Vocab, skip_special_tokens: bool, strict: bool):
 _tables = M.per_worker(M.MergeTable)
 
 
-def _ship() -> None:
-    spark = SparkSession.getActiveSession()
-    if spark is not None:
-        ship(spark)
-
-
-def _bytes_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets (n+1) of a string or binary array; null counts as empty."""
-    if col.null_count:
-        col = col.fill_null(b"" if pa.types.is_binary(col.type) or pa.types.is_large_binary(col.type) else "")
-    _, off, data = col.buffers()
-    wide = pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type)
-    off = np.frombuffer(off, np.int64 if wide else np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64) if len(col) else np.zeros(1, np.int64)
-    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    return data[off[0]:off[-1]], off - off[0]
-
-
 def _mask(null: np.ndarray):
     return pa.py_buffer(np.packbits(~null, bitorder="little").tobytes()) if null.any() else None
 
@@ -313,9 +297,11 @@ def train_production(df: DataFrame, text_col: str, vocab_size: int = 6400,
     n = max(0, vocab_size - len(specials) - 256)
     if not n:
         return Vocab(specials=specials)
-    words = word_histogram(df, text_col, specials).select(F.lit(0).cast("long").alias("o"), F.col("count").alias("n"), F.col("word").alias("text"))
-    parts = df.sparkSession.sparkContext.defaultParallelism
-    rows = training.text_rows(words.repartition(max(parts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "text"))
+    spark = df.sparkSession
+    path = shared_path(spark, f"words-{uuid.uuid4().hex}")
+    word_histogram(df, text_col, specials).write.parquet(path)
+    words = spark.read.parquet(path).select(F.lit(0).cast("long").alias("o"), F.col("count").alias("n"), F.col("word").alias("text"))
+    rows = training.text_rows(words.repartition(training.written_parts(words, "text"), "text"))
     return Vocab(tuple(training.Trainer(rows, False, **sizes).learn(n)), specials=specials)
 
 
@@ -367,7 +353,7 @@ class _WordCache:
             found = pc.index_in(words, value_set=self.words)
         new = words.filter(pc.is_null(found))
         if len(new):
-            data, off = _bytes_of(new)
+            data, off = M.text_bytes(new)
             codes, size = M.merge_words(data, np.diff(off), self.table)
             at = len(self.codes) + np.cumsum(size) - size
             place = found.to_numpy(zero_copy_only=False).copy()

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 from ..operators.chat import EMPTY_THINK
 from ..operators.ordering import ordered_index
 from ..operators.toolcalls import TOOL_SPEC_JSON
-from ..sources.readers import load_table
+from ..sources.readers import load_table, spread
 
 SEQ_LEN = 16          # events per logged sequence
 GROUP_SIZE = 6        # generations per prompt group (E7)
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return load_table(spark, d, name)
+    df = load_table(spark, d, name)
+    return spread(df) if name == "documents" else df
 
 
 def turns(spark: SparkSession, d: str) -> DataFrame:

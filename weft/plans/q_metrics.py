@@ -275,11 +275,28 @@ WITH {ROUTE_SQL},
 n AS (SELECT count(DISTINCT vec_id) AS n FROM sc),
 pe AS (SELECT expert, sum(s) AS ss FROM sc GROUP BY expert),
 ld AS (SELECT expert, count(*) AS nr FROM top GROUP BY expert)
-SELECT round(sum(coalesce(nr, 0) / n * (ss / n)) * 4 * 5e-4, 9) AS aux_loss FROM pe LEFT JOIN ld USING (expert), n""")
+SELECT round(sum(coalesce(nr, 0) / n * (ss / n)) * count(*) * 5e-4, 9) AS aux_loss FROM pe LEFT JOIN ld USING (expert), n""")
 def q_e17(spark, d):
     e = D.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("gate"))
     r = M.route_experts(e, ["vec_id"], "gate", 2)
-    return M.load_balance(r, ["vec_id"], 4).select(F.round("aux_loss", 9).alias("aux_loss"))
+    return M.load_balance(r).select(F.round("aux_loss", 9).alias("aux_loss"))
+
+
+@register("e17_loss_with_routing", f"""
+WITH {ROUTE_SQL}, {LOGITS_SQL},
+n AS (SELECT vec_id % 4 AS layer, count(DISTINCT vec_id) AS n FROM sc GROUP BY 1),
+pe AS (SELECT vec_id % 4 AS layer, expert, sum(s) AS ss FROM sc GROUP BY ALL),
+ld AS (SELECT vec_id % 4 AS layer, expert, count(*) AS nr FROM top GROUP BY ALL),
+aux AS (SELECT layer, sum(coalesce(nr, 0) / n * (ss / n)) * count(*) * 5e-4 AS a FROM pe LEFT JOIN ld USING (layer, expert) JOIN n USING (layer) GROUP BY layer),
+ce AS (SELECT count(*)::BIGINT AS n_tokens, avg(-(a.logits[b.label_used + 1] - lse.z)) AS ce
+       FROM lr a JOIN lr b ON b.seq = a.seq AND b.pos = a.pos + 1 JOIN lse ON lse.vec_id = a.vec_id WHERE b.label_used <> -100)
+SELECT n_tokens, round(ce, 6) AS ce, round((SELECT sum(a) FROM aux), 6) AS aux_loss, round(ce + (SELECT sum(a) FROM aux), 6) AS loss FROM ce""")
+def q_e17_loss(spark, d):
+    """Four layers' routing, by vec_id, added to the cross-entropy of E2."""
+    e = D.table(spark, d, "embeddings").select("vec_id", (F.col("vec_id") % 4).alias("layer"), F.col("embedding").cast("array<double>").alias("gate"))
+    aux = M.load_balance(M.route_experts(e, ["vec_id", "layer"], "gate", 2), ["layer"])
+    out = M.loss_with_routing(M.next_token_ce(logit_rows(spark, d), ["seq"], "pos", "logits", "label_used"), aux)
+    return out.select("n_tokens", R6(F.col("ce")).alias("ce"), R6(F.col("aux_loss")).alias("aux_loss"), R6(F.col("loss")).alias("loss"))
 
 
 @register("e18_kl_early_stop", f"""{LOGS}

@@ -62,14 +62,15 @@ kept AS (SELECT vec_id, token_id, prob / sum(prob) OVER (PARTITION BY vec_id) AS
 
 
 def _top_p(spark, d):
-    c = G.candidate_table(logits(spark, d), ["vec_id"], "logits", temperature=0.8, top_k=20)
-    return G.top_p_filter(c, ["vec_id"], 0.9)
+    c = G.candidate_probs(logits(spark, d), "logits", temperature=0.8, top_k=20)
+    return c.select("vec_id", G.top_p_filter(F.col("probs"), 0.9).alias("probs"))
 
 
 @register("g4_top_p", f"""{TOPP_SQL}
 SELECT vec_id, token_id::INT AS token_id, round(prob, 6) AS prob FROM kept""")
 def q_g4(spark, d):
-    return _top_p(spark, d).select("vec_id", "token_id", R6(F.col("prob")).alias("prob"))
+    kept = _top_p(spark, d).select("vec_id", F.posexplode("probs").alias("token_id", "prob")).where("prob > 0")
+    return kept.select("vec_id", "token_id", R6(F.col("prob")).alias("prob"))
 
 
 @register("g5_repetition_penalty", f"""WITH {UNNEST},
@@ -92,7 +93,7 @@ c AS (SELECT *, sum(prob) OVER (PARTITION BY vec_id ORDER BY token_id ROWS BETWE
 SELECT vec_id, token_id::INT AS token_id FROM c WHERE cum >= u
 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY token_id) = 1""")
 def q_g6(spark, d):
-    return G.weighted_draw(_top_p(spark, d), ["vec_id"])
+    return _top_p(spark, d).select("vec_id", G.weighted_draw(F.col("probs"), F.col("vec_id")).alias("token_id"))
 
 
 @register("g7_stop_at_eos", f"""WITH {UNNEST},
@@ -186,8 +187,7 @@ BYTES_SQL = "b AS (SELECT lang, unnest(string_split(ltrim(" + K.utf8("text") + "
 
 
 def _bytes(spark, d):
-    docs = D.table(spark, d, "documents")
-    return docs.select("lang", F.explode(F.split(F.ltrim(tk.utf8_codes(F.col("text"))), " ")).alias("byte"))
+    return H.byte_counts(D.table(spark, d, "documents"), "text", ["lang"])
 
 
 @register("h5_byte_entropy", f"""WITH {BYTES_SQL},
@@ -196,8 +196,7 @@ p AS (SELECT lang, n / sum(n) OVER (PARTITION BY lang) AS p FROM c)
 SELECT lang, round(-sum(p * ln(p)), 6) AS entropy_nat, round(-sum(p * ln(p)) / ln(2), 6) AS entropy_bit,
        round(max(-ln(p)), 6) AS max_self_info_nat FROM p GROUP BY lang""")
 def q_h5(spark, d):
-    dist = H.distribution(_bytes(spark, d), ["lang"], "byte").withColumn("p", F.col("count") / F.col("_tot"))
-    e = H.entropy(dist, ["lang"])
+    e = H.entropy(H.shares(_bytes(spark, d), ["lang"]), ["lang"])
     return e.select("lang", *[R6(F.col(c)).alias(c) for c in ("entropy_nat", "entropy_bit", "max_self_info_nat")])
 
 
@@ -214,7 +213,7 @@ SELECT lang_p, lang_q, round(-sum(p * ln(q)), 6) AS cross_entropy, round(-sum(p
        round(0.5 * sum(p * ln(p) - p * ln((p + q) / 2)) + 0.5 * sum(q * ln(q) - q * ln((p + q) / 2)), 6) AS js FROM s GROUP BY ALL""")
 def q_h6(spark, d):
     """Byte distributions of every pair of languages, add-one smoothed over the pair's bytes."""
-    c = _bytes(spark, d).groupBy("lang", "byte").agg(F.count(F.lit(1)).alias("n"))
+    c = _bytes(spark, d)
     langs = c.select("lang").distinct()
     pairs = langs.select(F.col("lang").alias("lang_p")).join(langs.select(F.col("lang").alias("lang_q")), F.col("lang_p") < F.col("lang_q"))
     sides = [pairs.join(c.withColumnRenamed("lang", f"lang_{x}"), f"lang_{x}").select(
@@ -252,16 +251,6 @@ def q_h9(spark, d):
     return p.select("label", "n_tokens", R6(F.col("mean_nll")).alias("mean_nll"), R6(F.col("perplexity")).alias("perplexity"))
 
 
-def _pair_scores(spark, d):
-    codes = D.table(spark, d, "documents").select(tk.utf8_codes(F.col("text")).alias("c"))
-    pairs = V.pair_counts_codes(codes, "c")
-    # group on the 4-hex token text, convert only the distinct tokens
-    uni = (codes.select(F.explode(F.split(F.ltrim(F.col("c")), " ")).alias("t")).groupBy("t")
-           .agg(F.count(F.lit(1)).alias("count"))
-           .select(F.conv("t", 16, 10).cast("int").alias("token"), "count"))
-    return H.pair_scores(pairs, uni)
-
-
 @register("h10_pair_scores", f"""
 WITH c AS (SELECT {K.utf8('text')} AS c FROM documents),
 p AS (SELECT ' ' || t[i] || ' ' || t[i + 1] AS pair FROM (SELECT string_split(ltrim(c), ' ') AS t FROM c),
@@ -270,23 +259,13 @@ pc AS (SELECT ('0x' || substr(pair, 2, {tk.DIGITS}))::INT AS "left", ('0x' || su
 uc AS (SELECT ('0x' || x)::INT AS token, count(*) AS n FROM (SELECT unnest(string_split(ltrim(c), ' ')) AS x FROM c) GROUP BY x)
 SELECT pc."left", pc."right", pc.n::BIGINT AS count, round(pc.n / (a.n * b.n::DOUBLE), 9) AS score
 FROM pc JOIN uc a ON a.token = pc."left" JOIN uc b ON b.token = pc."right"
-ORDER BY score DESC, pc."left", pc."right" LIMIT 20""")
-def q_h10(spark, d):
-    return (_pair_scores(spark, d).orderBy(F.col("score").desc(), "left", "right").limit(20)
-            .select("left", "right", "count", F.round("score", 9).alias("score")))
-
-
-@register("h10_pair_scores_all", f"""
-WITH c AS (SELECT {K.utf8('text')} AS c FROM documents),
-p AS (SELECT ' ' || t[i] || ' ' || t[i + 1] AS pair FROM (SELECT string_split(ltrim(c), ' ') AS t FROM c),
-      LATERAL (SELECT unnest(range(1, len(t))) AS i)),
-pc AS (SELECT ('0x' || substr(pair, 2, {tk.DIGITS}))::INT AS "left", ('0x' || substr(pair, {tk.TOKEN_WIDTH + 2}, {tk.DIGITS}))::INT AS "right", count(*) AS n FROM p GROUP BY pair),
-uc AS (SELECT ('0x' || x)::INT AS token, count(*) AS n FROM (SELECT unnest(string_split(ltrim(c), ' ')) AS x FROM c) GROUP BY x)
-SELECT pc."left", pc."right", pc.n::BIGINT AS count, round(pc.n / (a.n * b.n::DOUBLE), 9) AS score
-FROM pc JOIN uc a ON a.token = pc."left" JOIN uc b ON b.token = pc."right"
 """)
-def q_h10_all(spark, d):
-    return _pair_scores(spark, d).select("left", "right", "count", F.round("score", 9).alias("score"))
+def q_h10(spark, d):
+    """All pairs of adjacent bytes with their score; one pass counts pairs and single bytes."""
+    found = H.byte_counts(D.table(spark, d, "documents"), "text", pairs=True)
+    single = found.where(F.col("right").isNull()).select(F.col("left").alias("token"), F.col("n").alias("count"))
+    pairs = found.where(F.col("right").isNotNull()).withColumnRenamed("n", "count")
+    return H.pair_scores(pairs, single).select("left", "right", "count", F.round("score", 9).alias("score"))
 
 
 def _train_log(spark, d):

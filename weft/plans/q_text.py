@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import tokens as tk
 from ..operators import chat, rows
+from ..operators import stats as H
 from ..operators import vocab as V
 from ..session import shared_path
 from ..sources import readers
@@ -135,8 +136,8 @@ p AS (SELECT ' ' || t[i] || ' ' || t[i + 1] AS pair FROM (SELECT string_split(lt
 SELECT ('0x' || substr(pair, 2, {tk.DIGITS}))::INT AS "left", ('0x' || substr(pair, {tk.TOKEN_WIDTH + 2}, {tk.DIGITS}))::INT AS "right", count(*)::BIGINT AS count
 FROM p GROUP BY pair""")
 def q_b2(spark, d):
-    codes = D.table(spark, d, "documents").select(tk.utf8_codes(F.col("text")).alias("c"))
-    return V.pair_counts_codes(codes, "c")
+    found = H.byte_counts(D.table(spark, d, "documents"), "text", pairs=True)
+    return found.where(F.col("right").isNotNull()).withColumnRenamed("n", "count")
 
 
 @register("b3_merge_pair", f"""

@@ -86,3 +86,10 @@ def ship(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, _ROOT))
     sc.addPyFile(path)
     _shipped.add(sc.applicationId)
+
+
+def ship_active() -> None:
+    """The same, for the session in use, where only columns are at hand."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship(spark)

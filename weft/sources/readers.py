@@ -54,6 +54,13 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows of long texts over all cores where the scan has no more tasks than cores: a file of
+    one row group is read by one task, however many splits it has. Larger scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() <= cores else df
+
+
 def corpus(df: DataFrame, text_col: str = "text", fraction: float | None = None,
            seed: int = 42) -> DataFrame:
     """The text column feeding vocabulary training, optionally Bernoulli-sampled."""
