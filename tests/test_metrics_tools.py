@@ -163,6 +163,39 @@ def test_neighbours_in_blocks_match_numpy(spark):
     assert [r["vec_id"] for r in got] == np.argsort(-cos, axis=1)[:, :4].ravel().tolist()
 
 
+def test_neighbours_prune_blocks_and_stay_exact(spark, monkeypatch):
+    monkeypatch.setattr(H, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(10, 12)) * 4, 60, axis=0) + rng.normal(size=(600, 12)) * 0.3
+    x[100:140] = x[100]  # one vector many times: ties by id
+    q = np.vstack([x[100], x[7], rng.normal(size=(3, 12)), np.zeros(12)])
+    odd = [(900, None), (901, [0.0] * 12), (902, [float("nan")] * 12), (None, x[0].tolist()), (903, [None, *x[0].tolist()[1:]])]
+    v = spark.createDataFrame([*((i, r.tolist()) for i, r in enumerate(x)), *odd], "id LONG, v ARRAY<DOUBLE>").repartition(3)
+    w = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(q)], "id LONG, v ARRAY<DOUBLE>")
+    cos = (q[:5] / np.linalg.norm(q[:5], axis=1, keepdims=True)) @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T
+    for centres in (1 << 17, 7):
+        monkeypatch.setattr(H, "CENTRES", centres)
+        got = {}
+        for r in H.top_neighbours(v, w, "id", "v", "id", "v", 5).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append((r["vec_id"], r["cosine"]))
+        assert sorted(got) == [0, 1, 2, 3, 4] and [i for i, _ in got[0]] == [100, 101, 102, 103, 104]
+        for k, found in got.items():
+            assert [c for _, c in found] == pytest.approx(sorted(cos[k], reverse=True)[:5])
+    blocks = H.vector_blocks(v, "id", "v").persist()
+    asked, every = H.block_pairs(blocks, w, 5).count(), blocks.count() * 5
+    assert asked < 0.6 * every
+    assert "CartesianProduct" not in H.top_neighbours(v, w, "id", "v", "id", "v", 5)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_explained_variance_equals_eigenvalues(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 6)) * [5, 4, 2, 1, 0.5, 0.1] @ np.linalg.qr(rng.normal(size=(6, 6)))[0] + 3
+    df = spark.createDataFrame([*((r.tolist(),) for r in x), (None,), ([None] + [1.0] * 5,)], "v ARRAY<DOUBLE>").repartition(3)
+    got = [r["ratio"] for r in H.explained_variance(H.moments(df, "v"), 4, 200).orderBy("component").collect()]
+    values = np.sort(np.linalg.eigvalsh(np.cov(x.T)))[::-1]
+    assert got == pytest.approx((values / values.sum())[:4].tolist(), rel=1e-6)
+
+
 def test_kl_and_distillation_zero_when_equal(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0], [1.0, 2.0, 3.0], -0.3, -0.3)], "s ARRAY<DOUBLE>, t ARRAY<DOUBLE>, a DOUBLE, b DOUBLE")
     assert df.select(M.per_token_kl(F.col("a"), F.col("b"))).first()[0] == pytest.approx(0.0)

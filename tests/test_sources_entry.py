@@ -48,6 +48,16 @@ def test_assemble_and_shards(spark, tmp_path):
     R.write_shards(df, str(tmp_path / "s"), 4, ["id"])
     back = spark.read.parquet(str(tmp_path / "s"))
     assert back.count() == 100 and back.select("shard").distinct().count() == 4
+    m = {r["shard"]: r for r in R.read_manifest(spark, str(tmp_path / "s")).collect()}
+    assert sum(r["n_rows"] for r in m.values()) == 100 and [m[k]["first_key"]["id"] for k in range(4)] == sorted(m[k]["first_key"]["id"] for k in range(4))
+    assert [r["n_wrong"] for r in R.check_shards(spark, str(tmp_path / "s"), ["id"]).collect()] == [0] * 4
+    # rows of unlike size: shards of like size, and a builder that runs once
+    calls = spark.sparkContext.accumulator(0)
+    grow = F.udf(lambda i: (calls.add(1), "x" * (1000 if i < 10 else 10))[1])
+    R.write_shards(spark.range(210).withColumn("t", grow("id")), str(tmp_path / "u"), 3, ["id"], F.length("t"))
+    sizes = {r["shard"]: r["n_bytes"] for r in R.read_manifest(spark, str(tmp_path / "u")).collect()}
+    assert calls.value == 210 and sum(sizes.values()) == 12_000 and max(sizes.values()) <= 5000
+    assert R.write_shards(spark.range(0), str(tmp_path / "e"), 3, ["id"]).count() == 0
     assert R.corpus(spark.createDataFrame([("x",), (None,)], "text STRING")).count() == 1
 
 

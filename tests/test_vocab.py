@@ -276,3 +276,44 @@ def test_merging_a_word_equals_replacing_in_learned_order(spark):
     df = spark.createDataFrame([(w,) for w in "banana bandana anna nabanna xyz aaaa".split()], "w STRING")
     got = V.encode_corpus(df, "w", vocab).withColumn("other", V.apply_merges(tk.utf8_codes(F.col("w")), vocab)).collect()
     assert all(r["codes"] == r["other"] for r in got)
+
+
+def test_tokenizer_file_gives_the_ids_of_the_common_library(spark, tmp_path):
+    from tokenizers import Tokenizer
+    texts = [t for t in _corpus(4) if t is not None] + ["naïve 東京 🙂\n\n  x\ty  ", "<|im_start|>user\nhi<|im_end|>", "it's they'll 42", "\0\x01a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k INT, text STRING").repartition(3)
+    vocab = V.train_production(df, "text", 24 + 256 + 150)
+    library = Tokenizer.from_str(V.tokenizer_json(vocab))
+    got = {r["k"]: r["ids"] for r in V.encode_ids(df, "text", vocab).collect()}
+    assert [got[k] for k in range(len(texts))] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert library.decode(got[len(texts) - 4]) == texts[-4]
+    V.save_tokenizer_file(spark, vocab, str(tmp_path / "t"))
+    assert V.load_tokenizer_file(spark, str(tmp_path / "t")) == vocab
+    library.save(str(tmp_path / "tokenizer.json"), pretty=True)
+    assert V.load_tokenizer_file(spark, str(tmp_path / "tokenizer.json")) == vocab
+    with pytest.raises(ValueError):
+        V.vocab_of_json(V.tokenizer_json(vocab).replace('"ByteLevel"', '"Whitespace"'))
+
+
+def test_ids_equal_codes_and_byte_vocabulary(spark):
+    rows = [(0, "ab ab<|pad|>abc"), (1, None), (2, ""), (3, "<|im_end|>"), (4, "äb " * 50)]
+    df = spark.createDataFrame(rows, "k INT, text STRING")
+    for vocab in (V.BYTE_VOCAB, V.Vocab(merges=((97, 98), (32, 256), (256, 99)))):
+        both = V.encode_ids(V.encode_corpus(df, "text", vocab), "text", vocab)
+        assert all(r["ids"] == r["other"] for r in both.withColumn("other", V.ids_of(F.col("codes"), vocab)).collect())
+        assert all(r["back"] == (r["text"] or "") for r in both.withColumn("back", V.decode_ids(F.col("ids"), vocab, False)).collect())
+
+
+def test_code_on_workers_from_another_folder(tmp_path):
+    """Python workers find the package wherever the driver was started."""
+    import subprocess
+    import sys
+    root = __file__.rsplit("/tests/", 1)[0]
+    code = ("import sys; sys.path.insert(0, sys.argv[1])\n"
+            "from weft.session import local_session\n"
+            "from weft.operators import vocab as V\n"
+            "s = local_session(cores=2)\n"
+            "df = s.createDataFrame([('ab ab',)], 'text STRING')\n"
+            "print(V.encode_ids(df, 'text', V.Vocab(merges=((97, 98),))).first()['ids'])\n")
+    out = subprocess.run([sys.executable, "-c", code, root], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert out.stdout.strip().endswith("[280, 244, 280]"), out.stderr[-2000:]

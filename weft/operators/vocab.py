@@ -330,7 +330,7 @@ def word_codes(word: str, vocab: Vocab) -> str:
 class _WordCache:
     """Codes of the words a Python worker has met, up to ``LIMIT`` of them."""
 
-    LIMIT = 1 << 20
+    LIMIT, BYTES = 1 << 20, 64 << 20
 
     def __init__(self, vocab: Vocab):
         self.table, self.specials = M.MergeTable(vocab.merges), vocab.specials
@@ -345,10 +345,12 @@ class _WordCache:
     def encode(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Codes of all words of all rows, and how many there are in each row."""
         row = np.r_[0, np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False))]
+        if not len(self.table.keys):
+            return self._bytes(lists.flatten(), row)
         met = lists.flatten().dictionary_encode()
         words = met.dictionary.cast(pa.string())
         found = pc.index_in(words, value_set=self.words)
-        if found.null_count and len(self.words) + found.null_count > self.LIMIT:
+        if found.null_count and (len(self.words) + found.null_count > self.LIMIT or self.words.nbytes > self.BYTES):
             self.clear()
             found = pc.index_in(words, value_set=self.words)
         new = words.filter(pc.is_null(found))
@@ -367,11 +369,24 @@ class _WordCache:
         return self.codes[M.gather(self.at[word], size)], np.diff(np.r_[0, np.cumsum(size)][row])
 
 
+    def _bytes(self, pieces: pa.Array, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Without merges: a special is one token, any other piece its bytes."""
+        data, off = M.text_bytes(pieces)
+        special = pc.index_in(pieces, value_set=pa.array(self.specials, pa.string())).fill_null(-1).to_numpy(zero_copy_only=False)
+        size = np.where(special >= 0, 1, np.diff(off))
+        codes = data[M.gather(off[:-1], size)].astype(np.int32)
+        whole = special >= 0
+        codes[(np.cumsum(size) - size)[whole]] = tk.SPECIAL_BASE + special[whole]
+        return codes, np.diff(np.r_[0, np.cumsum(size)][row])
+
+
 _caches = M.per_worker(_WordCache)
 _HEX = np.frombuffer(b"0123456789ABCDEF", np.uint8)
 
 
 def _words(text: Column, vocab: Vocab) -> Column:
+    if not vocab.merges:
+        return special_pieces(text, vocab.specials)
     special = F.array(*map(F.lit, vocab.specials)).cast("array<string>")
     return F.flatten(F.transform(special_pieces(text, vocab.specials), lambda p: F.when(
         F.array_contains(special, p), F.array(p)).otherwise(presplit_words(p))))
@@ -499,6 +514,65 @@ def load_vocab(spark: SparkSession, path: str) -> Vocab:
                  specials=tuple(specials), presplit=layout == "production")
 
 
+def tokenizer_json(vocab: Vocab) -> str:
+    """The vocabulary in the common JSON format of byte-level tokenizers."""
+    if vocab.layout != "production":
+        raise ValueError("only vocabularies with pre-split have this format")
+    symbol = _symbols()
+    spelled = [*vocab.specials, *("".join(map(symbol.__getitem__, t)) for t in vocab.token_bytes()[vocab.n_special:])]
+    parts = [None] * 256
+    for i, t in enumerate(vocab.token_bytes()[vocab.n_special:vocab.n_special + 256]):
+        parts[t[0]] = spelled[vocab.n_special + i]
+    parts += spelled[vocab.n_special + 256:]
+    flags = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
+    level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    return json.dumps({
+        "version": "1.0", "truncation": None, "padding": None, "normalizer": None, "pre_tokenizer": level, "post_processor": None,
+        "added_tokens": [{"id": i, "content": t, **flags} for i, t in enumerate(vocab.specials)], "decoder": level,
+        "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None,
+                  "fuse_unk": False, "byte_fallback": False, "ignore_merges": False, "vocab": {t: i for i, t in enumerate(spelled)},
+                  "merges": [[parts[a], parts[b]] for a, b in vocab.merges]}}, ensure_ascii=False)
+
+
+def vocab_of_json(text: str) -> Vocab:
+    """A vocabulary from that format. Ids must be laid out as here: specials, the 256 byte
+    symbols in code-point order, then the merges in order; anything else is refused."""
+    spec = json.loads(text)
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    if model.get("type") != "BPE" or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or spec.get("normalizer"):
+        raise ValueError("not a byte-level vocabulary without normalizer and prefix space")
+    specials = tuple(t["content"] for t in sorted(spec["added_tokens"], key=lambda t: t["id"]))
+    code = {s: b for b, s in enumerate(_symbols())}
+    merges = []
+    for m in model["merges"]:
+        left, right = m if isinstance(m, list) else m.split(" ")
+        merges.append((code[left], code[right]))
+        code[left + right] = tk.MERGE_BASE + len(merges) - 1
+    vocab = Vocab(tuple(merges), specials=specials)
+    if json.loads(tokenizer_json(vocab))["model"]["vocab"] != {**{t["content"]: t["id"] for t in spec["added_tokens"]}, **model["vocab"]}:
+        raise ValueError("the ids are laid out in another way")
+    return vocab
+
+
+def _symbols() -> list[str]:
+    """The byte-level symbol of every byte: printable ones stand for themselves, the others follow from 256."""
+    other = iter(range(256, 512))
+    return [chr(b) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174 else chr(next(other)) for b in range(256)]
+
+
+def save_tokenizer_file(spark: SparkSession, vocab: Vocab, path: str) -> None:
+    """Write the JSON as the one text file of a folder."""
+    spark.createDataFrame([(tokenizer_json(vocab),)], "value STRING").coalesce(1).write.text(path)
+
+
+def load_tokenizer_file(spark: SparkSession, path: str) -> Vocab:
+    """Read it from a folder as written here, or from a single ``tokenizer.json``, indented or not."""
+    files = spark.read.text(path, wholetext=True).collect()  # one row of vocabulary size
+    if len(files) != 1:
+        raise ValueError(f"{len(files)} files in {path}")
+    return vocab_of_json(files[0]["value"])
+
+
 def compression_report(df: DataFrame, group_col: str, text_col: str, codes_col: str) -> DataFrame:
     """Tokens per character (and characters per token) per group, counted on code text."""
     return df.groupBy(group_col).agg(

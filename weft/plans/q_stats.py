@@ -170,17 +170,34 @@ def q_h3(spark, d):
                                         R6(F.corr("value", "k")).alias("corr_value_k"))
 
 
-@register("h4_pca_explained_variance")
+PCA_ROUNDS = 100
+
+
+def _pca_sql(k: int = 5) -> str:
+    unit = "list_transform([{0}], lambda z: list_transform(z, lambda e: e / sqrt(list_dot_product(z, z))))[1]"
+    times = "list_transform(m, lambda r: list_dot_product(r, {0}))"
+    ctes = []
+    for c in range(k):
+        step = unit.format(times.format("v"))
+        start = unit.format("list_transform(range(1, len(m) + 1), lambda i: i::DOUBLE)")
+        ctes.append(f"""v{c} AS (SELECT m, trace, list_reduce(list_concat([{start}], list_transform(range({PCA_ROUNDS}), lambda i: [0.0::DOUBLE])), lambda v, i: {step}) AS v FROM m{c}),
+l{c} AS (SELECT m, trace, v, list_dot_product({times.format('v')}, v) AS l FROM v{c}),
+m{c + 1} AS (SELECT list_transform(list_zip(m, v), lambda p: list_transform(list_zip(p[1], v), lambda q: q[1] - l * p[2] * q[2])) AS m, trace FROM l{c})""")
+    return f"""e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+u AS (SELECT vec_id, unnest(x) AS a, generate_subscripts(x, 1) AS i FROM e),
+mu AS (SELECT i, avg(a) AS mean, count(*) AS n FROM u GROUP BY i),
+c AS (SELECT p.i, q.i AS j, sum(p.a * q.a) / any_value(mu.n) AS s FROM u p JOIN u q USING (vec_id) JOIN mu ON mu.i = p.i GROUP BY ALL),
+cv AS (SELECT c.i, c.j, c.s - a.mean * b.mean AS cov FROM c JOIN mu a ON a.i = c.i JOIN mu b ON b.i = c.j),
+r AS (SELECT i, list(cov ORDER BY j) AS row_ FROM cv GROUP BY i),
+m0 AS (SELECT list(row_ ORDER BY i) AS m, sum(row_[i]) AS trace FROM r),
+{", ".join(ctes)}
+""" + " UNION ALL ".join(f"SELECT {c}::INT AS component, round(l / trace, 6) AS ratio FROM l{c}" for c in range(k))
+
+
+@register("h4_pca_explained_variance", lambda: f"WITH {_pca_sql()}")
 def q_h4(spark, d):
-    """H4: PCA over the embeddings (distributed covariance, d x d); the explained-variance
-    ratio is unaffected by the n vs n-1 convention. No SQL oracle (eigen-decomposition)."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector
-    e = D.table(spark, d, "embeddings").select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
-    model = PCA(k=5, inputCol="v", outputCol="p").fit(e)
-    ratios = [float(x) for x in model.explainedVariance.toArray()]
-    return spark.createDataFrame(list(enumerate(ratios)), "component INT, ratio DOUBLE").select(
-        "component", R6(F.col("ratio")).alias("ratio"))
+    cov = H.moments(D.table(spark, d, "embeddings"), "embedding")
+    return H.explained_variance(cov, 5, PCA_ROUNDS).select("component", R6(F.col("ratio")).alias("ratio"))
 
 
 BYTES_SQL = "b AS (SELECT lang, unnest(string_split(ltrim(" + K.utf8("text") + "), ' ')) AS byte FROM documents)"

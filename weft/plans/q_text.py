@@ -99,20 +99,25 @@ SHARD_CHARS = 4_000_000
 WITH r AS ({_pretrain_ids_sql()})
 SELECT doc_id, ids_md5, 0::BIGINT AS n_out_of_order FROM r""")
 def q_a9(spark, d):
-    """Finished pretraining rows, written in ranges of doc_id and read back. Every row carries the number
-    of rows of its shard that follow a larger id, plus the number of shards that overlap the one before."""
+    """Finished pretraining rows, written in shards by doc_id and read back. Every row carries how far its
+    shard differs from the manifest or overlaps the shard before."""
     path = shared_path(spark, f"shards-{uuid.uuid4().hex}")
     docs = D.table(spark, d, "documents").select("doc_id", "text")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     done = rows.pretrain_rows(docs, ["doc_id"], "text", BV, 512).select("doc_id", "input_ids", "labels")
-    readers.write_shards(done, path, chars // SHARD_CHARS + 1, ["doc_id"])
-    back = spark.read.parquet(path)
-    file = back.select("doc_id", "shard", F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"))
-    late = file.withColumn("was", F.lag("doc_id").over(Window.partitionBy("f").orderBy("i"))).groupBy("shard").agg(
-        F.sum((F.col("was") > F.col("doc_id")).cast("bigint")).alias("late"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    overlap = late.withColumn("before", F.lag("hi").over(Window.orderBy("shard")))  # one row per shard
-    bad = overlap.select("shard", (F.coalesce("late", F.lit(0)) + F.coalesce((F.col("before") >= F.col("lo")).cast("bigint"), F.lit(0))).alias("n_out_of_order"))
-    return back.join(bad, "shard").select("doc_id", MD5(F.col("input_ids")).alias("ids_md5"), "n_out_of_order")
+    readers.write_shards(done, path, chars // SHARD_CHARS + 1, ["doc_id"], 4 * (F.size("input_ids") + F.size("labels")))
+    bad = readers.check_shards(spark, path, ["doc_id"]).select("shard", F.col("n_wrong").alias("n_out_of_order"))
+    return spark.read.parquet(path).join(bad, "shard").select("doc_id", MD5(F.col("input_ids")).alias("ids_md5"), "n_out_of_order")
+
+
+@register("a7_corpus", """
+SELECT count(*)::BIGINT AS n_texts, sum(length(text))::BIGINT AS n_chars, md5(string_agg(md5(text), '' ORDER BY md5(text))) AS texts_md5
+FROM documents WHERE text IS NOT NULL GROUP BY left(md5(text), 1)""")
+def q_a7(spark, d):
+    """The corpus that trains the vocabularies, digested in 16 groups by the texts' own hash."""
+    c = readers.corpus(D.table(spark, d, "documents")).select("text", F.md5("text").alias("h"))
+    g = c.groupBy(F.left("h", F.lit(1)).alias("k")).agg(F.count(F.lit(1)).alias("n_texts"), F.sum(F.length("text")).alias("n_chars"), F.sort_array(F.collect_list("h")).alias("hs"))
+    return g.select("n_texts", "n_chars", F.md5(F.array_join("hs", "")).alias("texts_md5"))
 
 
 # --- B: byte level ----------------------------------------------------------------
@@ -212,9 +217,8 @@ WITH c AS (SELECT doc_id, {K.code_ids_fast(K.encode_bytes('text'))} AS ids FROM
 SELECT doc_id, (len(ids) + 2)::BIGINT AS n_ids, 0 AS first_id, 1 AS last_id,
        md5(array_to_string(list_concat([0], ids, [1]), ',')) AS ids_md5 FROM c""")
 def q_b12(spark, d):
-    docs = D.table(spark, d, "documents")
-    ids = V.wrap_bos_eos(V.ids_of(V.encode_inline(F.col("text"), BV), BV), F.col("text"), BV, True)
-    t = docs.select("doc_id", ids.alias("ids"))
+    docs = V.encode_ids(D.table(spark, d, "documents").select("doc_id", "text"), "text", BV, "body")
+    t = docs.select("doc_id", V.wrap_bos_eos(F.col("body"), F.col("text"), BV, True).alias("ids"))
     return t.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"),
                     F.element_at("ids", 1).alias("first_id"), F.element_at("ids", -1).alias("last_id"),
                     MD5(F.col("ids")).alias("ids_md5"))

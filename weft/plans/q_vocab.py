@@ -11,6 +11,7 @@ from ..functions import tokens as tk
 from ..operators import rows
 from ..operators import vocab as V
 from ..session import shared_path
+from ..sources import readers
 from . import derived as D
 from . import sqlkit as K
 from .registry import register
@@ -71,7 +72,7 @@ def _merges_df(spark, vocab: V.Vocab):
 
 
 def teaching_vocab(spark, d, table="documents", key="doc_id", rounds=TEACH_ROUNDS):
-    docs = D.table(spark, d, table).select(key, "text")
+    docs = D.table(spark, d, table).select(key, "text").where(F.col("text").isNotNull())
     return V.train_teaching(docs, "text", key, 256 + rounds)
 
 
@@ -150,7 +151,7 @@ def production_vocab(spark, d, merges=PROD_MERGES):
     """Trained once per application, table and size; then loaded from the shared folder."""
     key = (spark.sparkContext.applicationId, d, merges)
     if key not in _trained:
-        docs = D.table(spark, d, "documents").select("text")
+        docs = readers.corpus(D.table(spark, d, "documents"))
         path = shared_path(spark, f"vocab-{uuid.uuid4().hex}")
         V.save_vocab(spark, V.train_production(docs, "text", N_SP + 256 + merges), path)
         _trained[key] = path
@@ -326,6 +327,17 @@ def q_a8(spark, d):
     return vt.where(F.col("id") >= N_SP + 256).select("id", "token")
 
 
+@register("a8_tokenizer_file", "SELECT doc_id, true AS equal FROM documents")
+def q_a8_file(spark, d):
+    """Every text's ids by the trained vocabulary and by the one read back from its tokenizer file."""
+    vocab = production_vocab(spark, d)
+    path = shared_path(spark, f"tokenizer-{uuid.uuid4().hex}")
+    V.save_tokenizer_file(spark, vocab, path)
+    back = V.load_tokenizer_file(spark, path)
+    docs = V.encode_ids(D.table(spark, d, "documents").select("doc_id", "text"), "text", vocab, "a")
+    return V.encode_ids(docs, "text", back, "b").select("doc_id", (F.col("a") == F.col("b")).alias("equal"))
+
+
 def _expand_sql(bests: list[str]) -> str:
     """Code text of merge ``rank`` expanded to bytes: start from its code, undo merges
     newest-first."""
