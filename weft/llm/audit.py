@@ -7,7 +7,8 @@ doc_id, removed or not.
 
 E is an existential self-join: a document is marked by a left-semi join on hash, exact text
 and smaller doc_id. Only texts whose hash occurs under two ids take part, and the right side
-is pre-aggregated to one row per text, so a group of copies costs a row each, however large.
+is pre-aggregated to one row per text, repeated once for every ``SPREAD`` copies, among which these
+are dealt out; so a group of copies costs a row each, however large, and lies in no one task.
 The marked ids are united with the failures of the other filters and grouped by document to
 a combination of bits. Everything else follows from the number of documents per part and
 combination, at most 32 rows a part: a filter removes in an order what fails it and none of
@@ -31,8 +32,10 @@ from weft.session import shared_path
 
 LETTERS = "ABCDE"
 ORDERS = ["".join(p) for p in itertools.permutations(LETTERS)]
-#: Hashes of repeated texts that may be broadcast: at most so many rows of 16 bytes.
+#: Hashes of repeated texts that may be broadcast: at most so many rows of 24 bytes.
 TWINS_BROADCAST = 250_000
+#: Copies of one text that are compared in one place, and places that a hash has if it is not broadcast.
+SPREAD, SALTS = 128, 16
 
 
 def failures(text: Column) -> dict[str, Column]:
@@ -64,15 +67,22 @@ def marked_copies(docs: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     rows = _rows(docs)
     spark = docs.sparkSession
     path = shared_path(spark, f"twins-{uuid.uuid4().hex}")
-    ((rows if seen is None else seen).groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-     .where("low < high").select("digest").write.parquet(path))
+    ((rows if seen is None else seen).groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
+     .where("low < high").select("digest", F.ceil(F.col("n") / SPREAD).alias("places")).write.parquet(path))
     twins = spark.read.parquet(path)
+    # a row's own place in its partition deals copies out, also rows that are repeated in full
+    rows = rows.withColumn("deal", F.xxhash64("doc_id", F.monotonically_increasing_id()))
     if twins.count() <= TWINS_BROADCAST:
-        twins = F.broadcast(twins)
-    rows = rows.join(twins, "digest", "left_semi")
-    texts = rows.groupBy("digest", "text").agg(F.min("doc_id").alias("low"))
+        rows = rows.join(F.broadcast(twins), "digest")
+    else:
+        salted = twins.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        rows = rows.withColumn("salt", F.pmod("deal", F.lit(SALTS))).join(salted, ["digest", "salt"]).drop("salt")
+    rows = rows.withColumn("place", F.pmod("deal", "places"))
+    texts = (rows.groupBy("digest", "text", "places").agg(F.min("doc_id").alias("low"))
+             .withColumn("place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("places") - 1))))
     left, right = rows.alias("l"), texts.alias("r")
-    same = (F.col("l.digest") == F.col("r.digest")) & (F.col("l.text") == F.col("r.text")) & (F.col("r.low") < F.col("l.doc_id"))
+    same = ((F.col("l.digest") == F.col("r.digest")) & (F.col("l.text") == F.col("r.text")) & (F.col("l.place") == F.col("r.place"))
+            & (F.col("r.low") < F.col("l.doc_id")))
     return left.join(right, same, "left_semi").select("doc_id", "part", "digest")
 
 
