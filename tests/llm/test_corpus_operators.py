@@ -2,6 +2,7 @@
 
 import math
 import re
+import uuid
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,8 +11,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from weft.llm import attention, components, dedup, kneserney, nndescent, subword
+from weft.llm import attention, blocks, components, dedup, kneserney, langid, nndescent, subword
 from weft.llm import textvec as tv
+from weft.session import shared_path
 
 DOCS = "doc_id LONG, text STRING, lang STRING, node STRING, block STRING"
 
@@ -101,12 +103,12 @@ def test_kneserney_probabilities_match_dictionaries(spark):
     assert {x["gram"].to_bytes(order, "big"): x["n"] for x in table.collect()} == counts
     probe = [*list(counts)[:30], b"abz", b"zzz", b"\x01\x01q", b"dd\x02"]
     keys = spark.createDataFrame([(int.from_bytes(g, "big"),) for g in probe], "gram LONG")
-    model = kneserney.levels(table, order)
-    got = {x["gram"].to_bytes(order, "big"): x["logp"] for x in kneserney.probabilities(keys, kneserney.seen(model), model).collect()}
+    model = kneserney.levels(table, order, shared_path(spark, f"levels-{uuid.uuid4().hex}"))
+    got = {x["gram"].to_bytes(order, "big"): x["logp"] for x in kneserney.probabilities(keys, model).collect()}
     for g in probe:
         assert got[g] == pytest.approx(math.log(p(g)))
     every = spark.createDataFrame([(int.from_bytes(b"ab" + bytes([c]), "big"),) for c in range(256)], "gram LONG")
-    total = kneserney.probabilities(every, kneserney.seen(model), model).agg(F.sum(F.exp("logp"))).first()[0]
+    total = kneserney.probabilities(every, model).agg(F.sum(F.exp("logp"))).first()[0]
     assert total == pytest.approx(1.0)
 
 
@@ -130,6 +132,43 @@ def test_quality_rejects_noise_and_keeps_the_rest(spark):
     assert kneserney.quality(docs.limit(0), labels).count() == 0
 
 
+def test_fences_come_from_every_trusted_document_that_was_not_counted(spark):
+    r = np.random.default_rng(4)
+    docs = _docs(spark, [(i, _prose(r, 40), "aa" if i < 150 else "bb") for i in range(200)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id LONG, quality INT, toxic INT")
+    _, all_of_them = kneserney.score(docs, labels, ["doc_id", "lang"])
+    scored, rest = kneserney.score(docs, labels, ["doc_id", "lang"], trusted=20)
+    ids = {x[0] for x in rest.collect()}
+    assert all_of_them.count() < 60 and len(ids) >= 180  # at most 20 are counted, however many are trusted
+    # the second language has a fence of its own, though none or few of its documents are among the 20
+    limits = {x["lang"]: x["__limit"] for x in kneserney.fences(scored, rest, enough=30).select("lang", "__limit").distinct().collect()}
+    own = sorted(math.log2(x["__ppl"]) for x in scored.where("lang = 'bb'").collect() if x["doc_id"] in ids)
+    assert len(own) >= 30 and limits["bb"] > 2 ** own[-len(own) // 4]
+
+
+def test_blocks_follow_rows_and_spread_repeats(spark, tmp_path):
+    rows = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    rows.unionByName(spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("").alias("text"))).write.parquet(str(tmp_path / "d"))
+    packed, n = blocks.pack(spark.read.parquet(str(tmp_path / "d")), block_rows=1000)
+    sizes = Counter()
+    for row in packed.toArrow().to_pylist():
+        sizes[row["block"]] += sum(b.num_rows for b in blocks.unpack(pa.table({"blob": pa.array([row["blob"]], pa.binary())})))
+    assert n == len(sizes) == 41 and sum(sizes.values()) == 40_000 and max(sizes.values()) < 1300
+
+
+def test_stages_take_columns_of_any_name(spark):
+    r = np.random.default_rng(9)
+    odd = ["__letter", "__block", "__id", "__n", "__logp", "__keep_id", "__keep_rows", "__limit", "c0", "c9"]
+    texts = [_prose(r, 60) for _ in range(60)]
+    rows = [(i, t, "aa", *["v"] * len(odd)) for i, t in enumerate([*texts, texts[0]])]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, " + ", ".join(f"`{c}` STRING" for c in odd))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id LONG, quality INT, toxic INT")
+    assert dedup.keep_one(docs).columns == docs.columns and dedup.keep_one(docs).count() == 60
+    assert kneserney.keep_good(docs, labels).columns == docs.columns
+    kept = langid.keep_known(docs, langid.fit(docs))
+    assert kept.columns == docs.columns and set(kept.select("__letter", "c9").distinct().first()) == {"v"}
+
+
 # --- 8 -----------------------------------------------------------------------------------
 
 def _runs(text):

@@ -276,3 +276,13 @@ def test_perspectives_of_a_hot_conversation(spark):
     for r in hot:
         assert r["seg_start"] == end and r["seg_length"] == len(r["segment"])
         end += r["seg_length"]
+
+
+def test_benchmark_ties_go_to_the_smaller_item_over_shards_and_long_items_are_no_crash(spark, monkeypatch):
+    text = "which of the seven rivers runs north of the old town? answer: the green one beside the mill"
+    items = spark.createDataFrame([(i, text) for i in range(3, 43)] + [(99, "w " + " ".join(f"x{i}" for i in range(3000)))], "item_id LONG, text STRING")
+    docs = _docs(spark, [(1, text, "aa"), (2, "nothing of that kind here", "aa")])
+    for size in (500_000, 200, 10):
+        monkeypatch.setattr(decontam.build, "__defaults__", (size,))
+        got = {r["doc_id"]: (r["contaminated"], r["item_id"]) for r in decontam.match(docs, items).collect()}
+        assert got == {1: (True, 3), 2: (False, None)}

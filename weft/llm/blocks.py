@@ -15,16 +15,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 16 << 20
+BLOCK_ROWS = 8192
 
 
-def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """(block int, blob binary) rows holding all rows of docs, and the number of blocks.
+def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, int]:
+    """(block int, blob binary) rows holding all rows of docs, and the number of blocks, which follows
+    both bytes and rows.
 
-    Rows are dealt by a hash of id and text: copies with different ids spread, and a retried
-    task deals alike."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = int(size // block_bytes) + 1
-    dealt = docs.withColumn("__block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
+    Rows are dealt by a hash of id, text and the row's place in its partition: copies spread, also
+    rows that are repeated in full. docs is to be a scan of files, which gives every row the same
+    place again when a task is retried."""
+    size, rows = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    n = max(int((size or 0) // block_bytes), rows // block_rows) + 1
+    dealt = docs.withColumn("__block", F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(n)).cast("int"))
 
     def run(batches):
         options = pa.ipc.IpcWriteOptions(compression="zstd")

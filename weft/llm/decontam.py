@@ -81,6 +81,8 @@ def build(benchmark: DataFrame, shard_postings: int = SHARD_POSTINGS) -> list[di
     avg, out = total["words"] / total["n"], []
     for s in range(shards):
         rows = seg.where(F.col("shard") == s).orderBy("item", "part").toArrow()
+        if not rows.num_rows:  # no item was dealt to it
+            continue
         freq = df.join(terms.where(F.col("shard") == s).select("term").distinct(), "term", "left_semi").toArrow()
         out.append(_shard(rows, freq, total["n"], avg))
     return out
@@ -177,12 +179,17 @@ def judge(text, ix: dict, threshold: float, overlap: float):
             retrieved[lo + d] += 1
             own = _runs_of(h[max(first[d], a - item["n"]):min(first[d + 1], b + item["n"])], item)
             q, r = own
-            key = (min(q, r) >= overlap, q + r, -(item["id"] if item["id"] is not None else 0))
+            key = _rank(min(q, r) >= overlap, q + r, item["id"])
             if best[lo + d] is None or key > best[lo + d][0]:
                 best[lo + d] = (key, item["id"], q, r)
     return passages, retrieved, best
 
 
+def _rank(contaminated: bool, overlap: float, item_id: int | None) -> tuple:
+    """Order of matches: contaminated, then the larger overlap, then the smaller item_id, null last."""
+    return contaminated, overlap, item_id is not None, -(item_id or 0)
+
+
 def _runs_of(h: np.ndarray, item: dict) -> tuple[float, float]:
     out = []
     for part in ("question", "answer"):
@@ -214,7 +221,7 @@ def match(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, overlap
                 old["n_retrieved"] = retrieved + np.array(old["n_retrieved"], np.int64)
                 for i, x in enumerate(best):
                     was = old["question_overlap"][i]
-                    if x and (was is None or (x[0][0], x[0][1]) > (old["contaminated"][i], was + old["answer_overlap"][i])):
+                    if x and (was is None or x[0] > _rank(old["contaminated"][i], was + old["answer_overlap"][i], old["item_id"][i])):
                         old["contaminated"][i] = x[0][0]
                         old["item_id"][i], old["question_overlap"][i], old["answer_overlap"][i] = x[1:]
                 yield pa.RecordBatch.from_pydict(old, schema=b.schema)

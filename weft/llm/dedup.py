@@ -39,6 +39,7 @@ from weft.session import shared_path
 
 from . import textvec as tv
 from .components import components
+from .names import numbered
 
 BANDS, TAKE, RUN, SIMILARITY = 20, 5, 5, 0.8
 FEW = 12
@@ -302,10 +303,11 @@ def keep_one(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
             .groupBy("doc_id").agg(F.count("node").alias("rows")))
     keep.write.parquet(path)
     keep = spark.read.parquet(path).select(F.col("doc_id").alias("__keep_id"), F.col("rows").alias("__keep_rows"))
-    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__keep_id")))
-    once = rows.where("__keep_rows < 2").select(*docs.columns)
+    rows, back = numbered(docs, "doc_id", "text")
+    rows = rows.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__keep_id")))
+    once = back(rows.where("__keep_rows < 2"))
     if not keep.where("__keep_rows > 1").take(1):
         return once
-    again = rows.where("__keep_rows > 1").select(*docs.columns)
+    again = rows.where("__keep_rows > 1")
     blank = F.trim(F.coalesce(F.col("text"), F.lit(""))) == ""
-    return once.union(again.where(blank)).union(again.where(~blank).dropDuplicates(["doc_id"]))
+    return once.union(back(again.where(blank))).union(back(again.where(~blank).dropDuplicates(["doc_id"])))

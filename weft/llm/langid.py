@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
+from .names import numbered
 
 GRAMS = 1 << 18
 CHUNK = 1 << 20
@@ -152,13 +153,14 @@ def scores(text, has_letter, model: dict, ambiguous_below: float):
 def keep_known(docs: DataFrame, model: dict, ambiguous_below: float = 0.5) -> DataFrame:
     """The rows of docs, all columns, whose language is neither ``und`` nor ambiguous."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows, back = numbered(docs, "text")
 
     def run(batches):
         for b in batches:
             pred, _, _, unsure = scores(b.column("text"), b.column("__letter"), shared.value, ambiguous_below)
             good = pa.compute.and_(pa.compute.not_equal(pred, "und"), pa.compute.invert(unsure))
             yield b.drop_columns(["__letter"]).filter(good)
-    return docs.withColumn("__letter", F.col("text").rlike(r"\p{L}")).mapInArrow(run, docs.schema)
+    return back(rows.withColumn("__letter", F.col("text").rlike(r"\p{L}")).mapInArrow(run, rows.schema))
 
 
 def predict(docs: DataFrame, model: dict, ambiguous_below: float = 0.5) -> DataFrame:

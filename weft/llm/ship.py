@@ -1,30 +1,5 @@
 """Hand this package's code to the Python workers of a session that lacks it."""
 
-from __future__ import annotations
+from weft.session import ship
 
-import os
-import tempfile
-import zipfile
-
-from pyspark.sql import SparkSession
-
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Once per application: add the package to the executors' Python path.
-
-    The archive is code only; Spark's own file server carries it to the executors."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    path = os.path.join(tempfile.mkdtemp(prefix="weft-code-"), "weft_code.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(os.path.join(_ROOT, "weft")):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, _ROOT))
-    sc.addPyFile(path)
-    _shipped.add(sc.applicationId)
+__all__ = ["ship"]
