@@ -7,11 +7,13 @@ candidates. Texts of at most ``FEW`` k-mers get exact keys besides: a pair of si
 ``least`` or more has in common one of the sequences that are left when each drops as many
 k-mers as its own size permits. Texts of the same words are folded into one node first.
 
-Candidates are compared in two steps. First every node of a bucket with the bucket's two
-extreme nodes (stars). Then, in buckets that still hold several components, the pairs across
-components that can still reach the similarity given what each node shares with the bucket's
-centre: those that share further k-mers, or whose shares with the centre suffice. So a bucket
-of copies costs a number of pairs in proportion to its size, and no pair is left out.
+Candidates are compared in steps. First every node of a bucket with the bucket's two extreme
+nodes (stars). Then, in buckets that still hold several components, with a further centre, the
+node that meets most others in its buckets (the original, in a family of edited copies), and
+with a centre of what is still apart from it, a few rounds long. Last, in what then remains mixed, the
+pairs across components that can still reach the similarity given what each node shares with
+the bucket's centre: those that share further k-mers, or whose shares with the centre suffice.
+So a bucket of copies costs a number of pairs in proportion to its size, and no pair is left out.
 
 A pair is verified by the longest common subsequence of its k-mers within the band that
 a similarity of ``SIMILARITY`` allows: ``lcs / (na + nb - lcs)``. Linked nodes form classes.
@@ -44,6 +46,8 @@ from .names import numbered
 BANDS, TAKE, RUN, SIMILARITY = 20, 5, 5, 0.8
 FEW = 12
 CHUNK = 1 << 18
+#: Rounds of further centres; ids that may be broadcast to pick their k-mers, of 8 bytes each.
+ROUNDS, PICKED = 4, 1_000_000
 U64 = np.uint64
 _A = (np.random.default_rng(8).integers(0, 1 << 63, BANDS, dtype=np.uint64) << U64(1)) | U64(1)
 
@@ -141,12 +145,24 @@ def _sketches(least: float):
     return run
 
 
+def _packed(r: np.ndarray) -> bytes:
+    """Six bytes of each k-mer's hash: two k-mers of a pair of texts are taken for one with a chance of 2**-48."""
+    return r.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(raw) -> np.ndarray:
+    six = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(six), 8), np.uint8)
+    out[:, :6] = six
+    return out.view("<u8").ravel().astype(U64)
+
+
 def _payload(batches):
     for b in batches:
         nodes, runs = [None] * b.num_rows, [None] * b.num_rows
 
         def each(i, r, key):
-            nodes[i], runs[i] = key, r.tobytes()
+            nodes[i], runs[i] = key, _packed(r)
         _per_text(b.column("text"), each)
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(runs, pa.binary())], names=["node", "runs"])
 
@@ -188,16 +204,44 @@ def _verify(least: float):
     def run(batches):
         for b in batches:
             left, right = b.column("left").to_pylist(), b.column("right").to_pylist()
-            ok = [aligned(np.frombuffer(x, U64), np.frombuffer(y, U64), least) >= least for x, y in zip(left, right)]
+            ok = [aligned(_unpacked(x), _unpacked(y), least) >= least for x, y in zip(left, right)]
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
     return run
 
 
-def _linked(pairs: DataFrame, payload: DataFrame, least: float) -> DataFrame:
+def _picked(payload: DataFrame, ids: DataFrame) -> DataFrame:
+    """The payload of these ids (distinct, written): of few by a broadcast, so that the rest is not shuffled."""
+    few = ids.count() <= PICKED
+    return payload.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+
+
+def _linked(pairs: DataFrame, payload: DataFrame, least: float, path: str) -> DataFrame:
+    """The pairs (a, b) that are as similar as ``least``, written under ``path``."""
+    spark = pairs.sparkSession
+    pairs.write.parquet(f"{path}-pairs")
+    pairs = spark.read.parquet(f"{path}-pairs")
+    sides = []
+    for side in "ab":
+        pairs.select(F.col(side).alias("id")).distinct().write.parquet(f"{path}-{side}")
+        sides.append(_picked(payload, spark.read.parquet(f"{path}-{side}")).withColumnRenamed("id", side))
     # ids travel first; each side's k-mers join by id, so no bucket meets in one task
-    rows = (pairs.join(payload.select(F.col("id").alias("a"), F.col("runs").alias("left")), "a")
-            .join(payload.select(F.col("id").alias("b"), F.col("runs").alias("right")), "b"))
-    return rows.select("a", "b", "left", "right").mapInArrow(_verify(least), "a long, b long")
+    rows = (pairs.join(sides[0].withColumnRenamed("runs", "left"), "a").join(sides[1].withColumnRenamed("runs", "right"), "b"))
+    rows.select("a", "b", "left", "right").mapInArrow(_verify(least), "a long, b long").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _mixed(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows (key, id, rank, component) of buckets of more than three nodes that hold several components."""
+    marked = buckets.where("n > 3").join(found.withColumnRenamed("node", "id"), "id", "left").select(
+        "key", "id", "rank", F.coalesce("component", "id").alias("component"))
+    several = marked.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("key")
+    return marked.join(several, "key")
+
+
+def _centred(mixed: DataFrame) -> DataFrame:
+    """Adds each bucket's centre, its node of largest rank, and the centre's component."""
+    best = mixed.groupBy("key").agg(F.max(F.struct("rank", "id", "component")).alias("m"))
+    return mixed.join(best.select("key", F.col("m.id").alias("centre"), F.col("m.component").alias("own")), "key")
 
 
 def _against(least: float):
@@ -207,8 +251,8 @@ def _against(least: float):
         for b in batches:
             out = [[], [], []]
             for x, c in zip(b.column("left"), b.column("right")):
-                x = _labelled(np.frombuffer(x.as_buffer(), U64))
-                c = np.sort(_labelled(np.frombuffer(c.as_buffer(), U64)))
+                x = _labelled(_unpacked(x.as_buffer()))
+                c = np.sort(_labelled(_unpacked(c.as_buffer())))
                 rest = np.sort(x[~tv.isin_sorted(x, c)[1]])
                 shared = len(x) - len(rest)
                 out[0].append(len(x))
@@ -266,23 +310,41 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
     stars = (buckets.select("id", F.explode(F.array("low", "high")).alias("end")).where("id <> end")
              .select(F.least("id", "end").alias("a"), F.greatest("id", "end").alias("b")).distinct())
-    _linked(stars, payload, least).write.parquet(f"{base}/links")
-    links = spark.read.parquet(f"{base}/links")
+    links = _linked(stars, payload, least, f"{base}/links")
+    tried = spark.read.parquet(f"{base}/links-pairs")
     found = components(links, "a", "b")
     # the stars compare all pairs of up to three nodes; of larger buckets, what lies in several components is left
-    marked = buckets.where("n > 3").join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", "low", F.coalesce("component", "id").alias("component"))
-    mixed = marked.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("key")
-    left = marked.join(mixed, "key").select("id", F.col("low").alias("centre"), "component").distinct()
-    left = left.join(found.select(F.col("node").alias("centre"), F.col("component").alias("own")), "centre", "left").withColumn(
-        "own", F.coalesce("own", "centre"))
-    both = (left.join(payload.withColumnRenamed("runs", "left"), "id")
-            .join(payload.select(F.col("id").alias("centre"), F.col("runs").alias("right")), "centre"))
+    ranks = buckets.groupBy("id").agg(F.sum("n").alias("rank"))
+    buckets.join(ranks, "id").write.parquet(f"{base}/ranked")
+    buckets = spark.read.parquet(f"{base}/ranked")
+    for k in range(ROUNDS):
+        _mixed(buckets, found).write.parquet(f"{base}/mixed{k}")
+        mixed = spark.read.parquet(f"{base}/mixed{k}")
+        centred = _centred(mixed)
+        if k:  # a centre of what is apart from the best one
+            rest = centred.where("component <> own").select("key", "id", "rank", "component")
+            centred = _centred(rest)
+        new = (centred.where("component <> own").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+               .join(tried, ["a", "b"], "left_anti"))
+        more = _linked(new, payload, least, f"{base}/more{k}")
+        tried = tried.union(spark.read.parquet(f"{base}/more{k}-pairs"))
+        if not more.take(1):
+            if k:
+                break
+            continue
+        links = links.union(more)
+        found = components(links, "a", "b")
+    left = _centred(_mixed(buckets, found)).select("id", "centre", "component", "own").distinct()
+    left.write.parquet(f"{base}/apart")
+    left = spark.read.parquet(f"{base}/apart")
+    sides = []
+    for side in ("id", "centre"):
+        left.select(F.col(side).alias("id")).distinct().write.parquet(f"{base}/apart-{side}")
+        sides.append(_picked(payload, spark.read.parquet(f"{base}/apart-{side}")))
+    both = left.join(sides[0].withColumnRenamed("runs", "left"), "id").join(sides[1].select(F.col("id").alias("centre"), F.col("runs").alias("right")), "centre")
     both.mapInArrow(_against(least), "centre long, own long, id long, component long, size int, shared int, residue array<long>") \
         .write.parquet(f"{base}/left")
-    _linked(_undecided(spark.read.parquet(f"{base}/left"), least).join(stars, ["a", "b"], "left_anti"), payload, least) \
-        .write.parquet(f"{base}/more")
-    more = spark.read.parquet(f"{base}/more")
+    more = _linked(_undecided(spark.read.parquet(f"{base}/left"), least).join(tried, ["a", "b"], "left_anti"), payload, least, f"{base}/last")
     if more.take(1):
         found = components(links.union(more), "a", "b")
     tagged = nodes.select("id", "node", F.col("doc_id").alias("rep")).join(
