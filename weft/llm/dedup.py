@@ -245,25 +245,41 @@ def _centred(mixed: DataFrame) -> DataFrame:
 
 
 def _against(least: float):
-    """What each node shares with its bucket's centre: the number of k-mers, and a prefix of those that
-    the centre lacks, in hash order, of the length that a prefix filter needs."""
+    """What each node shares with its bucket's centre: the number of k-mers, those that the centre
+    lacks, and how many of these a prefix filter needs."""
     def run(batches):
         for b in batches:
-            out = [[], [], []]
+            out = [[], [], [], []]
             for x, c in zip(b.column("left"), b.column("right")):
                 x = _labelled(_unpacked(x.as_buffer()))
                 c = np.sort(_labelled(_unpacked(c.as_buffer())))
-                rest = np.sort(x[~tv.isin_sorted(x, c)[1]])
+                rest = x[~tv.isin_sorted(x, c)[1]]
                 shared = len(x) - len(rest)
                 out[0].append(len(x))
                 out[1].append(shared)
-                out[2].append(rest[:len(rest) - max(1, math.ceil(least * len(x)) - shared) + 1].view(np.int64))
+                out[2].append(max(0, len(rest) - max(1, math.ceil(least * len(x)) - shared) + 1))
+                out[3].append(rest.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [b.column("centre"), b.column("own"), b.column("id"), b.column("component"), pa.array(out[0], pa.int32()),
-                 pa.array(out[1], pa.int32()), pa.array(out[2], pa.list_(pa.int64()))], names=["centre", "own", "id", "component", "size", "shared", "residue"])
+                [b.column("centre"), b.column("own"), b.column("id"), b.column("component"), *(pa.array(x, pa.int32()) for x in out[:3]),
+                 pa.array(out[3], pa.list_(pa.int64()))], names=["centre", "own", "id", "component", "size", "shared", "needed", "rest"])
     return run
 
 
+_LEFT = "centre long, own long, id long, component long, size int, shared int, needed int, rest array<long>"
+
+
+def _residues(left: DataFrame) -> DataFrame:
+    """left with ``residue``: of the k-mers that the centre lacks, the ``needed`` ones that fewest nodes of
+    this centre have, in one order for all; those that no other node has can meet none and go."""
+    every = left.select("centre", "id", "needed", F.explode("rest").alias("k"))
+    often = every.groupBy("centre", "k").agg(F.count("*").alias("n"))
+    rare = (every.join(often, ["centre", "k"]).groupBy("centre", "id", "needed")
+            .agg(F.sort_array(F.collect_list(F.struct("n", "k"))).alias("s")))
+    first = F.filter(F.slice("s", F.lit(1), F.col("needed")), lambda x: x["n"] > 1)
+    rare = rare.select("centre", "id", F.transform(first, lambda x: x["k"]).alias("residue"))
+    return left.drop("rest", "needed").join(rare, ["centre", "id"], "left")
+
+
 def _undecided(left: DataFrame, least: float) -> DataFrame:
     """(a, b): the pairs across components, of one centre, that can reach ``least``.
 
@@ -342,8 +358,8 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         left.select(F.col(side).alias("id")).distinct().write.parquet(f"{base}/apart-{side}")
         sides.append(_picked(payload, spark.read.parquet(f"{base}/apart-{side}")))
     both = left.join(sides[0].withColumnRenamed("runs", "left"), "id").join(sides[1].select(F.col("id").alias("centre"), F.col("runs").alias("right")), "centre")
-    both.mapInArrow(_against(least), "centre long, own long, id long, component long, size int, shared int, residue array<long>") \
-        .write.parquet(f"{base}/left")
+    both.mapInArrow(_against(least), _LEFT).write.parquet(f"{base}/beside")
+    _residues(spark.read.parquet(f"{base}/beside")).write.parquet(f"{base}/left")
     more = _linked(_undecided(spark.read.parquet(f"{base}/left"), least).join(tried, ["a", "b"], "left_anti"), payload, least, f"{base}/last")
     if more.take(1):
         found = components(links.union(more), "a", "b")
