@@ -69,4 +69,4 @@ def test_entry_and_registry(spark):
     assert len(qs) >= 80
     assert set(sql) <= set(qs)
     own = {q for q in qs if not q.startswith("op") and q != "pipeline"}
-    assert own - set(sql) == {"h4_pca_explained_variance"}
+    assert own - set(sql) == {"b7_train_default", "b10_tokenize_default"}
