@@ -39,8 +39,9 @@ from weft.session import shared_path
 from . import blocks, langid, subword, textvec as tv
 
 CLASSES, WIDTH, LAP, STRIDE, MIX = 128, 16, 8, 24, 0.6
-EPOCHS, BATCH, RATE = 3, 256, 0.01
+EPOCHS, BATCH, RATE = 1, 64, 0.02
 AT_ONCE = 512
+RUN = 96
 END_WORD = np.uint64(0x5EED5EED5EED5EED)
 SPAN = 1 << 20
 COMMON, PART, LOTS = 256, 512, 64
@@ -79,13 +80,16 @@ class Model:
     def __init__(self, p: dict):
         self.p = p
         e = p["e"]
-        self.q, self.k, self.v, self.r = e @ p["wq"], e @ p["wk"], e @ p["wv"], e @ p["wr"] + p["b"]
+        self.q, self.k, self.v, r = e @ p["wq"], e @ p["wk"], e @ p["wv"], e @ p["wr"] + p["b"]
+        # an id's vector, room for what it attends to, and 1 for the bias: classes are one product away
+        self.e = np.concatenate((e, np.zeros_like(e), np.ones((len(e), 1), e.dtype)), axis=1)
+        self.top = np.concatenate((p["wr"], p["o"], p["b"][None]))
         d = _relative()
         self.bias = np.where(d >= 0, p["rel"][np.maximum(d, 0)], -1e4).astype(np.float32)
         # exp needs no guard where no input can bring a score over what float32 holds
         most = [np.abs(m).max(0) for m in (self.q, self.k, self.v)]
         self.guard = float(most[0] @ most[1] + np.abs(p["rel"]).max()) > 60 or \
-            float(np.abs(self.r).max() + (most[2] @ np.abs(p["o"])).max()) > 60
+            float(np.abs(r).max() + (most[2] @ np.abs(p["o"])).max()) > 60
 
     def logp(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Natural log probability of every target (each text's ids, then its end), and their places (n+1)."""
@@ -106,14 +110,13 @@ class Model:
             np.exp(a, out=a)
             if (w[:, 0] < 0).any():
                 a *= (w >= 0)[:, None, :] | np.eye(LAP + STRIDE, dtype=bool)[LAP:][None]
-            z = np.matmul(a, np.take(self.v, x, axis=0))
+            h = np.take(self.e, q, axis=0)
+            z = np.matmul(a, np.take(self.v, x, axis=0), out=h[:, :, WIDTH:2 * WIDTH])
             z /= a.sum(2, keepdims=True)
-            t, q, z = w[:, LAP:].ravel(), q.ravel(), z.reshape(-1, z.shape[2])
+            t, logits = w[:, LAP:].ravel(), (h @ self.top).reshape(len(w) * STRIDE, -1)
             if (t < 0).any():
                 keep = np.flatnonzero(t >= 0)
-                t, q, z = t[keep], q[keep], z[keep]
-            logits = np.take(self.r, q, axis=0)
-            logits += z @ p["o"]
+                t, logits = t[keep], logits[keep]
             pick = logits[np.arange(len(t)), cls[t]]
             if self.guard:
                 np.minimum(logits, 60, out=logits)
@@ -198,59 +201,89 @@ def _start(count: np.ndarray, cls: np.ndarray, classes: int, rng) -> dict:
     return p
 
 
+def _across(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b for many rows of few columns, in runs of rows that BLAS leaves to one thread: a task has one core."""
+    a, b = a.reshape(-1, a.shape[-1]), b.reshape(-1, b.shape[-1])
+    whole = len(a) // RUN * RUN
+    out = a[whole:].T @ b[whole:]
+    if whole:
+        pieces = np.matmul(a[:whole].reshape(-1, RUN, a.shape[1]).swapaxes(1, 2), b[:whole].reshape(-1, RUN, b.shape[1]))
+        out = out + pieces.sum(0)
+    return out
+
+
+def _adam(value: np.ndarray, one: np.ndarray, two: np.ndarray, m: np.ndarray, rate: float, step: int, own=slice(None)) -> None:
+    """One step of Adam on the rows ``own``, in place; other rows and their moments rest."""
+    a, b = one[own] * np.float32(0.9), two[own] * np.float32(0.99)
+    a += np.float32(0.1) * m
+    b += np.float32(0.01) * m * m
+    one[own], two[own] = a, b
+    np.sqrt(b, out=b)
+    b *= np.float32(1 / math.sqrt(1 - 0.99 ** step))
+    b += np.float32(1e-8)
+    a /= b
+    value[own] -= np.float32(rate / (1 - 0.9 ** step)) * a
+
+
 def _epoch(p: dict, ids: np.ndarray, first: np.ndarray, end: int, cls: np.ndarray, rng, state: dict, k: int, epochs: int) -> None:
-    """The k-th pass over the texts: Adam steps on p, in place. ``state`` keeps the moments between passes."""
+    """The k-th pass over the texts: Adam steps on p, in place, for vectors only where a batch has their
+    id. ``state`` keeps the moments between passes."""
     where, inputs, targets, _ = _windows(ids, first, end)
     moment = state.setdefault("moment", {name: (np.zeros_like(v), np.zeros_like(v)) for name, v in p.items()})
     step, f4, d, span = state.get("step", 0), np.float32, WIDTH, LAP + STRIDE
     dist = _relative()
     causal, back = dist >= 0, np.maximum(dist, 0)
+    alone = np.eye(span, dtype=bool)[LAP:][None]
     done, steps = k * -(-len(where) // BATCH), epochs * -(-len(where) // BATCH)
-    order = rng.permutation(len(where))
+    order, classes = rng.permutation(len(where)), cls[targets]
     for lo in range(0, len(order), BATCH):
         w = where[order[lo:lo + BATCH]]
         x = inputs[np.maximum(w, 0)]
-        valid = (w >= 0)[:, None, :] | np.eye(span, dtype=bool)[LAP:][None]
-        e = p["e"][x]
-        q, key, v = e[:, LAP:] @ p["wq"], e @ p["wk"], e @ p["wv"]
+        own, at = np.unique(x, return_inverse=True)
+        at = at.ravel()
+        e = p["e"][own][at].reshape(*x.shape, d)
+        tail = np.ascontiguousarray(e[:, LAP:])
+        q, key, v = tail @ p["wq"], e @ p["wk"], e @ p["wv"]
         s = np.matmul(q, key.swapaxes(1, 2)) + p["rel"][back]
-        s = np.where(causal & valid, s, f4(-1e4))
+        s = np.where(causal & ((w >= 0)[:, None, :] | alone), s, f4(-1e4))
         s -= s.max(2, keepdims=True)
-        a = np.exp(s)
+        a = np.exp(s, out=s)
         a /= a.sum(2, keepdims=True)
-        z = np.matmul(a, v)
-        logits = e[:, LAP:] @ p["wr"] + z @ p["o"] + p["b"]
-        logits -= logits.max(2, keepdims=True)
-        g = np.exp(logits)
-        g /= g.sum(2, keepdims=True)
-        t = w[:, LAP:]
+        h = np.ones((len(w), STRIDE, 2 * d + 1), f4)
+        h[:, :, :d] = tail
+        z = np.matmul(a, v, out=h[:, :, d:2 * d])
+        top = np.concatenate((p["wr"], p["o"], p["b"][None]))
+        g = h @ top
+        if np.abs(h).max((0, 1)) @ np.abs(top).max(1) > 60:  # else exp needs no guard
+            g -= g.max(2, keepdims=True)
+        np.exp(g, out=g)
+        t = w[:, LAP:].ravel()
         ok = t >= 0
-        y = cls[targets[np.maximum(t, 0)]]
-        np.put_along_axis(g, y[:, :, None], np.take_along_axis(g, y[:, :, None], 2) - 1, 2)
-        g *= ok[:, :, None] / f4(max(ok.sum(), 1))
-        grad = {"b": g.sum((0, 1)), "o": np.tensordot(z, g, ((0, 1), (0, 1))), "wr": np.tensordot(e[:, LAP:], g, ((0, 1), (0, 1)))}
-        dz = g @ p["o"].T
+        weight = ok / f4(max(ok.sum(), 1))
+        g *= weight.reshape(g.shape[:2] + (1,)) / g.sum(2, keepdims=True)
+        g.reshape(-1, g.shape[2])[np.arange(len(t)), classes[np.maximum(t, 0)]] -= weight
+        m = _across(h, g)
+        grad = {"wr": m[:d], "o": m[d:2 * d], "b": m[-1]}
+        dh = g @ top[:2 * d].T
+        dz = np.ascontiguousarray(dh[:, :, d:])
         da = np.matmul(dz, v.swapaxes(1, 2))
         dv = np.matmul(a.swapaxes(1, 2), dz)
-        ds = a * (da - (da * a).sum(2, keepdims=True))
+        da -= (dz * z).sum(2, keepdims=True)
+        ds = np.multiply(a, da, out=da)
         grad["rel"] = np.bincount(back.ravel(), np.where(causal, ds.sum(0), 0).ravel(), minlength=span).astype(f4)
         dq, dk = np.matmul(ds, key), np.matmul(ds.swapaxes(1, 2), q)
-        grad["wq"] = np.tensordot(e[:, LAP:], dq, ((0, 1), (0, 1)))
-        grad["wk"], grad["wv"] = (np.tensordot(e, m, ((0, 1), (0, 1))) for m in (dk, dv))
-        de = dk @ p["wk"].T + dv @ p["wv"].T
-        de[:, LAP:] += g @ p["wr"].T + dq @ p["wq"].T
-        ge = np.zeros_like(p["e"])
-        np.add.at(ge, x.ravel(), de.reshape(-1, d))
-        grad["e"] = ge
+        grad["wq"], grad["wk"], grad["wv"] = _across(tail, dq), _across(e, dk), _across(e, dv)
+        de = dk @ p["wk"].T
+        de += dv @ p["wv"].T
+        de[:, LAP:] += dh[:, :, :d]
+        de[:, LAP:] += dq @ p["wq"].T
+        line = np.argsort(at, kind="stable")
+        ge = np.add.reduceat(de.reshape(-1, d)[line], np.r_[0, np.cumsum(np.bincount(at))[:-1]])
         step, done = step + 1, done + 1
         rate = RATE * min(1.0, step / 20) * (1 - done / (steps + 1))
+        _adam(p["e"], *moment["e"], ge, rate, step, own)
         for name, m in grad.items():
-            one, two = moment[name]
-            one *= 0.9
-            one += 0.1 * m
-            two *= 0.99
-            two += 0.01 * m * m
-            p[name] -= (rate * one / (1 - 0.9 ** step) / (np.sqrt(two / (1 - 0.99 ** step)) + 1e-8)).astype(f4)
+            _adam(p[name], *moment[name], m, rate, step)
     state["step"] = step
 
 
@@ -371,8 +404,8 @@ def fit(docs: DataFrame, path: str | None = None, block_bytes: int = blocks.BLOC
     rows.groupBy("block").applyInArrow(_encode(path), IDS).write.parquet(out)
     coded = spark.read.parquet(out)
 
-    def summed(each, width: int) -> DataFrame:
-        return _added(coded.mapInArrow(_each(kind, lots, each), SPARSE), lots, width)
+    def summed(each, width: int, rows: DataFrame = coded) -> DataFrame:
+        return _added(rows.mapInArrow(_each(kind, lots, each), SPARSE), lots, width)
 
     def counts(block, ids, first):
         n = np.bincount(ids, minlength=size)
@@ -401,9 +434,10 @@ def fit(docs: DataFrame, path: str | None = None, block_bytes: int = blocks.BLOC
     cls = np.frombuffer(every.groupBy("all").applyInArrow(_class_task(count, classes), "cls binary").first()["cls"], "<i4").astype(np.int64)
     count = count + 0.5
     p = _start(count, cls, classes, np.random.default_rng(5))
+    apart = coded.repartitionByRange(n_blocks, "block")  # a block is a task, so that none waits for another's
     for k in range(epochs):
         shared = spark.sparkContext.broadcast((p, compact, cls))
-        got = summed(_learn(end, k, epochs, shared), WIDTH + 1).toArrow()
+        got = summed(_learn(end, k, epochs, shared), WIDTH + 1, apart).toArrow()
         shared.destroy()
         p = {name: v.copy() for name, v in p.items()}
         part = got.column("part").to_numpy()
