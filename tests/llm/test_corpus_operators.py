@@ -351,6 +351,18 @@ def test_attention_beats_id_shares_on_held_out_documents(spark):
     assert logp.mean() > np.log(share / share.sum())[flat].mean() + 0.7
 
 
+def test_attention_steps_in_pieces_and_on_touched_rows_only():
+    rng = np.random.default_rng(1)
+    for n in (1, attention.RUN, 3 * attention.RUN + 5):
+        a, b = rng.standard_normal((n, 4)), rng.standard_normal((n, 7))
+        assert np.allclose(attention._across(a, b), a.T @ b)
+    value, m, own = np.ones((5, 2), np.float32), np.array([[0.5, -2.0], [0.0, 3.0]], np.float32), np.array([1, 3])
+    one, two = np.zeros_like(value), np.zeros_like(value)
+    attention._adam(value, one, two, m, 0.1, 1, own)
+    assert np.allclose(value[own], [[0.9, 1.1], [1.0, 0.9]], atol=1e-5)  # a first step is the rate, towards less
+    assert (value[[0, 2, 4]] == 1).all() and not one[[0, 2, 4]].any() and not two[[0, 2, 4]].any()
+
+
 def test_attention_without_training_rows(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     r = attention.score(_docs(spark, [(held, "ab cd", None)])).first()
