@@ -55,6 +55,22 @@ def test_neighbours_reach_recall_and_settle_ties(spark):
     assert hit / (5 * len(got)) >= 0.9
 
 
+def test_neighbours_within_a_dense_group_are_ranked_exactly(spark):
+    """Cosines that half precision cannot tell apart: all that may be among the nearest are ranked exactly."""
+    r = np.random.default_rng(4)
+    x = r.standard_normal(16) + 1e-3 * r.standard_normal((60, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id LONG, embedding ARRAY<DOUBLE>")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    got = defaultdict(list)
+    for v in nndescent.nearest(df, every=7).orderBy("query_id", "rank").collect():
+        got[v["query_id"]].append(v["vec_id"])
+    assert set(got) == set(range(0, 60, 7))
+    for q, found in got.items():
+        s = unit @ unit[q]
+        s[q] = -9
+        assert found == np.argsort(-s)[:5].tolist()
+
+
 def test_neighbours_of_small_tables(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 1.0])], "vec_id LONG, embedding ARRAY<FLOAT>")
     assert [(r["vec_id"], r["rank"]) for r in nndescent.nearest(df).orderBy("rank").collect()] == [(1, 1), (2, 2)]

@@ -6,7 +6,7 @@ weight is its BM25 impact divided by its segment's own full score, so that a pas
 score is the share of the segment that it covers. Every document passage (``PASSAGE``
 words, half overlapping) is a query: it is skipped if the sum of its words' largest
 impacts stays below the threshold, its blocks of segments if the sum of their block
-maxima does, and the rest are scored exactly. What reaches the threshold is verified: a
+maxima does, and in the blocks that remain pivots are walked and scored exactly. What reaches the threshold is verified: a
 document is contaminated if five-word runs of both the question and the answer part of
 the item stand around the passage. The answer is what follows the last ``?`` or
 ``answer:``; without one, the last quarter of the words.
@@ -20,7 +20,9 @@ contaminates nothing; further columns pass through unread.
 
 from __future__ import annotations
 
+import pickle
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,8 @@ K1, B = 1.2, 0.75
 #: Postings of one shard; a shard's index is broadcast, about 40 bytes a posting.
 SHARD_POSTINGS = 500_000
 CHUNK = 1 << 20
+#: Bounds are sums in another order than scores; what they lose to rounding is far below this.
+SLACK = 1e-9
 
 
 def _segments(batches):
@@ -63,29 +67,38 @@ def _segments(batches):
              ("words", pa.list_(pa.int64()))]))
 
 
-def build(benchmark: DataFrame, shard_postings: int = SHARD_POSTINGS) -> list[dict]:
-    """The index of all items, as shards; each is built from a bounded number of postings."""
+def shards_of(benchmark: DataFrame, shard_postings: int = SHARD_POSTINGS) -> Iterator[dict]:
+    """The index of all items, shard by shard. Each is built by a task from a bounded number of
+    postings and written; the driver reads one at a time, as it is asked for."""
     spark = benchmark.sparkSession
-    path = shared_path(spark, f"decontam-{uuid.uuid4().hex}")
+    base = shared_path(spark, f"decontam-{uuid.uuid4().hex}")
     (benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(
         _segments, "item_id long, item string, n_question int, part int, words array<long>")
-        .dropDuplicates(["item", "part"]).write.parquet(path))
-    seg = spark.read.parquet(path)
+        .dropDuplicates(["item", "part"]).write.parquet(f"{base}/segments"))
+    seg = spark.read.parquet(f"{base}/segments")
     total = seg.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("words")).first()
     if not total["n"]:
-        return []
+        return
     shards = -(-int(total["words"]) // shard_postings)
     seg = seg.withColumn("shard", F.pmod(F.xxhash64("item"), F.lit(shards)))
-    terms = seg.select("shard", "item", "part", F.explode(F.array_distinct("words")).alias("term"))
+    terms = seg.select("shard", F.explode(F.array_distinct("words")).alias("term"))
     df = terms.groupBy("term").agg(F.count("*").alias("df"))
-    avg, out = total["words"] / total["n"], []
+    n, avg = total["n"], total["words"] / total["n"]
+
+    def index(rows: pa.Table, freq: pa.Table) -> pa.Table:
+        made = _shard(rows.sort_by([("item", "ascending"), ("part", "ascending")]), freq, n, avg)
+        return pa.table({"shard": rows.column("shard")[:1], "made": pa.array([pickle.dumps(made)], pa.binary())})
+    freq = terms.distinct().withColumnRenamed("shard", "of").join(df, "term")
+    (seg.groupBy("shard").cogroup(freq.groupBy("of")).applyInArrow(index, "shard long, made binary")
+     .write.parquet(f"{base}/index"))
     for s in range(shards):
-        rows = seg.where(F.col("shard") == s).orderBy("item", "part").toArrow()
-        if not rows.num_rows:  # no item was dealt to it
-            continue
-        freq = df.join(terms.where(F.col("shard") == s).select("term").distinct(), "term", "left_semi").toArrow()
-        out.append(_shard(rows, freq, total["n"], avg))
-    return out
+        for row in spark.read.parquet(f"{base}/index").where(F.col("shard") == s).select("made").collect():  # none dealt to it: no row
+            yield pickle.loads(row["made"])
+
+
+def build(benchmark: DataFrame, shard_postings: int = SHARD_POSTINGS) -> list[dict]:
+    """All shards at once, for small benchmarks."""
+    return list(shards_of(benchmark, shard_postings))
 
 
 def _shard(rows: pa.Table, freq: pa.Table, n: int, avg: float) -> dict:
@@ -156,13 +169,46 @@ def search(h: np.ndarray, first: np.ndarray, ix: dict, threshold: float):
         blocks = np.bincount(ix["block"][k], ix["bmax"][k]) >= threshold
         if not blocks.any():
             continue
-        k = _take(ix["ptr"], terms)
-        k = k[blocks[ix["seg"][k] // BLOCK]]
-        score = np.bincount(ix["seg"][k], ix["w"][k])
-        found += [(doc[p], lo[p], hi[p], s) for s in np.flatnonzero(score >= threshold)]
+        found += [(doc[p], lo[p], hi[p], s) for s in _pivots(ix, terms, blocks, threshold)]
     return found, count
 
 
+def _pivots(ix: dict, terms: np.ndarray, blocks: np.ndarray, threshold: float) -> list[int]:
+    """Segments of the marked blocks whose score reaches the threshold, walked by pivots: with the lists in
+    order of their next segment, the first at which the lists' maxima add up to the threshold. Segments
+    before it cannot reach it and are passed unread; a pivot is scored if its block's maxima allow it."""
+    k = _take(ix["ptr"], terms)
+    kept = blocks[ix["seg"][k] // BLOCK]
+    own = np.repeat(np.arange(len(terms)), ix["ptr"][terms + 1] - ix["ptr"][terms])[kept]
+    seg, w = ix["seg"][k[kept]], ix["w"][k[kept]]
+    if not len(seg):
+        return []
+    edge = np.searchsorted(own, np.arange(len(terms) + 1))
+    live = np.flatnonzero(np.diff(edge))
+    cell = own * len(blocks) + seg // BLOCK  # a list's postings of one block stand together
+    begin = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+    block_max = np.repeat(np.maximum.reduceat(w, begin), np.diff(np.r_[begin, len(w)]))
+    top = np.zeros(len(terms))
+    top[live] = np.maximum.reduceat(w, edge[live])
+    key = own * ix["n_seg"] + seg  # ascending: a list is moved on by one search
+    at, out = edge[:-1].copy(), []
+    while len(live):
+        now = seg[at[live]]
+        order = np.argsort(now, kind="stable")
+        reach = np.cumsum(top[live][order])
+        if reach[-1] < threshold - SLACK:
+            break
+        pivot = int(now[order[np.argmax(reach >= threshold - SLACK)]])
+        at[live] = np.searchsorted(key, live * ix["n_seg"] + pivot)
+        live = live[at[live] < edge[live + 1]]
+        here = live[seg[at[live]] == pivot]
+        if block_max[at[here]].sum() >= threshold - SLACK and np.bincount(np.zeros(len(here), int), w[at[here]])[0] >= threshold:
+            out.append(pivot)
+        at[here] += 1
+        live = live[at[live] < edge[live + 1]]
+    return out
+
+
 def judge(text, ix: dict, threshold: float, overlap: float):
     """Per text: passages, retrieved pairs, and the best item's id and overlaps (nan: none retrieved)."""
     n = len(text)
@@ -210,7 +256,7 @@ def match(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, overlap
     rows = docs.select(F.col("doc_id").cast("long"), "text", *(
         F.lit(0 if c.endswith("long") and "item" not in c else False if "boolean" in c else None).cast(c.split()[1])
         .alias(c.split()[0]) for c in COLUMNS.split(", ")))
-    for ix in build(benchmark):
+    for ix in shards_of(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(ix)
 
         def run(batches, shared=shared):
@@ -231,7 +277,7 @@ def match(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, overlap
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, overlap: float = 0.5) -> DataFrame:
     """The rows of docs, all columns, that hold no benchmark item."""
-    for ix in build(benchmark):
+    for ix in shards_of(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(ix)
 
         def run(batches, shared=shared):

@@ -22,6 +22,7 @@ gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 import numpy as np
@@ -31,7 +32,11 @@ from pyspark.sql import functions as F
 
 from weft.session import shared_path
 
-K, TREES, SIGNS, LEAF, ROUNDS, POOL, EXPAND, STEPS = 32, 6, 4, 128, 4, 128, 64, 8
+K, TREES, SIGNS, LEAF, POOL, EXPAND = 32, 6, 4, 128, 128, 64
+#: Rounds end when this share of the graph's entries, or less, is new.
+FEW = 0.02
+#: Most by which a cosine of unit vectors rounded to half precision (2**-11 a component) can be off.
+OFF = 1.1e-3
 #: Of the pairs found at one gathering node, each member keeps so many; nodes handled at once.
 LOCAL, AT_ONCE = 10, 1000
 NEAREST, MOST = 5, 6
@@ -49,7 +54,13 @@ def _unit(batches):
 
 def _matrix(col) -> np.ndarray:
     raw = [x.as_buffer() for x in col]
-    return np.stack([np.frombuffer(x, "<f2") for x in raw]).astype(np.float32) if raw else np.zeros((0, 1), np.float32)
+    return _sphere(np.stack([np.frombuffer(x, "<f2") for x in raw])) if raw else np.zeros((0, 1), np.float32)
+
+
+def _sphere(x: np.ndarray) -> np.ndarray:
+    """Rounded unit vectors made unit again: else a vector rounded down would be nobody's neighbour in a dense group."""
+    x = x.astype(np.float32)
+    return x / np.linalg.norm(x, axis=-1, keepdims=True)
 
 
 def _orders(batches):
@@ -170,7 +181,7 @@ def graph(units: DataFrame, base: str) -> DataFrame:
     leaves = placed.repartitionByRange("place").sortWithinPartitions("place", "node").drop("place")
     _merged(leaves.mapInArrow(_leaves, LIST), None).write.parquet(f"{base}/graph0")
     g = spark.read.parquet(f"{base}/graph0")
-    for r in range(1, ROUNDS + 1):
+    for r in itertools.count(1):  # a list only ever gets better, so the rounds end
         edges = g.select("node", F.explode(F.arrays_zip("ids", "sims", "fresh")).alias("e")).select(
             "node", F.col("e.ids").alias("id"), F.col("e.sims").alias("sim"), F.col("e.fresh").alias("fresh"))
         back = edges.select(F.col("id").alias("node"), F.col("node").alias("id"), "sim", "fresh")
@@ -186,9 +197,8 @@ def graph(units: DataFrame, base: str) -> DataFrame:
         _merged(found, g).write.parquet(f"{base}/graph{r}")
         g = spark.read.parquet(f"{base}/graph{r}")
         changed = g.agg(F.sum(F.size(F.filter("fresh", lambda x: x))).alias("c"), F.sum(F.size("ids")).alias("n")).first()
-        if (changed["c"] or 0) <= 0.02 * (changed["n"] or 0):
-            break
-    return g
+        if (changed["c"] or 0) <= FEW * (changed["n"] or 0):
+            return g
 
 
 def _walk(batches):
@@ -196,7 +206,7 @@ def _walk(batches):
     for b in batches:
         pools, sims, done = [], [], []
         for q, pool, sim, seen, cand in zip(*(b.column(c) for c in ("unit", "pool", "sim", "seen", "cand"))):
-            x = np.frombuffer(q.as_buffer(), "<f2").astype(np.float32)
+            x = _sphere(np.frombuffer(q.as_buffer(), "<f2"))
             ids, s = pool.values.to_numpy(), sim.values.to_numpy()
             was = seen.values.to_numpy(zero_copy_only=False)
             if cand.is_valid and len(cand.values):
@@ -215,7 +225,7 @@ def _walk(batches):
 
 
 def search(queries: DataFrame, g: DataFrame, units: DataFrame, base: str) -> DataFrame:
-    """(query, pool): the nodes nearest to each query node found by a greedy walk from it."""
+    """(query, pool, sim): the nodes nearest to each query node found by a greedy walk from it, nearest first."""
     spark = queries.sparkSession
     state = "query long, unit binary, pool array<long>, sim array<float>, seen array<boolean>"
     start = queries.join(units, "node").select(
@@ -223,7 +233,7 @@ def search(queries: DataFrame, g: DataFrame, units: DataFrame, base: str) -> Dat
         F.array(F.lit(False)).alias("seen"))
     start.write.parquet(f"{base}/pool0")
     pool = spark.read.parquet(f"{base}/pool0")
-    for step in range(1, STEPS + 1):
+    for step in itertools.count(1):  # a node is expanded once a query, so the walk ends
         open_ = F.slice(F.filter(F.arrays_zip("pool", "seen"), lambda x: ~x.seen), 1, EXPAND)
         chosen = pool.withColumn("open", F.transform(open_, lambda x: x.pool))
         asked = chosen.select("query", F.explode("open").alias("node"))
@@ -234,9 +244,8 @@ def search(queries: DataFrame, g: DataFrame, units: DataFrame, base: str) -> Dat
         rows = rows.join(cand, "query", "left").select("query", "unit", "pool", "sim", "seen", "cand")
         rows.mapInArrow(_walk, state).write.parquet(f"{base}/pool{step}")
         pool = spark.read.parquet(f"{base}/pool{step}")
-        if not pool.where(F.exists(F.slice("seen", 1, EXPAND), lambda x: ~x)).take(1):
-            break
-    return pool.select("query", "pool")
+        if not pool.where(F.exists("seen", lambda x: ~x)).take(1):
+            return pool.select("query", "pool", "sim")
 
 
 def nearest(embeddings: DataFrame, every: int = 50, nearest_n: int = NEAREST) -> DataFrame:
@@ -261,7 +270,10 @@ def nearest(embeddings: DataFrame, every: int = 50, nearest_n: int = NEAREST) ->
     pool = search(queries.select("node").distinct(), g, units, base)
     dot = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     norm = {c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, x: s + x * x)) for c in "ab"}
-    pairs = pool.select("query", F.explode(F.slice("pool", 1, 2 * MOST)).alias("node"))
+    # all of the pool that can be among the MOST nearest by exact cosine
+    least = F.when(F.size("sim") < MOST, F.lit(-2.0)).otherwise(F.get("sim", F.lit(MOST - 1)) - 2 * OFF)
+    pairs = pool.select("query", F.explode(F.filter(F.arrays_zip("pool", "sim"), lambda x: x["sim"] >= least)).alias("x"))
+    pairs = pairs.select("query", F.col("x.pool").alias("node"))
     pairs = (pairs.join(nodes.select("node", F.col("vector").alias("a")), "node")
              .join(nodes.select(F.col("node").alias("query"), F.col("vector").alias("b")), "query")
              .select("query", "node", F.when(F.col("query") == F.col("node"), F.lit(1.0)).otherwise(dot / (norm["a"] * norm["b"])).alias("score")))
