@@ -91,9 +91,8 @@ def shards_of(benchmark: DataFrame, shard_postings: int = SHARD_POSTINGS) -> Ite
     freq = terms.distinct().withColumnRenamed("shard", "of").join(df, "term")
     (seg.groupBy("shard").cogroup(freq.groupBy("of")).applyInArrow(index, "shard long, made binary")
      .write.parquet(f"{base}/index"))
-    for s in range(shards):
-        for row in spark.read.parquet(f"{base}/index").where(F.col("shard") == s).select("made").collect():  # none dealt to it: no row
-            yield pickle.loads(row["made"])
+    for row in spark.read.parquet(f"{base}/index").select("made").toLocalIterator():  # a partition at a time
+        yield pickle.loads(row["made"])
 
 
 def build(benchmark: DataFrame, shard_postings: int = SHARD_POSTINGS) -> list[dict]:
