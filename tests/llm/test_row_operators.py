@@ -248,21 +248,6 @@ def test_pruned_search_equals_scoring_every_passage(spark):
     assert [(int(a), int(s)) for _, a, _, s in found] == want and want
 
 
-def test_pivots_equal_scoring_every_segment():
-    r = np.random.default_rng(17)
-    for n_seg, n_terms in ((1, 1), (40, 6), (500, 30), (900, 80)):
-        t, seg = np.nonzero(r.random((n_terms, n_seg)) < 0.15)
-        w = r.random(len(t)) / 8
-        ix = {"ptr": np.searchsorted(t, np.arange(n_terms + 1)), "seg": seg, "w": w, "n_seg": n_seg}
-        terms = np.flatnonzero(r.random(n_terms) < 0.7)
-        on = np.isin(t, terms)
-        score = np.bincount(seg[on], w[on], minlength=n_seg)
-        blocks = r.random(-(-n_seg // decontam.BLOCK)) < 0.8
-        for threshold in (0.05, 0.3, float(score.max()) or 1.0, 9.0):
-            want = np.flatnonzero((score >= threshold) & blocks[np.arange(n_seg) // decontam.BLOCK])
-            assert decontam._pivots(ix, terms, blocks, threshold) == want.tolist()
-
-
 # --- 6 -----------------------------------------------------------------------------------
 
 def test_perspectives_rotate_and_mask(spark):
