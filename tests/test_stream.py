@@ -37,3 +37,26 @@ def test_stream_per_batch_rewards(spark, tmp_path):
     got = sorted((r["conv_id"], r["reward"]) for r in spark.read.parquet(out).collect())
     want = sorted((r["conv_id"], r["reward"]) for r in T.rewards(spark, df, ["conv_id", "turn"]).collect())
     assert got == want and len(got) == 20
+
+
+def test_file_stream_reads_a_table_of_one_file_or_many(spark, tmp_path):
+    df = spark.range(20)
+    df.repartition(3).write.parquet(str(tmp_path / "many" / "rows.parquet"))
+    spark.range(100, 120).write.parquet(str(tmp_path / "many" / "other.parquet"))
+    df.coalesce(1).write.parquet(str(tmp_path / "written"))
+    (tmp_path / "one").mkdir()
+    next((tmp_path / "written").glob("part-*.parquet")).rename(tmp_path / "one" / "rows.parquet")
+    for kind in ("one", "many"):
+        stream = file_stream(spark, str(tmp_path / kind), df.schema, max_files_per_trigger=1, table="rows.parquet")
+        out = stream_rows(stream, lambda x: x, kind, str(tmp_path / f"out-{kind}"), str(tmp_path / f"ckpt-{kind}"))
+        assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(20))
+
+
+def test_registered_streams_read_folders_of_part_files(spark, tmp_path):
+    from weft.plans.q_stream import q_s1, q_s2
+    spark.createDataFrame([(i, f"text {i}", "en") for i in range(9)], "doc_id LONG, text STRING, lang STRING") \
+        .repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 0, "assistant", f"reply {i}") for i in range(9)], "conv_id LONG, turn INT, role STRING, text STRING") \
+        .repartition(2).write.parquet(str(tmp_path / "conversations.parquet"))
+    assert [(r["lang"], r["n_docs"]) for r in q_s1(spark, str(tmp_path)).collect()] == [("en", 9)]
+    assert q_s2(spark, str(tmp_path)).count() == 9

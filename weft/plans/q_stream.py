@@ -23,7 +23,8 @@ def _schema(spark, d, table):
 
 @register("s1_stream_pretrain_rows", lambda: ORACLES["d1_pretrain_rows"]())
 def q_s1(spark, d):
-    src = file_stream(spark, d, _schema(spark, d, "documents"), "documents.parquet", max_files_per_trigger=1)
+    src = file_stream(spark, d, _schema(spark, d, "documents"), max_files_per_trigger=1, table="documents.parquet")
+    src = src.repartition(2 * spark.sparkContext.defaultParallelism)  # a file of long texts is one task otherwise
 
     def build(df):
         r = rows.pretrain_rows(df.select("doc_id", "lang", "text"), ["doc_id"], "text", V.BYTE_VOCAB, 512)
@@ -46,7 +47,7 @@ def q_s1(spark, d):
 
 @register("s2_stream_tool_rewards", lambda: ORACLES["f8_rewards"]())
 def q_s2(spark, d):
-    src = file_stream(spark, d, _schema(spark, d, "conversations"), "conversations.parquet", max_files_per_trigger=1)
+    src = file_stream(spark, d, _schema(spark, d, "conversations"), max_files_per_trigger=1, table="conversations.parquet")
     blocks = F.array(*[F.lit(b) for b in D.TOOL_BLOCKS])
     replies = src.where(F.col("role") == "assistant").select(
         "conv_id", "turn",

@@ -24,13 +24,16 @@ from ..session import shared_path
 
 
 def file_stream(spark: SparkSession, folder: str, schema, file_glob: str | None = None,
-                max_files_per_trigger: int | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None, table: str | None = None) -> DataFrame:
+    """Files arriving in a folder; with ``table``, of that name in the folder, be it one file or a
+    folder of part files. A streaming source takes a single file only by a pattern, so the name's
+    last letter is written as one."""
     reader = spark.readStream.schema(schema).format("parquet")
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(folder)
+    return reader.load(folder if table is None else f"{folder.rstrip('/')}/{table[:-1]}[{table[-1]}]")
 
 
 def stream_rows(stream: DataFrame, builder: Callable[[DataFrame], DataFrame], name: str,
