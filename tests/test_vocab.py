@@ -317,3 +317,16 @@ def test_code_on_workers_from_another_folder(tmp_path):
             "print(V.encode_ids(df, 'text', V.Vocab(merges=((97, 98),))).first()['ids'])\n")
     out = subprocess.run([sys.executable, "-c", code, root], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert out.stdout.strip().endswith("[280, 244, 280]"), out.stderr[-2000:]
+
+
+def test_training_learns_many_merges_a_round(spark):
+    """The changes of dropped merges tell the next round which new pairs come up."""
+    rng = random.Random(5)
+    parts = ["".join(rng.choice("abcdefghij") for _ in range(3)) for _ in range(60)]
+    words = [("".join(rng.choice(parts[:1 + int(60 * rng.random() ** 2)]) for _ in range(3)), rng.randint(1, 99)) for _ in range(2000)]
+    rows = training.text_rows(spark.createDataFrame([(0, n, w) for w, n in words], "o LONG, n LONG, text STRING"))
+    trainer = training.Trainer(rows, False)
+    assert len(trainer.learn(400)) == 400
+    one_by_one = training.Trainer(rows, False, batch=1)
+    assert one_by_one.learn(40) == trainer.merges[:40]
+    assert trainer.rounds <= 20
