@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 from hypothesis import given, settings
@@ -330,3 +331,24 @@ def test_training_learns_many_merges_a_round(spark):
     one_by_one = training.Trainer(rows, False, batch=1)
     assert one_by_one.learn(40) == trainer.merges[:40]
     assert trainer.rounds <= 20
+
+
+def test_python_workers_handle_a_batch_in_bounded_slices(spark, monkeypatch):
+    """Rows come back in order, no slice longer than the limit unless it is one row."""
+    monkeypatch.setattr(V, "SLICE", 64)
+    texts = pa.array(["ab cd abab " * (i % 5) for i in range(40)] + ["x" * 300, None, ""])
+    vocab = V.Vocab(((97, 98), (99, 100)), specials=())
+    teaching = V.Vocab(((97, 98), (99, 100)), "teaching", (), False)
+    whole = [None if t is None else "".join(t).replace("ab", "Ā").replace("cd", "ā") for t in texts.to_pylist()]
+    ids = list(V._ids_udf(teaching).func(iter([texts.cast(pa.binary())])))
+    assert [x for a in ids for x in a.to_pylist()] == [None if t is None else list(map(ord, t)) for t in whole]
+    back = list(V._bytes_udf(teaching, False, True).func(iter([pa.concat_arrays(ids)])))
+    assert [x for a in back for x in a.to_pylist()] == [None if t is None else t.encode() for t in texts.to_pylist()]
+    words = pa.array([None if t is None else t.split(" ") for t in texts.to_pylist()], pa.list_(pa.string()))
+    coded = list(V._WordCache(vocab).encode(words))
+    assert "".join(chr(c) for codes, _ in coded for c in codes) == "".join(t.replace(" ", "") for t in whole if t)
+    assert sum(len(lengths) for _, lengths in coded) == len(texts)
+    plain = list(V._WordCache(V.Vocab(specials=())).encode(words))
+    assert "".join(chr(c) for codes, _ in plain for c in codes) == "".join(t.replace(" ", "") for t in texts.to_pylist() if t)
+    for slices in ([len(a.flatten()) for a in ids if len(a) > 1], [len(c) for c, n in plain if len(n) > 1]):
+        assert len(slices) > 5 and max(slices) <= 64

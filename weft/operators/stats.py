@@ -243,7 +243,7 @@ def distribution(df: DataFrame, group_cols: list[str], item_col: str) -> DataFra
 
 
 #: Groups of count arrays a task holds at once, and bytes counted in one go.
-COUNT_GROUPS, COUNT_BYTES = 64, 4 << 20
+COUNT_GROUPS, COUNT_BYTES = 64, 1 << 19
 
 
 def byte_counts(df: DataFrame, text_col: str, group_cols: list[str] = (), pairs: bool = False) -> DataFrame:
