@@ -162,6 +162,14 @@ def test_fences_come_from_every_trusted_document_that_was_not_counted(spark):
     assert len(own) >= 30 and limits["bb"] > 2 ** own[-len(own) // 4]
 
 
+def test_all_trusted_documents_take_part_however_many(spark):
+    docs = spark.range(26_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.lit("aa").alias("lang"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    _, rest = kneserney.score(docs, labels, ["doc_id", "lang"])
+    fifth = docs.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0)
+    assert {x[0] for x in rest.collect()} == {x[0] for x in fifth.select("doc_id").collect()}
+
+
 def test_blocks_follow_rows_and_spread_repeats(spark, tmp_path):
     rows = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same").alias("text"))
     rows.unionByName(spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("").alias("text"))).write.parquet(str(tmp_path / "d"))

@@ -10,9 +10,8 @@ documents that the model has not seen, within the document's class of length (wh
 few of them are, of the language, else of all, with a range widened for short texts, whose
 means scatter more).
 
-Trusted rows: quality 1 and not toxic; of these the ``TRUSTED`` of least id hash (a
-documented bound), four fifths to count, one fifth to set the fences. Everything else
-covers all rows.
+Trusted rows: quality 1 and not toxic; of all these, four fifths (by id hash) to count, one
+fifth to set the fences.
 
 Defined results: null and empty texts are scored as their end symbol alone; without trusted
 rows nothing is rejected and the model is uniform; null ``lang`` is a language of its own;
@@ -34,7 +33,7 @@ from weft.session import shared_path
 from . import blocks, textvec as tv
 from .names import numbered
 
-ORDER, TRUSTED, FENCE, ENOUGH, SHORT = 5, 20_000, 6.0, 30, 400
+ORDER, FENCE, ENOUGH, SHORT = 5, 6.0, 30, 400
 CHUNK = 1 << 20
 BEGIN, END = 1, 2
 SYMBOLS = tv.LOWER.copy()
@@ -180,20 +179,24 @@ def _answer(order: int, schema: pa.Schema):
 SCORES = "__n long, __logp double, __ppl double"
 
 
-def score(docs: DataFrame, labels: DataFrame, keep: list[str], order: int = ORDER, trusted: int = TRUSTED) -> tuple[DataFrame, DataFrame]:
+def score(docs: DataFrame, labels: DataFrame, keep: list[str], order: int = ORDER, trusted: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The columns ``keep`` of docs (doc_id and lang among them), with __n, __logp (base 10) and __ppl, written to the
     shared folder; and the ids of all trusted documents that were not counted.
 
-    Four fifths of at most ``trusted`` trusted documents are counted; all others set the fences."""
+    Four fifths of the trusted documents (with ``trusted``, of so many at most) are counted; all others set the fences."""
     spark = docs.sparkSession
     base = shared_path(spark, f"kneserney-{uuid.uuid4().hex}")
     (labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull())
      .select(F.col("doc_id").cast("long").alias("__id")).distinct().write.parquet(f"{base}/trusted"))
     good = spark.read.parquet(f"{base}/trusted")
-    counted = good.orderBy(F.xxhash64("__id"), "__id").limit(trusted).where(F.pmod(F.crc32(F.col("__id").cast("string").cast("binary")), F.lit(5)) != 0)
-    counted.write.parquet(f"{base}/counted")
-    counted = F.broadcast(spark.read.parquet(f"{base}/counted"))  # ``trusted`` ids at most
-    (docs.join(counted, F.col("doc_id").cast("long") == F.col("__id"), "left_semi").select("text").mapInArrow(_count(order), "gram long, n long")
+
+    def in_four_fifths(doc_id):
+        return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) != 0
+    counted = good if trusted is None else good.orderBy(F.xxhash64("__id"), "__id").limit(trusted)
+    counted.where(in_four_fifths(F.col("__id"))).write.parquet(f"{base}/counted")
+    counted = spark.read.parquet(f"{base}/counted")
+    key = F.col("doc_id").cast("long")
+    (docs.where(in_four_fifths(key)).join(counted, key == F.col("__id"), "left_semi").select("text").mapInArrow(_count(order), "gram long, n long")
      .groupBy("gram").agg(F.sum("n").alias("n")).write.parquet(f"{base}/counts"))
     model = levels(spark.read.parquet(f"{base}/counts"), order, base)
     rows, _ = blocks.pack(docs.select(*dict.fromkeys([*keep, "doc_id", "text"])))
