@@ -248,6 +248,21 @@ def test_pruned_search_equals_scoring_every_passage(spark):
     assert [(int(a), int(s)) for _, a, _, s in found] == want and want
 
 
+def test_search_scores_many_passages_at_once(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    bench = spark.createDataFrame([(i, _prose(r, 80)) for i in range(40)], "item_id LONG, text STRING")
+    ix = decontam.build(bench)[0]
+    text = " ".join(t["text"] for t in bench.collect() * 8).encode()
+    _, _, h, first = tv.words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    calls, take = [], decontam._take
+    monkeypatch.setattr(decontam, "_take", lambda *a: calls.append(1) or take(*a))
+    found, count = decontam.search(h, first, ix, 0.3)
+    assert count[0] > 300 and len(calls) < count[0] // 8
+    for postings in (1, 10 ** 5):
+        monkeypatch.setattr(decontam, "POSTINGS", postings)
+        assert found and [tuple(map(int, x)) for x in decontam.search(h, first, ix, 0.3)[0]] == [tuple(map(int, x)) for x in found]
+
+
 # --- 6 -----------------------------------------------------------------------------------
 
 def test_perspectives_rotate_and_mask(spark):

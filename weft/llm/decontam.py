@@ -38,6 +38,8 @@ K1, B = 1.2, 0.75
 #: Postings of one shard; a shard's index is broadcast, about 40 bytes a posting.
 SHARD_POSTINGS = 500_000
 CHUNK = 1 << 20
+#: Passages scored at once, their postings at most (one passage may have more); sums of bounds may be off by their rounding.
+GROUP, POSTINGS, SLACK = 64, 1 << 22, 1e-9
 
 
 def _segments(batches):
@@ -136,9 +138,10 @@ def _runs(h: np.ndarray) -> np.ndarray:
     return np.unique(tv.shingles(h, np.array([0, len(h)]), RUN)[0])
 
 
-def _take(ptr: np.ndarray, terms: np.ndarray) -> np.ndarray:
+def _take(ptr: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of all terms one behind the other, and how many each has."""
     n = ptr[terms + 1] - ptr[terms]
-    return np.repeat(ptr[terms] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+    return np.repeat(ptr[terms] - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
 
 
 def search(h: np.ndarray, first: np.ndarray, ix: dict, threshold: float):
@@ -157,22 +160,42 @@ def search(h: np.ndarray, first: np.ndarray, ix: dict, threshold: float):
     lo = first[doc] + nth * step
     hi = np.minimum(lo + PASSAGE, first[doc + 1])
     found = []
-    for p in np.flatnonzero(bound[hi] - bound[lo] >= threshold):
-        a, b = np.searchsorted(hit, (lo[p], hi[p]))
-        terms = np.unique(at[a:b])
-        if ix["top"][terms].sum() < threshold:
-            continue
-        k = _take(ix["bptr"], terms)
-        blocks = np.bincount(ix["block"][k], ix["bmax"][k]) >= threshold
-        if not blocks.any():
-            continue
-        k = _take(ix["ptr"], terms)
-        k = k[blocks[ix["seg"][k] // BLOCK]]
-        score = np.bincount(ix["seg"][k], ix["w"][k])
-        found += [(doc[p], lo[p], hi[p], s) for s in np.flatnonzero(score >= threshold)]
+    maybe = np.flatnonzero(bound[hi] - bound[lo] >= threshold - SLACK)
+    begin = np.searchsorted(hit, lo[maybe])
+    size = np.searchsorted(hit, hi[maybe]) - begin
+    many = max(1, min(GROUP, POSTINGS // max(1, len(ix["seg"]))))
+    for a in range(0, len(maybe), many):
+        own, n = maybe[a:a + many], size[a:a + many]
+        words = at[np.repeat(begin[a:a + many] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        found += [(doc[p], lo[p], hi[p], s) for p, s in _score(own, np.repeat(np.arange(len(own)), n), words, ix, threshold)]
     return found, count
 
 
+def _score(own: np.ndarray, passage: np.ndarray, terms: np.ndarray, ix: dict, threshold: float):
+    """(passage, segment) of all that reach the threshold; ``terms`` are the words of the passages, in their order."""
+    n_block, n_term = (ix["n_seg"] - 1) // BLOCK + 1, len(ix["term"])
+    passage, terms = np.divmod(_distinct(passage * n_term + terms), n_term)
+    live = np.bincount(passage, ix["top"][terms], len(own)) >= threshold - SLACK
+    passage, terms = (x[live[passage]] for x in (passage, terms))
+    k, n = _take(ix["bptr"], terms)
+    blocks = np.bincount(np.repeat(passage * n_block, n) + ix["block"][k], ix["bmax"][k], len(own) * n_block) >= threshold - SLACK
+    live = blocks.reshape(len(own), n_block).any(1)
+    passage, terms = (x[live[passage]] for x in (passage, terms))
+    k, n = _take(ix["ptr"], terms)
+    passage, seg = np.repeat(passage, n), ix["seg"][k]
+    if n_block > 1:
+        inside = blocks[passage * n_block + seg // BLOCK]
+        passage, seg, k = passage[inside], seg[inside], k[inside]
+    score = np.bincount(passage * ix["n_seg"] + seg, ix["w"][k])
+    passage, seg = np.divmod(np.flatnonzero(score >= threshold), ix["n_seg"])
+    return zip(own[passage], seg)
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 def judge(text, ix: dict, threshold: float, overlap: float):
     """Per text: passages, retrieved pairs, and the best item's id and overlaps (nan: none retrieved)."""
     n = len(text)
