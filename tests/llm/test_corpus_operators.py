@@ -343,6 +343,24 @@ def test_attention_by_explicit_loops():
         assert logp[t] == pytest.approx(want, abs=1e-4)
 
 
+def test_neighbour_counts_take_bounded_memory():
+    import tracemalloc
+    r = np.random.default_rng(4)
+    first = np.r_[0, np.cumsum(np.full(2000, 600))].astype(np.int64)
+    ids = r.integers(0, 500, first[-1]).astype(np.uint16)
+    compact, col = np.arange(600), attention._columns(np.bincount(ids, minlength=500).astype(float))
+    col = np.r_[col, np.full(100, -1)]
+    tracemalloc.start()
+    at, n = attention._neighbours(ids, first, compact, 501, col)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    _, inputs, targets, _ = attention._windows(compact[ids], first, 501)
+    want, much = np.unique(attention._cells(inputs, targets, col), return_counts=True)
+    assert (at == want).all() and (n == much).all()
+    assert most < 40 * len(ids)  # the whole block at once took more than 100 bytes an id
+
+
+
 def test_attention_scores_carry_exact_base_scores(spark):
     texts = _lm_docs()
     rows = [(i, t, None) for i, t in enumerate(texts)] + [(3, texts[3], None), (None, texts[5], None)]

@@ -43,7 +43,7 @@ EPOCHS, BATCH, RATE = 1, 64, 0.02
 AT_ONCE = 512
 RUN = 96
 END_WORD = np.uint64(0x5EED5EED5EED5EED)
-SPAN = 1 << 20
+SPAN, SLICE = 1 << 20, 1 << 18
 COMMON, PART, LOTS = 256, 512, 64
 
 
@@ -54,7 +54,8 @@ def _windows(ids: np.ndarray, first: np.ndarray, end: int):
     a text; target positions (n, STRIDE), -1 beyond it; and the flat inputs and targets."""
     n = np.diff(first) + 1  # each text is led by ``end`` and closed by it
     at = np.r_[0, np.cumsum(n)]
-    inputs, targets = np.full(at[-1], end, np.int64), np.full(at[-1], end, np.int64)
+    i4 = np.int32 if at[-1] < 1 << 31 else np.int64
+    inputs, targets = np.full(at[-1], end, np.int32), np.full(at[-1], end, np.int32)
     own = np.ones(at[-1], bool)
     own[at[:-1]] = False
     inputs[own] = ids
@@ -64,8 +65,10 @@ def _windows(ids: np.ndarray, first: np.ndarray, end: int):
     k = -(-n // STRIDE)
     text = np.repeat(np.arange(len(n)), k)
     nth = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-    pos = nth[:, None] * STRIDE - LAP + np.arange(LAP + STRIDE)[None, :]
-    where = np.where((pos >= 0) & (pos < n[text][:, None]), pos + at[:-1][text][:, None], -1)
+    where = (nth * STRIDE - LAP).astype(i4)[:, None] + np.arange(LAP + STRIDE, dtype=i4)[None, :]
+    out = (where < 0) | (where >= n[text].astype(i4)[:, None])
+    where += at[:-1][text].astype(i4)[:, None]
+    where[out] = -1
     return where, inputs, targets, at
 
 
@@ -147,10 +150,21 @@ def _cells(inputs: np.ndarray, targets: np.ndarray, col: np.ndarray) -> np.ndarr
     out = []
     for side, (a, b) in enumerate(((targets, inputs), (inputs, targets))):
         ok = col[b] >= 0
-        out.append((a[ok] * 2 + side) * COMMON + col[b[ok]])
+        out.append((a[ok].astype(np.int64) * 2 + side) * COMMON + col[b[ok]])
     return np.concatenate(out)
 
 
+def _neighbours(ids: np.ndarray, first: np.ndarray, compact: np.ndarray, end: int, col: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A block's distinct cells and how often each occurs; some texts at a time, so that work arrays don't grow with the block."""
+    at, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for lo, hi in tv.spans(first, SLICE):
+        _, inputs, targets, _ = _windows(compact[ids[first[lo]:first[hi]]], first[lo:hi + 1] - first[lo], end)
+        new, more = np.unique(_cells(inputs, targets, col), return_counts=True)
+        at, back = np.unique(np.r_[at, new], return_inverse=True)
+        n = np.bincount(back, np.r_[n, more], len(at)).astype(np.int64)
+    return at, n
+
+
 def _kmeans(m: np.ndarray, size: np.ndarray, classes: int) -> np.ndarray:
     """Classes of ids from their neighbours' counts (n, 2, COMMON)."""
     m /= np.maximum(m.sum(2, keepdims=True), 1)
@@ -235,7 +249,7 @@ def _epoch(p: dict, ids: np.ndarray, first: np.ndarray, end: int, cls: np.ndarra
     causal, back = dist >= 0, np.maximum(dist, 0)
     alone = np.eye(span, dtype=bool)[LAP:][None]
     done, steps = k * -(-len(where) // BATCH), epochs * -(-len(where) // BATCH)
-    order, classes = rng.permutation(len(where)), cls[targets]
+    order, classes = rng.permutation(len(where)), cls.astype(np.int32)[targets]
     for lo in range(0, len(order), BATCH):
         w = where[order[lo:lo + BATCH]]
         x = inputs[np.maximum(w, 0)]
@@ -312,7 +326,10 @@ def _encode(path: str | None):
                       subword.encode_column(b.column("text"), path) for i in range(lo, hi)]
         texts.sort(key=lambda t: t[0])
         first = np.r_[0, np.cumsum([len(t) for _, t in texts])]
-        return pa.table({"block": pa.array([block], pa.int32()), "ids": pa.array([np.concatenate([t for _, t in texts]).tobytes()], pa.binary()),
+        ids = np.concatenate([t for _, t in texts]).tobytes()
+        texts.clear()
+        tv.release()
+        return pa.table({"block": pa.array([block], pa.int32()), "ids": pa.array([ids], pa.binary()),
                          "first": pa.array([first.astype("<i8").tobytes()], pa.binary())})
     return run
 
@@ -323,12 +340,13 @@ def _each(kind: str, lots: int, each):
         for b in batches:
             for block, ids, first in zip(*(b.column(c) for c in ("block", "ids", "first"))):
                 block = block.as_py()
-                for at, x in each(block, np.frombuffer(ids.as_buffer(), kind).astype(np.int64), np.frombuffer(first.as_buffer(), "<i8")):
+                for at, x in each(block, np.frombuffer(ids.as_buffer(), kind), np.frombuffer(first.as_buffer(), "<i8")):
                     part, edge = at[0], at[1]
                     for i, lo, hi in zip(part.tolist(), edge[:-1].tolist(), edge[1:].tolist()):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([i], pa.int32()), pa.array([block % lots], pa.int32()), pa.array([at[2][lo:hi].astype("<i4").tobytes()], pa.binary()),
                              pa.array([x[lo:hi].astype("<f4").tobytes()], pa.binary())], names=["part", "lot", "at", "x"])
+                tv.release()
     return run
 
 
@@ -379,13 +397,18 @@ def _learn(end: int, k: int, epochs: int, shared):
     """One block's steps of round k from the shared parameters."""
     def each(block: int, ids: np.ndarray, first: np.ndarray):
         start, compact, cls = shared.value
-        ids, last = compact[ids], int(compact[end])
-        own, local = np.unique(np.r_[ids, last], return_inverse=True)  # ids that a block lacks keep their vectors
+        ids = compact.astype(np.int32)[ids]
+        has = np.zeros(len(start["e"]), bool)
+        has[ids] = has[compact[end]] = True
+        own = np.flatnonzero(has)  # ids that a block lacks keep their vectors
+        place = np.cumsum(has, dtype=np.int32) - np.int32(1)
+        local, last = place[ids], int(place[compact[end]])
+        del ids
         p = {name: v.copy() for name, v in start.items()} | {"e": start["e"][own]}
         seed = np.random.default_rng([5, k, block])
-        _epoch(p, local[:-1], first, int(local[-1]), cls[own], seed, {}, k, epochs)
-        n = np.bincount(local[:-1], minlength=len(own)).astype(float)
-        n[local[-1]] += len(first) - 1
+        _epoch(p, local, first, last, cls[own], seed, {}, k, epochs)
+        n = np.bincount(local, minlength=len(own)).astype(float)
+        n[last] += len(first) - 1
         yield _parted(own, PART), np.c_[p["e"] * n[:, None], n]
         flat = np.r_[np.concatenate([p[name].ravel() for name in sorted(p) if name != "e"]).astype(float), 1.0] * n.sum()
         flat = np.r_[flat, np.zeros(-len(flat) % (WIDTH + 1))].reshape(-1, WIDTH + 1)
@@ -427,8 +450,7 @@ def fit(docs: DataFrame, path: str | None = None, block_bytes: int = blocks.BLOC
     last, col, classes = int(compact[end]), _columns(count), min(CLASSES, len(seen))
 
     def cells(block, ids, first):
-        _, inputs, targets, _ = _windows(compact[ids], first, last)
-        at, n = np.unique(_cells(inputs, targets, col), return_counts=True)
+        at, n = _neighbours(ids, first, compact, last, col)
         yield _parted(at, 2 * COMMON * PART), n[:, None]
     every = summed(cells, 1).select("at", "x", F.lit(0).alias("all"))
     cls = np.frombuffer(every.groupBy("all").applyInArrow(_class_task(count, classes), "cls binary").first()["cls"], "<i4").astype(np.int64)

@@ -142,6 +142,7 @@ def _sketches(least: float):
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(nodes, pa.binary()), pa.array(size, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
                 names=["doc_id", "node", "size", "keys"])
+            tv.release()
     return run
 
 
@@ -165,6 +166,7 @@ def _payload(batches):
             nodes[i], runs[i] = key, _packed(r)
         _per_text(b.column("text"), each)
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(runs, pa.binary())], names=["node", "runs"])
+        tv.release()
 
 
 def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
@@ -205,7 +207,9 @@ def _verify(least: float):
         for b in batches:
             left, right = b.column("left").to_pylist(), b.column("right").to_pylist()
             ok = [aligned(_unpacked(x), _unpacked(y), least) >= least for x, y in zip(left, right)]
+            del left, right
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            tv.release()
     return run
 
 

@@ -91,6 +91,7 @@ def _count(order: int):
                 if len(keys) > 2_000_000:
                     yield out()
                     keys, sums = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            tv.release()
         yield out()
     return run
 
@@ -154,6 +155,7 @@ def _ask(order: int):
             for _, _, data, off in _texts(b.column("text")):
                 keys = _distinct(np.r_[keys, _distinct(_grams(data, off, order)[0])[0]])[0]
         block = rows.column("block")[0].as_py()
+        tv.release()
         return pa.table({"block": pa.array(np.full(len(keys), block, np.int32)), "gram": pa.array(keys.astype(np.int64))})
     return run
 
@@ -172,6 +174,8 @@ def _answer(order: int, schema: pa.Schema):
                 n[lo:hi] = np.diff(first)
             out.append(pa.Table.from_arrays([*(b.column(c) for c in schema.names[:-3]), pa.array(n), pa.array(total / np.log(10)), pa.array(np.exp(-total / n))],
                                             schema=schema))
+        del gram, logp, at
+        tv.release()
         return pa.concat_tables(out) if out else schema.empty_table()
     return run
 

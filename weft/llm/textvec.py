@@ -7,6 +7,8 @@ short ones.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -29,6 +31,13 @@ INK = np.ones(256, dtype=bool)
 INK[9:14] = INK[32] = False
 
 _powers: list[np.ndarray] = []
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give this worker's freed memory back to the system; where the C library has no such call, it stays."""
+    if _trim is not None:
+        _trim(0)
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
