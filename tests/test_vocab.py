@@ -352,3 +352,14 @@ def test_python_workers_handle_a_batch_in_bounded_slices(spark, monkeypatch):
     assert "".join(chr(c) for codes, _ in plain for c in codes) == "".join(t.replace(" ", "") for t in texts.to_pylist() if t)
     for slices in ([len(a.flatten()) for a in ids if len(a) > 1], [len(c) for c, n in plain if len(n) > 1]):
         assert len(slices) > 5 and max(slices) <= 64
+
+
+def test_workers_give_memory_back_after_each_batch(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(V.M, "release", lambda: calls.append(1))
+    vocab = V.Vocab(((97, 98),))
+    words = pa.array([["ab", "c"], ["ab"]], pa.list_(pa.string()))
+    for make in (V._codes_udf, V._word_ids_udf):
+        calls.clear()
+        rows = [x for a in make(vocab).func(iter([words, words])) for x in a.to_pylist()]
+        assert len(rows) == 4 and rows[:2] == rows[2:] and len(calls) == 2
