@@ -170,6 +170,27 @@ def test_all_trusted_documents_take_part_however_many(spark):
     assert {x[0] for x in rest.collect()} == {x[0] for x in fifth.select("doc_id").collect()}
 
 
+def test_quality_does_not_shuffle_all_texts_to_count_or_to_set_fences(spark, capsys):
+    docs = spark.range(20_000).select(F.col("id").alias("__id"), F.concat(F.lit("t"), "id").alias("text")).union(
+        spark.createDataFrame([(None, "x"), (7, "again")], "__id LONG, text STRING"))
+    for every in (10, 40_000):
+        ids = spark.range(0, 40_000, every).select(F.col("id").alias("__id"))
+        got = [tuple(x) for x in kneserney.likely(docs, ids).collect()]
+        want = {(i, f"t{i}") for i in range(0, 20_000, every)}
+        assert want <= set(got) and len(got) < len(want) + 2_000
+    assert kneserney.likely(docs, ids.limit(0)).count() == 0
+    scored = docs.selectExpr("__id doc_id", "'aa' lang", "text", "1000L __n", "0D __logp", "2D + __id % 7 __ppl")
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        capsys.readouterr()
+        kneserney.fences(scored, spark.range(0, 20_000, 5).select(F.col("id").alias("__id"))).explain()
+        plan = capsys.readouterr().out
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    assert plan.count("BroadcastHashJoin [__lang") == 2 and "SortMergeJoin [__lang" not in plan
+
+
 def test_blocks_follow_rows_and_spread_repeats(spark, tmp_path):
     rows = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same").alias("text"))
     rows.unionByName(spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("").alias("text"))).write.parquet(str(tmp_path / "d"))

@@ -35,6 +35,8 @@ from .names import numbered
 
 ORDER, FENCE, ENOUGH, SHORT = 5, 6.0, 30, 400
 CHUNK = 1 << 20
+#: Bits of the marks per id, and of all marks at most (16 MB).
+MARKS, MOST_MARKS = 16, 1 << 27
 BEGIN, END = 1, 2
 SYMBOLS = tv.LOWER.copy()
 SYMBOLS[:32] = 32
@@ -180,6 +182,30 @@ def _answer(order: int, schema: pa.Schema):
     return run
 
 
+def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (__id, text) of docs whose id may be one of ``ids`` (__id): all that are, and of the others those
+    whose hash shares a mark with one, about one in ``MARKS`` (more where the ids fill the marks). A join
+    after it moves these texts, not all."""
+    spark, bits = docs.sparkSession, 1 << 15
+    n = ids.count()
+    while bits < min(MARKS * n, MOST_MARKS):
+        bits *= 2
+    slot = F.pmod(F.xxhash64("__id"), F.lit(bits))
+    marks = np.zeros((bits >> 15, 4096), np.uint8)
+    table = (ids.select(slot.alias("slot")).groupBy(F.shiftright("slot", 15).alias("run"))
+             .agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND((1 << 15) - 1)).alias("bits")).toArrow())
+    for run, own in zip(table.column("run").to_pylist(), table.column("bits")):
+        marks[run] = np.frombuffer(own.as_buffer(), np.uint8)
+    shared = spark.sparkContext.broadcast(marks.tobytes())
+
+    def run(batches):
+        marks = np.frombuffer(shared.value, np.uint8)
+        for b in batches:
+            at = b.column("slot").to_numpy()
+            yield b.select(["__id", "text"]).filter(pa.array((marks[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+    return docs.where("__id is not null").select("__id", "text", slot.alias("slot")).mapInArrow(run, "__id long, text string")
+
+
 SCORES = "__n long, __logp double, __ppl double"
 
 
@@ -199,8 +225,8 @@ def score(docs: DataFrame, labels: DataFrame, keep: list[str], order: int = ORDE
     counted = good if trusted is None else good.orderBy(F.xxhash64("__id"), "__id").limit(trusted)
     counted.where(in_four_fifths(F.col("__id"))).write.parquet(f"{base}/counted")
     counted = spark.read.parquet(f"{base}/counted")
-    key = F.col("doc_id").cast("long")
-    (docs.where(in_four_fifths(key)).join(counted, key == F.col("__id"), "left_semi").select("text").mapInArrow(_count(order), "gram long, n long")
+    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), "text").where(in_four_fifths(F.col("__id")))
+    (likely(texts, counted).join(counted, "__id", "left_semi").select("text").mapInArrow(_count(order), "gram long, n long")
      .groupBy("gram").agg(F.sum("n").alias("n")).write.parquet(f"{base}/counts"))
     model = levels(spark.read.parquet(f"{base}/counts"), order, base)
     rows, _ = blocks.pack(docs.select(*dict.fromkeys([*keep, "doc_id", "text"])))
@@ -223,8 +249,8 @@ def fences(scored: DataFrame, trusted: DataFrame, fence: float = FENCE, enough:
 
     def limits(keys: list[str], name: str) -> DataFrame:
         t = good.groupBy(*keys).agg(q, F.count("*").alias("c")).where(F.col("c") >= enough)
-        return t.select(*keys, F.col("q")[1].alias(name), F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(0.02)).alias(f"{name}_range"))
-    # one row per language and class of length
+        return F.broadcast(t.select(*keys, F.col("q")[1].alias(name), F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(0.02)).alias(f"{name}_range")))
+    # one row per language and class of length, each of ``enough`` documents: broadcast, as the rows may hold their texts
     rows = (scored.join(limits(["__lang", "__size"], "__a"), ["__lang", "__size"], "left")
             .join(limits(["__lang"], "__b"), "__lang", "left"))
     every = good.agg(q, F.count("*").alias("c")).first()
