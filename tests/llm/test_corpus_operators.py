@@ -1,5 +1,6 @@
 """Operators that gather from the whole table: 3, 7, 8, 9, and the pipeline."""
 
+import itertools
 import math
 import re
 import uuid
@@ -290,6 +291,34 @@ def test_classes_match_brute_force_on_families_of_copies(spark):
     assert label[None] == label[1000]
 
 
+def test_only_kmers_that_can_meet_become_rows(spark):
+    r = np.random.default_rng(6)
+    rows, alone = [], itertools.count(1 << 40)
+    for i in range(300):  # of two centres; a tenth of the nodes lie in other components; 40 k-mers that many have
+        rest = [*map(int, r.choice(40, 4, replace=False)), *(next(alone) for _ in range(20))]
+        rows.append((i % 2, 1000, i, 1000 if i % 10 else i, 100, 76, int(r.choice([0, 5, 21, 22, 23, 24])), rest))
+    left = spark.createDataFrame(rows, dedup._LEFT).repartition(3)
+    nodes = defaultdict(list)
+    for centre, own, _, component, _, _, _, rest in rows:
+        for k in rest:
+            nodes[centre, k].append(component != own)
+    got = {x["id"]: x for x in dedup._meeting(left).collect()}
+    assert len(got) == 300
+    for centre, _, i, _, _, _, needed, rest in rows:
+        can = [k for k in rest if len(nodes[centre, k]) > 1 and any(nodes[centre, k])]
+        new = list(got[i]["rest"])
+        assert got[i]["needed"] >= max(0, needed - len(rest) + len(can))
+        assert not got[i]["needed"] and not new or set(can) <= set(new) and got[i]["needed"] == needed - len(rest) + len(new)
+    assert sum(len(x["rest"]) for x in got.values()) < 1500  # of 7,200
+    must = set()  # pairs that share so many k-mers that neither's prefix may miss them
+    for a, b in itertools.combinations(rows, 2):
+        need = [len(x[7]) - x[6] + 1 for x in (a, b)]
+        if a[0] == b[0] and a[3] != b[3] and len(set(a[7]) & set(b[7])) >= max(need):
+            must.add((a[2], b[2]))
+    assert len(must) > 20 and must <= {tuple(x) for x in dedup._undecided(dedup._residues(dedup._meeting(left)), 0.8).collect()}
+    assert dedup._meeting(left.limit(0)).count() == 0
+
+
 def test_classes_of_short_texts_with_a_word_more(spark):
     rows, n = [], 0
     for words in (8, 9, 10, 11, 12, 13):

@@ -12,7 +12,8 @@ nodes (stars). Then, in buckets that still hold several components, with a furth
 node that meets most others in its buckets (the original, in a family of edited copies), and
 with a centre of what is still apart from it, a few rounds long. Last, in what then remains mixed, the
 pairs across components that can still reach the similarity given what each node shares with
-the bucket's centre: those that share further k-mers, or whose shares with the centre suffice.
+the bucket's centre: those that share further k-mers, or whose shares with the centre suffice. K-mers that no node of
+another component than the centre's has, or no second node, are known by a bitmap and never become rows.
 So a bucket of copies costs a number of pairs in proportion to its size, and no pair is left out.
 
 A pair is verified by the longest common subsequence of its k-mers within the band that
@@ -34,12 +35,13 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.session import shared_path
 
-from . import textvec as tv
+from . import marks, textvec as tv
 from .components import components
 from .names import numbered
 
@@ -250,7 +252,7 @@ def _centred(mixed: DataFrame) -> DataFrame:
 
 def _against(least: float):
     """What each node shares with its bucket's centre: the number of k-mers, those that the centre
-    lacks, and how many of these a prefix filter needs."""
+    lacks, and how many of these a prefix filter needs (where it needs none, none are given)."""
     def run(batches):
         for b in batches:
             out = [[], [], [], []]
@@ -262,7 +264,7 @@ def _against(least: float):
                 out[0].append(len(x))
                 out[1].append(shared)
                 out[2].append(max(0, len(rest) - max(1, math.ceil(least * len(x)) - shared) + 1))
-                out[3].append(rest.view(np.int64))
+                out[3].append(rest.view(np.int64) if out[2][-1] else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [b.column("centre"), b.column("own"), b.column("id"), b.column("component"), *(pa.array(x, pa.int32()) for x in out[:3]),
                  pa.array(out[3], pa.list_(pa.int64()))], names=["centre", "own", "id", "component", "size", "shared", "needed", "rest"])
@@ -272,6 +274,67 @@ def _against(least: float):
 _LEFT = "centre long, own long, id long, component long, size int, shared int, needed int, rest array<long>"
 
 
+def _pieces(b: pa.RecordBatch):
+    """(rows, where their k-mers' hashes lie, how many each row has) of bounded size."""
+    n = pa.compute.list_value_length(b.column("rest")).to_numpy()
+    for lo, hi in tv.spans(np.r_[0, np.cumsum(n, dtype=np.int64)], CHUNK):
+        part = b.slice(lo, hi - lo)
+        centre = np.repeat(part.column("centre").to_numpy().astype(U64), n[lo:hi])
+        yield part, tv.mix(part.column("rest").flatten().to_numpy().view(U64) ^ tv.mix(centre)), n[lo:hi]
+
+
+def _places(bits: int):
+    """Per run of marks, the places of k-mers in it, and which are those of nodes of other components than the centre's."""
+    def run(batches):
+        for b in batches:
+            for part, key, n in _pieces(b):
+                other = np.repeat(part.column("component").to_numpy() != part.column("own").to_numpy(), n)
+                at = (key & U64(bits - 1)).astype(np.int64)
+                order = np.argsort(at, kind="stable")
+                at, other = at[order], other[order].astype(np.uint8)
+                runs = at >> marks.RUN
+                edge = np.flatnonzero(np.r_[True, runs[1:] != runs[:-1]]) if len(at) else np.zeros(0, int)
+                ends = [*edge[1:].tolist(), len(at)][:len(edge)]
+                low = (at & ((1 << marks.RUN) - 1)).astype("<u2")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(runs[edge], pa.int32()), pa.array([low[lo:hi].tobytes() for lo, hi in zip(edge.tolist(), ends)], pa.binary()),
+                     pa.array([other[lo:hi].tobytes() for lo, hi in zip(edge.tolist(), ends)], pa.binary())], names=["run", "at", "other"])
+            tv.release()
+    return run
+
+
+def _marked(rows: pa.Table) -> pa.Table:
+    """The places of one run that two k-mers have, one of them another component's."""
+    at, other = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in rows.column(c)]) for c, kind in (("at", "<u2"), ("other", np.uint8)))
+    meet = (np.bincount(at, minlength=1 << marks.RUN) > 1) & (np.bincount(at, other, 1 << marks.RUN) > 0)
+    return pa.table([rows.column("run")[:1], pa.array([np.packbits(meet, bitorder="little").tobytes()], pa.binary())], names=["run", "bits"])
+
+
+def _thinned(shared, bits: int):
+    def run(batches):
+        for b in batches:
+            for part, key, n in _pieces(b):
+                keep = marks.found(shared.value, (key & U64(bits - 1)).astype(np.int64))
+                row = np.r_[0, np.cumsum(n)]
+                needed = np.maximum(0, part.column("needed").to_numpy() - (n - np.diff(np.r_[0, np.cumsum(keep)][row])))
+                keep &= np.repeat(needed > 0, n)
+                off = np.r_[0, np.cumsum(keep)][row].astype(np.int32)
+                rest = pa.ListArray.from_arrays(pa.array(off), part.column("rest").flatten().filter(pa.array(keep)))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.array(needed, pa.int32()), rest], names=part.schema.names)
+            tv.release()
+    return run
+
+
+def _meeting(left: DataFrame) -> DataFrame:
+    """left with only those k-mers in ``rest`` that can meet: a second node of the centre has them, and one of these
+    nodes is of another component than the centre's (by a bitmap of hashes, so a few others stay). In the order that
+    the prefix filter takes, those that go come first: they use up ``needed``. Nodes that need none lose all."""
+    bits = marks.size(left.agg(F.sum(F.size("rest"))).first()[0] or 0)
+    runs = left.mapInArrow(_places(bits), "run int, at binary, other binary").groupBy("run").applyInArrow(_marked, "run int, bits binary").toArrow()
+    shared = left.sparkSession.sparkContext.broadcast(marks.together(runs, bits))
+    return left.mapInArrow(_thinned(shared, bits), _LEFT)
+
+
 def _residues(left: DataFrame) -> DataFrame:
     """left with ``residue``: of the k-mers that the centre lacks, the ``needed`` ones that fewest nodes of
     this centre have, in one order for all; those that no other node has can meet none and go."""
@@ -363,7 +426,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         sides.append(_picked(payload, spark.read.parquet(f"{base}/apart-{side}")))
     both = left.join(sides[0].withColumnRenamed("runs", "left"), "id").join(sides[1].select(F.col("id").alias("centre"), F.col("runs").alias("right")), "centre")
     both.mapInArrow(_against(least), _LEFT).write.parquet(f"{base}/beside")
-    _residues(spark.read.parquet(f"{base}/beside")).write.parquet(f"{base}/left")
+    _residues(_meeting(spark.read.parquet(f"{base}/beside"))).write.parquet(f"{base}/left")
     more = _linked(_undecided(spark.read.parquet(f"{base}/left"), least).join(tried, ["a", "b"], "left_anti"), payload, least, f"{base}/last")
     if more.take(1):
         found = components(links.union(more), "a", "b")

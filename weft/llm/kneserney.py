@@ -30,13 +30,11 @@ from pyspark.sql import functions as F
 
 from weft.session import shared_path
 
-from . import blocks, textvec as tv
+from . import blocks, marks, textvec as tv
 from .names import numbered
 
 ORDER, FENCE, ENOUGH, SHORT = 5, 6.0, 30, 400
 CHUNK = 1 << 20
-#: Bits of the marks per id, and of all marks at most (16 MB).
-MARKS, MOST_MARKS = 16, 1 << 27
 BEGIN, END = 1, 2
 SYMBOLS = tv.LOWER.copy()
 SYMBOLS[:32] = 32
@@ -184,25 +182,17 @@ def _answer(order: int, schema: pa.Schema):
 
 def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows (__id, text) of docs whose id may be one of ``ids`` (__id): all that are, and of the others those
-    whose hash shares a mark with one, about one in ``MARKS`` (more where the ids fill the marks). A join
+    whose hash shares a mark with one, about one in 16 (more where the ids fill the marks). A join
     after it moves these texts, not all."""
-    spark, bits = docs.sparkSession, 1 << 15
-    n = ids.count()
-    while bits < min(MARKS * n, MOST_MARKS):
-        bits *= 2
+    bits = marks.size(ids.count())
     slot = F.pmod(F.xxhash64("__id"), F.lit(bits))
-    marks = np.zeros((bits >> 15, 4096), np.uint8)
-    table = (ids.select(slot.alias("slot")).groupBy(F.shiftright("slot", 15).alias("run"))
-             .agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND((1 << 15) - 1)).alias("bits")).toArrow())
-    for run, own in zip(table.column("run").to_pylist(), table.column("bits")):
-        marks[run] = np.frombuffer(own.as_buffer(), np.uint8)
-    shared = spark.sparkContext.broadcast(marks.tobytes())
+    runs = (ids.select(slot.alias("slot")).groupBy(F.shiftright("slot", marks.RUN).alias("run"))
+            .agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND((1 << marks.RUN) - 1)).alias("bits")).toArrow())
+    shared = docs.sparkSession.sparkContext.broadcast(marks.together(runs, bits))
 
     def run(batches):
-        marks = np.frombuffer(shared.value, np.uint8)
         for b in batches:
-            at = b.column("slot").to_numpy()
-            yield b.select(["__id", "text"]).filter(pa.array((marks[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+            yield b.select(["__id", "text"]).filter(pa.array(marks.found(shared.value, b.column("slot").to_numpy())))
     return docs.where("__id is not null").select("__id", "text", slot.alias("slot")).mapInArrow(run, "__id long, text string")
 
 
