@@ -319,6 +319,27 @@ def test_only_kmers_that_can_meet_become_rows(spark):
     assert dedup._meeting(left.limit(0)).count() == 0
 
 
+def test_copies_edited_in_other_places_are_no_pairs(spark):
+    r = np.random.default_rng(7)
+    centre = tv.mix(np.arange(1, 301, dtype=np.uint64))
+    common = tv.mix(np.arange(1000, 1012, dtype=np.uint64))  # an addition that all copies have
+    texts = []
+    for i in range(120):
+        own = np.delete(centre, r.choice(300, 45, replace=False))
+        texts.append(np.r_[own, common, tv.mix(np.arange(10_000 + 100 * i, 10_018 + 100 * i, dtype=np.uint64))])
+    texts += [np.r_[x[:200], tv.mix(np.arange(50_000 + 100 * i, 50_003 + 100 * i, dtype=np.uint64)), x[200:]] for i, x in enumerate(texts[:40])]
+    rows = [(i, 1000, i, 1000, dedup._packed(x), dedup._packed(centre)) for i, x in enumerate(texts)]
+    both = spark.createDataFrame(rows, "id long, centre long, component long, own long, left binary, right binary")
+    left = dedup._residues(dedup._meeting(both.mapInArrow(dedup._against(0.8), dedup._SIGNED)))
+    pairs = {tuple(x) for x in dedup._undecided(left, 0.8).collect()}
+    like = {(a, b) for a, b in itertools.combinations(range(len(texts)), 2)
+            if len(set(texts[a].tolist()) & set(texts[b].tolist())) * 1.8 >= 0.8 * (len(texts[a]) + len(texts[b]))}
+    assert {(i, 120 + i) for i in range(40)} <= like <= pairs and len(pairs) < 2 * len(like)
+    # before they become rows: without the bitmaps far more meet
+    plain = dedup._undecided(left.drop("whole", "lacks", "beyond"), 0.8)
+    assert plain.count() > 50 * len(pairs)
+
+
 def test_classes_of_short_texts_with_a_word_more(spark):
     rows, n = [], 0
     for words in (8, 9, 10, 11, 12, 13):

@@ -12,7 +12,8 @@ nodes (stars). Then, in buckets that still hold several components, with a furth
 node that meets most others in its buckets (the original, in a family of edited copies), and
 with a centre of what is still apart from it, a few rounds long. Last, in what then remains mixed, the
 pairs across components that can still reach the similarity given what each node shares with
-the bucket's centre: those that share further k-mers, or whose shares with the centre suffice. K-mers that no node of
+the bucket's centre: those that share further k-mers, or whose shares with the centre suffice, as far as bitmaps
+of what each lacks of the centre and has beyond it leave room for enough common k-mers. K-mers that no node of
 another component than the centre's has, or no second node, are known by a bitmap and never become rows.
 So a bucket of copies costs a number of pairs in proportion to its size, and no pair is left out.
 
@@ -50,6 +51,8 @@ FEW = 12
 CHUNK = 1 << 18
 #: Rounds of further centres; ids that may be broadcast to pick their k-mers, of 8 bytes each.
 ROUNDS, PICKED = 4, 1_000_000
+#: Words of 64 bits in the bitmaps of what a node lacks of its centre and has beyond it.
+SIGN = 16
 U64 = np.uint64
 _A = (np.random.default_rng(8).integers(0, 1 << 63, BANDS, dtype=np.uint64) << U64(1)) | U64(1)
 
@@ -250,28 +253,38 @@ def _centred(mixed: DataFrame) -> DataFrame:
     return mixed.join(best.select("key", F.col("m.id").alias("centre"), F.col("m.component").alias("own")), "key")
 
 
+def _sign(x: np.ndarray) -> np.ndarray:
+    """A bitmap of k-mers: the set bits of two nodes' bitmaps together are at most the k-mers of both."""
+    bits = np.zeros(SIGN * 64, bool)
+    bits[(x & U64(SIGN * 64 - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
 def _against(least: float):
-    """What each node shares with its bucket's centre: the number of k-mers, those that the centre
-    lacks, and how many of these a prefix filter needs (where it needs none, none are given)."""
+    """What each node shares with its bucket's centre: the number of k-mers, bitmaps of those that it lacks and of
+    those that the centre lacks, the latter, and how many of these a prefix filter needs (where it needs none, none are given)."""
     def run(batches):
         for b in batches:
-            out = [[], [], [], []]
+            out = [[], [], [], [], [], [], []]
             for x, c in zip(b.column("left"), b.column("right")):
                 x = _labelled(_unpacked(x.as_buffer()))
                 c = np.sort(_labelled(_unpacked(c.as_buffer())))
                 rest = x[~tv.isin_sorted(x, c)[1]]
                 shared = len(x) - len(rest)
-                out[0].append(len(x))
-                out[1].append(shared)
-                out[2].append(max(0, len(rest) - max(1, math.ceil(least * len(x)) - shared) + 1))
-                out[3].append(rest.view(np.int64) if out[2][-1] else np.zeros(0, np.int64))
+                needed = max(0, len(rest) - max(1, math.ceil(least * len(x)) - shared) + 1)
+                lacks = c[~tv.isin_sorted(c, np.sort(x))[1]]
+                for to, v in zip(out, (len(c), _sign(lacks), _sign(rest), len(x), shared, needed, rest.view(np.int64) if needed else np.zeros(0, np.int64))):
+                    to.append(v)
+            kinds = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+            made = [pa.array(x, kind) for x, kind in zip(out, kinds)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("centre"), b.column("own"), b.column("id"), b.column("component"), *(pa.array(x, pa.int32()) for x in out[:3]),
-                 pa.array(out[3], pa.list_(pa.int64()))], names=["centre", "own", "id", "component", "size", "shared", "needed", "rest"])
+                [*made[:3], b.column("centre"), b.column("own"), b.column("id"), b.column("component"), *made[3:]],
+                names=["whole", "lacks", "beyond", "centre", "own", "id", "component", "size", "shared", "needed", "rest"])
     return run
 
 
 _LEFT = "centre long, own long, id long, component long, size int, shared int, needed int, rest array<long>"
+_SIGNED = "whole int, lacks array<long>, beyond array<long>, " + _LEFT
 
 
 def _pieces(b: pa.RecordBatch):
@@ -332,7 +345,7 @@ def _meeting(left: DataFrame) -> DataFrame:
     bits = marks.size(left.agg(F.sum(F.size("rest"))).first()[0] or 0)
     runs = left.mapInArrow(_places(bits), "run int, at binary, other binary").groupBy("run").applyInArrow(_marked, "run int, bits binary").toArrow()
     shared = left.sparkSession.sparkContext.broadcast(marks.together(runs, bits))
-    return left.mapInArrow(_thinned(shared, bits), _LEFT)
+    return left.mapInArrow(_thinned(shared, bits), left.schema)
 
 
 def _residues(left: DataFrame) -> DataFrame:
@@ -352,9 +365,20 @@ def _undecided(left: DataFrame, least: float) -> DataFrame:
 
     Two nodes share at most what both share with the centre, plus what they share beyond it. So
     either they meet in their residues (a join on the k-mer, not on the bucket), or the lesser of
-    their shares with the centre is enough by itself (a join on the size that the other must have)."""
+    their shares with the centre is enough by itself (a join on the size that the other must have).
+    Of these pairs, those stay whose bitmaps (where left has them) leave room for enough: in common they have no
+    more of the centre than neither lacks, and no more beyond it than is counted twice. So copies that were edited
+    in different places, or of which each has its own additions, are no pairs, however many they are."""
+    signs = ("whole", "lacks", "beyond") if "lacks" in left.columns else ()
+
     def pick(tag: str):
-        return [F.col(c).alias(f"{c}_{tag}") for c in ("id", "component", "size", "shared")]
+        return [F.col(c).alias(f"{c}_{tag}") for c in ("id", "component", "size", "shared", *signs)]
+
+    def either(column: str):
+        return functools.reduce(lambda a, b: a + b, (F.bit_count(F.get(f"{column}_x", F.lit(i)).bitwiseOR(F.get(f"{column}_y", F.lit(i)))) for i in range(SIGN)))
+    of_centre = F.least("shared_x", "shared_y", F.col("whole_x") - either("lacks"))
+    own = [F.col(f"size_{tag}") - F.col(f"shared_{tag}") for tag in "xy"]
+    room = F.lit(True) if not signs else (of_centre + F.least(*own, own[0] + own[1] - either("beyond"))) * (1 + least) + 1e-6 >= least * (F.col("size_x") + F.col("size_y"))
     other = left.where("component <> own")  # of two components, one is not the centre's
     part = other.select("centre", *pick("x"), F.explode("residue").alias("k"))
     meet = part.join(left.select("centre", *pick("y"), F.explode("residue").alias("k")), ["centre", "k"])
@@ -365,8 +389,8 @@ def _undecided(left: DataFrame, least: float) -> DataFrame:
     alone = lone.join(left.select("centre", *pick("y")), ["centre", "size_y"])
     enough = F.least("shared_x", "shared_y") * (1 + least) + 1e-6 >= least * (F.col("size_x") + F.col("size_y"))
     pairs = (meet.where((F.col("component_x") != F.col("component_y"))
-                        & (F.least("size_x", "size_y") + 1e-9 >= least * F.greatest("size_x", "size_y"))).select("id_x", "id_y")
-             .union(alone.where((F.col("component_x") != F.col("component_y")) & enough).select("id_x", "id_y")))
+                        & (F.least("size_x", "size_y") + 1e-9 >= least * F.greatest("size_x", "size_y")) & room).select("id_x", "id_y")
+             .union(alone.where((F.col("component_x") != F.col("component_y")) & enough & room).select("id_x", "id_y")))
     return pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
 
 
@@ -425,7 +449,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         left.select(F.col(side).alias("id")).distinct().write.parquet(f"{base}/apart-{side}")
         sides.append(_picked(payload, spark.read.parquet(f"{base}/apart-{side}")))
     both = left.join(sides[0].withColumnRenamed("runs", "left"), "id").join(sides[1].select(F.col("id").alias("centre"), F.col("runs").alias("right")), "centre")
-    both.mapInArrow(_against(least), _LEFT).write.parquet(f"{base}/beside")
+    both.mapInArrow(_against(least), _SIGNED).write.parquet(f"{base}/beside")
     _residues(_meeting(spark.read.parquet(f"{base}/beside"))).write.parquet(f"{base}/left")
     more = _linked(_undecided(spark.read.parquet(f"{base}/left"), least).join(tried, ["a", "b"], "left_anti"), payload, least, f"{base}/last")
     if more.take(1):
