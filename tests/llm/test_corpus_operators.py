@@ -514,6 +514,76 @@ def test_word_counts_of_a_block_and_of_its_shards():
     assert subword.encoder().size() == 49408
 
 
+def test_pass_over_texts_takes_bounded_memory():
+    import tracemalloc
+    r = np.random.default_rng(6)
+    first = np.r_[0, np.cumsum(np.full(500, 600))].astype(np.int64)
+    ids, cls = r.integers(0, 400, first[-1]).astype(np.uint16), np.arange(401) % 8
+    p = attention._start(np.ones(401), cls, 8, r)
+    attention._epoch(p, ids[:600], first[:2], 400, cls, r, {}, 0, 1)  # what a pass takes however few the ids
+    tracemalloc.start()
+    attention._epoch(p, ids, first, 400, cls, r, {}, 0, 1)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < (10 << 20) and np.isfinite(p["e"]).all()  # every window's places at once took 20 MB more
+
+
+def test_padding_and_first_windows_are_not_seen():
+    texts = [[3], [1, 2], list(range(30)), [5] * 24]
+    first = np.r_[0, np.cumsum([len(t) for t in texts])]
+    flat, at = attention._joined(np.concatenate(texts), first, 99)
+    starts, stops, leads = attention._spread(at)
+    x, place, ok, lead = attention._inputs(flat, starts, stops, leads, 99)
+    got = [[] for _ in texts]
+    for k in np.flatnonzero(ok):
+        got[np.searchsorted(at, place[k], "right") - 1].append((x[:, attention.LAP:].ravel()[k], flat[place[k] + 1]))
+    assert got == [list(zip([99, *t], [*t, 99])) for t in texts]      # every target once
+    assert (x[lead, :attention.LAP] == 99).all() and len(lead) == len(texts)
+    assert (x[:, attention.LAP:].ravel()[~ok] == 99).all()
+    assert x[leads.nonzero()[0][2] + 1, :attention.LAP].tolist() == list(range(15, 23))
+
+
+def test_rows_of_ids_are_small_and_whole():
+    texts = [("ab " * 90000), "x y", None, *["some words here"] * 50, "cd " * 200000]
+    rows = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts), "key": pa.array(range(len(texts)), pa.int64())})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as w:
+        w.write_table(rows)
+    got = attention._encode(None)(pa.table({"block": pa.array([4], pa.int32()), "blob": [sink.getvalue().to_pybytes()]}))
+    parts = [x for _, _, *x in attention._pieces(got.to_batches(), "<u2")]
+    assert len(parts) == 2 and all(len(ids) <= attention.SLICE or len(first) == 2 for ids, first in parts)
+    back = [ids[a:b].tolist() for ids, first in parts for a, b in zip(first[:-1], first[1:])]
+    assert back == [ids[first[i]:first[i + 1]].tolist() for lo, hi, ids, first in subword.encode_column(pa.array(texts)) for i in range(hi - lo)]
+    sums = attention._merged((np.array([1, 4]), np.array([2, 3])), (np.array([0, 4]), np.array([5, 6])))
+    assert [x.tolist() for x in sums] == [[0, 1, 4], [5, 2, 9]]
+
+
+def test_merges_equal_the_library():
+    from tokenizers import Tokenizer
+    r = np.random.default_rng(11)
+    wide = [*map(chr, range(32, 127)), *map(chr, range(0xC0, 0x100)), *"aeiounrst" * 9]
+    texts = ["".join(r.choice(wide, int(n))) for n in r.integers(0, 120, 800)]
+    texts += ["".join(r.choice([*"aAbBeéÉßÿ"], int(n))) for n in r.integers(0, 60, 400)]
+    texts += ["".join(r.choice([*wide, *"漢字كتاب😀́’"], int(n))) for n in r.integers(0, 80, 400)]
+    texts += ["a" * n for n in (1, 2, subword.LONGEST, subword.LONGEST + 1)] + ["1234567890", "!!!???", "_-_", "hahahaha", ""]
+    enc = subword.Encoder()
+    ids, first = enc.encode(*tv.utf8(pa.array(texts)))
+    want = [x.ids for x in Tokenizer.from_file(subword.default_path()).encode_batch(texts, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == want
+    assert enc._merges is not None
+
+
+def test_other_tokenizer_files_are_left_to_the_library(tmp_path):
+    import json
+    d = json.load(open(subword.default_path(), encoding="utf-8"))
+    d["normalizer"] = None
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(d))
+    enc = subword.Encoder(str(path))
+    ids, _ = enc.encode(*tv.utf8(pa.array(["hello world"])))
+    assert enc._merges is None and ids.tolist() == enc._tokenizer.encode("hello world", add_special_tokens=False).ids
+
+
 # --- the pipeline ------------------------------------------------------------------------
 
 def test_pipeline_stages_take_effect(spark, tmp_path):

@@ -40,7 +40,7 @@ from . import blocks, langid, subword, textvec as tv
 
 CLASSES, WIDTH, LAP, STRIDE, MIX = 128, 16, 8, 24, 0.6
 EPOCHS, BATCH, RATE = 1, 64, 0.02
-AT_ONCE = 512
+AT_ONCE = 64
 RUN = 96
 END_WORD = np.uint64(0x5EED5EED5EED5EED)
 SPAN, SLICE = 1 << 20, 1 << 18
@@ -72,59 +72,106 @@ def _windows(ids: np.ndarray, first: np.ndarray, end: int):
     return where, inputs, targets, at
 
 
+def _joined(ids: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """All texts in one array, each led by ``end`` and one more ``end`` behind the last: what follows a place
+    is its target. And the texts' places (n+1)."""
+    at = np.r_[0, np.cumsum(np.diff(first) + 1)]
+    out = np.full(at[-1] + 1, end, ids.dtype)
+    own = np.ones(at[-1] + 1, bool)
+    own[at] = False
+    out[own] = ids
+    return out, at
+
+
+def _spread(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every window: its first scored place, where its text ends, and whether it is its text's first."""
+    n = np.diff(at)
+    k = -(-n // STRIDE)
+    nth = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+    kind = np.int32 if at[-1] + LAP + STRIDE < 1 << 31 else np.int64
+    return (np.repeat(at[:-1], k) + nth * STRIDE).astype(kind), np.repeat(at[1:], k).astype(kind), nth == 0
+
+
+def _inputs(flat: np.ndarray, start: np.ndarray, stop: np.ndarray, lead: np.ndarray, end: int):
+    """Ids of some windows, ``end`` where a window leaves its text; their scored places and which of these are
+    the text's; and the windows that lead a text."""
+    place = start[:, None] + np.arange(-LAP, STRIDE, dtype=start.dtype)
+    x = np.take(flat, place, mode="clip")
+    beyond = place >= stop[:, None]
+    x[beyond] = end
+    lead = np.flatnonzero(lead)
+    x[lead, :LAP] = end
+    return x, place[:, LAP:].ravel(), ~beyond[:, LAP:].ravel(), lead
+
+
 def _relative() -> np.ndarray:
     """Distance from each scored place back to each place of the window; negative: not yet seen."""
     return np.arange(STRIDE)[:, None] + LAP - np.arange(LAP + STRIDE)[None, :]
 
 
+def _exp(x: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """exp of scores, in place; less each row's greatest only where float32 needs that, since ``some`` (one
+    score of every row) and the greatest of all mostly show that no row can overflow or vanish."""
+    if x.max() > 60 or some.min() < -60:
+        x -= x.max(-1, keepdims=True)
+    return np.exp(x, out=x)
+
+
+def _itself(s: np.ndarray) -> np.ndarray:
+    """The score of every scored place for itself."""
+    return np.diagonal(s, LAP, 1, 2)
+
+
 class Model:
     """Tables for scoring: everything that depends on one id alone is looked up."""
 
     def __init__(self, p: dict):
         self.p = p
         e = p["e"]
-        self.q, self.k, self.v, r = e @ p["wq"], e @ p["wk"], e @ p["wv"], e @ p["wr"] + p["b"]
+        one = np.ones((len(e), 1), e.dtype)
+        self.q = e @ p["wq"]
+        # a last column of ones: what is attended to comes with the sum of its weights
+        self.kv = np.concatenate((e @ p["wk"], e @ p["wv"], one), axis=1)
         # an id's vector, room for what it attends to, and 1 for the bias: classes are one product away
-        self.e = np.concatenate((e, np.zeros_like(e), np.ones((len(e), 1), e.dtype)), axis=1)
+        self.e = np.concatenate((e, np.zeros_like(e), one), axis=1)
         self.top = np.concatenate((p["wr"], p["o"], p["b"][None]))
         d = _relative()
         self.bias = np.where(d >= 0, p["rel"][np.maximum(d, 0)], -1e4).astype(np.float32)
-        # exp needs no guard where no input can bring a score over what float32 holds
-        most = [np.abs(m).max(0) for m in (self.q, self.k, self.v)]
-        self.guard = float(most[0] @ most[1] + np.abs(p["rel"]).max()) > 60 or \
-            float(np.abs(r).max() + (most[2] @ np.abs(p["o"])).max()) > 60
 
     def logp(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Natural log probability of every target (each text's ids, then its end), and their places (n+1)."""
         p = self.p
-        where, inputs, targets, at = _windows(ids, first, p["end"])
-        small = p["compact"]
-        x_all, y_all = small[inputs], targets
-        out = np.empty(len(targets))
-        cls, inner = p["cls"][y_all], p["inner"][y_all]
-        for lo in range(0, len(where), AT_ONCE):
-            w = where[lo:lo + AT_ONCE]
-            x = x_all[np.maximum(w, 0)]
+        full, end = self.top.shape[1], p["compact"][p["end"]]
+        text, at = _joined(ids.astype(np.int32), first, p["end"])
+        x_all, cls, inner = p["compact"][text], p["cls"][text], p["inner"][text[1:]]
+        starts, stops, leads = _spread(at)
+        out = np.empty(at[-1])
+        one, row, f4 = np.ones(full, self.top.dtype), np.arange(AT_ONCE * STRIDE) * full, self.top.dtype
+        most = min(AT_ONCE, len(starts))
+        # arrays are written again and again: fresh ones cost page faults
+        kvs, qs, es = np.empty((most, LAP + STRIDE, 2 * WIDTH + 1), f4), np.empty((most, STRIDE, WIDTH), f4), np.empty((most, STRIDE, 2 * WIDTH + 1), f4)
+        scores, sums, every = np.empty((most, STRIDE, LAP + STRIDE), f4), np.empty((most, STRIDE, WIDTH + 1), f4), np.empty((most * STRIDE, full), f4)
+        for lo in range(0, len(starts), AT_ONCE):
+            own = slice(lo, lo + AT_ONCE)
+            x, t, ok, lead = _inputs(x_all, starts[own], stops[own], leads[own], end)
+            n = len(x)
             q = x[:, LAP:]
-            a = np.matmul(np.take(self.q, q, axis=0), np.take(self.k, x, axis=0).swapaxes(1, 2))
+            kv = np.take(self.kv, x, axis=0, out=kvs[:n], mode="clip")
+            a = np.matmul(np.take(self.q, q, axis=0, out=qs[:n], mode="clip"), kv[:, :, :WIDTH].swapaxes(1, 2), out=scores[:n])
             a += self.bias
-            if self.guard:
-                np.minimum(a, 60, out=a)
-            np.exp(a, out=a)
-            if (w[:, 0] < 0).any():
-                a *= (w >= 0)[:, None, :] | np.eye(LAP + STRIDE, dtype=bool)[LAP:][None]
-            h = np.take(self.e, q, axis=0)
-            z = np.matmul(a, np.take(self.v, x, axis=0), out=h[:, :, WIDTH:2 * WIDTH])
-            z /= a.sum(2, keepdims=True)
-            t, logits = w[:, LAP:].ravel(), (h @ self.top).reshape(len(w) * STRIDE, -1)
-            if (t < 0).any():
-                keep = np.flatnonzero(t >= 0)
-                t, logits = t[keep], logits[keep]
-            pick = logits[np.arange(len(t)), cls[t]]
-            if self.guard:
-                np.minimum(logits, 60, out=logits)
-            np.exp(logits, out=logits)
-            out[t] = pick - np.log(logits.sum(1)) + inner[t]
+            a[lead, :, :LAP] = -1e4
+            z = np.matmul(_exp(a, _itself(a)), kv[:, :, WIDTH:], out=sums[:n])
+            h = np.take(self.e, q, axis=0, out=es[:n], mode="clip")
+            np.divide(z[:, :, :WIDTH], z[:, :, WIDTH:], out=h[:, :, WIDTH:2 * WIDTH])
+            logits = np.matmul(h.reshape(len(t), -1), self.top, out=every[:len(t)])
+            pick = logits.ravel()[np.take(cls, t + 1, mode="clip") + row[:len(t)]]
+            if logits.max() > 60 or pick.min() < -60:
+                top = logits.max(1)
+                logits -= top[:, None]
+                pick -= top
+            got = pick - np.log(np.exp(logits, out=logits) @ one)
+            out[t[ok]] = got[ok]
+        out += inner
         return out, at
 
 
@@ -156,13 +203,22 @@ def _cells(inputs: np.ndarray, targets: np.ndarray, col: np.ndarray) -> np.ndarr
 
 def _neighbours(ids: np.ndarray, first: np.ndarray, compact: np.ndarray, end: int, col: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A block's distinct cells and how often each occurs; some texts at a time, so that work arrays don't grow with the block."""
-    at, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    sums = None
     for lo, hi in tv.spans(first, SLICE):
-        _, inputs, targets, _ = _windows(compact[ids[first[lo]:first[hi]]], first[lo:hi + 1] - first[lo], end)
-        new, more = np.unique(_cells(inputs, targets, col), return_counts=True)
-        at, back = np.unique(np.r_[at, new], return_inverse=True)
-        n = np.bincount(back, np.r_[n, more], len(at)).astype(np.int64)
-    return at, n
+        text, _ = _joined(compact[ids[first[lo]:first[hi]]], first[lo:hi + 1] - first[lo], end)
+        sums = _merged(sums, np.unique(_cells(text[:-1], text[1:], col), return_counts=True))
+    return sums or (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _merged(a: tuple[np.ndarray, np.ndarray] | None, b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct cells of both, and the sums of their counts."""
+    if a is None:
+        return b
+    at = np.concatenate((a[0], b[0]))
+    order = np.argsort(at, kind="stable")  # two sorted runs are merged
+    at, n = at[order], np.concatenate((a[1], b[1]))[order]
+    edge = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, np.int64)
+    return at[edge], np.add.reduceat(n, edge) if len(at) else n
 
 
 def _kmeans(m: np.ndarray, size: np.ndarray, classes: int) -> np.ndarray:
@@ -226,79 +282,130 @@ def _across(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _adam(value: np.ndarray, one: np.ndarray, two: np.ndarray, m: np.ndarray, rate: float, step: int, own=slice(None)) -> None:
-    """One step of Adam on the rows ``own``, in place; other rows and their moments rest."""
-    a, b = one[own] * np.float32(0.9), two[own] * np.float32(0.99)
+def _adam(value: np.ndarray, one: np.ndarray, two: np.ndarray, m: np.ndarray, rate: float, step: int, own=None) -> None:
+    """One step of Adam on the rows ``own`` (all, if None), in place; other rows and their moments rest."""
+    if own is None:
+        a, b = one, two
+    else:
+        a, b = np.take(one, own, axis=0), np.take(two, own, axis=0)
+    a *= np.float32(0.9)
     a += np.float32(0.1) * m
+    b *= np.float32(0.99)
     b += np.float32(0.01) * m * m
-    one[own], two[own] = a, b
-    np.sqrt(b, out=b)
-    b *= np.float32(1 / math.sqrt(1 - 0.99 ** step))
-    b += np.float32(1e-8)
-    a /= b
-    value[own] -= np.float32(rate / (1 - 0.9 ** step)) * a
+    if own is not None:
+        one[own], two[own] = a, b
+    by = np.sqrt(b)
+    by *= np.float32(1 / math.sqrt(1 - 0.99 ** step))
+    by += np.float32(1e-8)
+    np.divide(a, by, out=by)
+    by *= np.float32(rate / (1 - 0.9 ** step))
+    if own is None:
+        value -= by
+    else:
+        value[own] = np.take(value, own, axis=0) - by
+
+
+def _flat(p: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All parameters but the vectors in one array, with views of it: projections (WIDTH, 3 * WIDTH),
+    what leads to the classes (2 * WIDTH + 1, classes), and distances."""
+    flat = np.concatenate((np.concatenate([p[k] for k in ("wq", "wk", "wv")], axis=1).ravel(), p["wr"].ravel(), p["o"].ravel(), p["b"], p["rel"]))
+    return flat, *_views(flat, len(p["rel"]))
+
+
+def _views(flat: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = 3 * WIDTH * WIDTH
+    return flat[:n].reshape(WIDTH, -1), flat[n:-span].reshape(2 * WIDTH + 1, -1), flat[-span:]
 
 
 def _epoch(p: dict, ids: np.ndarray, first: np.ndarray, end: int, cls: np.ndarray, rng, state: dict, k: int, epochs: int) -> None:
     """The k-th pass over the texts: Adam steps on p, in place, for vectors only where a batch has their
-    id. ``state`` keeps the moments between passes."""
-    where, inputs, targets, _ = _windows(ids, first, end)
-    moment = state.setdefault("moment", {name: (np.zeros_like(v), np.zeros_like(v)) for name, v in p.items()})
-    step, f4, d, span = state.get("step", 0), np.float32, WIDTH, LAP + STRIDE
+    id. ``state`` keeps the moments between passes.
+
+    A softmax is never divided out as a whole: its sums scale the narrow side of the products it enters."""
+    f4, d, span = np.float32, WIDTH, LAP + STRIDE
+    table = p["e"]
+    # 16 bits are sorted by digits
+    flat_ids, at = _joined(ids.astype(np.uint16 if len(table) <= 1 << 16 else np.int32, copy=False), first, end)
+    starts, stops, leads = _spread(at)
+    flat, w_in, top, rel = _flat(p)
+    change = np.empty_like(flat)
+    g_in, g_top, g_rel = _views(change, span)
+    if "moment" not in state:
+        state["moment"] = [np.zeros_like(x) for x in (table, table, flat, flat)]
+    e_one, e_two, one, two = state["moment"]
+    step = state.get("step", 0)
     dist = _relative()
     causal, back = dist >= 0, np.maximum(dist, 0)
-    alone = np.eye(span, dtype=bool)[LAP:][None]
-    done, steps = k * -(-len(where) // BATCH), epochs * -(-len(where) // BATCH)
-    order, classes = rng.permutation(len(where)), cls.astype(np.int32)[targets]
+    bias = np.empty(dist.shape, f4)
+    done, steps = k * -(-len(starts) // BATCH), epochs * -(-len(starts) // BATCH)
+    order, full = rng.permutation(len(starts)), top.shape[1]
+    every, row = np.ones(full, f4), np.arange(BATCH * STRIDE) * full
+    qkv, back_qkv = np.ones((BATCH, span, 3 * d + 1), f4), np.zeros((BATCH, span, 3 * d), f4)
+    h_all, dz_all = np.ones((BATCH, STRIDE, 2 * d + 1), f4), np.empty((BATCH, STRIDE, d + 1), f4)
+    # arrays are written again and again: fresh ones cost page faults
+    first_all = np.ones(BATCH * span, bool)
+    e_all, de_all, rest = (np.empty((BATCH * m, d), f4) for m in (span, span, span))
+    a_all, ds_all, z_all = (np.empty((BATCH, STRIDE, m), f4) for m in (span, span, d + 1))
+    spare, minus = np.empty((BATCH, STRIDE, d), f4), np.full(d, -1, f4)
+    g_all, hs_all, dh_all = (np.empty((BATCH * STRIDE, m), f4) for m in (full, 2 * d + 1, 2 * d))
     for lo in range(0, len(order), BATCH):
-        w = where[order[lo:lo + BATCH]]
-        x = inputs[np.maximum(w, 0)]
-        own, at = np.unique(x, return_inverse=True)
-        at = at.ravel()
-        e = p["e"][own][at].reshape(*x.shape, d)
-        tail = np.ascontiguousarray(e[:, LAP:])
-        q, key, v = tail @ p["wq"], e @ p["wk"], e @ p["wv"]
-        s = np.matmul(q, key.swapaxes(1, 2)) + p["rel"][back]
-        s = np.where(causal & ((w >= 0)[:, None, :] | alone), s, f4(-1e4))
-        s -= s.max(2, keepdims=True)
-        a = np.exp(s, out=s)
-        a /= a.sum(2, keepdims=True)
-        h = np.ones((len(w), STRIDE, 2 * d + 1), f4)
-        h[:, :, :d] = tail
-        z = np.matmul(a, v, out=h[:, :, d:2 * d])
-        top = np.concatenate((p["wr"], p["o"], p["b"][None]))
-        g = h @ top
-        if np.abs(h).max((0, 1)) @ np.abs(top).max(1) > 60:  # else exp needs no guard
-            g -= g.max(2, keepdims=True)
-        np.exp(g, out=g)
-        t = w[:, LAP:].ravel()
-        ok = t >= 0
-        weight = ok / f4(max(ok.sum(), 1))
-        g *= weight.reshape(g.shape[:2] + (1,)) / g.sum(2, keepdims=True)
-        g.reshape(-1, g.shape[2])[np.arange(len(t)), classes[np.maximum(t, 0)]] -= weight
-        m = _across(h, g)
-        grad = {"wr": m[:d], "o": m[d:2 * d], "b": m[-1]}
-        dh = g @ top[:2 * d].T
-        dz = np.ascontiguousarray(dh[:, :, d:])
-        da = np.matmul(dz, v.swapaxes(1, 2))
-        dv = np.matmul(a.swapaxes(1, 2), dz)
-        da -= (dz * z).sum(2, keepdims=True)
-        ds = np.multiply(a, da, out=da)
-        grad["rel"] = np.bincount(back.ravel(), np.where(causal, ds.sum(0), 0).ravel(), minlength=span).astype(f4)
-        dq, dk = np.matmul(ds, key), np.matmul(ds.swapaxes(1, 2), q)
-        grad["wq"], grad["wk"], grad["wv"] = _across(tail, dq), _across(e, dk), _across(e, dv)
-        de = dk @ p["wk"].T
-        de += dv @ p["wv"].T
-        de[:, LAP:] += dh[:, :, :d]
-        de[:, LAP:] += dq @ p["wq"].T
-        line = np.argsort(at, kind="stable")
-        ge = np.add.reduceat(de.reshape(-1, d)[line], np.r_[0, np.cumsum(np.bincount(at))[:-1]])
+        some = order[lo:lo + BATCH]
+        x, t, ok, lead = _inputs(flat_ids, starts[some], stops[some], leads[some], end)
+        n, x = len(x), x.ravel()
+        line = np.argsort(x, kind="stable")
+        own = x[line]
+        new = first_all[:len(x)]
+        np.not_equal(own[1:], own[:-1], out=new[1:])
+        edge = np.flatnonzero(new)
+        own = own[edge].astype(np.intp)
+        at = np.empty(len(x), np.intp)
+        at[line] = np.cumsum(new) - 1
+        e = np.take(np.take(table, own, axis=0), at, axis=0, out=e_all[:len(x)], mode="clip")
+        np.matmul(e, w_in, out=qkv.reshape(-1, 3 * d + 1)[:len(e), :3 * d])
+        q, key, v = qkv[:n, LAP:, :d], qkv[:n, :, d:2 * d], qkv[:n, :, 2 * d:]  # v has a last column of ones
+        np.copyto(bias, np.where(causal, rel[back], f4(-1e4)))
+        a = np.matmul(q, key.swapaxes(1, 2), out=a_all[:n])
+        a += bias
+        a[lead, :, :LAP] = -1e4
+        _exp(a, _itself(a))
+        z = np.matmul(a, v, out=z_all[:n])
+        less = f4(1) / z[:, :, d:]
+        h = h_all[:n]
+        h[:, :, :d] = e.reshape(n, span, d)[:, LAP:]
+        z = np.multiply(z[:, :, :d], less, out=h[:, :, d:2 * d])
+        flat_h = h.reshape(n * STRIDE, -1)
+        g = np.matmul(flat_h, top, out=g_all[:len(flat_h)])
+        hit = cls[np.take(flat_ids, t + 1, mode="clip")] + row[:len(t)]
+        _exp(g, g.ravel()[hit])
+        total = g @ every
+        g.ravel()[hit] -= total
+        scale = (ok / (total * f4(max(ok.sum(), 1))))[:, None].astype(f4)
+        np.matmul(np.multiply(flat_h, scale, out=hs_all[:len(flat_h)]).T, g, out=g_top)
+        dh = np.matmul(g, top[:2 * d].T, out=dh_all[:len(flat_h)])
+        dh *= scale
+        dh = dh.reshape(n, STRIDE, 2 * d)
+        dz = dz_all[:n]
+        np.multiply(dh[:, :, d:], less, out=dz[:, :, :d])
+        dz[:, :, d] = np.multiply(dz[:, :, :d], z, out=spare[:n]) @ minus
+        ds = np.matmul(dz, v.swapaxes(1, 2), out=ds_all[:n])
+        ds *= a
+        grad = back_qkv[:n]
+        np.matmul(ds, key, out=grad[:, LAP:, :d])
+        np.matmul(ds.swapaxes(1, 2), q, out=grad[:, :, d:2 * d])
+        np.matmul(a.swapaxes(1, 2), dz[:, :, :d], out=grad[:, :, 2 * d:])
+        g_rel[:] = np.bincount(back.ravel(), ds.sum(0).ravel(), minlength=span)
+        grad = grad.reshape(-1, 3 * d)
+        np.matmul(e.T, grad, out=g_in)
+        de = np.matmul(grad, w_in.T, out=de_all[:len(x)])
+        de.reshape(n, span, d)[:, LAP:] += dh[:, :, :d]
         step, done = step + 1, done + 1
         rate = RATE * min(1.0, step / 20) * (1 - done / (steps + 1))
-        _adam(p["e"], *moment["e"], ge, rate, step, own)
-        for name, m in grad.items():
-            _adam(p[name], *moment[name], m, rate, step)
+        _adam(table, e_one, e_two, np.add.reduceat(np.take(de, line, axis=0, out=rest[:len(x)], mode="clip"), edge), rate, step, own)
+        _adam(flat, one, two, change, rate, step)
     state["step"] = step
+    for i, name in enumerate(("wq", "wk", "wv")):
+        p[name][:] = w_in[:, i * d:(i + 1) * d]
+    p["wr"][:], p["o"][:], p["b"][:], p["rel"][:] = top[:d], top[d:2 * d], top[-1], rel
 
 
 def _whole(p: dict, seen: np.ndarray, count: np.ndarray, cls: np.ndarray, classes: int, vocabulary: int, end: int) -> dict:
@@ -312,12 +419,12 @@ def _whole(p: dict, seen: np.ndarray, count: np.ndarray, cls: np.ndarray, classe
     return p | {"cls": full_cls, "inner": full_inner, "compact": compact, "end": end}
 
 
-IDS = "block int, ids binary, first binary"
+IDS = "block int, nth int, ids binary, first binary"
 SPARSE = "part int, lot int, at binary, x binary"
 
 
 def _encode(path: str | None):
-    """A block's ids, its texts in an order that a retried task repeats."""
+    """A block's ids in rows of bounded size, its texts in an order that a retried task repeats."""
     def run(rows: pa.Table) -> pa.Table:
         block, kind, texts = rows.column("block")[0].as_py(), "<u2" if subword.encoder(path).size() <= 1 << 16 else "<u4", []
         for b in blocks.unpack(rows):
@@ -325,28 +432,59 @@ def _encode(path: str | None):
             texts += [(key[i], ids[first[i - lo]:first[i - lo + 1]].astype(kind)) for lo, hi, ids, first in
                       subword.encode_column(b.column("text"), path) for i in range(lo, hi)]
         texts.sort(key=lambda t: t[0])
-        first = np.r_[0, np.cumsum([len(t) for _, t in texts])]
-        ids = np.concatenate([t for _, t in texts]).tobytes()
+        first = np.r_[0, np.cumsum([len(t) for _, t in texts])].astype("<i8")
+        out = {"block": [], "nth": [], "ids": [], "first": []}
+        for nth, (lo, hi) in enumerate(tv.spans(first, SLICE)):
+            for name, v in zip(out, (block, nth, np.concatenate([t for _, t in texts[lo:hi]]).tobytes(), (first[lo:hi + 1] - first[lo]).tobytes())):
+                out[name].append(v)
         texts.clear()
         tv.release()
-        return pa.table({"block": pa.array([block], pa.int32()), "ids": pa.array([ids], pa.binary()),
-                         "first": pa.array([first.astype("<i8").tobytes()], pa.binary())})
+        return pa.table(out, schema=pa.schema([("block", pa.int32()), ("nth", pa.int32()), ("ids", pa.binary()), ("first", pa.binary())]))
+    return run
+
+
+def _pieces(batches, kind: str):
+    """(block, nth, ids, first) of all rows of ids."""
+    for b in batches:
+        for block, nth, ids, first in zip(*(b.column(c) for c in ("block", "nth", "ids", "first"))):
+            yield block.as_py(), nth.as_py(), np.frombuffer(ids.as_buffer(), kind), np.frombuffer(first.as_buffer(), "<i8")
+
+
+def _sparse(lot: int, at, x: np.ndarray):
+    """Rows of indexes, as :func:`_parted` gives them, with their values."""
+    part, edge, at = at
+    for i, lo, hi in zip(part.tolist(), edge[:-1].tolist(), edge[1:].tolist()):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([i], pa.int32()), pa.array([lot], pa.int32()), pa.array([at[lo:hi].astype("<i4").tobytes()], pa.binary()),
+             pa.array([x[lo:hi].astype("<f4").tobytes()], pa.binary())], names=["part", "lot", "at", "x"])
+
+
+def _counted(kind: str, lots: int, add, parted):
+    """mapInArrow over rows of ids: add(sums so far or None, ids, first), then parted(sums) to rows."""
+    def run(batches):
+        sums, lot = None, 0
+        for block, _, ids, first in _pieces(batches, kind):
+            sums, lot = add(sums, ids, first), block % lots
+        if sums is not None:
+            yield from _sparse(lot, *parted(sums))
+        tv.release()
     return run
 
 
 def _each(kind: str, lots: int, each):
-    """mapInArrow over blocks of ids; each(block, ids, first) gives (indexes, values a row) to be summed."""
+    """mapInArrow over rows of ids, where a block is in one task; each(block, ids, first) gives (indexes, values a row) to be summed."""
     def run(batches):
-        for b in batches:
-            for block, ids, first in zip(*(b.column(c) for c in ("block", "ids", "first"))):
-                block = block.as_py()
-                for at, x in each(block, np.frombuffer(ids.as_buffer(), kind), np.frombuffer(first.as_buffer(), "<i8")):
-                    part, edge = at[0], at[1]
-                    for i, lo, hi in zip(part.tolist(), edge[:-1].tolist(), edge[1:].tolist()):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([i], pa.int32()), pa.array([block % lots], pa.int32()), pa.array([at[2][lo:hi].astype("<i4").tobytes()], pa.binary()),
-                             pa.array([x[lo:hi].astype("<f4").tobytes()], pa.binary())], names=["part", "lot", "at", "x"])
-                tv.release()
+        own: dict[int, list] = {}
+        for block, nth, ids, first in _pieces(batches, kind):
+            own.setdefault(block, []).append((nth, ids, first))
+        for block in sorted(own):
+            parts = sorted(own.pop(block), key=lambda r: r[0])
+            ids = np.concatenate([ids for _, ids, _ in parts])
+            first = np.r_[0, np.cumsum(np.concatenate([np.diff(first) for _, _, first in parts]))]
+            parts.clear()
+            for at, x in each(block, ids, first):
+                yield from _sparse(block % lots, at, x)
+            tv.release()
     return run
 
 
@@ -397,18 +535,19 @@ def _learn(end: int, k: int, epochs: int, shared):
     """One block's steps of round k from the shared parameters."""
     def each(block: int, ids: np.ndarray, first: np.ndarray):
         start, compact, cls = shared.value
-        ids = compact.astype(np.int32)[ids]
-        has = np.zeros(len(start["e"]), bool)
-        has[ids] = has[compact[end]] = True
-        own = np.flatnonzero(has)  # ids that a block lacks keep their vectors
-        place = np.cumsum(has, dtype=np.int32) - np.int32(1)
-        local, last = place[ids], int(place[compact[end]])
-        del ids
+        small = np.uint16 if len(start["e"]) <= 1 << 16 else np.int32
+        cuts = [slice(lo, lo + SLICE) for lo in range(0, len(ids), SLICE)]  # indexing widens what it is given
+        n = sum((np.bincount(compact[ids[c]], minlength=len(start["e"])) for c in cuts), np.zeros(len(start["e"]), np.int64))
+        n[compact[end]] += len(first) - 1
+        own = np.flatnonzero(n)  # ids that a block lacks keep their vectors
+        place = (np.cumsum(n > 0) - 1).astype(small)
+        local, last = np.empty(len(ids), small), int(place[compact[end]])
+        for c in cuts:
+            local[c] = place[compact[ids[c]]]
         p = {name: v.copy() for name, v in start.items()} | {"e": start["e"][own]}
         seed = np.random.default_rng([5, k, block])
         _epoch(p, local, first, last, cls[own], seed, {}, k, epochs)
-        n = np.bincount(local, minlength=len(own)).astype(float)
-        n[last] += len(first) - 1
+        n = n[own].astype(float)
         yield _parted(own, PART), np.c_[p["e"] * n[:, None], n]
         flat = np.r_[np.concatenate([p[name].ravel() for name in sorted(p) if name != "e"]).astype(float), 1.0] * n.sum()
         flat = np.r_[flat, np.zeros(-len(flat) % (WIDTH + 1))].reshape(-1, WIDTH + 1)
@@ -424,18 +563,23 @@ def fit(docs: DataFrame, path: str | None = None, block_bytes: int = blocks.BLOC
     rows, n_blocks = blocks.pack(docs.select("doc_id", "text", F.xxhash64("text", "doc_id").alias("key")), block_bytes)
     lots = math.isqrt(n_blocks - 1) + 1 if n_blocks > LOTS else n_blocks
     out = shared_path(spark, f"attention-{uuid.uuid4().hex}")
-    rows.groupBy("block").applyInArrow(_encode(path), IDS).write.parquet(out)
+    # small row groups: a reader holds one at a time
+    rows.groupBy("block").applyInArrow(_encode(path), IDS).write.options(
+        **{"parquet.block.size": 4 << 20, "parquet.page.size.row.check.min": 1}).parquet(out)
     coded = spark.read.parquet(out)
 
-    def summed(each, width: int, rows: DataFrame = coded) -> DataFrame:
-        return _added(rows.mapInArrow(_each(kind, lots, each), SPARSE), lots, width)
+    def summed(run, width: int, rows: DataFrame = coded) -> DataFrame:
+        return _added(rows.mapInArrow(run, SPARSE), lots, width)
 
-    def counts(block, ids, first):
-        n = np.bincount(ids, minlength=size)
+    def count_ids(n, ids, first):
+        n = np.bincount(ids, minlength=size) if n is None else n + np.bincount(ids, minlength=size)
         n[end] += len(first) - 1
+        return n
+
+    def counts(n):
         at = np.flatnonzero(n)
-        yield _parted(at, PART), n[at][:, None]
-    got = summed(counts, 1).toArrow()
+        return _parted(at, PART), n[at][:, None]
+    got = summed(_counted(kind, lots, count_ids, counts), 1).toArrow()
     if not got.num_rows:
         p = train([np.zeros(0, np.int64)], size, end, epochs=0)
         p["e"][:], p["b"][:] = 0, np.log([1 / size, (size - 1) / size])
@@ -449,17 +593,19 @@ def fit(docs: DataFrame, path: str | None = None, block_bytes: int = blocks.BLOC
     compact[seen] = np.arange(len(seen))
     last, col, classes = int(compact[end]), _columns(count), min(CLASSES, len(seen))
 
-    def cells(block, ids, first):
-        at, n = _neighbours(ids, first, compact, last, col)
-        yield _parted(at, 2 * COMMON * PART), n[:, None]
-    every = summed(cells, 1).select("at", "x", F.lit(0).alias("all"))
+    def count_cells(sums, ids, first):
+        return _merged(sums, _neighbours(ids, first, compact, last, col))
+
+    def cells(sums):
+        return _parted(sums[0], 2 * COMMON * PART), sums[1][:, None]
+    every = summed(_counted(kind, lots, count_cells, cells), 1).select("at", "x", F.lit(0).alias("all"))
     cls = np.frombuffer(every.groupBy("all").applyInArrow(_class_task(count, classes), "cls binary").first()["cls"], "<i4").astype(np.int64)
     count = count + 0.5
     p = _start(count, cls, classes, np.random.default_rng(5))
     apart = coded.repartitionByRange(n_blocks, "block")  # a block is a task, so that none waits for another's
     for k in range(epochs):
         shared = spark.sparkContext.broadcast((p, compact, cls))
-        got = summed(_learn(end, k, epochs, shared), WIDTH + 1, apart).toArrow()
+        got = summed(_each(kind, lots, _learn(end, k, epochs, shared)), WIDTH + 1, apart).toArrow()
         shared.destroy()
         p = {name: v.copy() for name, v in p.items()}
         part = got.column("part").to_numpy()

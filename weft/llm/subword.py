@@ -3,7 +3,8 @@
 The tokenizer lower-cases, splits at white space and between letters, digits and other
 signs, so the ids of a text are the ids of its pieces in order. A batch is cut into pieces
 with numpy, each distinct piece is encoded once (a cache of bounded size lives in the
-Python worker), and the ids are gathered. Pieces are cut only where the tokenizer itself
+Python worker), and the ids are gathered. Plain pieces (ASCII and Latin-1 letters, digits, ASCII
+signs) are merged many at a time with numpy, all others by the library. Pieces are cut only where the tokenizer itself
 must cut: at ASCII white space, and between runs of letters (ASCII, Latin-1), of digits and
 of plain ASCII signs; whatever else stands in a text stays with its neighbours.
 """
@@ -11,6 +12,7 @@ of plain ASCII signs; whatever else stands in a text stays with its neighbours.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 
 import numpy as np
@@ -19,6 +21,7 @@ from . import textvec as tv
 
 CACHE = 1_500_000
 CHUNK = 2 << 20
+LONGEST = 48
 _OTHER, _LETTER, _DIGIT, _SIGN, _SPACE = 0, 1, 2, 3, 4
 _KIND = np.zeros(256, np.uint8)
 _KIND[65:91] = _KIND[97:123] = _LETTER
@@ -34,6 +37,127 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: What the numpy merges stand for; a file of another kind is left to the library.
+_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "truncation": None, "padding": None}
+_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>",
+          "byte_fallback": False, "ignore_merges": False}
+
+
+def _byte_signs() -> list[str]:
+    """The sign that stands for each byte in a byte-level vocabulary."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    sign = {b: chr(b) for b in own}
+    return [sign.get(b) or chr(256 + sum(c not in sign for c in range(b))) for b in range(256)]
+
+
+class Merges:
+    """Byte-pair merges of many plain pieces at once, in the library's own order: each round merges, in every
+    piece that has one left, the pair learned first (of equal ones the leftmost)."""
+
+    def __init__(self, vocab: dict, merges: list):
+        signs = _byte_signs()
+        self.inner = np.array([vocab[c] for c in signs], np.int64)
+        self.last = np.array([vocab[c + "</w>"] for c in signs], np.int64)
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
+        self.made = np.array([vocab[a + b] for a, b in pairs], np.int64)
+        self._rank = tv.Positions()
+        self._rank.add(self._key(np.array([vocab[a] for a, _ in pairs]), np.array([vocab[b] for _, b in pairs])))
+
+    @classmethod
+    def of(cls, path: str) -> Merges | None:
+        """The merges of a tokenizer file; None if it is not of the kind that they stand for."""
+        with open(path, encoding="utf-8") as f:
+            d = json.load(f)
+        m = d.get("model") or {}
+        if any(d.get(k) != v for k, v in _RULES.items()) or any(m.get(k) != v for k, v in _MODEL.items()):
+            return None
+        if any(not {"<", ">", "|"} & set(t["content"]) for t in d.get("added_tokens") or []):
+            return None
+        try:
+            return cls(m["vocab"], m["merges"])
+        except KeyError:
+            return None
+
+    @staticmethod
+    def _key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return tv.mix((a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64))
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Each pair's place in learned order, then its place in the array, as one number; all ones for no pair."""
+        rank = self._rank.find(self._key(a, b)).astype(np.int64).view(np.uint64)
+        return np.where(rank >> np.uint64(63), _NONE, (rank << np.uint64(32)) | at.astype(np.uint64))
+
+    def __call__(self, raw: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, of ``n`` (at least one) lower-cased bytes each, and their numbers."""
+        ids = self.inner[raw]
+        begin = np.cumsum(n) - n
+        end = begin + n - 1
+        ids[end] = self.last[raw[end]]
+        alone = _KIND[raw] == _DIGIT
+        ids[alone] = self.last[raw[alone]]
+        out, count = ids.copy(), n.copy()
+        word, start = np.arange(len(n)), begin
+        pair = np.full(len(ids), _NONE)
+        inside = np.ones(len(ids), bool)
+        inside[end] = False
+        at = np.flatnonzero(inside)
+        pair[at] = self._ranks(ids[at], ids[at + 1], at)
+        while len(word):
+            best = np.minimum.reduceat(pair, start)
+            go = best != _NONE
+            if not go.all():
+                size = np.diff(np.r_[start, len(ids)])
+                done = ~go
+                k = size[done]
+                step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+                out[np.repeat(begin[word[done]], k) + step] = ids[np.repeat(start[done], k) + step]
+                count[word[done]] = k
+                keep = np.repeat(go, size)
+                # places are kept within pairs: those of what stays move down
+                moved = np.repeat(np.cumsum(np.where(go, 0, size))[go], size[go])
+                ids, pair = ids[keep], pair[keep]
+                pair = np.where(pair == _NONE, pair, pair - moved.astype(np.uint64))
+                word, size = word[go], size[go]
+                start = np.cumsum(size) - size
+                if not len(word):
+                    break
+                best = best[go] - (moved[start]).astype(np.uint64)
+            at = (best & _LOW).astype(np.int64)
+            ids[at] = self.made[(best >> np.uint64(32)).astype(np.int64)]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            pair[at] = _NONE  # set anew below, where a neighbour follows
+            ids, pair = ids[keep], pair[keep]
+            gone = np.arange(len(start))  # one place in each piece before
+            at, start = at - gone, start - gone
+            stop = np.r_[start[1:], len(ids)]
+            pair = np.where(pair == _NONE, pair, (pair & ~_LOW) | np.arange(len(pair), dtype=np.uint64))
+            left = at[at > start] - 1
+            right = at[at + 1 < stop]
+            new = np.concatenate((left, right))
+            pair[new] = self._ranks(ids[new], ids[new + 1], new)
+        total = np.cumsum(count) - count
+        return out[np.repeat(begin - total, count) + np.arange(count.sum())], count
+
+
+_NONE, _LOW = np.uint64((1 << 64) - 1), np.uint64((1 << 32) - 1)
+
+
+def _plain(raw: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-cased bytes of pieces, and which pieces hold letters, digits or signs only and are not too long."""
+    fine = _KIND[raw] != _OTHER
+    lead = np.flatnonzero(raw[:-1] == 0xC3)
+    lead = lead[(raw[lead + 1] >= 0x80) & (raw[lead + 1] != 0x97) & (raw[lead + 1] != 0xB7)]
+    fine[lead] = fine[lead + 1] = True
+    return tv.lowered(raw), np.logical_and.reduceat(fine, np.cumsum(n) - n) & (n <= LONGEST)
+
+
 class Encoder:
     """Encodes columns with one tokenizer file."""
 
@@ -41,6 +165,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path or default_path())
+        self._merges = Merges.of(path or default_path())
         self._clear()
 
     def _clear(self):
@@ -52,13 +177,26 @@ class Encoder:
     def size(self) -> int:
         return self._tokenizer.get_vocab_size()
 
-    def _learn(self, keys: np.ndarray, new: list[str]):
-        ids = [x.ids for x in self._tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(n.sum()))
+    def _learn(self, keys: np.ndarray, data: np.ndarray, s: np.ndarray, e: np.ndarray):
+        n = e - s
+        raw = data[np.repeat(s - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        low, plain = _plain(raw, n) if self._merges else (raw, np.zeros(len(n), bool))
+        count = np.zeros(len(n), np.int64)
+        own = np.repeat(plain, n)
+        if plain.any():
+            some, count[plain] = self._merges(low[own], n[plain])
+        odd, raw = np.flatnonzero(~plain), raw.tobytes()
+        at = np.cumsum(n) - n
+        ids = [x.ids for x in self._tokenizer.encode_batch_fast(
+            [raw[a:b].decode("utf-8", "replace") for a, b in zip(at[odd].tolist(), (at + n)[odd].tolist())], add_special_tokens=False)]
+        count[odd] = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat, own = np.empty(int(count.sum()), np.int32), np.repeat(plain, count)
+        if plain.any():
+            flat[own] = some
+        flat[~own] = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(count[odd].sum()))
         self._known.add(keys)
-        self._at = np.r_[self._at, len(self._ids) + np.cumsum(n) - n]
-        self._n = np.r_[self._n, n]
+        self._at = np.r_[self._at, len(self._ids) + np.cumsum(count) - count]
+        self._n = np.r_[self._n, count]
         self._ids = np.r_[self._ids, flat]
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,8 +213,7 @@ class Encoder:
                 self._clear()
                 miss = np.arange(len(key))
             new, first = np.unique(key[miss], return_index=True)
-            where, raw = miss[first], data.tobytes()
-            self._learn(new, [raw[a:b].decode("utf-8", "replace") for a, b in zip(s[where].tolist(), e[where].tolist())])
+            self._learn(new, data, s[miss[first]], e[miss[first]])
             at = self._known.find(key)
         n = self._n[at]
         end = np.cumsum(n)
