@@ -42,6 +42,7 @@ CLASSES, WIDTH, LAP, STRIDE, MIX = 128, 16, 8, 24, 0.6
 EPOCHS, BATCH, RATE = 1, 64, 0.02
 AT_ONCE = 64
 RUN = 96
+PLACES = np.arange(-LAP, STRIDE)
 END_WORD = np.uint64(0x5EED5EED5EED5EED)
 SPAN, SLICE = 1 << 20, 1 << 18
 COMMON, PART, LOTS = 256, 512, 64
@@ -88,20 +89,21 @@ def _spread(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = np.diff(at)
     k = -(-n // STRIDE)
     nth = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-    kind = np.int32 if at[-1] + LAP + STRIDE < 1 << 31 else np.int64
-    return (np.repeat(at[:-1], k) + nth * STRIDE).astype(kind), np.repeat(at[1:], k).astype(kind), nth == 0
+    return np.repeat(at[:-1], k) + nth * STRIDE, np.repeat(at[1:], k), nth == 0
 
 
 def _inputs(flat: np.ndarray, start: np.ndarray, stop: np.ndarray, lead: np.ndarray, end: int):
     """Ids of some windows, ``end`` where a window leaves its text; their scored places and which of these are
     the text's; and the windows that lead a text."""
-    place = start[:, None] + np.arange(-LAP, STRIDE, dtype=start.dtype)
+    place = start[:, None] + PLACES
     x = np.take(flat, place, mode="clip")
-    beyond = place >= stop[:, None]
-    x[beyond] = end
+    place, ok = place[:, LAP:], np.ones((len(x), STRIDE), bool)
+    short = np.flatnonzero(start + STRIDE > stop)
+    ok[short] = place[short] < stop[short][:, None]
+    x[short, LAP:] = np.where(ok[short], x[short, LAP:], x.dtype.type(end))
     lead = np.flatnonzero(lead)
     x[lead, :LAP] = end
-    return x, place[:, LAP:].ravel(), ~beyond[:, LAP:].ravel(), lead
+    return x, place.ravel(), ok.ravel(), lead
 
 
 def _relative() -> np.ndarray:
@@ -194,10 +196,10 @@ def _columns(size: np.ndarray) -> np.ndarray:
 
 def _cells(inputs: np.ndarray, targets: np.ndarray, col: np.ndarray) -> np.ndarray:
     """(id, side, column) of every neighbour that has a column, as one number."""
-    out = []
+    out, kind = [], np.int32 if 2 * COMMON * len(col) < 1 << 31 else np.int64
     for side, (a, b) in enumerate(((targets, inputs), (inputs, targets))):
         ok = col[b] >= 0
-        out.append((a[ok].astype(np.int64) * 2 + side) * COMMON + col[b[ok]])
+        out.append((a[ok].astype(kind) * 2 + side) * COMMON + col[b[ok]].astype(kind))
     return np.concatenate(out)
 
 
